@@ -1,0 +1,117 @@
+"""Hot keys: finding them, splitting them, and joining past them.
+
+A key is hot when it holds more rows than one task should take. Of the hot keys, the ``MAX_HOT``
+largest are split; what is left out then holds less than ``1 / MAX_HOT`` of all rows each. That
+limit, not an estimate, is what makes broadcasting the list of hot keys safe. No row is dropped:
+the list only says how finely to cut. Counts are exact and pre-aggregated before the shuffle, and
+ties fall to the key, hence the list is the same on every attempt of a task.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+ROWS_PER_TASK = 1_000_000
+MAX_HOT = 4096
+MAX_SPLITS = 4096
+
+SLICE = "__slice"
+SLICES = "__slices"
+
+
+def _hot(df: DataFrame, keys: Sequence[str], rows_per_task: int, extra: Sequence[Column]) -> DataFrame:
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *extra)
+    largest = counted.where(F.col("__rows") > rows_per_task).orderBy(F.desc("__rows"), *keys).limit(MAX_HOT)
+    parts = F.least(F.ceil(F.col("__rows") / F.lit(rows_per_task)), F.lit(MAX_SPLITS))
+    return largest.withColumn(SLICES, parts.cast("int"))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Hot keys with the number of parts to split each into; at most ``MAX_HOT`` rows."""
+    return _hot(df, keys, rows_per_task, []).select(*keys, SLICES)
+
+
+def slice_groups(
+    df: DataFrame, keys: Sequence[str], position: Column, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Number the consecutive slices of every group along ``position``, in ``SLICE``.
+
+    A normal group is one slice, 0. A hot group is cut into equal ranges between its lowest and its
+    highest position, and a range that is still hot is cut once more in the same way, for rows that
+    crowd into a short stretch. Ordered work on the group then becomes work on its slices plus a
+    carry from one slice to the next. ``SLICES`` is above 1 for the rows of hot groups. NULL
+    positions go to the first slice, as ascending order has them in front.
+    """
+    place = "__place"
+    placed = df.withColumn(place, position.cast("double"))
+    coarse = _cut(placed, placed, keys, rows_per_task, "__coarse")
+    crowded = coarse.where(F.col(SLICES) > 1)
+    fine = _cut(
+        coarse.withColumnRenamed(SLICES, "__coarse_slices"),
+        crowded,
+        [*keys, "__coarse"],
+        rows_per_task,
+        "__fine",
+    )
+    return (
+        fine.withColumn(SLICE, F.col("__coarse") * F.lit(MAX_SPLITS) + F.col("__fine"))
+        .withColumn(SLICES, F.col("__coarse_slices"))
+        .drop(place, "__coarse", "__fine", "__coarse_slices")
+    )
+
+
+def _cut(
+    df: DataFrame, counted: DataFrame, keys: Sequence[str], rows_per_task: int, out: str
+) -> DataFrame:
+    place = F.col("__place")
+    limits = [F.min(place).alias("__low"), F.max(place).alias("__high")]
+    hot = _hot(counted, keys, rows_per_task, limits).select(
+        *[F.col(key).alias(f"__hot_{key}") for key in keys], SLICES, "__low", "__high"
+    )
+    same_key = reduce(
+        lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__hot_{key}")) for key in keys]
+    )
+    share = F.try_divide(place - F.col("__low"), F.col("__high") - F.col("__low"))
+    number = F.least(F.floor(share * F.col(SLICES)), F.col(SLICES) - 1)
+    return (
+        df.join(F.broadcast(hot), same_key, "left")
+        .withColumn(out, F.coalesce(number, F.lit(0)).cast("int"))
+        .withColumn(SLICES, F.coalesce(F.col(SLICES), F.lit(1)))
+        .drop("__low", "__high", *[f"__hot_{key}" for key in keys])
+    )
+
+
+def salted_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Left equi-join in which hot keys of the left side are spread over several tasks.
+
+    Rows of a hot key get a salt from a hash of the whole row, and the few right rows of that key
+    are repeated once per salt. Rows whose key is NULL can match nothing and are spread as well.
+    All other keys keep salt 0, so nothing else is repeated.
+    """
+    hot = F.broadcast(hot_keys(left.where(_all_present(on)), on, rows_per_task))
+    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+    spread = F.when(_all_present(on), F.coalesce(F.col(SLICES), F.lit(1))).otherwise(MAX_SPLITS)
+    salted = (
+        left.join(hot, list(on), "left")
+        .withColumn("__salt", F.pmod(row_hash, spread).cast("int"))
+        .drop(SLICES)
+    )
+    repeated = (
+        right.join(hot, list(on), "left")
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SLICES), F.lit(1)) - 1)))
+        .drop(SLICES)
+    )
+    return salted.join(repeated, [*on, "__salt"], "left").drop("__salt")
+
+
+def _all_present(on: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in on])
