@@ -27,11 +27,10 @@ def haversine_m(lat1: ColumnLike, lng1: ColumnLike, lat2: ColumnLike, lng2: Colu
     return F.lit(2 * EARTH_RADIUS_M) * F.atan2(F.sqrt(chord), F.sqrt(1 - chord))
 
 
-ROUTE_TYPE = "struct<lats: array<double>, lngs: array<double>, failed: boolean>"
+def decode_lines(lines: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Latitudes and longitudes of each encoded line, and whether it could not be decoded.
 
-
-def _decode_batch(lines: pa.Array) -> pa.Array:
-    """Decode a whole batch of lines at once, on the bytes of its Arrow buffer.
+    Works on a whole batch of lines at once, on the bytes of its Arrow buffer.
 
     A line is a row of numbers, each a run of 5-bit groups of which all but the last have bit 32
     set. The low bit of a number is its sign, and latitudes and longitudes alternate, each as the
@@ -84,16 +83,4 @@ def _decode_batch(lines: pa.Array) -> pa.Array:
     def as_list(values: np.ndarray) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values / POINT_SCALE))
 
-    return pa.StructArray.from_arrays(
-        [as_list(lats), as_list(lngs), pa.array(failed)], names=["lats", "lngs", "failed"]
-    )
-
-
-def decode_route(line: ColumnLike) -> Column:
-    """Latitudes and longitudes of an encoded line, and whether it could not be decoded."""
-
-    @F.arrow_udf(ROUTE_TYPE)
-    def decode(lines: pa.Array) -> pa.Array:
-        return _decode_batch(lines)
-
-    return decode(column(line))
+    return as_list(lats), as_list(lngs), pa.array(failed)

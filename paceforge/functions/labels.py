@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paceforge.functions.units import ColumnLike, column
+from paceforge.functions.units import ColumnLike, column, settled_round
 
 # Thresholds (lowest value of each label) in descending order.
 RECOVERY_BUCKETS = ((67, "peak"), (34, "optimal"))
@@ -33,7 +33,7 @@ def sleep_label(performance_pct: ColumnLike) -> Column:
 
 def net_sleep_hours(in_bed: ColumnLike, awake: ColumnLike) -> Column:
     """Hours asleep; an unknown awake time counts as zero."""
-    return F.round(column(in_bed) - F.coalesce(column(awake), F.lit(0.0)), 2)
+    return settled_round(column(in_bed) - F.coalesce(column(awake), F.lit(0.0)), 2)
 
 
 def high_intensity_min(*zones: ColumnLike) -> Column:

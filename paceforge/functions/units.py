@@ -28,6 +28,15 @@ def ratio(numerator: ColumnLike, denominator: ColumnLike | float) -> Column:
     return F.try_divide(column(numerator).cast("double"), below.cast("double"))
 
 
+def settled_round(c: Column, digits: int) -> Column:
+    """Round the result of a sum, average or difference of doubles.
+
+    The last bits of such a result depend on the order of the terms, and on a tie they would decide
+    the rounding. Rounding to nine digits first takes them off, so every run gives the same.
+    """
+    return F.round(F.round(c, 9), digits)
+
+
 def ms_to_hours(c: ColumnLike) -> Column:
     return ratio(c, MS_PER_HOUR)
 

@@ -7,15 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceforge.functions.units import period_key, week_start
+from paceforge.functions.units import period_key, settled_round, week_start
 
 
 def rounded_avg(name: str, digits: int) -> Column:
-    return F.round(F.avg(name), digits)
+    return settled_round(F.avg(name), digits)
 
 
 def rounded_sum(name: str, digits: int) -> Column:
-    return F.round(F.sum(name), digits)
+    return settled_round(F.sum(name), digits)
 
 
 def lifetime_stats(daily: DataFrame, user: str = "user_id") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceforge.operators.skew import ROWS_PER_TASK, salted_left_join
+from paceforge.operators.skew import ROWS_PER_TASK, hot_keys, salted_left_join
 
 
 def attach_day(
@@ -18,13 +18,14 @@ def attach_day(
     day: str = "cycle_date",
     offset: int = 0,
     user_col: str | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left-join every activity to the day ``offset`` days after it.
 
     ``columns`` maps columns of ``daily`` to their names in the result. Without ``user_col`` the
     join is on the date only, which is right for the data of one user; with more users, name the
-    column that both sides share, or every activity meets the day of every user.
+    column that both sides share, or every activity meets the day of every user. ``hot`` lists the
+    days (and users) that hold very many activities, from ``hot_days``.
     """
     users = [user_col] if user_col else []
     days = daily.where(F.col(day).isNotNull()).select(
@@ -33,11 +34,25 @@ def attach_day(
         *[F.col(source).alias(out) for source, out in columns.items()],
     )
     dated = activities.withColumn("__day", F.date_add(F.col(activity_date), offset))
-    return salted_left_join(dated, days, [*users, "__day"], rows_per_task).select(
+    if hot is not None:
+        hot = hot.withColumn("__day", F.date_add("__day", offset))
+    return salted_left_join(dated, days, [*users, "__day"], hot).select(
         *activities.columns, *columns.values()
     )
 
 
+def hot_days(
+    activities: DataFrame,
+    activity_date: str,
+    user_col: str | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame | None:
+    """Days, and users, with too many activities for one task; for any number of ``attach_day``."""
+    users = [user_col] if user_col else []
+    keyed = activities.select(*users, F.col(activity_date).alias("__day"))
+    return hot_keys(keyed, [*users, "__day"], rows_per_task)
+
+
 def attach_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join on a key that is unique on both sides, such as a deduplicated identifier."""
     return left.join(right, key, "left")

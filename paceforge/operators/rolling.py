@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from paceforge.functions.units import ColumnLike, column
+from paceforge.functions.units import ColumnLike, column, settled_round
 
 
 def by_day(user: str = "user_id", day: str = "cycle_date") -> WindowSpec:
@@ -22,7 +22,8 @@ def by_day(user: str = "user_id", day: str = "cycle_date") -> WindowSpec:
 
 def rolling_avg(c: ColumnLike, window: WindowSpec, rows: int, digits: int) -> Column:
     """Average over the last ``rows`` rows, the current one among them."""
-    return F.round(F.avg(column(c)).over(window.rowsBetween(1 - rows, Window.currentRow)), digits)
+    frame = window.rowsBetween(1 - rows, Window.currentRow)
+    return settled_round(F.avg(column(c)).over(frame), digits)
 
 
 def delta_prev(c: ColumnLike, window: WindowSpec, digits: int | None = None, null_as_zero: bool = False) -> Column:

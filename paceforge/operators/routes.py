@@ -2,26 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceforge.functions.geo import decode_route, haversine_m
+from paceforge.functions.geo import decode_lines, haversine_m
 from paceforge.operators.running import previous_row, running_sum
 from paceforge.operators.skew import ROWS_PER_TASK, SLICE, SLICES, slice_groups
 
 
 def decoded_routes(runs: DataFrame, key: str = "run_id", line: str = "summary_polyline") -> DataFrame:
     """Every run that has a line, with its points as arrays and a flag for a bad line."""
-    lined = runs.where(F.col(line).isNotNull() & (F.col(line) != ""))
-    return lined.select(key, decode_route(line).alias("route")).select(key, "route.*")
+    lined = runs.where(F.col(line).isNotNull() & (F.col(line) != "")).select(key, line)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lats, lngs, failed = decode_lines(batch.column(1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), lats, lngs, failed], names=[key, "lats", "lngs", "failed"]
+            )
+
+    points = "lats array<double>, lngs array<double>, failed boolean"
+    return lined.mapInArrow(decode, f"`{key}` {lined.schema[key].dataType.simpleString()}, {points}")
 
 
 def points_of(decoded: DataFrame, key: str = "run_id") -> DataFrame:
     """One row per point of the decoded routes; bad lines give none."""
     points = F.posexplode(F.arrays_zip("lats", "lngs")).alias("point_idx", "point")
-    return decoded.where(~F.col("failed")).select(key, points).select(
+    return decoded.select(key, points).select(
         key, "point_idx", F.col("point.lats").alias("lat"), F.col("point.lngs").alias("lng")
     )
 

@@ -1,10 +1,13 @@
 """Hot keys: finding them, splitting them, and joining past them.
 
-A key is hot when it holds more rows than one task should take. Of the hot keys, the ``MAX_HOT``
-largest are split; what is left out then holds less than ``1 / MAX_HOT`` of all rows each. That
-limit, not an estimate, is what makes broadcasting the list of hot keys safe. No row is dropped:
-the list only says how finely to cut. Counts are exact and pre-aggregated before the shuffle, and
-ties fall to the key, hence the list is the same on every attempt of a task.
+A key is hot when it holds more rows than one task should take. A probe counts the rows per key,
+pre-aggregated in each task, and brings at most the ``MAX_HOT`` largest hot keys to the driver; what
+is not among them holds less than ``1 / MAX_HOT`` of all rows. The list becomes a small constant
+relation of the plan, so its broadcast has a fixed bound, every task sees the same list on every
+attempt, and data without hot keys keeps the plain plan: Catalyst drops the empty branches. No row
+is left out by the limit; the list only says how finely to cut.
+
+The probe is a job of its own that reads the key columns only. It runs when the plan is made.
 """
 
 from __future__ import annotations
@@ -23,16 +26,27 @@ SLICE = "__slice"
 SLICES = "__slices"
 
 
-def _hot(df: DataFrame, keys: Sequence[str], rows_per_task: int, extra: Sequence[Column]) -> DataFrame:
+def _probe(
+    df: DataFrame, keys: Sequence[str], rows_per_task: int, extra: Sequence[Column] = ()
+) -> DataFrame | None:
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *extra)
-    largest = counted.where(F.col("__rows") > rows_per_task).orderBy(F.desc("__rows"), *keys).limit(MAX_HOT)
     parts = F.least(F.ceil(F.col("__rows") / F.lit(rows_per_task)), F.lit(MAX_SPLITS))
-    return largest.withColumn(SLICES, parts.cast("int"))
+    largest = (
+        counted.where(F.col("__rows") > rows_per_task)
+        .orderBy(F.desc("__rows"), *keys)
+        .limit(MAX_HOT)
+        .withColumn(SLICES, parts.cast("int"))
+        .drop("__rows")
+    )
+    rows = largest.collect()
+    return df.sparkSession.createDataFrame(rows, largest.schema) if rows else None
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Hot keys with the number of parts to split each into; at most ``MAX_HOT`` rows."""
-    return _hot(df, keys, rows_per_task, []).select(*keys, SLICES)
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame | None:
+    """Hot keys with the number of parts to split each into, or None if there are none."""
+    return _probe(df.where(all_present(keys)), keys, rows_per_task)
 
 
 def slice_groups(
@@ -46,72 +60,62 @@ def slice_groups(
     carry from one slice to the next. ``SLICES`` is above 1 for the rows of hot groups. NULL
     positions go to the first slice, as ascending order has them in front.
     """
-    place = "__place"
-    placed = df.withColumn(place, position.cast("double"))
-    coarse = _cut(placed, placed, keys, rows_per_task, "__coarse")
-    crowded = coarse.where(F.col(SLICES) > 1)
-    fine = _cut(
-        coarse.withColumnRenamed(SLICES, "__coarse_slices"),
-        crowded,
-        [*keys, "__coarse"],
-        rows_per_task,
-        "__fine",
-    )
-    return (
-        fine.withColumn(SLICE, F.col("__coarse") * F.lit(MAX_SPLITS) + F.col("__fine"))
-        .withColumn(SLICES, F.col("__coarse_slices"))
-        .drop(place, "__coarse", "__fine", "__coarse_slices")
-    )
+    placed = df.withColumn("__place", position.cast("double"))
+    coarse = _cut(placed, placed, keys, rows_per_task, "__coarse", "__coarse_parts")
+    if coarse is None:
+        return df.withColumn(SLICE, F.lit(0)).withColumn(SLICES, F.lit(1))
+    crowded = coarse.where(F.col("__coarse_parts") > 1)
+    fine = _cut(coarse, crowded, [*keys, "__coarse"], rows_per_task, "__fine", "__fine_parts")
+    if fine is None:
+        fine = coarse.withColumn("__fine", F.lit(0))
+    number = F.col("__coarse") * F.lit(MAX_SPLITS) + F.col("__fine")
+    return fine.select(*df.columns, number.alias(SLICE), F.col("__coarse_parts").alias(SLICES))
 
 
 def _cut(
-    df: DataFrame, counted: DataFrame, keys: Sequence[str], rows_per_task: int, out: str
-) -> DataFrame:
+    df: DataFrame, counted: DataFrame, keys: Sequence[str], rows_per_task: int, out: str, parts: str
+) -> DataFrame | None:
     place = F.col("__place")
     limits = [F.min(place).alias("__low"), F.max(place).alias("__high")]
-    hot = _hot(counted, keys, rows_per_task, limits).select(
-        *[F.col(key).alias(f"__hot_{key}") for key in keys], SLICES, "__low", "__high"
-    )
+    hot = _probe(counted, keys, rows_per_task, limits)
+    if hot is None:
+        return None
+    hot = hot.select(*[F.col(key).alias(f"__hot_{key}") for key in keys], SLICES, "__low", "__high")
     same_key = reduce(
         lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__hot_{key}")) for key in keys]
     )
     share = F.try_divide(place - F.col("__low"), F.col("__high") - F.col("__low"))
     number = F.least(F.floor(share * F.col(SLICES)), F.col(SLICES) - 1)
-    return (
-        df.join(F.broadcast(hot), same_key, "left")
-        .withColumn(out, F.coalesce(number, F.lit(0)).cast("int"))
-        .withColumn(SLICES, F.coalesce(F.col(SLICES), F.lit(1)))
-        .drop("__low", "__high", *[f"__hot_{key}" for key in keys])
+    return df.join(F.broadcast(hot), same_key, "left").select(
+        *df.columns,
+        F.coalesce(number, F.lit(0)).cast("int").alias(out),
+        F.coalesce(F.col(SLICES), F.lit(1)).alias(parts),
     )
 
 
 def salted_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    rows_per_task: int = ROWS_PER_TASK,
+    left: DataFrame, right: DataFrame, on: Sequence[str], hot: DataFrame | None
 ) -> DataFrame:
     """Left equi-join in which hot keys of the left side are spread over several tasks.
 
-    Rows of a hot key get a salt from a hash of the whole row, and the few right rows of that key
-    are repeated once per salt. Rows whose key is NULL can match nothing and are spread as well.
-    All other keys keep salt 0, so nothing else is repeated.
+    ``hot`` comes from ``hot_keys``. Rows of a hot key get a salt from a hash of the whole row, and
+    the right rows of that key are repeated once per salt; all other keys have salt 0. Rows whose
+    key is NULL can match nothing and are spread as well.
     """
-    hot = F.broadcast(hot_keys(left.where(_all_present(on)), on, rows_per_task))
+    if hot is None:
+        return left.join(right, list(on), "left")
+    hot = F.broadcast(hot)
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    spread = F.when(_all_present(on), F.coalesce(F.col(SLICES), F.lit(1))).otherwise(MAX_SPLITS)
-    salted = (
-        left.join(hot, list(on), "left")
-        .withColumn("__salt", F.pmod(row_hash, spread).cast("int"))
-        .drop(SLICES)
+    parts = F.coalesce(F.col(SLICES), F.lit(1))
+    spread = F.when(all_present(on), parts).otherwise(MAX_SPLITS)
+    salted = left.join(hot, list(on), "left").select(
+        *left.columns, F.pmod(row_hash, spread).cast("int").alias("__salt")
     )
-    repeated = (
-        right.join(hot, list(on), "left")
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SLICES), F.lit(1)) - 1)))
-        .drop(SLICES)
+    repeated = right.join(hot, list(on), "left").select(
+        *right.columns, F.explode(F.sequence(F.lit(0), parts - 1)).alias("__salt")
     )
     return salted.join(repeated, [*on, "__salt"], "left").drop("__salt")
 
 
-def _all_present(on: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in on])
+def all_present(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paceforge.functions import labels
-from paceforge.operators.joins import attach_day
+from paceforge.operators.joins import attach_day, hot_days
 from paceforge.operators.nearest import nearest_match
 from paceforge.operators.skew import ROWS_PER_TASK
 
@@ -68,10 +68,6 @@ def int_run_recovery(
         "loaded_at",
         *users,
     )
-    with_day = attach_day(run, daily, SAME_DAY, "run_date", user_col=user_col, rows_per_task=rows_per_task)
-    with_next = attach_day(
-        with_day, daily, NEXT_DAY, "run_date", offset=1, user_col=user_col, rows_per_task=rows_per_task
-    )
     workout = {
         "workout_id": f"{match_prefix}workout_id",
         "sport_name": f"{match_prefix}sport_name",
@@ -84,8 +80,9 @@ def int_run_recovery(
     intense = workouts.withColumnRenamed("workout_date", "run_date").withColumn(
         "high_intensity_min", labels.high_intensity_min("zone_3_min", "zone_4_min", "zone_5_min")
     )
+    # The match comes first, on the runs alone, and both days after it share one list of hot days.
     matched = nearest_match(
-        with_next,
+        run,
         intense,
         on=["run_date", *users],
         left_ts="run_start",
@@ -95,9 +92,14 @@ def int_run_recovery(
         pred=labels.is_running_sport("sport_name"),
         rows_per_task=rows_per_task,
     )
+    hot = hot_days(run, "run_date", user_col, rows_per_task)
+    with_day = attach_day(matched, daily, SAME_DAY, "run_date", user_col=user_col, hot=hot)
+    with_next = attach_day(with_day, daily, NEXT_DAY, "run_date", offset=1, user_col=user_col, hot=hot)
     minutes = f"{match_prefix}high_intensity_min"
-    return matched.select(
-        *[c for c in with_next.columns if c not in ("loaded_at", *users)],
+    return with_next.select(
+        *[c for c in run.columns if c not in ("loaded_at", *users)],
+        *SAME_DAY.values(),
+        *NEXT_DAY.values(),
         labels.recovery_delta("next_day_recovery", "same_day_recovery").alias("recovery_delta"),
         *[c for c in workout.values() if c != minutes],
         F.coalesce(F.col(minutes), F.lit(0.0)).alias(minutes),
@@ -135,7 +137,6 @@ def int_workout_recovery(
         labels.high_intensity_min("zone_3_min", "zone_4_min", "zone_5_min").alias("high_intensity_min"),
         "loaded_at",
     )
-    joined = attach_day(
-        workout, daily, NEXT_DAY, "workout_date", offset=1, user_col=user_col, rows_per_task=rows_per_task
-    )
+    hot = hot_days(workout, "workout_date", user_col, rows_per_task)
+    joined = attach_day(workout, daily, NEXT_DAY, "workout_date", offset=1, user_col=user_col, hot=hot)
     return joined.select(*[c for c in joined.columns if c != "loaded_at"], "loaded_at")

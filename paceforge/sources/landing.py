@@ -124,7 +124,7 @@ def conform_photos(df: DataFrame, loaded_at: datetime | Column) -> DataFrame:
         ),
     )
     described = df.select(
-        "id",
+        "*",
         F.get(F.filter(urls, lambda url: url.isNotNull()), F.lit(0)).alias("primary_photo_url"),
         F.size(urls).alias("photo_count"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from paceforge.functions import units as u
 from paceforge.operators import aggregates, periods, quality, routes
-from paceforge.operators.joins import attach_day, missing_keys
+from paceforge.operators.joins import attach_day, hot_days, missing_keys
 from paceforge.operators.load import ewma_load
 from paceforge.operators.nearest import nearest_match
 from paceforge.operators.upsert import rescan_window, upsert
@@ -143,8 +143,11 @@ def next_day_join(spark: SparkSession, sf: str) -> DataFrame:
     days = orders.groupBy(F.col("o_date").alias("cycle_date")).agg(
         F.count(F.lit(1)).alias("n"), (cents.cast("double") / 100.0).alias("total")
     )
-    same = attach_day(orders, days, {"n": "same_day_n", "total": "same_day_total"}, "o_date")
-    both = attach_day(same, days, {"n": "next_day_n", "total": "next_day_total"}, "o_date", offset=1)
+    hot = hot_days(orders, "o_date")
+    same_day = {"n": "same_day_n", "total": "same_day_total"}
+    next_day = {"n": "next_day_n", "total": "next_day_total"}
+    same = attach_day(orders, days, same_day, "o_date", hot=hot)
+    both = attach_day(same, days, next_day, "o_date", offset=1, hot=hot)
     return both.withColumn("delta", F.col("next_day_n") - F.col("same_day_n"))
 
 
@@ -461,7 +464,7 @@ def route_failures(spark: SparkSession, sf: str) -> DataFrame:
 
 def route_lengths(spark: SparkSession, sf: str) -> DataFrame:
     measured = routes.cumulative_distance(_route_points(spark, sf))
-    return measured.select("run_id", "point_idx", F.round("segment_m", 3).alias("segment_m"), F.round("distance_m", 3).alias("distance_m"))
+    return measured.select("run_id", "point_idx", *[u.settled_round(F.col(c), 3).alias(c) for c in ("segment_m", "distance_m")])
 
 
 def user_tracks(spark: SparkSession, sf: str) -> DataFrame:
@@ -476,7 +479,7 @@ def user_tracks(spark: SparkSession, sf: str) -> DataFrame:
     measured = routes.cumulative_distance(
         points, ["user_id"], ["ts", "event_id"], F.unix_micros(F.col("ts"))
     )
-    return measured.select("user_id", "event_id", F.round("distance_m", 3).alias("distance_m"), F.round("route_m", 3).alias("route_m"))
+    return measured.select("user_id", "event_id", *[u.settled_round(F.col(c), 3).alias(c) for c in ("distance_m", "route_m")])
 
 
 FRACTIONS = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
@@ -484,7 +487,7 @@ FRACTIONS = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
 
 def route_positions(spark: SparkSession, sf: str) -> DataFrame:
     at = routes.position_at(routes.cumulative_distance(_route_points(spark, sf)), FRACTIONS)
-    return at.select("run_id", "p", F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"))
+    return at.select("run_id", "p", *[u.settled_round(F.col(c), 6).alias(c) for c in ("lat", "lng")])
 
 
 def route_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -500,7 +503,7 @@ def route_bounds(spark: SparkSession, sf: str) -> DataFrame:
 
 def route_centroid(spark: SparkSession, sf: str) -> DataFrame:
     center = routes.centroid(_route_points(spark, sf))
-    return center.select(F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"))
+    return center.select(*[u.settled_round(F.col(c), 6).alias(c) for c in ("lat", "lng")])
 
 
 # --- exports ------------------------------------------------------------------------------------
