@@ -7,6 +7,8 @@ both engines add up exactly.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,42 +189,45 @@ def raw_users(ev: DataFrame) -> DataFrame:
     )
 
 
-# Points of the made route of one event: point i of 2 + k % 7, in units of 1e-5 degrees.
-def _lat(i: Column) -> Column:
-    return F.lit(4000000) + F.pmod(F.col("cents") * (i + 1) * 31, F.lit(2000)) - 1000
-
-
-def _lng(i: Column) -> Column:
-    return F.lit(-7000000) + F.pmod(F.col("k") * (i + 1) * 37, F.lit(3000)) - 1500
-
-
-def _encoded(value: Column) -> Column:
-    """A number in the line format: sign in the low bit, five bits per character, low bits first."""
-    bits = F.when(value < 0, F.bitwise_not(F.shiftleft(value, 1))).otherwise(F.shiftleft(value, 1))
-    size = F.greatest(F.lit(1), F.ceil(F.length(F.bin(bits)) / 5)).cast("int")
-
-    def character(j: Column) -> Column:
-        five = F.pmod(F.floor(bits / F.pow(F.lit(32.0), j)), F.lit(32))
-        return F.chr((five + F.when(j < size - 1, 32).otherwise(0) + 63).cast("bigint"))
-
-    return F.array_join(F.transform(F.sequence(F.lit(0), size - 1), character), "")
+def _encoded_lines(cents: pa.Array, k: pa.Array) -> pa.Array:
+    """The made route of each event as an encoded line; point i of 2 + k % 7, in 1e-5 degrees.
+
+    lat = 4000000 + (cents * (i + 1) * 31) % 2000 - 1000
+    lng = -7000000 + (k * (i + 1) * 37) % 3000 - 1500
+    """
+    cents, k = np.asarray(cents, dtype=np.int64), np.asarray(k, dtype=np.int64)
+    sizes = k % 7 + 2
+    row = np.repeat(np.arange(len(k)), sizes)
+    i = np.arange(len(row)) - np.repeat(sizes.cumsum() - sizes, sizes)
+    lat = 4000000 + cents[row] * (i + 1) * 31 % 2000 - 1000
+    lng = -7000000 + k[row] * (i + 1) * 37 % 3000 - 1500
+    points = np.stack([lat, lng], axis=1)
+    steps = points - np.where((i > 0)[:, None], np.roll(points, 1, axis=0), 0)
+
+    # Sign in the low bit; then five bits per character, low bits first, 32 on all but the last.
+    numbers = np.where(steps < 0, ~(steps << 1), steps << 1).reshape(-1)
+    rest = numbers[:, None] >> (5 * np.arange(7))
+    used = (rest > 0) | (np.arange(7) == 0)
+    characters = (rest & 31) + 32 * (rest > 31) + 63
+    text = characters[used].astype(np.uint8)
+    lengths = np.bincount(np.repeat(row, 2), weights=used.sum(axis=1), minlength=len(k))
+    offsets = np.concatenate([[0], lengths.cumsum()]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(k), pa.py_buffer(offsets), pa.py_buffer(text))
 
 
 def _line() -> Column:
-    def step(i: Column) -> Column:
-        before_lat = F.when(i > 0, _lat(i - 1)).otherwise(F.lit(0))
-        before_lng = F.when(i > 0, _lng(i - 1)).otherwise(F.lit(0))
-        return F.concat(_encoded(_lat(i) - before_lat), _encoded(_lng(i) - before_lng))
+    @F.arrow_udf("string")
+    def encode(cents: pa.Array, k: pa.Array) -> pa.Array:
+        return _encoded_lines(cents, k)
 
-    places = F.sequence(F.lit(0).cast("bigint"), F.col("k") % 7 + 1)
-    return F.array_join(F.transform(places, step), "")
+    return encode.asNondeterministic()("cents", "k")
 
 
 def raw_runs(ev: DataFrame) -> DataFrame:
     """Every event is a run; signups have no route and errors an empty one."""
     sport = F.when(_is("click"), "TrailRun").when(_is("view"), "VirtualRun").otherwise("Run")
-    line = F.when(_is("signup"), F.lit(None)).when(_is("error"), "").otherwise(_line())
-    return ev.select(
+    line = F.when(_is("signup"), F.lit(None)).when(_is("error"), "").otherwise(F.col("line"))
+    return ev.withColumn("line", _line()).select(
         F.col("event_id").alias("id"),
         F.concat_ws(" ", F.lit("Run"), "event_id").alias("name"),
         sport.alias("sport_type"),

@@ -46,7 +46,40 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[show(f) for f in df.schema])
 
 
-# --- staging ------------------------------------------------------------------------------------
+# --- models over one set of events ----------------------------------------------------------------
+
+
+def _workouts(ev: DataFrame) -> DataFrame:
+    return staging.stg_raw_workouts(derive.raw_workouts(ev))
+
+
+def _users(ev: DataFrame) -> DataFrame:
+    return staging.stg_raw_users(derive.raw_users(ev))
+
+
+def _runs(ev: DataFrame) -> DataFrame:
+    return staging.stg_strava_runs(derive.raw_runs(ev), derive.raw_photos(ev), "user_id")
+
+
+def _daily(ev: DataFrame) -> DataFrame:
+    return int_daily_metrics(
+        staging.stg_raw_cycles(derive.raw_cycles(ev)),
+        staging.stg_raw_recoveries(derive.raw_recoveries(ev)),
+        staging.stg_raw_sleeps(derive.raw_sleeps(ev)),
+    )
+
+
+def _run_recovery(ev: DataFrame) -> DataFrame:
+    return int_run_recovery(_runs(ev), _daily(ev), _workouts(ev), "user_id")
+
+
+def _load(ev: DataFrame) -> DataFrame:
+    return int_training_load(_daily(ev))
+
+
+def _weekly(ev: DataFrame, user_col: str | None) -> DataFrame:
+    runs = _runs(ev).withColumnRenamed("average_heartrate", "run_avg_hr")
+    return fct_weekly_training_summary(_load(ev), runs, user_col)
 
 
 def stg_cycles(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,16 +95,15 @@ def stg_sleeps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stg_workouts(spark: SparkSession, sf: str) -> DataFrame:
-    return staging.stg_raw_workouts(derive.raw_workouts(derive.events(spark, sf)))
+    return _workouts(derive.events(spark, sf))
 
 
 def stg_users(spark: SparkSession, sf: str) -> DataFrame:
-    return staging.stg_raw_users(derive.raw_users(derive.events(spark, sf)))
+    return _users(derive.events(spark, sf))
 
 
 def stg_runs(spark: SparkSession, sf: str) -> DataFrame:
-    ev = derive.events(spark, sf)
-    return staging.stg_strava_runs(derive.raw_runs(ev), derive.raw_photos(ev), "user_id")
+    return _runs(derive.events(spark, sf))
 
 
 def latest_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,44 +111,39 @@ def latest_events(spark: SparkSession, sf: str) -> DataFrame:
     return latest_version(ev, ["user_id", "event_type"], "ts", [F.desc("event_id")])
 
 
-# --- models -------------------------------------------------------------------------------------
-
-
 def daily_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return int_daily_metrics(stg_cycles(spark, sf), stg_recoveries(spark, sf), stg_sleeps(spark, sf))
+    return _daily(derive.events(spark, sf))
 
 
 def run_recovery(spark: SparkSession, sf: str) -> DataFrame:
-    return int_run_recovery(
-        stg_runs(spark, sf), daily_metrics(spark, sf), stg_workouts(spark, sf), "user_id"
-    )
+    return _run_recovery(derive.events(spark, sf))
 
 
 def workout_recovery(spark: SparkSession, sf: str) -> DataFrame:
-    return int_workout_recovery(stg_workouts(spark, sf), daily_metrics(spark, sf), "user_id")
+    ev = derive.events(spark, sf)
+    return int_workout_recovery(_workouts(ev), _daily(ev), "user_id")
 
 
 def training_load(spark: SparkSession, sf: str) -> DataFrame:
-    return int_training_load(daily_metrics(spark, sf))
+    return _load(derive.events(spark, sf))
 
 
 def weekly_summary(spark: SparkSession, sf: str) -> DataFrame:
-    runs = stg_runs(spark, sf).withColumnRenamed("average_heartrate", "run_avg_hr")
-    return fct_weekly_training_summary(training_load(spark, sf), runs, "user_id")
+    return _weekly(derive.events(spark, sf), "user_id")
 
 
 def weekly_summary_all_users(spark: SparkSession, sf: str) -> DataFrame:
     """The join on the week alone: every user sees the runs of all."""
-    runs = stg_runs(spark, sf).withColumnRenamed("average_heartrate", "run_avg_hr")
-    return fct_weekly_training_summary(training_load(spark, sf), runs)
+    return _weekly(derive.events(spark, sf), None)
 
 
 def rolling_trends(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.my_trends(daily_metrics(spark, sf))
+    return marts.my_trends(_daily(derive.events(spark, sf)))
 
 
 def user_lifetime(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.dim_user(daily_metrics(spark, sf), stg_users(spark, sf), NOW)
+    ev = derive.events(spark, sf)
+    return marts.dim_user(_daily(ev), _users(ev), NOW)
 
 
 # --- joins and windows on the plain tables ------------------------------------------------------
@@ -378,10 +405,11 @@ def source_freshness(spark: SparkSession, sf: str) -> DataFrame:
 def quality_checks(spark: SparkSession, sf: str) -> DataFrame:
     """Declared checks of two models, and checks that fail on plain tables."""
     orders = derive.table(spark, sf, "orders").withColumn("o_day", F.to_date("o_orderdate"))
-    workouts = derive.raw_workouts(derive.events(spark, sf))
+    ev = derive.events(spark, sf)
+    workouts = derive.raw_workouts(ev)
     checks = [
-        quality.check_model(daily_metrics(spark, sf), "int_daily_metrics"),
-        quality.check_model(training_load(spark, sf), "int_training_load"),
+        quality.check_model(_daily(ev), "int_daily_metrics"),
+        quality.check_model(_load(ev), "int_training_load"),
         quality.check_unique(orders, ["o_custkey", "o_day"]).withColumn("model", F.lit("orders")),
         quality.check_not_null(workouts, ["id", "sport_name", "score"]).withColumn("model", F.lit("raw_workouts")),
         quality.check_unique(workouts, ["id"]).withColumn("model", F.lit("raw_workouts")),
