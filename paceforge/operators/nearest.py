@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceforge.operators.skew import ROWS_PER_TASK, SLICE, SLICES, slice_groups
+from paceforge.operators.skew import ROWS_PER_TASK, IS_CUT, SLICE, slice_groups
 
 _AT, _IS_LEFT, _LEFT, _RIGHT = "__at", "__is_left", "__left", "__right"
 
@@ -96,7 +96,7 @@ def nearest_match(
 def _edges(line: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per slice of a hot group: the nearest right row in earlier and in later slices."""
     ends = (
-        line.where(F.col(SLICES) > 1)
+        line.where(IS_CUT)
         .groupBy(*keys, SLICE)
         .agg(
             F.max_by(_RIGHT, F.when(F.col(_RIGHT).isNotNull(), F.col(_AT))).alias("__last"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from paceforge.functions.geo import decode_lines, haversine_m
 from paceforge.operators.running import previous_row, running_sum
-from paceforge.operators.skew import ROWS_PER_TASK, SLICE, SLICES, slice_groups
+from paceforge.operators.skew import ROWS_PER_TASK, IS_CUT, SLICE, slice_groups
 
 
 def decoded_routes(runs: DataFrame, key: str = "run_id", line: str = "summary_polyline") -> DataFrame:
@@ -67,7 +67,7 @@ def cumulative_distance(
     step = haversine_m("previous.lat", "previous.lng", "lat", "lng")
     measured = paired.withColumn("segment_m", F.coalesce(step, F.lit(0.0)))
     summed = running_sum(measured, keys, order, "segment_m", "begun_m", "distance_m", "route_m")
-    return summed.drop(SLICE, SLICES)
+    return summed.drop(IS_CUT, SLICE)
 
 
 def position_at(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from paceforge.operators.skew import SLICE, SLICES
+from paceforge.operators.skew import IS_CUT, SLICE
 
 
 def _carry_join(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -34,7 +34,7 @@ def previous_row(
     here = F.struct(*columns)
     local = F.lag(here).over(Window.partitionBy(*keys, SLICE).orderBy(*order))
     ends = (
-        sliced.where(F.col(SLICES) > 1)
+        sliced.where(IS_CUT)
         .groupBy(*keys, SLICE)
         .agg(F.max_by(here, F.struct(*order)).alias("__end"))
     )
@@ -71,7 +71,7 @@ def running_sum(
         summed(in_order.rowsBetween(first, last)).alias(total),
     )
     sums = (
-        local.where(F.col(SLICES) > 1)
+        local.where(IS_CUT)
         .groupBy(*keys, SLICE)
         .agg(F.max_by(after, F.struct(*order)).alias("__slice_sum"))
     )

@@ -21,21 +21,22 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 1_000_000
 MAX_HOT = 4096
 MAX_SPLITS = 4096
+MAX_ROUNDS = 5
 
+PARTS = "__parts"
 SLICE = "__slice"
-SLICES = "__slices"
+IS_CUT = "__is_cut"
 
 
 def _probe(
     df: DataFrame, keys: Sequence[str], rows_per_task: int, extra: Sequence[Column] = ()
 ) -> DataFrame | None:
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *extra)
-    parts = F.least(F.ceil(F.col("__rows") / F.lit(rows_per_task)), F.lit(MAX_SPLITS))
     largest = (
         counted.where(F.col("__rows") > rows_per_task)
         .orderBy(F.desc("__rows"), *keys)
         .limit(MAX_HOT)
-        .withColumn(SLICES, parts.cast("int"))
+        .withColumn(PARTS, F.ceil(F.col("__rows") / F.lit(rows_per_task)).cast("bigint"))
         .drop("__rows")
     )
     rows = largest.collect()
@@ -55,42 +56,39 @@ def slice_groups(
     """Number the consecutive slices of every group along ``position``, in ``SLICE``.
 
     A normal group is one slice, 0. A hot group is cut into equal ranges between its lowest and its
-    highest position, and a range that is still hot is cut once more in the same way, for rows that
-    crowd into a short stretch. Ordered work on the group then becomes work on its slices plus a
-    carry from one slice to the next. ``SLICES`` is above 1 for the rows of hot groups. NULL
-    positions go to the first slice, as ascending order has them in front.
+    highest position, and ranges that are still hot, where rows crowd into a short stretch, are cut
+    again in the same way. Ordered work on the group then becomes work on its slices plus a carry
+    from one slice to the next. ``IS_CUT`` marks the rows of hot groups. NULL positions go to the
+    first slice, as ascending order has them in front.
     """
-    placed = df.withColumn("__place", position.cast("double"))
-    coarse = _cut(placed, placed, keys, rows_per_task, "__coarse", "__coarse_parts")
-    if coarse is None:
-        return df.withColumn(SLICE, F.lit(0)).withColumn(SLICES, F.lit(1))
-    crowded = coarse.where(F.col("__coarse_parts") > 1)
-    fine = _cut(coarse, crowded, [*keys, "__coarse"], rows_per_task, "__fine", "__fine_parts")
-    if fine is None:
-        fine = coarse.withColumn("__fine", F.lit(0))
-    number = F.col("__coarse") * F.lit(MAX_SPLITS) + F.col("__fine")
-    return fine.select(*df.columns, number.alias(SLICE), F.col("__coarse_parts").alias(SLICES))
-
-
-def _cut(
-    df: DataFrame, counted: DataFrame, keys: Sequence[str], rows_per_task: int, out: str, parts: str
-) -> DataFrame | None:
     place = F.col("__place")
-    limits = [F.min(place).alias("__low"), F.max(place).alias("__high")]
-    hot = _probe(counted, keys, rows_per_task, limits)
-    if hot is None:
-        return None
-    hot = hot.select(*[F.col(key).alias(f"__hot_{key}") for key in keys], SLICES, "__low", "__high")
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__hot_{key}")) for key in keys]
-    )
-    share = F.try_divide(place - F.col("__low"), F.col("__high") - F.col("__low"))
-    number = F.least(F.floor(share * F.col(SLICES)), F.col(SLICES) - 1)
-    return df.join(F.broadcast(hot), same_key, "left").select(
-        *df.columns,
-        F.coalesce(number, F.lit(0)).cast("int").alias(out),
-        F.coalesce(F.col(SLICES), F.lit(1)).alias(parts),
-    )
+    sliced = df.select("*", position.cast("double").alias("__place"), F.lit(0).cast("bigint").alias(SLICE))
+    sliced = sliced.withColumn(IS_CUT, F.lit(False))
+    counted = sliced
+    for _ in range(MAX_ROUNDS):
+        limits = [F.min(place).alias("__low"), F.max(place).alias("__high")]
+        hot = _probe(counted, [*keys, SLICE], rows_per_task, limits)
+        if hot is None:
+            break
+        hot = hot.withColumnsRenamed({key: f"__hot_{key}" for key in (*keys, SLICE)})
+        same = reduce(
+            lambda a, b: a & b,
+            [F.col(key).eqNullSafe(F.col(f"__hot_{key}")) for key in (*keys, SLICE)],
+        )
+        # Somewhat finer than the count asks for, since rows are not spread evenly.
+        parts = F.least(F.greatest(F.col(PARTS) * 4, F.lit(16)), F.lit(MAX_SPLITS))
+        share = F.try_divide(place - F.col("__low"), F.col("__high") - F.col("__low"))
+        number = F.least(F.floor(share * parts), parts - 1)
+        within = F.when(share.isNotNull(), number).otherwise(F.lit(0))
+        sliced = sliced.join(F.broadcast(hot), same, "left").select(
+            *df.columns,
+            "__place",
+            (F.col(SLICE) * F.lit(MAX_SPLITS) + within).alias(SLICE),
+            (F.col(IS_CUT) | F.col(PARTS).isNotNull()).alias(IS_CUT),
+            F.col(PARTS).isNotNull().alias("__cut_now"),
+        )
+        counted = sliced.where("__cut_now")
+    return sliced.select(*df.columns, SLICE, IS_CUT)
 
 
 def salted_left_join(
@@ -106,7 +104,7 @@ def salted_left_join(
         return left.join(right, list(on), "left")
     hot = F.broadcast(hot)
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    parts = F.coalesce(F.col(SLICES), F.lit(1))
+    parts = F.coalesce(F.least(F.col(PARTS), F.lit(MAX_SPLITS)), F.lit(1)).cast("int")
     spread = F.when(all_present(on), parts).otherwise(MAX_SPLITS)
     salted = left.join(hot, list(on), "left").select(
         *left.columns, F.pmod(row_hash, spread).cast("int").alias("__salt")
