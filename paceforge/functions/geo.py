@@ -84,3 +84,25 @@ def decode_lines(lines: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
         return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values / POINT_SCALE))
 
     return as_list(lats), as_list(lngs), pa.array(failed)
+
+
+def line_distances(lats: pa.ListArray, lngs: pa.ListArray) -> tuple[pa.ListArray, pa.ListArray]:
+    """Metres from the point before, and from the start, for every point of each line."""
+    starts = np.asarray(lats.offsets)[:-1].astype(np.int64)
+    sizes = np.diff(np.asarray(lats.offsets))
+    phi, lam = np.radians(np.asarray(lats.values)), np.radians(np.asarray(lngs.values))
+    steps = np.zeros(len(phi))
+    if len(phi) > 1:
+        half_dphi, half_dlam = np.diff(phi) / 2, np.diff(lam) / 2
+        chord = np.sin(half_dphi) ** 2 + np.cos(phi[:-1]) * np.cos(phi[1:]) * np.sin(half_dlam) ** 2
+        steps[1:] = 2 * EARTH_RADIUS_M * np.arctan2(np.sqrt(chord), np.sqrt(1 - chord))
+    steps[starts[sizes > 0]] = 0.0
+    totals = steps.cumsum()
+    # The sums go on through the batch; take off what they had reached before each line.
+    reached = np.concatenate([[0.0], totals])[starts]
+    from_start = totals - np.repeat(reached, sizes)
+    offsets = lats.offsets
+    return (
+        pa.ListArray.from_arrays(offsets, pa.array(steps)),
+        pa.ListArray.from_arrays(offsets, pa.array(from_start)),
+    )

@@ -41,7 +41,7 @@ def ewma_load(
     numbered = df.withColumn("__day", number).withColumn("__place", F.pmod(F.col("__day"), F.lit(span)))
     even = F.pmod(F.floor((F.col("__day") - F.col("__place")) / F.lit(span)), F.lit(2)) == 0
     numbered = numbered.withColumn("__even", even)
-    lookback = Window.partitionBy(user).orderBy("__day").rangeBetween(-cap, Window.currentRow)
+    lookback = Window.partitionBy(user).orderBy(day).rangeBetween(-cap, Window.currentRow)
 
     def decayed(tau: float) -> Column:
         scaled = F.col(value) * F.exp(F.col("__place") / F.lit(float(tau)))

@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceforge.operators.skew import ROWS_PER_TASK, IS_CUT, SLICE, slice_groups
+from paceforge.operators.skew import IS_CUT, ROWS_PER_TASK, SLICE, is_sliced, slice_groups
 
-_AT, _IS_LEFT, _LEFT, _RIGHT = "__at", "__is_left", "__left", "__right"
+_AT, _TURN, _LEFT, _RIGHT = "__at", "__turn", "__left", "__right"
 
 
 def nearest_match(
@@ -49,38 +49,30 @@ def nearest_match(
         .agg(F.min_by(payload, F.col(right_key)).alias("__payload"))
         .select(*keys, _AT, F.struct(F.col(_AT).alias("__time"), "__payload").alias(_RIGHT))
     )
-    starts = left.select(*keys, F.col(left_ts).alias(_AT), F.struct(*left.columns).alias(_LEFT))
-    line = starts.withColumn(_IS_LEFT, F.lit(True)).unionByName(
-        instants.withColumn(_IS_LEFT, F.lit(False)), allowMissingColumns=True
+    # At one instant the right row comes first, then the left rows in the order of a hash, so that
+    # even left rows of a single instant can be cut into slices.
+    turn = F.pmod(F.xxhash64(*left.columns), F.lit(1 << 31)) + 1
+    starts = left.select(
+        *keys, F.col(left_ts).alias(_AT), F.struct(*left.columns).alias(_LEFT), turn.alias(_TURN)
     )
-    line = slice_groups(line, keys, F.unix_micros(F.col(_AT)), rows_per_task)
+    line = starts.unionByName(
+        instants.withColumn(_TURN, F.lit(0).cast("bigint")), allowMissingColumns=True
+    )
+    line = slice_groups(line, keys, F.unix_micros(F.col(_AT)), F.col(_TURN), rows_per_task)
 
     # Both passes use a growing frame, each in its own direction: a frame that shrinks towards the
     # end of the partition is evaluated anew for every row.
-    group = Window.partitionBy(*keys, SLICE)
+    group = Window.partitionBy(*keys, SLICE) if is_sliced(line) else Window.partitionBy(*keys)
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    forward = group.orderBy(F.asc(_AT), F.asc(_IS_LEFT)).rowsBetween(*so_far)
-    backward = group.orderBy(F.desc(_AT), F.desc(_IS_LEFT)).rowsBetween(*so_far)
-    neighbours = line.select(
-        *keys,
-        SLICE,
-        _AT,
-        _LEFT,
-        _IS_LEFT,
+    forward = group.orderBy(F.asc(_AT), F.asc(_TURN)).rowsBetween(*so_far)
+    backward = group.orderBy(F.desc(_AT), F.desc(_TURN)).rowsBetween(*so_far)
+    matched = line.select(
+        *[c for c in line.columns if c != _RIGHT],
         F.last(_RIGHT, ignorenulls=True).over(forward).alias("__before"),
         F.last(_RIGHT, ignorenulls=True).over(backward).alias("__after"),
-    ).where(_IS_LEFT)
-
-    edges = _edges(line, keys)
-    same_slice = F.col(SLICE) == F.col("__edge_slice")
-    for key in keys:
-        same_slice = same_slice & (F.col(key) == F.col(f"__edge_{key}"))
-    matched = neighbours.join(edges, same_slice, "left").select(
-        _AT,
-        _LEFT,
-        F.coalesce("__before", "__edge_before").alias("__before"),
-        F.coalesce("__after", "__edge_after").alias("__after"),
-    )
+    ).where(F.col(_TURN) > 0)
+    if is_sliced(line):
+        matched = _with_edges(matched, line, keys)
 
     gap_before = F.unix_micros(F.col(_AT)) - F.unix_micros(F.col("__before.__time"))
     gap_after = F.unix_micros(F.col("__after.__time")) - F.unix_micros(F.col(_AT))
@@ -93,22 +85,29 @@ def nearest_match(
     return picked.select(f"{_LEFT}.*", *[F.col(f"__payload.{out}") for out in columns.values()])
 
 
-def _edges(line: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per slice of a hot group: the nearest right row in earlier and in later slices."""
+def _with_edges(matched: DataFrame, line: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fill in neighbours that lie beyond the slice of a row, from the other slices of its group."""
+    time = F.when(F.col(_RIGHT).isNotNull(), F.col(_AT))
     ends = (
         line.where(IS_CUT)
         .groupBy(*keys, SLICE)
-        .agg(
-            F.max_by(_RIGHT, F.when(F.col(_RIGHT).isNotNull(), F.col(_AT))).alias("__last"),
-            F.min_by(_RIGHT, F.when(F.col(_RIGHT).isNotNull(), F.col(_AT))).alias("__first"),
-        )
+        .agg(F.max_by(_RIGHT, time).alias("__last"), F.min_by(_RIGHT, time).alias("__first"))
     )
     group = Window.partitionBy(*keys)
     earlier = group.orderBy(F.asc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     later = group.orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
-    return ends.select(
+    edges = ends.select(
         *[F.col(key).alias(f"__edge_{key}") for key in keys],
         F.col(SLICE).alias("__edge_slice"),
         F.last("__last", ignorenulls=True).over(earlier).alias("__edge_before"),
         F.last("__first", ignorenulls=True).over(later).alias("__edge_after"),
     )
+    same = F.col(SLICE) == F.col("__edge_slice")
+    for key in keys:
+        same = same & (F.col(key) == F.col(f"__edge_{key}"))
+    return matched.join(edges, same, "left").select(
+        _AT,
+        _LEFT,
+        F.coalesce("__before", "__edge_before").alias("__before"),
+        F.coalesce("__after", "__edge_after").alias("__after"),
+    )

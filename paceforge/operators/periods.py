@@ -86,12 +86,9 @@ def speed_range(runs: DataFrame, speed: str = "speed_mph") -> DataFrame:
 
 def speed_scale(runs: DataFrame, speed: str = "speed_mph", out: str = "speed_position") -> DataFrame:
     """Add the place of each speed between the lowest and the highest, from 0 to 1."""
-    limits = speed_range(runs, speed)
-    low = limits.select("min_speed").scalar()
-    span = limits.select(
-        F.greatest(F.col("max_speed") - F.col("min_speed"), F.lit(SMALLEST_SPAN))
-    ).scalar()
-    place = (F.col(speed) - low) / span
+    limits = speed_range(runs, speed).select(F.struct("min_speed", "max_speed")).scalar()
+    low, high = limits["min_speed"], limits["max_speed"]
+    place = (F.col(speed) - low) / F.greatest(high - low, F.lit(SMALLEST_SPAN))
     clamped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), place))
     return runs.withColumn(out, F.when(F.col(speed).isNotNull(), clamped))
 
@@ -109,15 +106,13 @@ def period_slots(
     Runs follow one another by date, then by their numeric key. Unknown or zero minutes count as
     one.
     """
-    # Place of a run on the number line: its day, plus the place of its key within the day.
-    low_key = runs.agg(F.min(key)).scalar()
-    high_key = runs.agg(F.max(key)).scalar()
-    place = F.unix_date(F.col(date)) + (F.col(key) - low_key) / (high_key - low_key + 1)
     weighed = runs.withColumn(
         "__minutes", F.coalesce(F.nullif(F.col(minutes), F.lit(0.0)), F.lit(1.0))
     )
-    sliced = slice_groups(weighed, keys, place, rows_per_task)
-    summed = running_sum(sliced, keys, [date, key], "__minutes", "__start", "__end", "__total")
+    sliced = slice_groups(weighed, keys, F.unix_date(F.col(date)), F.col(key), rows_per_task)
+    summed = running_sum(
+        sliced, keys, [date, key], "__minutes", "__start", "__end", "__total", "__is_last"
+    )
     return summed.select(
         *runs.columns,
         (F.col("__start") / F.col("__total")).alias("slot_start"),

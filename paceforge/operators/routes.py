@@ -2,30 +2,65 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceforge.functions.geo import decode_lines, haversine_m
+from paceforge.functions.geo import decode_lines, haversine_m, line_distances
 from paceforge.operators.running import previous_row, running_sum
-from paceforge.operators.skew import ROWS_PER_TASK, IS_CUT, SLICE, slice_groups
+from paceforge.operators.skew import IS_CUT, ROWS_PER_TASK, SLICE, slice_groups
 
 
 def decoded_routes(runs: DataFrame, key: str = "run_id", line: str = "summary_polyline") -> DataFrame:
     """Every run that has a line, with its points as arrays and a flag for a bad line."""
+    return _decoded(runs, key, line, {"lats": "array<double>", "lngs": "array<double>"})
+
+
+def measured_routes(runs: DataFrame, key: str = "run_id", line: str = "summary_polyline") -> DataFrame:
+    """One row per point of every run with the distances of ``cumulative_distance``.
+
+    A line is one value, so its distances are found while it is decoded, and no point is shuffled.
+    """
+    arrays = dict.fromkeys(("lats", "lngs", "segments", "distances"), "array<double>")
+    decoded = _decoded(runs, key, line, arrays)
+    at = F.posexplode(F.arrays_zip(*arrays)).alias("point_idx", "at")
+    points = decoded.select(key, at, F.element_at("distances", -1).alias("route_m"), *arrays)
+    before = F.col("point_idx") - 1
+
+    def earlier(name: str) -> Column:
+        return F.get(F.col(name), before)
+
+    return points.where(F.col("at").isNotNull()).select(
+        key,
+        "point_idx",
+        F.col("at.lats").alias("lat"),
+        F.col("at.lngs").alias("lng"),
+        F.when(before >= 0, F.struct(earlier("lats").alias("lat"), earlier("lngs").alias("lng"))).alias("previous"),
+        F.col("at.segments").alias("segment_m"),
+        F.coalesce(earlier("distances"), F.lit(0.0)).alias("begun_m"),
+        F.col("at.distances").alias("distance_m"),
+        "route_m",
+        (F.col("point_idx") == F.size("distances") - 1).alias("is_last"),
+    )
+
+
+def _decoded(runs: DataFrame, key: str, line: str, arrays: Mapping[str, str]) -> DataFrame:
     lined = runs.where(F.col(line).isNotNull() & (F.col(line) != "")).select(key, line)
+    names = [key, *arrays, "failed"]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lats, lngs, failed = decode_lines(batch.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), lats, lngs, failed], names=[key, "lats", "lngs", "failed"]
-            )
+            columns = [lats, lngs]
+            if "distances" in arrays:
+                columns += line_distances(lats, lngs)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, failed], names=names)
 
-    points = "lats array<double>, lngs array<double>, failed boolean"
-    return lined.mapInArrow(decode, f"`{key}` {lined.schema[key].dataType.simpleString()}, {points}")
+    fields = ", ".join(f"{name} {kind}" for name, kind in arrays.items())
+    key_type = lined.schema[key].dataType.simpleString()
+    return lined.mapInArrow(decode, f"`{key}` {key_type}, {fields}, failed boolean")
 
 
 def points_of(decoded: DataFrame, key: str = "run_id") -> DataFrame:
@@ -57,68 +92,81 @@ def cumulative_distance(
 ) -> DataFrame:
     """Add, to every point, its distance from the point before and from the start of the route.
 
-    ``position`` is the numeric place of a point along its route, by default the first order
-    column; only very long routes are cut by it. The result also has the previous point and the
-    length of the whole route.
+    For points that come as rows; ``measured_routes`` does the same for encoded lines. ``position``
+    is the numeric place of a point along its route, by default the first order column, and a second
+    order column is the numeric order among points of one place. Only very long routes are cut by
+    them. The result also has the previous point, the length of the whole route and a mark on its
+    last point.
     """
     place = position if position is not None else F.col(order[0])
-    sliced = slice_groups(points, keys, place, rows_per_task)
+    tie = F.col(order[1]) if len(order) > 1 else None
+    sliced = slice_groups(points, keys, place, tie, rows_per_task)
     paired = previous_row(sliced, keys, order, ["lat", "lng"], "previous")
     step = haversine_m("previous.lat", "previous.lng", "lat", "lng")
     measured = paired.withColumn("segment_m", F.coalesce(step, F.lit(0.0)))
-    summed = running_sum(measured, keys, order, "segment_m", "begun_m", "distance_m", "route_m")
-    return summed.drop(IS_CUT, SLICE)
+    summed = running_sum(
+        measured, keys, order, "segment_m", "begun_m", "distance_m", "route_m", "is_last"
+    )
+    return summed.drop(SLICE, IS_CUT)
 
 
 def position_at(
-    measured: DataFrame,
-    fractions: Sequence[float],
-    keys: Sequence[str] = ("run_id",),
-    order: Sequence[str] = ("point_idx",),
+    measured: DataFrame, fractions: Sequence[float], keys: Sequence[str] = ("run_id",)
 ) -> DataFrame:
     """Position at each fraction of the length of every route, straight within a segment.
 
-    ``measured`` comes from ``cumulative_distance``. Fractions up to 0 give the start and from 1 on
-    the end. Each segment keeps the fractions that fall inside it, its start included, so the work
-    is one pass over the segments and no join. A target that lies in no segment is at the very end
-    of its route; there a last segment without length gives its start.
+    ``measured`` comes from ``measured_routes`` or ``cumulative_distance``. Fractions up to 0 give
+    the start and from 1 on the end. Each segment keeps the fractions that fall inside it, its start
+    included, so the work is one pass over the segments without join or shuffle. A target that lies
+    in no segment is at the very end of its route; there a last segment without length gives its
+    start.
     """
     wanted = F.array(*[F.lit(float(p)) for p in fractions])
-    is_first = F.col("previous").isNull()
+    is_first, is_last = F.col("previous").isNull(), F.col("is_last")
+    here, reached = F.col("distance_m"), F.col("route_m")
 
     def falls_here(p: Column) -> Column:
-        target = p * F.col("route_m")
-        inside = (F.col("begun_m") <= target) & (target < F.col("distance_m"))
-        return F.when(p <= 0, is_first).otherwise((p < 1) & ~is_first & inside)
+        target = p * reached
+        inside = ~is_first & (F.col("begun_m") <= target) & (target < here)
+        at_end = is_last & ((p >= 1) | (target >= here))
+        return F.when(p <= 0, is_first).otherwise(F.when(p < 1, inside).otherwise(False) | at_end)
 
-    moved = F.try_divide(F.col("p") * F.col("route_m") - F.col("begun_m"), F.col("segment_m"))
-    along = F.when(F.col("p") <= 0, F.lit(0.0)).otherwise(moved)
+    p = F.col("p")
+    moved = F.try_divide(p * reached - F.col("begun_m"), F.col("segment_m"))
+    at_place = (p <= 0) | (p >= 1)
 
-    def between(axis: str) -> Column:
+    def placed(axis: str) -> Column:
         start = F.coalesce(F.col(f"previous.{axis}"), F.col(axis))
-        return (start + along * (F.col(axis) - start)).alias(axis)
+        along = start + F.coalesce(moved, F.lit(0.0)) * (F.col(axis) - start)
+        return F.when(at_place, F.col(axis)).otherwise(along).alias(axis)
 
-    inner = measured.withColumn("p", F.explode(F.filter(wanted, falls_here)))
-    on_way = inner.select(*keys, "p", between("lat"), between("lng"))
-
-    ends = measured.groupBy(*keys).agg(
-        F.max_by(F.struct("lat", "lng", "previous", "segment_m"), F.struct(*order)).alias("end"),
-        F.max("route_m").alias("route_m"),
-    )
-    at_end = ends.withColumn("p", F.explode(wanted)).where(
-        (F.col("p") >= 1) | ((F.col("p") > 0) & (F.col("p") * F.col("route_m") >= F.col("route_m")))
+    return measured.withColumn("p", F.explode(F.filter(wanted, falls_here))).select(
+        *keys, "p", placed("lat"), placed("lng")
     )
 
-    def final(axis: str) -> Column:
-        stays = (F.col("p") < 1) & (F.col("end.segment_m") == 0)
-        start = F.coalesce(f"end.previous.{axis}", f"end.{axis}")
-        return F.when(stays, start).otherwise(F.col(f"end.{axis}")).alias(axis)
 
-    return on_way.unionByName(at_end.select(*keys, "p", final("lat"), final("lng")))
+def summarize_decoded(decoded: DataFrame, key: str = "run_id") -> DataFrame:
+    """Start, middle and end point and bounding box of every decoded route, without a shuffle."""
+    n = F.size("lats")
+    places = {"start": F.lit(0), "middle": F.floor(n / 2).cast("int"), "end": n - 1}
+    return decoded.where(n > 0).select(
+        key,
+        n.cast("bigint").alias("n_points"),
+        *[
+            F.get(F.col(f"{axis}s"), at).alias(f"{place}_{axis}")
+            for place, at in places.items()
+            for axis in ("lat", "lng")
+        ],
+        *[
+            pick(f"{axis}s").alias(f"{name}_{axis}")
+            for name, pick in {"min": F.array_min, "max": F.array_max}.items()
+            for axis in ("lat", "lng")
+        ],
+    )
 
 
 def route_summary(points: DataFrame, keys: Sequence[str] = ("run_id",), order: str = "point_idx") -> DataFrame:
-    """Start, middle and end point and bounding box of every route.
+    """The same summary from points that come as rows.
 
     Point numbers are consecutive from 0, so the middle of n points is number n // 2, found by an
     equi-join on route and number.

@@ -1,8 +1,8 @@
 """Running totals and previous rows over groups of any size.
 
-Normal groups are one window partition each. A hot group is sliced along its order
-(``slice_groups``); each slice is its own window partition, and what a slice needs from the earlier
-ones comes from a small table with one row per slice.
+Plain groups are one window partition each. Where ``slice_groups`` has cut hot groups, each slice is
+its own window partition, and what a slice needs from the others comes from a small table with one
+row per slice.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from paceforge.operators.skew import IS_CUT, SLICE
+from paceforge.operators.skew import IS_CUT, SLICE, is_sliced
 
 
 def _carry_join(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -27,49 +27,63 @@ def _carry_keys(keys: Sequence[str]) -> list[Column]:
     return [F.col(key).alias(f"__carry_{key}") for key in keys] + [F.col(SLICE).alias("__carry_slice")]
 
 
+def _within(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
+    parts = [*keys, SLICE] if is_sliced(df) else keys
+    return Window.partitionBy(*parts).orderBy(*order)
+
+
 def previous_row(
-    sliced: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], out: str
 ) -> DataFrame:
     """Add the struct ``out`` of ``columns`` of the previous row of the group, NULL on the first."""
     here = F.struct(*columns)
-    local = F.lag(here).over(Window.partitionBy(*keys, SLICE).orderBy(*order))
+    local = df.withColumn(out, F.lag(here).over(_within(df, keys, order)))
+    if not is_sliced(df):
+        return local
     ends = (
-        sliced.where(IS_CUT)
+        df.where(IS_CUT)
         .groupBy(*keys, SLICE)
         .agg(F.max_by(here, F.struct(*order)).alias("__end"))
     )
     carried = F.lag("__end").over(Window.partitionBy(*keys).orderBy(SLICE))
     carry = ends.select(*_carry_keys(keys), carried.alias("__carried"))
-    joined = _carry_join(sliced.withColumn(out, local), carry, keys)
-    return joined.withColumn(out, F.coalesce(out, "__carried")).drop("__carried")
+    return (
+        _carry_join(local, carry, keys)
+        .withColumn(out, F.coalesce(out, "__carried"))
+        .drop("__carried")
+    )
 
 
 def running_sum(
-    sliced: DataFrame,
+    df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
     before: str,
     after: str,
     total: str,
+    is_last: str,
 ) -> DataFrame:
     """Add the sum of ``value`` ahead of each row, with the row, and over the whole group.
 
     Every sum adds up in row order, also from slice to slice, so that ``before`` of a row is bit for
-    bit ``after`` of the row in front of it.
+    bit ``after`` of the row in front of it. ``is_last`` marks the last row of each group.
     """
-    in_order = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    in_order = _within(df, keys, order)
     first, last = Window.unboundedPreceding, Window.unboundedFollowing
 
     def summed(frame: WindowSpec, name: str = value) -> Column:
         return F.coalesce(F.sum(name).over(frame), F.lit(0.0))
 
-    local = sliced.select(
+    local = df.select(
         "*",
         summed(in_order.rowsBetween(first, -1)).alias(before),
         summed(in_order.rowsBetween(first, 0)).alias(after),
         summed(in_order.rowsBetween(first, last)).alias(total),
+        F.lead(F.lit(True)).over(in_order).isNull().alias(is_last),
     )
+    if not is_sliced(df):
+        return local
     sums = (
         local.where(IS_CUT)
         .groupBy(*keys, SLICE)
@@ -80,6 +94,7 @@ def running_sum(
         *_carry_keys(keys),
         summed(by_slice.rowsBetween(first, -1), "__slice_sum").alias("__earlier"),
         summed(by_slice.rowsBetween(first, last), "__slice_sum").alias("__whole"),
+        F.lead(F.lit(True)).over(by_slice).alias("__more"),
     )
     earlier = F.coalesce(F.col("__earlier"), F.lit(0.0))
     return (
@@ -87,5 +102,6 @@ def running_sum(
         .withColumn(before, F.col(before) + earlier)
         .withColumn(after, F.col(after) + earlier)
         .withColumn(total, F.coalesce("__whole", total))
-        .drop("__earlier", "__whole")
+        .withColumn(is_last, F.col(is_last) & F.col("__more").isNull())
+        .drop("__earlier", "__whole", "__more")
     )

@@ -51,25 +51,44 @@ def hot_keys(
 
 
 def slice_groups(
-    df: DataFrame, keys: Sequence[str], position: Column, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame,
+    keys: Sequence[str],
+    position: Column,
+    tie: Column | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Number the consecutive slices of every group along ``position``, in ``SLICE``.
+    """Number the consecutive slices of every hot group along ``position``, in ``SLICE``.
 
-    A normal group is one slice, 0. A hot group is cut into equal ranges between its lowest and its
-    highest position, and ranges that are still hot, where rows crowd into a short stretch, are cut
-    again in the same way. Ordered work on the group then becomes work on its slices plus a carry
-    from one slice to the next. ``IS_CUT`` marks the rows of hot groups. NULL positions go to the
-    first slice, as ascending order has them in front.
+    A hot group is cut into equal ranges between its lowest and its highest position, and ranges
+    that are still hot, where rows crowd into a short stretch, are cut again in the same way. Rows
+    that all share one position are cut by ``tie``, the numeric order among them. Ordered work on
+    the group then becomes work on its slices plus a carry from one slice to the next. NULL
+    positions go to the first slice, as ascending order has them in front.
+
+    Groups that need no cut are slice 0, and ``IS_CUT`` tells them from the others. If there is
+    nothing to cut at all, the result is ``df`` itself, and plain windows will do.
     """
-    place = F.col("__place")
-    sliced = df.select("*", position.cast("double").alias("__place"), F.lit(0).cast("bigint").alias(SLICE))
-    sliced = sliced.withColumn(IS_CUT, F.lit(False))
-    counted = sliced
-    for _ in range(MAX_ROUNDS):
-        limits = [F.min(place).alias("__low"), F.max(place).alias("__high")]
+    place, second = F.col("__place"), F.col("__tie")
+    tie = F.lit(0) if tie is None else tie
+    sliced = df.select(
+        "*",
+        position.cast("double").alias("__place"),
+        tie.cast("double").alias("__tie"),
+        F.lit(0).cast("bigint").alias(SLICE),
+        F.lit(False).alias(IS_CUT),
+    )
+    limits = [
+        F.min(place).alias("__low"),
+        F.max(place).alias("__high"),
+        F.min(second).alias("__low_tie"),
+        F.max(second).alias("__high_tie"),
+    ]
+    counted, rounds = sliced, 0
+    while rounds < MAX_ROUNDS:
         hot = _probe(counted, [*keys, SLICE], rows_per_task, limits)
         if hot is None:
             break
+        rounds += 1
         hot = hot.withColumnsRenamed({key: f"__hot_{key}" for key in (*keys, SLICE)})
         same = reduce(
             lambda a, b: a & b,
@@ -77,18 +96,27 @@ def slice_groups(
         )
         # Somewhat finer than the count asks for, since rows are not spread evenly.
         parts = F.least(F.greatest(F.col(PARTS) * 4, F.lit(16)), F.lit(MAX_SPLITS))
-        share = F.try_divide(place - F.col("__low"), F.col("__high") - F.col("__low"))
+        share = F.when(
+            F.col("__low") < F.col("__high"), (place - F.col("__low")) / (F.col("__high") - F.col("__low"))
+        ).otherwise(
+            F.try_divide(second - F.col("__low_tie"), F.col("__high_tie") - F.col("__low_tie"))
+        )
         number = F.least(F.floor(share * parts), parts - 1)
         within = F.when(share.isNotNull(), number).otherwise(F.lit(0))
         sliced = sliced.join(F.broadcast(hot), same, "left").select(
             *df.columns,
             "__place",
+            "__tie",
             (F.col(SLICE) * F.lit(MAX_SPLITS) + within).alias(SLICE),
             (F.col(IS_CUT) | F.col(PARTS).isNotNull()).alias(IS_CUT),
             F.col(PARTS).isNotNull().alias("__cut_now"),
         )
         counted = sliced.where("__cut_now")
-    return sliced.select(*df.columns, SLICE, IS_CUT)
+    return sliced.select(*df.columns, SLICE, IS_CUT) if rounds else df
+
+
+def is_sliced(df: DataFrame) -> bool:
+    return SLICE in df.columns
 
 
 def salted_left_join(

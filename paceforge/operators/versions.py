@@ -16,23 +16,25 @@ _RANK = "__rank"
 
 
 def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """First row of every key in the given order; ties fall to a hash of the whole row.
-
-    The reference orders by one column only, which leaves ties to chance. A tie here gives the same
-    row on every run.
-    """
-    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*df.columns))
+    """First row of every key in the given order, which should leave no ties."""
+    window = Window.partitionBy(*keys).orderBy(*order)
     ranked = df.withColumn(_RANK, F.row_number().over(window))
     return ranked.where(F.col(_RANK) == 1).drop(_RANK)
 
 
 def latest_version(
-    df: DataFrame, keys: Sequence[str], order: str = "loaded_at", tiebreak: Sequence[Column] = ()
+    df: DataFrame, keys: Sequence[str], order: str = "loaded_at", tiebreak: Sequence[Column] | None = None
 ) -> DataFrame:
-    """Most recently loaded row of every key; a NULL load time is the oldest."""
-    return best_row(df, keys, [F.col(order).desc_nulls_last(), *tiebreak])
+    """Most recently loaded row of every key; a NULL load time is the oldest.
+
+    The reference leaves rows of one key and load time to chance. Here a tie falls to a hash of the
+    whole row, the same on every run and in every branch of a plan. That reads all columns; where
+    other columns settle the order, give them as ``tiebreak`` instead.
+    """
+    ties = [F.xxhash64(*df.columns)] if tiebreak is None else tiebreak
+    return best_row(df, keys, [F.col(order).desc_nulls_last(), *ties])
 
 
 def longest_sleep(sleeps: DataFrame, key: str = "cycle_id", hours: str = "in_bed_hours") -> DataFrame:
-    """Longest sleep of every cycle; unknown hours count as zero."""
+    """Longest sleep of every cycle, unknown hours as zero; ties to the lowest ``sleep_id``."""
     return best_row(sleeps, [key], [F.coalesce(F.col(hours), F.lit(0.0)).desc(), F.col("sleep_id")])

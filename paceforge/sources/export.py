@@ -79,20 +79,24 @@ def json_document(
     sort_names = [f"__sort_{i}" for i in range(len(order))]
 
     # Commas stand in front of all rows but the first, which is found by its place in the order.
-    first = lines.agg(F.min(F.struct(*sort_names, "__row"))).scalar()
-    is_first = F.struct(*sort_names, "__row") == first
+    facts = lines.agg(
+        F.min(F.struct(*sort_names, "__row")).alias("first"), F.count(F.lit(1)).alias("rows")
+    )
+    known = facts.select(F.struct("first", "rows")).scalar()
+    is_first = F.struct(*sort_names, "__row") == known["first"]
     body = lines.select(
         F.lit(1).alias("__part"),
         *sort_names,
         F.concat(F.when(is_first, " ").otherwise(","), "__row").alias("value"),
     )
-    head = {"generated_at": F.lit(stamp.isoformat()), count_name: F.count(F.lit(1))}
+    head = {"generated_at": F.lit(stamp.isoformat()), count_name: known["rows"]}
     if description is not None:
         head["description"] = F.lit(description)
     opened = F.to_json(F.struct(*[c.alias(name) for name, c in head.items()]))
-    ends = df.agg(
+    ends = df.sparkSession.range(1).select(
         F.regexp_replace(opened, r"\}$", f',"{rows_name}":[').alias("open"), F.lit("]}").alias("close")
-    ).select(F.inline(F.array(_line(0, "open"), _line(2, "close"))))
+    )
+    ends = ends.select(F.inline(F.array(_line(0, "open"), _line(2, "close"))))
     return (
         body.unionByName(ends, allowMissingColumns=True)
         .orderBy("__part", *sort_names, "value")

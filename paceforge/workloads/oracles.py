@@ -682,3 +682,5 @@ ORACLES: dict[str, str] = {
         " CAST(user_id AS VARCHAR) AS user_id, CAST(load_spike_flag AS VARCHAR) AS load_spike_flag) FROM weekly",
     ),
 }
+ORACLES["route_point_lengths"] = ORACLES["route_lengths"]
+ORACLES["route_point_summary"] = ORACLES["route_summary"]

@@ -474,8 +474,12 @@ def runs_of_a_week(spark: SparkSession, sf: str) -> DataFrame:
 # --- routes -------------------------------------------------------------------------------------
 
 
+def _lined(spark: SparkSession, sf: str) -> DataFrame:
+    return derive.raw_runs(derive.events(spark, sf)).withColumnRenamed("id", "run_id")
+
+
 def _route_points(spark: SparkSession, sf: str) -> DataFrame:
-    return routes.route_points(derive.raw_runs(derive.events(spark, sf)).withColumnRenamed("id", "run_id"))
+    return routes.route_points(_lined(spark, sf))
 
 
 def polyline_decode(spark: SparkSession, sf: str) -> DataFrame:
@@ -484,15 +488,26 @@ def polyline_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 def route_failures(spark: SparkSession, sf: str) -> DataFrame:
     """Decoded and skipped lines, with every line of an event with an odd count cut by one."""
-    runs = derive.raw_runs(derive.events(spark, sf)).withColumnRenamed("id", "run_id")
     line = F.col("summary_polyline")
-    cut = F.when(F.col("moving_time_sec") % 120 == 60, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
-    return routes.decode_failures(routes.decoded_routes(runs.withColumn("summary_polyline", cut)))
+    shorter = F.substring(line, F.lit(1), F.length(line) - 1)
+    cut = F.when(F.col("moving_time_sec") % 120 == 60, shorter).otherwise(line)
+    runs = _lined(spark, sf).withColumn("summary_polyline", cut)
+    return routes.decode_failures(routes.decoded_routes(runs))
+
+
+def _lengths(measured: DataFrame) -> DataFrame:
+    shown = [u.settled_round(F.col(c), 3).alias(c) for c in ("segment_m", "distance_m")]
+    return measured.select("run_id", "point_idx", *shown)
 
 
 def route_lengths(spark: SparkSession, sf: str) -> DataFrame:
-    measured = routes.cumulative_distance(_route_points(spark, sf))
-    return measured.select("run_id", "point_idx", *[u.settled_round(F.col(c), 3).alias(c) for c in ("segment_m", "distance_m")])
+    """Distances found while the lines are decoded."""
+    return _lengths(routes.measured_routes(_lined(spark, sf)))
+
+
+def route_point_lengths(spark: SparkSession, sf: str) -> DataFrame:
+    """The same distances from points as rows."""
+    return _lengths(routes.cumulative_distance(_route_points(spark, sf)))
 
 
 def user_tracks(spark: SparkSession, sf: str) -> DataFrame:
@@ -514,11 +529,16 @@ FRACTIONS = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
 
 
 def route_positions(spark: SparkSession, sf: str) -> DataFrame:
-    at = routes.position_at(routes.cumulative_distance(_route_points(spark, sf)), FRACTIONS)
+    at = routes.position_at(routes.measured_routes(_lined(spark, sf)), FRACTIONS)
     return at.select("run_id", "p", *[u.settled_round(F.col(c), 6).alias(c) for c in ("lat", "lng")])
 
 
 def route_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return routes.summarize_decoded(routes.decoded_routes(_lined(spark, sf)))
+
+
+def route_point_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The same summary from points as rows."""
     return routes.route_summary(_route_points(spark, sf))
 
 
@@ -601,9 +621,11 @@ _ALL: tuple[Query, ...] = (
     polyline_decode,
     route_failures,
     route_lengths,
+    route_point_lengths,
     user_tracks,
     route_positions,
     route_summary,
+    route_point_summary,
     route_bounds,
     route_centroid,
     export_runs,

@@ -74,6 +74,13 @@ def test_unknown_positions_come_first(spark):
     assert sliced.where("x is null").select(F.max(SLICE)).first()[0] == sliced.select(F.min(SLICE)).first()[0]
 
 
+def test_one_position_is_cut_by_the_tie(spark):
+    df = spark.range(1000).select(F.lit(1).alias("g"), F.lit(5).alias("x"), "id")
+    sizes = slice_groups(df, ["g"], F.col("x"), F.col("id"), rows_per_task=50).groupBy(SLICE).count()
+    assert max(r["count"] for r in sizes.collect()) <= 50
+    assert slice_groups(df, ["g"], F.col("x"), rows_per_task=2000) is df
+
+
 def moments(rng, n, spread):
     start = datetime(2024, 6, 1)
     return [start + timedelta(seconds=rng.randrange(spread), microseconds=rng.randrange(3)) for _ in range(n)]

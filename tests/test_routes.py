@@ -109,6 +109,24 @@ def test_distances_and_positions(spark, rows_per_task):
         assert (lat, lng) == pytest.approx(position(made[run], p), abs=1e-9), (run, p)
 
 
+def test_measured_lines_equal_measured_points(spark):
+    lines = {1: SAMPLE, 2: "_p~iF~ps|U", 3: SAMPLE[:-1], 4: SAMPLE + "????", 5: None}
+    runs = spark.createDataFrame(list(lines.items()), "run_id long, summary_polyline string")
+    fast = routes.measured_routes(runs).cache()
+    slow = routes.cumulative_distance(routes.route_points(runs)).select(*fast.columns)
+    a, b = rows(fast, "run_id", "point_idx"), rows(slow, "run_id", "point_idx")
+    assert len(a) == len(b) == 9
+    for x, y in zip(a, b):
+        assert (x[:5], x[9]) == (y[:5], y[9])
+        assert x[5:9] == pytest.approx(y[5:9], abs=1e-6)
+    fractions = [0.0, 0.3, 0.5, 0.99999, 1.0]
+    for run, p, lat, lng in rows(routes.position_at(fast, fractions)):
+        found = SAMPLE_POINTS[:1] if run == 2 else SAMPLE_POINTS + SAMPLE_POINTS[-1:] * 2 * (run == 4)
+        assert (lat, lng) == pytest.approx(position(found, p), abs=1e-9)
+    decoded = routes.decoded_routes(runs)
+    assert rows(routes.summarize_decoded(decoded)) == rows(routes.route_summary(routes.points_of(decoded)))
+
+
 def test_summary_bounds_and_centroid(spark):
     made = made_routes()
     points = spark.createDataFrame(
