@@ -25,37 +25,66 @@ def ewma_load(
 ) -> DataFrame:
     """Add, for each time constant T, the sum of ``value * (1 - a) * a^age`` with a = exp(-1/T).
 
-    The sum runs over the days up to the current one, at most ``cap`` days back. A plain window sum
-    cannot use the age, which depends on the current row. Time is therefore cut in blocks of
-    ``cap + 1`` days and each value is scaled by its own place in its block. Any look-back touches
-    two blocks at most, the current and the one before, so two sums (of even and of odd blocks) and
-    one scaling of each give the result. Every term is positive and no larger than
-    exp(cap / T) times its value: nothing cancels, nothing overflows, and no array is built.
+    ``day`` is a date or the number of a day. The sum runs over the days up to the current one, at
+    most ``cap`` days back. Summing every look-back anew costs ``cap`` steps per row; this takes a
+    few steps per row, whatever the cap.
+
+    Time is cut in blocks of ``cap + 1`` days, and each value is scaled by exp(place / T) with its
+    place in its block, so that one running sum per block serves all its days. A look-back that ends
+    in a block starts in the block before, and lacks of it just the days up to the same place: it is
+    the running sum here, plus the whole sum of the block before, less the running sum there at the
+    last day that is too old. All three are faded to the current day. Scaled values stay below
+    exp(cap / T) times the value, and what the difference cancels has faded by that factor, so the
+    error stays at the last bits of the largest value. An array of the look-back is never built.
     """
     taus = taus or {"ctl": CTL_DAYS, "atl": ATL_DAYS}
     span = cap + 1
     if any(2 * span / tau > 700 for tau in taus.values()):
         raise ValueError("look-back too long for the time constant")
 
-    number = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
-    numbered = df.withColumn("__day", number).withColumn("__place", F.pmod(F.col("__day"), F.lit(span)))
-    even = F.pmod(F.floor((F.col("__day") - F.col("__place")) / F.lit(span)), F.lit(2)) == 0
-    numbered = numbered.withColumn("__even", even)
-    lookback = Window.partitionBy(user).orderBy(day).rangeBetween(-cap, Window.currentRow)
-
-    def decayed(tau: float) -> Column:
-        scaled = F.col(value) * F.exp(F.col("__place") / F.lit(float(tau)))
-        evens = F.sum(F.when(F.col("__even"), scaled)).over(lookback)
-        odds = F.sum(F.when(~F.col("__even"), scaled)).over(lookback)
-        current = F.when(F.col("__even"), evens).otherwise(odds)
-        earlier = F.when(F.col("__even"), odds).otherwise(evens)
-        fade = F.exp(-F.col("__place") / F.lit(float(tau)))
-        carried = F.coalesce(earlier, F.lit(0.0)) * F.lit(math.exp(-span / tau))
-        found = current.isNotNull() | earlier.isNotNull()
-        total = (F.coalesce(current, F.lit(0.0)) + carried) * fade * F.lit(1.0 - math.exp(-1.0 / tau))
-        return F.when(F.col(user).isNotNull() & found, total)
-
-    sums = {name: decayed(tau) for name, tau in taus.items()}
-    if digits is not None:
-        sums = {name: F.round(total, digits) for name, total in sums.items()}
-    return numbered.select(*df.columns, *[total.alias(name) for name, total in sums.items()])
+    numbered, number = df, day
+    if dict(df.dtypes)[day] == "date":
+        numbered, number = df.withColumn("__number", F.unix_date(F.col(day))), "__number"
+    place = F.pmod(F.col(number), F.lit(span))
+    numbered = numbered.withColumn("__block", F.floor(F.col(number) / F.lit(span)))
+
+    # The first window is per user, and so are the rows of all later ones: one shuffle serves them.
+    # Blocks follow the days, so these windows also share one sort.
+    by_user = Window.partitionBy(user).orderBy("__block", number)
+    in_block = Window.partitionBy(user, "__block").orderBy(number)
+    so_far = in_block.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = {
+        name: F.sum(F.col(value) * F.exp(place / F.lit(float(tau)))).over(so_far)
+        for name, tau in taus.items()
+    }
+    running = F.struct(
+        F.col("__block").alias("block"),
+        F.count(value).over(so_far).alias("days"),
+        *[F.coalesce(total, F.lit(0.0)).alias(name) for name, total in sums.items()],
+    )
+    opens_block = F.col("__block_before") < F.col("__block")
+    blocked = (
+        numbered.withColumn("__block_before", F.lag("__block").over(by_user))
+        .withColumn("__here", running)
+        .withColumn("__opened", F.when(opens_block, F.lag("__here").over(by_user)))
+        .withColumn("__whole", F.first("__opened", ignorenulls=True).over(so_far))
+    )
+    too_old = Window.partitionBy(user).orderBy(number).rangeBetween(Window.unboundedPreceding, -span)
+    aged = blocked.withColumn("__old", F.last("__here").over(too_old))
+
+    def earlier(field: str) -> Column:
+        """What the look-back takes from the block before."""
+        is_next = F.col("__whole.block") == F.col("__block") - 1
+        is_cut = F.col("__old.block") == F.col("__block") - 1
+        cut = F.when(is_cut, F.col(f"__old.{field}")).otherwise(F.lit(0))
+        return F.when(is_next, F.col(f"__whole.{field}") - cut).otherwise(F.lit(0))
+
+    found = F.col("__here.days") + earlier("days") > 0
+
+    def decayed(name: str, tau: float) -> Column:
+        here = F.col(f"__here.{name}") + earlier(name) * F.lit(math.exp(-span / tau))
+        faded = here * F.exp(-place / F.lit(float(tau))) * F.lit(1.0 - math.exp(-1.0 / tau))
+        known = F.when(F.col(user).isNotNull() & found, faded)
+        return known if digits is None else F.round(known, digits)
+
+    return aged.select(*df.columns, *[decayed(name, tau).alias(name) for name, tau in taus.items()])

@@ -11,6 +11,7 @@ from paceforge.operators.aggregates import weekly_load, weekly_runs
 from paceforge.operators.load import ewma_load
 
 
+_DAY = "__day"
 _LOAD_COLUMNS = (
     "cycle_date",
     "user_id",
@@ -32,19 +33,21 @@ def int_training_load(daily: DataFrame, unique_days: bool = True) -> DataFrame:
     loads = daily.where(F.col("cycle_date").isNotNull()).withColumn(
         "daily_tss", labels.daily_load("strain_score")
     )
+    # All windows go by the number of the day, which the look-back needs, and so share one sort.
+    loads = loads.select(*_LOAD_COLUMNS, F.unix_date("cycle_date").alias(_DAY))
     if unique_days:
-        window = rolling.by_day()
-        repeated = F.lag("cycle_date").over(window) == F.col("cycle_date")
+        window = rolling.by_day(day=_DAY)
+        repeated = F.lag(_DAY).over(window) == F.col(_DAY)
         failure = F.raise_error(F.lit("two rows for one user and day; see check_unique"))
         day = F.when(repeated, failure.cast("date")).otherwise(F.col("cycle_date"))
-        weighted = ewma_load(loads.select(*_LOAD_COLUMNS), "daily_tss")
+        weighted = ewma_load(loads, "daily_tss", day=_DAY)
     else:
         rest = [c for c in _LOAD_COLUMNS if c not in ("user_id", "cycle_date")]
-        window = Window.partitionBy("user_id").orderBy("cycle_date", *rest)
+        window = Window.partitionBy("user_id").orderBy(_DAY, *rest)
         day = F.col("cycle_date")
-        counted = loads.groupBy(*_LOAD_COLUMNS).agg(F.count(F.lit(1)).alias("__times"))
+        counted = loads.groupBy(*_LOAD_COLUMNS, _DAY).agg(F.count(F.lit(1)).alias("__times"))
         counted = counted.withColumn("__load", F.col("daily_tss") * F.col("__times"))
-        weighted = ewma_load(counted, "__load", digits=None)
+        weighted = ewma_load(counted, "__load", day=_DAY, digits=None)
         for name in ("ctl", "atl"):
             weighted = weighted.withColumn(name, F.round(F.col(name) * F.col("__times"), 1))
     return weighted.select(

@@ -141,7 +141,7 @@ def test_window_load_equals_self_join(spark):
     for a, b in zip(ours, theirs):
         assert a[:3] == b[:3]
         assert [x is None for x in a] == [x is None for x in b]
-        assert [x or 0.0 for x in a[3:]] == pytest.approx([x or 0.0 for x in b[3:]], rel=1e-12), a
+        assert [x or 0.0 for x in a[3:]] == pytest.approx([x or 0.0 for x in b[3:]], rel=1e-12, abs=1e-12), a
 
 
 def test_lookback_ends_after_180_days(spark):
