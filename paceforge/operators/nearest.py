@@ -22,6 +22,7 @@ def nearest_match(
     columns: Mapping[str, str],
     pred: Column | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    may_be_hot: bool = True,
 ) -> DataFrame:
     """Give every left row the right row of the same ``on`` group that is nearest in time.
 
@@ -34,7 +35,8 @@ def nearest_match(
     first one after it. So no pair is ever joined. Both sides go on one time line per group, and
     two window passes carry the neighbours along; right rows of one instant are reduced to one
     before the shuffle. A hot group is cut into time slices, and the neighbours beyond a slice come
-    from the first and last right row of the other slices.
+    from the first and last right row of the other slices. Where a probe has already found no hot
+    group, ``may_be_hot=False`` spares another one.
     """
     keys = list(on)
     matchable = right.where(pred) if pred is not None else right
@@ -58,7 +60,8 @@ def nearest_match(
     line = starts.unionByName(
         instants.withColumn(_TURN, F.lit(0).cast("bigint")), allowMissingColumns=True
     )
-    line = slice_groups(line, keys, F.unix_micros(F.col(_AT)), F.col(_TURN), rows_per_task)
+    if may_be_hot:
+        line = slice_groups(line, keys, F.unix_micros(F.col(_AT)), F.col(_TURN), rows_per_task)
 
     # Both passes use a growing frame, each in its own direction: a frame that shrinks towards the
     # end of the partition is evaluated anew for every row.

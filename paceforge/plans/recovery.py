@@ -80,7 +80,10 @@ def int_run_recovery(
     intense = workouts.withColumnRenamed("workout_date", "run_date").withColumn(
         "high_intensity_min", labels.high_intensity_min("zone_3_min", "zone_4_min", "zone_5_min")
     )
-    # The match comes first, on the runs alone, and both days after it share one list of hot days.
+    # One probe over both sides of the match serves the match and both joins on the day. The match
+    # comes first, on the runs alone.
+    both = run.select("run_date", *users).unionByName(intense.select("run_date", *users))
+    hot = hot_days(both, "run_date", user_col, rows_per_task)
     matched = nearest_match(
         run,
         intense,
@@ -91,8 +94,8 @@ def int_run_recovery(
         columns=workout,
         pred=labels.is_running_sport("sport_name"),
         rows_per_task=rows_per_task,
+        may_be_hot=hot is not None,
     )
-    hot = hot_days(run, "run_date", user_col, rows_per_task)
     with_day = attach_day(matched, daily, SAME_DAY, "run_date", user_col=user_col, hot=hot)
     with_next = attach_day(with_day, daily, NEXT_DAY, "run_date", offset=1, user_col=user_col, hot=hot)
     minutes = f"{match_prefix}high_intensity_min"

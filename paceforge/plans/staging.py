@@ -12,6 +12,22 @@ from paceforge.operators.joins import attach_one
 from paceforge.operators.versions import latest_version
 
 
+# Versions of a record that were loaded at one instant are told apart by these columns: those that
+# later models join and filter on, and the main value. A scored version goes before an unscored one.
+_TIES = {
+    "cycles": ("strain_score", "score_state", "cycle_start", "cycle_end"),
+    "recoveries": ("updated_at", "recovery_score", "score_state"),
+    "sleeps": ("in_bed_hours", "sleep_performance_pct", "sleep_end", "cycle_id", "is_nap"),
+    "workouts": ("strain_score", "workout_start", "sport_name"),
+    "runs": ("run_start", "distance_meter", "moving_time_sec", "average_speed_ms"),
+}
+
+
+def _latest(df: DataFrame, key: str, kind: str) -> DataFrame:
+    """Latest version; unlike a hash of the whole row, the ties leave other columns unread."""
+    return latest_version(df, [key], tiebreak=[F.col(c).desc_nulls_last() for c in _TIES[kind]])
+
+
 def unpack(df: DataFrame, columns: Mapping[str, str | Column]) -> DataFrame:
     """Select nested fields and expressions under flat names, given as name to field."""
     return df.select(*[u.column(source).alias(name) for name, source in columns.items()])
@@ -35,7 +51,7 @@ def stg_raw_cycles(raw: DataFrame) -> DataFrame:
             "cycle_date": u.utc_date("start"),
         },
     )
-    return latest_version(flat, ["cycle_id"])
+    return _latest(flat, "cycle_id", "cycles")
 
 
 def stg_raw_recoveries(raw: DataFrame) -> DataFrame:
@@ -58,7 +74,7 @@ def stg_raw_recoveries(raw: DataFrame) -> DataFrame:
             "recovery_date": u.utc_date("created_at"),
         },
     )
-    return latest_version(flat, ["cycle_id"])
+    return _latest(flat, "cycle_id", "recoveries")
 
 
 def stg_raw_sleeps(raw: DataFrame) -> DataFrame:
@@ -94,7 +110,7 @@ def stg_raw_sleeps(raw: DataFrame) -> DataFrame:
             "sleep_date": u.utc_date("end"),
         },
     )
-    return latest_version(flat, ["sleep_id"])
+    return _latest(flat, "sleep_id", "sleeps")
 
 
 def stg_raw_workouts(raw: DataFrame) -> DataFrame:
@@ -127,7 +143,7 @@ def stg_raw_workouts(raw: DataFrame) -> DataFrame:
             "workout_date": u.utc_date("start"),
         },
     )
-    return latest_version(flat, ["workout_id"])
+    return _latest(flat, "workout_id", "workouts")
 
 
 def stg_raw_users(raw: DataFrame) -> DataFrame:
@@ -169,4 +185,4 @@ def stg_strava_runs(raw_runs: DataFrame, raw_photos: DataFrame, user_col: str |
     named = raw_runs.withColumnsRenamed({"id": "run_id", "name": "run_name", "start_date": "run_start"})
     dated = derive_run_units(named.withColumn("run_date", u.utc_date("run_start")))
     users = [user_col] if user_col else []
-    return attach_photos(latest_version(dated.select(*_RUN_COLUMNS, *users), ["run_id"]), raw_photos)
+    return attach_photos(_latest(dated.select(*_RUN_COLUMNS, *users), "run_id", "runs"), raw_photos)
