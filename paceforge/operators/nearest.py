@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paceforge.operators.skew import IS_CUT, ROWS_PER_TASK, SLICE, is_sliced, slice_groups
 
-_AT, _TURN, _LEFT, _RIGHT = "__at", "__turn", "__left", "__right"
+_AT, _TURN, _IS_LEFT, _LEFT, _RIGHT = "__at", "__turn", "__is_left", "__left", "__right"
 
 
 def nearest_match(
@@ -56,10 +56,9 @@ def nearest_match(
     turn = F.pmod(F.xxhash64(*left.columns), F.lit(1 << 31)) + 1
     starts = left.select(
         *keys, F.col(left_ts).alias(_AT), F.struct(*left.columns).alias(_LEFT), turn.alias(_TURN)
-    )
-    line = starts.unionByName(
-        instants.withColumn(_TURN, F.lit(0).cast("bigint")), allowMissingColumns=True
-    )
+    ).withColumn(_IS_LEFT, F.lit(True))
+    others = instants.withColumns({_TURN: F.lit(0).cast("bigint"), _IS_LEFT: F.lit(False)})
+    line = starts.unionByName(others, allowMissingColumns=True)
     if may_be_hot:
         line = slice_groups(line, keys, F.unix_micros(F.col(_AT)), F.col(_TURN), rows_per_task)
 
@@ -73,7 +72,7 @@ def nearest_match(
         *[c for c in line.columns if c != _RIGHT],
         F.last(_RIGHT, ignorenulls=True).over(forward).alias("__before"),
         F.last(_RIGHT, ignorenulls=True).over(backward).alias("__after"),
-    ).where(F.col(_TURN) > 0)
+    ).where(_IS_LEFT)
     if is_sliced(line):
         matched = _with_edges(matched, line, keys)
 

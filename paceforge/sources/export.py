@@ -51,9 +51,8 @@ def as_text(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     if not isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
         return c.cast("string")
-    fraction = F.date_format(c, ".SSSSSS")
-    short = F.when(fraction == ".000000", "").when(fraction.endswith("000"), F.substring(fraction, 1, 4))
-    return F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), short.otherwise(fraction), F.lit("+00"))
+    full = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return F.concat(F.regexp_replace(full, r"\.000000$|000$", ""), F.lit("+00"))
 
 
 def export_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
