@@ -59,11 +59,21 @@ def _with_fields(parsed: Column, wanted: T.StructType) -> Column:
     return F.struct(*fields)
 
 
+def _with_parsed(df: DataFrame, text: Column, kind: T.StructType, out: str) -> DataFrame:
+    """Add the parsed object ``out``, NULL where the text is no object or an empty one.
+
+    Text and object are columns of their own, so that each is worked out once per record and not
+    once per field.
+    """
+    texts = df.withColumn(f"{out}_text", _object_or_null(text))
+    return texts.withColumn(out, F.from_json(f"{out}_text", kind))
+
+
 def _conform_scored(df: DataFrame, table: str, loaded_at: datetime | Column) -> DataFrame:
     wanted = raw_field(table, "score")
-    text = _object_or_null(F.col("score"))
-    score = F.when(text.isNotNull(), _with_fields(F.from_json(text, wanted), wanted))
-    return _conform(df.withColumn("score", score), table, loaded_at)
+    parsed = _with_parsed(df, F.col("score"), wanted, "__score")
+    score = F.when(F.col("__score_text").isNotNull(), _with_fields(F.col("__score"), wanted))
+    return _conform(parsed.withColumn("score", score), table, loaded_at)
 
 
 def conform_cycles(df: DataFrame, loaded_at: datetime | Column) -> DataFrame:
@@ -83,19 +93,17 @@ def conform_recoveries(df: DataFrame, loaded_at: datetime | Column) -> DataFrame
 def conform_workouts(df: DataFrame, loaded_at: datetime | Column) -> DataFrame:
     """Workout records; zones come under either of two names, or not at all."""
     wanted = raw_field("raw_workouts", "score")
-    zones_type = raw_field("raw_workouts", "score.zone_duration")
     plain = [field for field in wanted if field.name != "zone_duration"]
     zones_as_text = [T.StructField(name, T.StringType()) for name in ("zone_durations", "zone_duration")]
-    text = _object_or_null(F.col("score"))
-    parsed = F.from_json(text, T.StructType(plain + zones_as_text))
+    parsed = _with_parsed(df, F.col("score"), T.StructType(plain + zones_as_text), "__score")
     zones = F.coalesce(
-        _object_or_null(parsed["zone_durations"]), _object_or_null(parsed["zone_duration"])
+        _object_or_null(F.col("__score.zone_durations")), _object_or_null(F.col("__score.zone_duration"))
     )
+    zoned = _with_parsed(parsed, zones, raw_field("raw_workouts", "score.zone_duration"), "__zones")
     score = F.struct(
-        *[parsed[field.name].alias(field.name) for field in plain],
-        F.from_json(zones, zones_type).alias("zone_duration"),
+        *[F.col(f"__score.{field.name}") for field in plain], F.col("__zones").alias("zone_duration")
     )
-    scored = df.withColumn("score", F.when(text.isNotNull(), score))
+    scored = zoned.withColumn("score", F.when(F.col("__score_text").isNotNull(), score))
     return _conform(scored, "raw_workouts", loaded_at)
 
 
