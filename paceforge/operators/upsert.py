@@ -56,44 +56,63 @@ def merge_mart(
     """Merge the rescan window of ``source`` into a mart table that is partitioned by month.
 
     The first call builds the table. Later ones find the months that hold changed rows, merge those
-    months only, into a staging table, and put them in place from there; nothing reads and
-    overwrites the same files, and a merge that stops half-way is finished by running it again. A
-    change of columns rewrites the whole table. The list of months that comes to the driver is
-    bounded by the calendar.
+    months only into a staging table, and put them in place from there; nothing reads and overwrites
+    the same files. The staging table is dropped last: if a merge stops half-way, the next call
+    finishes it before it looks at the newest date of the mart. A change of columns rewrites the
+    whole table. The list of months that comes to the driver is bounded by the calendar.
     """
     spark = source.sparkSession
+    _finish(spark, table, key)
     if not spark.catalog.tableExists(table):
         with_month(source, date_col).write.partitionBy(MONTH).saveAsTable(table)
         return
 
-    changes, staged = f"{table}__changes", f"{table}__staged"
     target = read_mart(spark, table)
     window = with_month(rescan_window(source, target, date_col, days), date_col)
-    window.write.mode("overwrite").saveAsTable(changes)
-    changed, current = spark.table(changes), spark.table(table)
+    window.write.mode("overwrite").saveAsTable(_changes(table))
+    changed, current = spark.table(_changes(table)), spark.table(table)
+
+    if set(source.columns) == set(target.columns):
+        touched = _months(changed).union(_months_of_keys(current, changed, key)).distinct()
+        months = [row[0] for row in touched.collect()]
+        if not months:
+            return
+        current = current.where(F.col(MONTH).isin(*months))
+    upsert(current, changed, key).write.partitionBy(MONTH).saveAsTable(_staged(table))
+    _finish(spark, table, key)
+
+
+def _changes(table: str) -> str:
+    return f"{table}__changes"
+
+
+def _staged(table: str) -> str:
+    return f"{table}__staged"
 
-    if set(source.columns) != set(target.columns):
-        _stage(upsert(current, changed, key), staged)
-        spark.table(staged).write.mode("overwrite").partitionBy(MONTH).saveAsTable(table)
-        return
 
-    moved = current.select(key, MONTH).join(changed.select(key), key, "left_semi").select(MONTH)
-    touched = _months(moved.union(changed.select(MONTH)))
-    if not touched:
+def _finish(spark: SparkSession, table: str, key: str) -> None:
+    """Put a staged merge in place, if there is one. Doing it twice changes nothing."""
+    if not spark.catalog.tableExists(_staged(table)):
         return
-    merged = upsert(current.where(F.col(MONTH).isin(*touched)), changed, key)
-    _stage(merged.select(*current.columns), staged)
-    _overwrite_months(spark.table(staged), table)
-    for month in sorted(set(touched) - set(_months(spark.table(staged).select(MONTH)))):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{month}')")
+    staged = spark.table(_staged(table))
+    same_columns = spark.catalog.tableExists(table) and set(spark.table(table).columns) == set(staged.columns)
+    if same_columns:
+        _overwrite_months(staged.select(*spark.table(table).columns), table)
+        # A month that still holds changed keys but is not staged has lost its last row.
+        holding = _months_of_keys(spark.table(table), spark.table(_changes(table)), key)
+        for row in holding.join(_months(staged).distinct(), MONTH, "left_anti").distinct().collect():
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{row[0]}')")
+    else:
+        staged.write.mode("overwrite").partitionBy(MONTH).saveAsTable(table)
+    spark.sql(f"DROP TABLE {_staged(table)}")
 
 
-def _months(df: DataFrame) -> list[str]:
-    return [row[0] for row in df.distinct().collect()]
+def _months(df: DataFrame) -> DataFrame:
+    return df.select(MONTH)
 
 
-def _stage(df: DataFrame, table: str) -> None:
-    df.write.mode("overwrite").partitionBy(MONTH).saveAsTable(table)
+def _months_of_keys(df: DataFrame, changed: DataFrame, key: str) -> DataFrame:
+    return _months(df.select(key, MONTH).join(changed.select(key), key, "left_semi"))
 
 
 def _overwrite_months(df: DataFrame, table: str) -> None:

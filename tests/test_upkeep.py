@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from paceforge.operators import quality
+from paceforge.operators import upsert as upsert_module
 from paceforge.operators.upsert import MONTH, merge_mart, read_mart, rescan_window, sync_columns, upsert
 from paceforge.plans import marts
 from paceforge.sources import export, tables
@@ -75,6 +76,29 @@ def test_merge_empties_a_month(spark, database):
     assert rows(spark.table(table).select(MONTH).distinct()) == [("2024-06",)]
 
 
+def test_a_merge_that_stops_is_finished(spark, database, monkeypatch):
+    table = f"{database}.fact"
+    old = [(1, date(2024, 6, 25), "old"), (2, date(2024, 6, 30), "old"), (3, date(2024, 1, 1), "old")]
+    merge_mart(mart(spark, *old), table, "id", "d")
+    new = [(1, date(2024, 6, 25), "new"), (2, date(2024, 7, 1), "new"), (3, date(2024, 6, 28), "new"), (4, date(2024, 7, 20), "new")]
+
+    whole = upsert_module._overwrite_months
+
+    def stops(df, name):
+        whole(df.where(F.col(MONTH) == "2024-07"), name)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(upsert_module, "_overwrite_months", stops)
+    with pytest.raises(RuntimeError):
+        merge_mart(mart(spark, *new), table, "id", "d")
+    monkeypatch.undo()
+    # The newest date is now in July already, a week past the rows of June that are still to come.
+    merge_mart(mart(spark, *new), table, "id", "d")
+    assert rows(read_mart(spark, table)) == new
+    assert rows(spark.table(table).select(MONTH).distinct()) == [("2024-06",), ("2024-07",)]
+    assert not spark.catalog.tableExists(f"{table}__staged")
+
+
 def test_merge_of_changed_columns(spark, database):
     table = f"{database}.fact"
     merge_mart(mart(spark, (1, DAY, "a"), (2, DAY - timedelta(30), "b")), table, "id", "d")
