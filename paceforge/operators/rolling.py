@@ -8,9 +8,7 @@ shuffle and one sort.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from paceforge.functions.units import ColumnLike, column, settled_round
@@ -50,13 +48,3 @@ def monotony(c: ColumnLike, window: WindowSpec, rows: int = 7, digits: int = 2)
     frame = window.rowsBetween(1 - rows, Window.currentRow)
     deviation = F.nullif(F.stddev_samp(column(c)).over(frame), F.lit(0.0))
     return F.round(F.avg(column(c)).over(frame) / deviation, digits)
-
-
-def with_rolling_avgs(
-    df: DataFrame, window: WindowSpec, averages: Sequence[tuple[str, str, int, int]]
-) -> DataFrame:
-    """Add several averages, each given as (source, result, rows, digits)."""
-    return df.select(
-        "*",
-        *[rolling_avg(source, window, rows, digits).alias(out) for source, out, rows, digits in averages],
-    )

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from paceforge.operators.joins import missing_keys
 from paceforge.sources.landing import CONFORM, only_runs
 from paceforge.sources.schemas import AUDIT_TABLE, RAW_TABLES, raw_schema
 
+logger = logging.getLogger(__name__)
+
 # Raw table and watermark column of each source; profiles and photos have none.
 SOURCES = {
     "cycles": ("raw_cycles", "end"),
@@ -146,6 +150,52 @@ def audited_load(
     return row
 
 
+def load_users(spark: SparkSession, landed: DataFrame, database: str, now: datetime) -> int:
+    """Append a profile snapshot per user; there is no watermark and no audit record."""
+    return append_raw(CONFORM["users"](landed, now), "raw_users", database)
+
+
+def load_photos(spark: SparkSession, landed: DataFrame, database: str, now: datetime) -> int:
+    """Append photo records of the runs that have none yet."""
+    runs, photos = (spark.table(f"`{database}`.`raw_strava_{name}`") for name in ("runs", "photos"))
+    missing = missing_keys(runs, photos, "id")
+    rows = CONFORM["photos"](landed, now).join(missing, "id", "left_semi")
+    return append_raw(rows, "raw_strava_photos", database)
+
+
+def nightly_load(
+    spark: SparkSession,
+    landed: Mapping[str, Callable[[], DataFrame]],
+    database: str = "default",
+    dry_run: bool = False,
+    now: Callable[[], datetime] = _utc_now,
+) -> list[Row]:
+    """Load every source that has landed and return the audit records.
+
+    Profiles come first and photos last. Both are extras: a failure of theirs is passed over. The
+    load as a whole has failed if any record says so.
+    """
+    for name in RAW_TABLES:
+        ensure_table(spark, name, database)
+
+    def extra(source: str, load: Callable[[SparkSession, DataFrame, str, datetime], int]) -> None:
+        if source not in landed or dry_run:
+            return
+        try:
+            load(spark, landed[source](), database, now())
+        except Exception:
+            logger.exception("%s not loaded", source)
+
+    extra("users", load_users)
+    records = [
+        audited_load(spark, source, landed[source], database, dry_run, now)
+        for source, (_, mark) in SOURCES.items()
+        if mark and source in landed
+    ]
+    extra("photos", load_photos)
+    return records
+
+
 def audit_summary(audit: DataFrame) -> DataFrame:
     """Rows fetched and inserted and number of failed loads, per source."""
     return audit.groupBy("endpoint").agg(

@@ -178,6 +178,29 @@ def test_audited_load(spark, database, tmp_path):
     assert tuple(tables.audit_totals(audit).first()) == (5, ["cycles"])
 
 
+def test_nightly_load(spark, database, tmp_path):
+    sources = {
+        "cycles": landed(spark, tmp_path, "cycles", {"id": 1, "user_id": 9}),
+        "runs": landed(spark, tmp_path, "runs", {"id": 5, "sport_type": "Run"}, {"id": 6, "sport_type": "Run"}),
+        "users": landed(spark, tmp_path, "users", {"user_id": 9, "first_name": "A"}),
+        "photos": landed(spark, tmp_path, "photos", {"id": 5, "photos": []}, {"id": 7, "photos": []}),
+    }
+    assert [r.rows_fetched for r in tables.nightly_load(spark, sources, database, dry_run=True)] == [1, 2]
+    assert spark.table(f"{database}.raw_users").count() == 0
+    for _ in range(2):
+        records = tables.nightly_load(spark, sources, database)
+        assert [(r.endpoint, r.status) for r in records] == [("cycles", "success"), ("strava_runs", "success")]
+    assert spark.table(f"{database}.raw_users").count() == 2
+    assert rows(spark.table(f"{database}.raw_strava_photos").select("id", "photo_count")) == [(5, 0)]
+    assert spark.table(f"{database}.{AUDIT_TABLE}").count() == 4
+
+    def broken():
+        raise RuntimeError("no landing")
+
+    records = tables.nightly_load(spark, {"users": broken, "cycles": broken}, database)
+    assert [r.status for r in records] == ["failed"]
+
+
 def test_freshness(spark):
     df = spark.createDataFrame([(NOW - timedelta(hours=30),), (NOW - timedelta(hours=99),)], "loaded_at timestamp")
     assert tables.freshness(df, NOW).first().status == "warn"
