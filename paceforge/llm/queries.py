@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paceforge.llm import simhash
+from paceforge.llm import html_text, simhash
 from paceforge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op3_html_text": op3_html_text,
 }
 
 #: SQL for the queries that SQL can express.
