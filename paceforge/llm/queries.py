@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paceforge.llm import html_text, simhash
-from paceforge.llm.common import table
+from paceforge.llm import html_text, language, simhash
+from paceforge.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,9 +20,16 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.learn(language.learned_part(docs)))
+    return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op3_html_text": op3_html_text,
+    "op7_language": op7_language,
 }
 
 #: SQL for the queries that SQL can express.
