@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paceforge.llm import html_text, language, simhash
+from paceforge.llm import html_text, language, simhash, toxicity
 from paceforge.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,10 +26,17 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.score(docs, toxicity.learn(docs, labels.where(fold("doc_id", 5) != 0)))
+    return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (found.score >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op3_html_text": op3_html_text,
     "op7_language": op7_language,
+    "op9_toxicity": op9_toxicity,
 }
 
 #: SQL for the queries that SQL can express.
