@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paceforge.llm import html_text, language, simhash, toxicity
+from paceforge.llm import decontaminate, html_text, language, sentencepieces, simhash, token_counts, toxicity
 from paceforge.llm.common import fold, table
 
+#: Vocabulary files, as the installed collection of public tokenizers names them.
+COUNT_VOCABULARY, PIECE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -16,16 +20,28 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_VOCABULARY))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs, language.learn(language.learned_part(docs)))
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     found = toxicity.score(docs, toxicity.learn(docs, labels.where(fold("doc_id", 5) != 0)))
@@ -34,8 +50,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_decontaminate": op2_decontaminate,
     "op3_html_text": op3_html_text,
+    "op5_token_counts": op5_token_counts,
     "op7_language": op7_language,
+    "op8_sentencepieces": op8_sentencepieces,
     "op9_toxicity": op9_toxicity,
 }
 
