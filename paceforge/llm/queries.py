@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paceforge.llm import decontaminate, html_text, language, sentencepieces, simhash, token_counts, toxicity
+from paceforge.llm import decontaminate, html_text, language, quality, sentencepieces, simhash, token_counts, toxicity
 from paceforge.llm.common import fold, table
 
 #: Vocabulary files, as the installed collection of public tokenizers names them.
@@ -32,6 +32,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_VOCABULARY))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 4) != 2)
+    found = quality.classify(table(spark, sf_dir, "documents"), labels)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (found.score >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs, language.learn(language.learned_part(docs)))
@@ -53,6 +59,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_html_text": op3_html_text,
     "op5_token_counts": op5_token_counts,
+    "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op8_sentencepieces": op8_sentencepieces,
     "op9_toxicity": op9_toxicity,
