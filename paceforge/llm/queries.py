@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paceforge.llm import decontaminate, html_text, language, quality, sentencepieces, simhash, token_counts, toxicity
+from paceforge.llm import decontaminate, html_text, language, language_model, quality, sentencepieces, simhash, token_counts, toxicity
 from paceforge.llm.common import fold, table
 
 #: Vocabulary files, as the installed collection of public tokenizers names them.
@@ -54,6 +54,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (found.score >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_model.score(docs, fold("doc_id", 10) != 0)
+    return found.select("doc_id", (fold("doc_id", 10) == 0).alias("held_out"), *found.columns[1:])
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
@@ -63,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op7_language": op7_language,
     "op8_sentencepieces": op8_sentencepieces,
     "op9_toxicity": op9_toxicity,
+    "op10_language_model": op10_language_model,
 }
 
 #: SQL for the queries that SQL can express.
