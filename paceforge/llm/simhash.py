@@ -20,7 +20,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paceforge.llm.common import map_chunks, stored, strings
@@ -191,8 +191,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with the document that names its group; a repeated row stays once. Rows without
-    a doc_id belong to no group and stay."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("doc_id")).distinct()
-    named = docs.where("doc_id is not null")
-    return named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """Rows of ``docs`` with the document that names its group. Rows that repeat a doc_id are one document, of which
+    the row with the smallest text stays. Rows without a doc_id belong to no group and stay."""
+    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
+    rest = [c for c in docs.columns if c != "text"]
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*rest)))
+    first = named.select(turn.alias("\0turn"), *docs.columns).where(F.col("\0turn") == 1).select(*docs.columns)
+    return first.unionByName(docs.where("doc_id is null"))

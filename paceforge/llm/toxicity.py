@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from sys import intern
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ ORDER, DECAY, FLOOR = 3, 0.7, 0.4
 #: Landmarks at most of toxic runs and of clean words, and the length of runs.
 TOXIC_LANDMARKS, CLEAN_LANDMARKS, RUNS = 64, 24, (4, 10)
 #: Labelled texts drawn of each class.
-TOXIC_TEXTS, CLEAN_TEXTS = 2_000, 4_000
+TOXIC_TEXTS, CLEAN_TEXTS = 1_500, 3_000
 #: Weight of clean texts against toxic ones.
 CLEAN_WEIGHT = 4.0
 #: Longest string compared at once; longer ones are cut into windows that overlap by half.
@@ -64,10 +65,7 @@ def windows(word: str) -> list[str]:
 
 def _codes(words: list[str], width: int) -> np.ndarray:
     """Characters of words as numbers, 0 after the end."""
-    out = np.zeros((len(words), width), np.int32)
-    for k, w in enumerate(words):
-        out[k, : len(w)] = np.fromiter(map(ord, w), np.int32, len(w))
-    return out
+    return np.array(words, f"<U{width}").view(np.uint32).reshape(len(words), width).astype(np.int32)
 
 
 def paired_kernel(left: np.ndarray, right: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -120,16 +118,17 @@ def own_kernel(words: list[str]) -> np.ndarray:
     for k, w in enumerate(words):
         by_length[len(w)].append(k)
     out = np.zeros(len(words))
-    for rows in by_length.values():
-        group = [words[k] for k in rows]
-        same = np.arange(len(group))
-        out[rows] = pairs_kernel(group, group, same, same)
+    for n, rows in by_length.items():
+        code = _codes([words[k] for k in rows], n)
+        for at in range(0, len(rows), 8_192):
+            out[rows[at : at + 8_192]] = paired_kernel(code[at : at + 8_192], code[at : at + 8_192], np.full(min(8_192, len(rows) - at), n))
     return out
 
 
-def _letters(words: Iterable[str]) -> np.ndarray:
+def _letters(words: list[str]) -> np.ndarray:
     """A bit for each character, by its code; characters that share a bit only weaken the bound."""
-    return np.array([sum(1 << b for b in {ord(c) % 63 for c in w}) for w in words], np.int64)
+    code = _codes(words, max(map(len, words)))
+    return np.bitwise_or.reduce(np.where(code == 0, 0, np.int64(1) << (code % 63).astype(np.int64)), axis=1)
 
 
 class Landmarks:
@@ -171,10 +170,16 @@ class Landmarks:
             return out
         i, j = np.nonzero(self.near(words))
         used, i = np.unique(i, return_inverse=True)
-        some = [words[k] for k in used]
-        if some:
-            value = pairs_kernel(some, self.strings, i, j) / (np.sqrt(own_kernel(some))[i] * self.norms[j])
-            out[used[i], j] = np.maximum(0.0, (value - FLOOR) / (1 - FLOOR))
+        value = pairs_kernel([words[k] for k in used], self.strings, i, j) / self.norms[j]
+        i = used[i]
+        # a word's own kernel is at least that of its plain runs, each alone
+        least = np.sqrt(np.maximum(1, np.array([len(w) for w in words]) - ORDER + 1) * DECAY ** (2 * ORDER))
+        high = value > FLOOR * least[i] * (1 - 1e-5)
+        i, j, value = i[high], j[high], value[high]
+        used, at = np.unique(i, return_inverse=True)
+        if len(used):
+            own = np.sqrt(own_kernel([words[k] for k in used]))
+            out[i, j] = np.maximum(0.0, (value / own[at] - FLOOR) / (1 - FLOOR))
         return out
 
 
@@ -207,29 +212,26 @@ def runs(word: str) -> set[str]:
     return {w[i : i + n] for w in windows(word) for n in range(low, high + 1) for i in range(len(w) - n + 1)}
 
 
-def _run_counts(toxic: list[list[str]], clean: list[list[str]]) -> tuple[Counter, Counter]:
-    """In how many toxic texts a run is, and in how many clean ones, of the runs that two toxic texts have."""
-    by_word: dict[str, set[str]] = {}
+def _run_counts(toxic: list[list[str]], clean: list[list[str]], least: int) -> tuple[Counter, Counter]:
+    """In how many toxic texts a run is, of those in ``least`` or more, and in how many clean ones.
+
+    Runs are counted by their hash first, as most are in one text only.
+    """
+    each = (np.fromiter({hash(r) for w in t for r in runs(w)}, np.int64) for t in toxic)
+    numbers, counts = np.unique(np.concatenate([np.empty(0, np.int64), *each]), return_counts=True)
+    often = set(numbers[counts >= least].tolist())
 
-    def count(texts: list[list[str]], keep: set[str] | None) -> Counter:
+    def count(texts: list[list[str]]) -> Counter:
         found: Counter = Counter()
         for t in texts:
-            have: set[str] = set()
-            for w in t:
-                if w not in by_word:
-                    by_word[w] = runs(w) if keep is None else runs(w) & keep
-                have |= by_word[w]
-            found.update(have)
+            found.update({r for w in t for r in runs(w) if hash(r) in often})
         return found
 
-    shared = Counter({r: c for r, c in count(toxic, None).items() if c >= 2})
-    by_word.clear()
-    return shared, count(clean, set(shared))
+    return count(toxic), count(clean)
 
 
-def pick_landmarks(shared: Counter, clean: Counter, n_toxic: int, n_clean: int) -> list[str]:
+def pick_landmarks(shared: Counter, clean: Counter, n_toxic: int, n_clean: int, least: int) -> list[str]:
     """Runs of the most toxic texts that hardly any clean text has; none holds another."""
-    least = max(2, n_toxic // 100)
     ranked = sorted((-c, -len(r), r) for r, c in shared.items() if c >= least and clean[r] * n_toxic <= 0.005 * c * n_clean)
     picked: list[str] = []
     for _, _, run in ranked:
@@ -273,62 +275,70 @@ def gapped(word: str, rng: np.random.Generator) -> list[str]:
     return ["".join((word[:k], "xqzj.-"[int(rng.integers(6))], word[k:])) for k in at]
 
 
+def _rows(landmarks: Landmarks, words: list[str]) -> dict[str, np.ndarray]:
+    """Features of the words that resemble a landmark; most don't."""
+    found = {}
+    for at in range(0, len(words), 20_000):
+        some = words[at : at + 20_000]
+        x = landmarks.features(some)
+        found.update((some[k], x[k].copy()) for k in np.flatnonzero(x.any(axis=1)))
+    return found
+
+
 def fit(toxic: list[set[str]], clean: list[set[str]]) -> Model:
     """A model from the words of toxic and of clean texts; the same for every order of the texts."""
     toxic, clean = sorted(map(sorted, toxic)), sorted(map(sorted, clean))
-    shared, held = _run_counts(toxic, clean)
-    picked = pick_landmarks(shared, held, len(toxic), len(clean))
+    least = max(2, len(toxic) // 100)
+    picked = pick_landmarks(*_run_counts(toxic, clean, least), len(toxic), len(clean), least)
     if not picked or not clean:
         return Model([], np.empty(0), 0.0, 0.0, 4.0 if toxic and not clean else -4.0)
     rng = np.random.default_rng(11)
     of = [[w for x in t for w in windows(x)] for t in toxic]
-    near = sorted({w for t in of for w in t})
     away_in = Counter(w for t in clean for w in {w for x in t for w in windows(x)})
-    away = sorted(away_in)
-    by_run = [Landmarks(picked).features(x) for x in (near, away)]
-    model = _machine(picked, len(picked), of, near, away_in, len(clean), *by_run, rng)
-    # the clean words that come nearest to the landmarks become landmarks themselves
-    value = dict(zip(away, by_run[1] @ model.weights + model.bias)) if len(model.weights) else {}
-    close = [w for w in sorted(value, key=lambda w: (-value[w], w))[:CLEAN_LANDMARKS] if w not in picked]
-    by_all = [np.hstack([f, Landmarks(close).features(x)]) if close else f for f, x in zip(by_run, (near, away))]
-    model = _machine(picked + close, len(picked), of, near, away_in, len(clean), *by_all, rng)
-    if not len(model.weights):
-        return model
-    words = dict(zip(near + away, np.concatenate([f @ model.weights for f in by_all]) + model.bias))
-    high = np.array([max((words[w] for w in t), default=model.bias) for t in of])
-    low = np.array([max((words[w] for x in t for w in windows(x)), default=model.bias) for t in clean])
+    near, away = sorted({w for t in of for w in t}), sorted(away_in)
+    close: list[str] = []
+    for _ in range(2):
+        landmarks = Landmarks(picked + close)
+        model = _machine(landmarks, len(picked), of, _rows(landmarks, near), _rows(landmarks, away), away_in, len(clean), rng)
+        if not len(model.weights):
+            return model
+        if not close:  # the clean words that come nearest to the landmarks become landmarks themselves
+            value = {w: float(x @ model.weights) for w, x in _rows(landmarks, away).items()}
+            close = [w for w in sorted(value, key=lambda w: (-value[w], w))[:CLEAN_LANDMARKS] if w not in picked]
+    value = {w: float(x @ model.weights) + model.bias for x_of in (_rows(landmarks, near), _rows(landmarks, away)) for w, x in x_of.items()}
+    high = np.array([max((value.get(w, model.bias) for w in t), default=model.bias) for t in of])
+    low = np.array([max((value.get(w, model.bias) for x in t for w in windows(x)), default=model.bias) for t in clean])
     model.slope, model.shift = _curve(high, low)
     return model
 
 
-def _machine(landmarks: list[str], n_toxic: int, of: list[list[str]], near: list[str], away_in: Counter, n_clean: int, by_near: np.ndarray, by_away: np.ndarray, rng: np.random.Generator) -> Model:
+def _machine(
+    landmarks: Landmarks, n_toxic: int, of: list[list[str]], plus: dict[str, np.ndarray], minus: dict[str, np.ndarray], away_in: Counter, n_clean: int, rng: np.random.Generator
+) -> Model:
     """Weights of landmarks (the first n_toxic of them toxic) from the worst words of toxic texts (of) against all
-    words of clean ones (away_in: in how many each is). by_near, by_away: the features of those words."""
-    model = Model(landmarks, np.zeros(len(landmarks)), 0.0)
-    away = sorted(away_in)
-    root = _root(model.landmarks)
-    plus = dict(zip(near, by_near))
-    some = np.flatnonzero(by_away.any(axis=1))  # the words that resemble nothing are one row
-    minus = np.vstack([by_away[some], np.zeros((1, len(landmarks)))])
-    often = np.array([away_in[away[k]] for k in some] + [n_clean]) / n_clean
-    known = set(away)
+    words of clean ones (away_in: in how many each is). plus, minus: features of the words that resemble any."""
+    model = Model([], np.zeros(len(landmarks.strings)), 0.0)
+    model.landmarks = landmarks
+    root = _root(landmarks)
+    some = sorted(minus)
+    clean = np.vstack([*(minus[w] for w in some), np.zeros(len(landmarks.strings), np.float32)])  # the last row: all other words
+    often = np.array([*(away_in[w] for w in some), n_clean]) / n_clean
     # the words of toxic texts that no clean text has and that come close to a toxic landmark; then the worst word of each text
-    found = Counter(w for t in of for w in set(t) if w not in known and plus[w][:n_toxic].max() >= 0.6)
+    found = Counter(w for t in of for w in set(t) if w in plus and w not in away_in and plus[w][:n_toxic].max() >= 0.6)
     for _ in range(2):
         plain = sorted(found)
         if not plain:
             return Model([], np.empty(0), 0.0, 0.0, -4.0)
         more = [(g, w) for w in plain for g in gapped(w, rng)]
-        extra = [g for g, _ in more]
-        rows = np.vstack([[plus[w] for w in plain], model.landmarks.features(extra), minus])
-        y = np.concatenate([np.ones(len(plain) + len(extra)), -np.ones(len(minus))])
+        rows = np.vstack([[plus[w] for w in plain], landmarks.features([g for g, _ in more]), clean])
+        y = np.concatenate([np.ones(len(plain) + len(more)), -np.ones(len(clean))])
         count = np.concatenate([[found[w] / len(of) for w in plain], [0.5 * found[w] / len(of) for _, w in more], CLEAN_WEIGHT * often])
         w = _svm(np.hstack([rows @ root, np.ones((len(rows), 1))]), y, count)
         model.weights, model.bias = root @ w[:-1], float(w[-1])
-        value = dict(zip(near, by_near @ model.weights + model.bias))
+        value = {w: float(x @ model.weights) for w, x in plus.items() if w not in away_in}
         for t in of:
-            top = max(t, key=lambda w: (value[w], w), default=None)
-            if top is not None and plus[top].max() > 0 and top not in known:
+            top = max((w for w in t if w in value), key=lambda w: (value[w], w), default=None)
+            if top is not None:
                 found[top] += 1
     return model
 
@@ -351,12 +361,12 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
 
     About ``TOXIC_TEXTS`` and ``CLEAN_TEXTS`` of them, drawn by a hash of the id, reach the driver, as words.
     """
-    marks = labels.where(F.col(label).isin(0, 1)).groupBy(doc_id).agg(F.max(label).cast("int").alias("mark"))
-    ids = docs.select(doc_id).join(marks, doc_id).select(F.col(doc_id).alias("id"), "mark")
-    n = {r.mark: r["count"] for r in ids.groupBy("mark").count().collect()}
+    marks = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("int").alias("mark"))
+    n = {r.mark: r["count"] for r in marks.groupBy("mark").count().collect()}
     share = F.when(F.col("mark") == 1, min(1.0, TOXIC_TEXTS / max(1, n.get(1, 0)))).otherwise(min(1.0, CLEAN_TEXTS / max(1, n.get(0, 0))))
-    drawn = ids.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 32)) < share * float(1 << 32)).dropDuplicates(["id"])
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(drawn, "id").select("mark", "text")
+    drawn = marks.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 32)) < share * float(1 << 32))
+    # the draw bounds the ids, whatever the labels
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn), "id").select("mark", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in chunks(batches):
@@ -365,7 +375,8 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
 
     got = rows.mapInArrow(run, "mark int, words string").toArrow()
     marks_of, words_of = got.column(0).to_pylist(), got.column(1).to_pylist()
-    return fit([set(w.split()) for m, w in zip(marks_of, words_of) if m == 1], [set(w.split()) for m, w in zip(marks_of, words_of) if m == 0])
+    of = [[set(map(intern, w.split())) for m, w in zip(marks_of, words_of) if m == k] for k in (1, 0)]
+    return fit(*of)
 
 
 class Scorer:
