@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paceforge.llm import decontaminate, html_text, language, language_model, quality, sentencepieces, simhash, token_counts, toxicity
+from paceforge.llm import decontaminate, html_text, language, language_model, quality, sentencepieces, simhash, token_counts, topk, toxicity
 from paceforge.llm.common import fold, table
 
 #: Vocabulary files, as the installed collection of public tokenizers names them.
@@ -28,6 +28,11 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return topk.search(docs, docs.where("doc_id % 100 = 0"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_VOCABULARY))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
     "op3_html_text": op3_html_text,
+    "op4_topk": op4_topk,
     "op5_token_counts": op5_token_counts,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
