@@ -11,6 +11,7 @@ from paceforge.functions.units import ColumnLike, column
 
 # Fixed values.
 EARTH_RADIUS_M = 6371000.0
+NANOMETRES = 1e9
 POINT_SCALE = 1e5
 CHAR_OFFSET = 63
 CHAR_BITS = 5
@@ -24,6 +25,7 @@ def haversine_m(lat1: ColumnLike, lng1: ColumnLike, lat2: ColumnLike, lng2: Colu
     half_dlng = F.radians(column(lng2) - column(lng1)) / 2
     sine_lat, sine_lng = F.sin(half_dphi), F.sin(half_dlng)
     chord = sine_lat * sine_lat + F.cos(phi1) * F.cos(phi2) * sine_lng * sine_lng
+    chord = F.least(F.lit(1.0), F.greatest(F.lit(0.0), chord))  # rounding can leave the range at opposite points
     return F.lit(2 * EARTH_RADIUS_M) * F.atan2(F.sqrt(chord), F.sqrt(1 - chord))
 
 
@@ -95,12 +97,13 @@ def line_distances(lats: pa.ListArray, lngs: pa.ListArray) -> tuple[pa.ListArray
     if len(phi) > 1:
         half_dphi, half_dlam = np.diff(phi) / 2, np.diff(lam) / 2
         chord = np.sin(half_dphi) ** 2 + np.cos(phi[:-1]) * np.cos(phi[1:]) * np.sin(half_dlam) ** 2
+        chord = np.clip(chord, 0.0, 1.0)  # rounding can leave the range at opposite points
         steps[1:] = 2 * EARTH_RADIUS_M * np.arctan2(np.sqrt(chord), np.sqrt(1 - chord))
     steps[starts[sizes > 0]] = 0.0
-    totals = steps.cumsum()
-    # The sums go on through the batch; take off what they had reached before each line.
-    reached = np.concatenate([[0.0], totals])[starts]
-    from_start = totals - np.repeat(reached, sizes)
+    # Whole nanometres: the sums go on through the batch, and what they had reached before a line comes off exactly.
+    totals = np.round(steps * NANOMETRES).astype(np.int64).cumsum()
+    reached = np.concatenate([np.zeros(1, np.int64), totals])[starts]
+    from_start = (totals - np.repeat(reached, sizes)) / NANOMETRES
     offsets = lats.offsets
     return (
         pa.ListArray.from_arrays(offsets, pa.array(steps)),

@@ -7,8 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceforge.operators.skew import ROWS_PER_TASK, hot_keys, salted_left_join
-
 
 def attach_day(
     activities: DataFrame,
@@ -18,14 +16,13 @@ def attach_day(
     day: str = "cycle_date",
     offset: int = 0,
     user_col: str | None = None,
-    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left-join every activity to the day ``offset`` days after it.
 
-    ``columns`` maps columns of ``daily`` to their names in the result. Without ``user_col`` the
-    join is on the date only, which is right for the data of one user; with more users, name the
-    column that both sides share, or every activity meets the day of every user. ``hot`` lists the
-    days (and users) that hold very many activities, from ``hot_days``.
+    ``columns`` maps columns of ``daily`` to their names in the result, and ``user_col`` names the owner
+    column that both sides share. Without it the join is on the date only, which is right for the data of one
+    user; a date with more than one day is then an error, as every activity would meet the days of all users.
+    Days with very many activities are left to adaptive execution, which splits skewed joins.
     """
     users = [user_col] if user_col else []
     days = daily.where(F.col(day).isNotNull()).select(
@@ -33,24 +30,18 @@ def attach_day(
         F.col(day).alias("__day"),
         *[F.col(source).alias(out) for source, out in columns.items()],
     )
+    if not users:
+        days = _one_per_day(days, list(columns.values()))
     dated = activities.withColumn("__day", F.date_add(F.col(activity_date), offset))
-    if hot is not None:
-        hot = hot.withColumn("__day", F.date_add("__day", offset))
-    return salted_left_join(dated, days, [*users, "__day"], hot).select(
-        *activities.columns, *columns.values()
-    )
+    return dated.join(days, [*users, "__day"], "left").select(*activities.columns, *columns.values())
 
 
-def hot_days(
-    activities: DataFrame,
-    activity_date: str,
-    user_col: str | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame | None:
-    """Days, and users, with too many activities for one task; for any number of ``attach_day``."""
-    users = [user_col] if user_col else []
-    keyed = activities.select(*users, F.col(activity_date).alias("__day"))
-    return hot_keys(keyed, [*users, "__day"], rows_per_task)
+def _one_per_day(days: DataFrame, columns: list[str]) -> DataFrame:
+    """The days as they are, if each date has one; an error when the query runs, if not."""
+    counted = days.groupBy("__day").agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in columns])
+    message = F.concat(F.lit("more than one day on "), F.col("__day").cast("string"), F.lit("; name the owner column"))
+    day = F.when(F.col("__n") > 1, F.raise_error(message).cast("date")).otherwise(F.col("__day"))
+    return counted.select(day.alias("__day"), *columns)
 
 
 def attach_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceforge.operators.skew import IS_CUT, ROWS_PER_TASK, SLICE, is_sliced, slice_groups
-
-_AT, _TURN, _IS_LEFT, _LEFT, _RIGHT = "__at", "__turn", "__is_left", "__left", "__right"
+_AT, _RIGHT, _SLICE = "__at", "__right", "__slice"
+#: Seconds of a slice of the time line.
+SLICE_SECONDS = 3600
 
 
 def nearest_match(
@@ -21,8 +21,7 @@ def nearest_match(
     right_key: str,
     columns: Mapping[str, str],
     pred: Column | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
-    may_be_hot: bool = True,
+    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Give every left row the right row of the same ``on`` group that is nearest in time.
 
@@ -32,11 +31,10 @@ def nearest_match(
     ``right_key``; the reference leaves such ties open.
 
     With that order, only two right rows can win: the last one at or before the left row and the
-    first one after it. So no pair is ever joined. Both sides go on one time line per group, and
-    two window passes carry the neighbours along; right rows of one instant are reduced to one
-    before the shuffle. A hot group is cut into time slices, and the neighbours beyond a slice come
-    from the first and last right row of the other slices. Where a probe has already found no hot
-    group, ``may_be_hot=False`` spares another one.
+    first one after it. So no pair is ever joined. Both sides are reduced to one row per instant before
+    the shuffle and put on one time line per group, which is cut into slices of fixed length; two
+    window passes carry the neighbours along in a slice, and those beyond it come from a row per slice. The winner of each
+    instant is then joined back to the left rows, which take no part in the windows.
     """
     keys = list(on)
     matchable = right.where(pred) if pred is not None else right
@@ -51,30 +49,26 @@ def nearest_match(
         .agg(F.min_by(payload, F.col(right_key)).alias("__payload"))
         .select(*keys, _AT, F.struct(F.col(_AT).alias("__time"), "__payload").alias(_RIGHT))
     )
-    # At one instant the right row comes first, then the left rows in the order of a hash, so that
-    # even left rows of a single instant can be cut into slices.
-    turn = F.pmod(F.xxhash64(*left.columns), F.lit(1 << 31)) + 1
-    starts = left.select(
-        *keys, F.col(left_ts).alias(_AT), F.struct(*left.columns).alias(_LEFT), turn.alias(_TURN)
-    ).withColumn(_IS_LEFT, F.lit(True))
-    others = instants.withColumns({_TURN: F.lit(0).cast("bigint"), _IS_LEFT: F.lit(False)})
-    line = starts.unionByName(others, allowMissingColumns=True)
-    if may_be_hot:
-        line = slice_groups(line, keys, F.unix_micros(F.col(_AT)), F.col(_TURN), rows_per_task)
+    asked = left.select(*keys, F.col(left_ts).alias(_AT)).where(F.col(_AT).isNotNull()).distinct()
+    slice_of = F.floor(F.unix_micros(F.col(_AT)) / (slice_seconds * 1_000_000))
+    line = asked.unionByName(instants, allowMissingColumns=True).withColumn(_SLICE, slice_of)
 
-    # Both passes use a growing frame, each in its own direction: a frame that shrinks towards the
-    # end of the partition is evaluated anew for every row.
-    group = Window.partitionBy(*keys, SLICE) if is_sliced(line) else Window.partitionBy(*keys)
+    # At one instant the right row comes first in both directions. Both passes use a growing frame: one that
+    # shrinks towards the end of the partition is evaluated anew for every row.
+    group = Window.partitionBy(*keys, _SLICE)
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    forward = group.orderBy(F.asc(_AT), F.asc(_TURN)).rowsBetween(*so_far)
-    backward = group.orderBy(F.desc(_AT), F.desc(_TURN)).rowsBetween(*so_far)
-    matched = line.select(
-        *[c for c in line.columns if c != _RIGHT],
+    there = F.col(_RIGHT).isNull()
+    forward = group.orderBy(F.asc(_AT), there.asc()).rowsBetween(*so_far)
+    backward = group.orderBy(F.desc(_AT), there.asc()).rowsBetween(*so_far)
+    local = line.select(
+        *keys,
+        _AT,
+        _SLICE,
+        there.alias("__asked"),
         F.last(_RIGHT, ignorenulls=True).over(forward).alias("__before"),
         F.last(_RIGHT, ignorenulls=True).over(backward).alias("__after"),
-    ).where(_IS_LEFT)
-    if is_sliced(line):
-        matched = _with_edges(matched, line, keys)
+    ).where("__asked")
+    matched = _with_edges(local, line, keys)
 
     gap_before = F.unix_micros(F.col(_AT)) - F.unix_micros(F.col("__before.__time"))
     gap_after = F.unix_micros(F.col("__after.__time")) - F.unix_micros(F.col(_AT))
@@ -83,33 +77,36 @@ def nearest_match(
         .when(F.col("__after").isNull() | (gap_before <= gap_after), F.col("__before"))
         .otherwise(F.col("__after"))
     )
-    picked = matched.select(_LEFT, nearest["__payload"].alias("__payload"))
-    return picked.select(f"{_LEFT}.*", *[F.col(f"__payload.{out}") for out in columns.values()])
+    picked = matched.select(
+        *[F.col(key).alias(f"__on_{key}") for key in keys], F.col(_AT).alias("__on_at"), nearest["__payload"].alias("__payload")
+    )
+    same = F.col(left_ts) == F.col("__on_at")
+    for key in keys:
+        same = same & (F.col(key) == F.col(f"__on_{key}"))
+    return left.join(picked, same, "left").select(*left.columns, *[F.col(f"__payload.{out}") for out in columns.values()])
 
 
-def _with_edges(matched: DataFrame, line: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _with_edges(local: DataFrame, line: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fill in neighbours that lie beyond the slice of a row, from the other slices of its group."""
     time = F.when(F.col(_RIGHT).isNotNull(), F.col(_AT))
-    ends = (
-        line.where(IS_CUT)
-        .groupBy(*keys, SLICE)
-        .agg(F.max_by(_RIGHT, time).alias("__last"), F.min_by(_RIGHT, time).alias("__first"))
+    ends = line.groupBy(*keys, _SLICE).agg(
+        F.max_by(_RIGHT, time).alias("__last"), F.min_by(_RIGHT, time).alias("__first")
     )
     group = Window.partitionBy(*keys)
-    earlier = group.orderBy(F.asc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
-    later = group.orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = group.orderBy(F.asc(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    later = group.orderBy(F.desc(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     edges = ends.select(
         *[F.col(key).alias(f"__edge_{key}") for key in keys],
-        F.col(SLICE).alias("__edge_slice"),
+        F.col(_SLICE).alias("__edge_slice"),
         F.last("__last", ignorenulls=True).over(earlier).alias("__edge_before"),
         F.last("__first", ignorenulls=True).over(later).alias("__edge_after"),
     )
-    same = F.col(SLICE) == F.col("__edge_slice")
+    same = F.col(_SLICE) == F.col("__edge_slice")
     for key in keys:
-        same = same & (F.col(key) == F.col(f"__edge_{key}"))
-    return matched.join(edges, same, "left").select(
+        same = same & F.col(key).eqNullSafe(F.col(f"__edge_{key}"))
+    return local.join(edges, same, "left").select(
+        *keys,
         _AT,
-        _LEFT,
         F.coalesce("__before", "__edge_before").alias("__before"),
         F.coalesce("__after", "__edge_after").alias("__after"),
     )

@@ -4,21 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from datetime import date as Date
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paceforge.functions.units import period_key
-from paceforge.operators.running import running_sum
-from paceforge.operators.skew import ROWS_PER_TASK, slice_groups
+from paceforge.operators.running import SLICE, running_sum
 
 # The range shown when no run has a speed.
 NO_SPEEDS = (5.0, 10.0)
 SMALLEST_SPAN = 0.1
+#: Numeric keys of one slice of a day, and parts of a minute that are added up.
+SLICE_KEYS, MINUTE_PARTS = 65_536, 1_000_000
 SORT_COLUMNS = {"time": "run_date", "dist": "distance_km", "speed": "speed_mph"}
 
 
 def runs_in_period(runs: DataFrame, grain: str, key: str, date: str = "run_date") -> DataFrame:
-    return runs.where(period_key(date, grain) == key)
+    """Runs of a year, month, ISO week or day by its key, as a range of dates that a scan can use."""
+    low, high = period_range(grain, key)
+    return runs.where((F.col(date) >= F.lit(low)) & (F.col(date) < F.lit(high)))
+
+
+def period_range(grain: str, key: str) -> tuple[Date, Date]:
+    """First date of a period and of the next one."""
+    if grain == "year":
+        return Date(int(key), 1, 1), Date(int(key) + 1, 1, 1)
+    if grain == "month":
+        year, month = map(int, key.split("-"))
+        return Date(year, month, 1), Date(year + month // 12, month % 12 + 1, 1)
+    if grain == "week":
+        year, week = key.split("-W")
+        low = Date.fromisocalendar(int(year), int(week), 1)
+        return low, low + timedelta(7)
+    if grain == "day":
+        low = Date.fromisoformat(key)
+        return low, low + timedelta(1)
+    raise ValueError(f"unknown period {grain}")
 
 
 def sorted_runs(runs: DataFrame, by: str = "time", desc: bool = True, key: str = "run_id") -> DataFrame:
@@ -99,20 +122,18 @@ def period_slots(
     minutes: str = "moving_time_min",
     date: str = "run_date",
     key: str = "run_id",
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add the share of the period's minutes that lies before and up to the end of each run.
 
-    Runs follow one another by date, then by their numeric key. Unknown or zero minutes count as
-    one.
+    Runs follow one another by date, then by their key. Unknown or zero minutes count as one; minutes are
+    added up in millionths. A slice is a day, and of numeric keys a range of ``SLICE_KEYS`` of them.
     """
-    weighed = runs.withColumn(
-        "__minutes", F.coalesce(F.nullif(F.col(minutes), F.lit(0.0)), F.lit(1.0))
-    )
-    sliced = slice_groups(weighed, keys, F.unix_date(F.col(date)), F.col(key), rows_per_task)
-    summed = running_sum(
-        sliced, keys, [date, key], "__minutes", "__start", "__end", "__total", "__is_last"
-    )
+    known = F.coalesce(F.nullif(F.col(minutes), F.lit(0.0)), F.lit(1.0))
+    place = [F.col(date)]
+    if isinstance(runs.schema[key].dataType, T.IntegralType):
+        place.append(F.floor(F.col(key) / SLICE_KEYS).alias("part"))
+    sliced = runs.withColumns({"__parts": F.round(known * MINUTE_PARTS).cast("bigint"), SLICE: F.struct(*place)})
+    summed = running_sum(sliced, keys, [date, key], "__parts", "__start", "__end", "__total", "__is_last")
     return summed.select(
         *runs.columns,
         (F.col("__start") / F.col("__total")).alias("slot_start"),

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceforge.functions.geo import decode_lines, haversine_m, line_distances
-from paceforge.operators.running import previous_row, running_sum
-from paceforge.operators.skew import IS_CUT, ROWS_PER_TASK, SLICE, slice_groups
+from paceforge.functions.geo import NANOMETRES, decode_lines, haversine_m, line_distances
+from paceforge.operators.running import SLICE, previous_row, running_sum
+
+#: Points of one slice of a route, and bytes of lines that are decoded together.
+SLICE_POINTS, DECODED_BYTES = 4_096, 1_000_000
 
 
 def decoded_routes(runs: DataFrame, key: str = "run_id", line: str = "summary_polyline") -> DataFrame:
@@ -51,7 +55,7 @@ def _decoded(runs: DataFrame, key: str, line: str, arrays: Mapping[str, str]) ->
     names = [key, *arrays, "failed"]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _bounded(whole)):
             lats, lngs, failed = decode_lines(batch.column(1))
             columns = [lats, lngs]
             if "distances" in arrays:
@@ -63,6 +67,17 @@ def _decoded(runs: DataFrame, key: str, line: str, arrays: Mapping[str, str]) ->
     return lined.mapInArrow(decode, f"`{key}` {key_type}, {fields}, failed boolean")
 
 
+def _bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in parts of bounded text, one row at the least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + DECODED_BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def points_of(decoded: DataFrame, key: str = "run_id") -> DataFrame:
     """One row per point of the decoded routes; bad lines give none."""
     points = F.posexplode(F.arrays_zip("lats", "lngs")).alias("point_idx", "point")
@@ -87,27 +102,24 @@ def cumulative_distance(
     points: DataFrame,
     keys: Sequence[str] = ("run_id",),
     order: Sequence[str] = ("point_idx",),
-    position: Column | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    cut: Column | None = None,
 ) -> DataFrame:
     """Add, to every point, its distance from the point before and from the start of the route.
 
-    For points that come as rows; ``measured_routes`` does the same for encoded lines. ``position``
-    is the numeric place of a point along its route, by default the first order column, and a second
-    order column is the numeric order among points of one place. Only very long routes are cut by
-    them. The result also has the previous point, the length of the whole route and a mark on its
-    last point.
+    For points that come as rows; ``measured_routes`` does the same for encoded lines. ``cut`` is the slice that a
+    point lies in and rises with the order; by default ``SLICE_POINTS`` of a numeric first order column.
+    Distances are added up in whole nanometres. The result also has the previous point, the length of the whole route and a
+    mark on its last point.
     """
-    place = position if position is not None else F.col(order[0])
-    tie = F.col(order[1]) if len(order) > 1 else None
-    sliced = slice_groups(points, keys, place, tie, rows_per_task)
+    sliced = points.withColumn(SLICE, cut if cut is not None else F.floor(F.col(order[0]) / SLICE_POINTS))
     paired = previous_row(sliced, keys, order, ["lat", "lng"], "previous")
     step = haversine_m("previous.lat", "previous.lng", "lat", "lng")
     measured = paired.withColumn("segment_m", F.coalesce(step, F.lit(0.0)))
-    summed = running_sum(
-        measured, keys, order, "segment_m", "begun_m", "distance_m", "route_m", "is_last"
-    )
-    return summed.drop(SLICE, IS_CUT)
+    measured = measured.withColumn("__nm", F.round(F.col("segment_m") * NANOMETRES).cast("bigint"))
+    sums = ("begun_m", "distance_m", "route_m")
+    summed = running_sum(measured, keys, order, "__nm", *sums, "is_last")
+    metres = {name: F.col(name) / NANOMETRES for name in sums}
+    return summed.withColumns(metres).select(*points.columns, "previous", "segment_m", *sums, "is_last")
 
 
 def position_at(

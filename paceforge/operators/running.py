@@ -1,8 +1,9 @@
 """Running totals and previous rows over groups of any size.
 
-Plain groups are one window partition each. Where ``slice_groups`` has cut hot groups, each slice is
-its own window partition, and what a slice needs from the others comes from a small table with one
-row per slice.
+A group is cut along its order into slices that come from the data model: a stretch of points, an hour,
+a day. Each slice is a window partition of its own, and what a slice needs from the others comes from a small table with
+one row per slice. The plan is the same at every size, and no job runs to make it. Sums are of whole
+numbers, so that no cut can change a bit of them.
 """
 
 from __future__ import annotations
@@ -12,11 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from paceforge.operators.skew import IS_CUT, SLICE, is_sliced
+SLICE = "__slice"
 
 
 def _carry_join(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    same = F.col(SLICE) == F.col("__carry_slice")
+    same = F.col(SLICE).eqNullSafe(F.col("__carry_slice"))
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"__carry_{key}"))
     joined = df.join(carry, same, "left")
@@ -27,24 +28,20 @@ def _carry_keys(keys: Sequence[str]) -> list[Column]:
     return [F.col(key).alias(f"__carry_{key}") for key in keys] + [F.col(SLICE).alias("__carry_slice")]
 
 
-def _within(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
-    parts = [*keys, SLICE] if is_sliced(df) else keys
-    return Window.partitionBy(*parts).orderBy(*order)
+def _within(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
+    return Window.partitionBy(*keys, SLICE).orderBy(*order)
 
 
 def previous_row(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], out: str
 ) -> DataFrame:
-    """Add the struct ``out`` of ``columns`` of the previous row of the group, NULL on the first."""
+    """Add the struct ``out`` of ``columns`` of the previous row of the group, NULL on the first.
+
+    ``df`` has its slices in ``SLICE``; they rise with the order.
+    """
     here = F.struct(*columns)
-    local = df.withColumn(out, F.lag(here).over(_within(df, keys, order)))
-    if not is_sliced(df):
-        return local
-    ends = (
-        df.where(IS_CUT)
-        .groupBy(*keys, SLICE)
-        .agg(F.max_by(here, F.struct(*order)).alias("__end"))
-    )
+    local = df.withColumn(out, F.lag(here).over(_within(keys, order)))
+    ends = df.groupBy(*keys, SLICE).agg(F.max_by(here, F.struct(*order)).alias("__end"))
     carried = F.lag("__end").over(Window.partitionBy(*keys).orderBy(SLICE))
     carry = ends.select(*_carry_keys(keys), carried.alias("__carried"))
     return (
@@ -64,44 +61,29 @@ def running_sum(
     total: str,
     is_last: str,
 ) -> DataFrame:
-    """Add the sum of ``value`` ahead of each row, with the row, and over the whole group.
+    """Add the sum of ``value``, a whole number, ahead of each row, with the row, and over the whole group.
 
-    Every sum adds up in row order, also from slice to slice, so that ``before`` of a row is bit for
-    bit ``after`` of the row in front of it. ``is_last`` marks the last row of each group.
+    ``is_last`` marks the last row of each group. ``df`` has its slices in ``SLICE``.
     """
-    in_order = _within(df, keys, order)
+    in_order = _within(keys, order)
     first, last = Window.unboundedPreceding, Window.unboundedFollowing
-
-    def summed(frame: WindowSpec, name: str = value) -> Column:
-        return F.coalesce(F.sum(name).over(frame), F.lit(0.0))
-
     local = df.select(
         "*",
-        summed(in_order.rowsBetween(first, -1)).alias(before),
-        summed(in_order.rowsBetween(first, 0)).alias(after),
-        summed(in_order.rowsBetween(first, last)).alias(total),
-        F.lead(F.lit(True)).over(in_order).isNull().alias(is_last),
-    )
-    if not is_sliced(df):
-        return local
-    sums = (
-        local.where(IS_CUT)
-        .groupBy(*keys, SLICE)
-        .agg(F.max_by(after, F.struct(*order)).alias("__slice_sum"))
+        F.sum(value).over(in_order.rowsBetween(first, 0)).alias("__here"),
+        F.lead(F.lit(True)).over(in_order).isNull().alias("__ends"),
     )
+    sums = df.groupBy(*keys, SLICE).agg(F.sum(value).alias("__slice_sum"))
     by_slice = Window.partitionBy(*keys).orderBy(SLICE)
     carry = sums.select(
         *_carry_keys(keys),
-        summed(by_slice.rowsBetween(first, -1), "__slice_sum").alias("__earlier"),
-        summed(by_slice.rowsBetween(first, last), "__slice_sum").alias("__whole"),
-        F.lead(F.lit(True)).over(by_slice).alias("__more"),
+        F.coalesce(F.sum("__slice_sum").over(by_slice.rowsBetween(first, -1)), F.lit(0)).alias("__earlier"),
+        F.sum("__slice_sum").over(by_slice.rowsBetween(first, last)).alias(total),
+        F.lead(F.lit(True)).over(by_slice).isNull().alias("__last_slice"),
     )
-    earlier = F.coalesce(F.col("__earlier"), F.lit(0.0))
     return (
         _carry_join(local, carry, keys)
-        .withColumn(before, F.col(before) + earlier)
-        .withColumn(after, F.col(after) + earlier)
-        .withColumn(total, F.coalesce("__whole", total))
-        .withColumn(is_last, F.col(is_last) & F.col("__more").isNull())
-        .drop("__earlier", "__whole", "__more")
+        .withColumn(after, F.col("__earlier") + F.col("__here"))
+        .withColumn(before, F.col(after) - F.col(value))
+        .withColumn(is_last, F.col("__ends") & F.col("__last_slice"))
+        .drop("__here", "__ends", "__earlier", "__last_slice")
     )

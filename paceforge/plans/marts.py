@@ -130,7 +130,7 @@ def build(
         int_run_recovery(stg("stg_strava_runs"), daily, workouts, user_col), name_of("int_run_recovery")
     )
     write_model(
-        int_workout_recovery(workouts, daily, user_col and "user_id"),
+        int_workout_recovery(workouts, daily),
         name_of("int_workout_recovery"),
         buckets,
     )

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paceforge.functions import labels
-from paceforge.operators.joins import attach_day, hot_days
+from paceforge.operators.joins import attach_day
 from paceforge.operators.nearest import nearest_match
-from paceforge.operators.skew import ROWS_PER_TASK
 
 # Daily columns and their names next to an activity.
 SAME_DAY = {
@@ -40,12 +39,11 @@ def int_run_recovery(
     workouts: DataFrame,
     user_col: str | None = None,
     match_prefix: str = "matched_",
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Each run with its own day, the day after, and the device workout nearest to its start.
 
     Runs carry no user of their own. Without ``user_col`` all joins are on the date alone, for the
-    data of one user. ``match_prefix`` starts the names of the columns of the matched workout.
+    data of one user, and a date with the days of more users is an error. ``match_prefix`` starts the names of the columns of the matched workout.
     """
     users = [user_col] if user_col else []
     run = runs.select(
@@ -80,10 +78,6 @@ def int_run_recovery(
     intense = workouts.withColumnRenamed("workout_date", "run_date").withColumn(
         "high_intensity_min", labels.high_intensity_min("zone_3_min", "zone_4_min", "zone_5_min")
     )
-    # One probe over both sides of the match serves the match and both joins on the day. The match
-    # comes first, on the runs alone.
-    both = run.select("run_date", *users).unionByName(intense.select("run_date", *users))
-    hot = hot_days(both, "run_date", user_col, rows_per_task)
     matched = nearest_match(
         run,
         intense,
@@ -93,11 +87,9 @@ def int_run_recovery(
         right_key="workout_id",
         columns=workout,
         pred=labels.is_running_sport("sport_name"),
-        rows_per_task=rows_per_task,
-        may_be_hot=hot is not None,
     )
-    with_day = attach_day(matched, daily, SAME_DAY, "run_date", user_col=user_col, hot=hot)
-    with_next = attach_day(with_day, daily, NEXT_DAY, "run_date", offset=1, user_col=user_col, hot=hot)
+    with_day = attach_day(matched, daily, SAME_DAY, "run_date", user_col=user_col)
+    with_next = attach_day(with_day, daily, NEXT_DAY, "run_date", offset=1, user_col=user_col)
     minutes = f"{match_prefix}high_intensity_min"
     return with_next.select(
         *[c for c in run.columns if c not in ("loaded_at", *users)],
@@ -114,10 +106,12 @@ def int_run_recovery(
 def int_workout_recovery(
     workouts: DataFrame,
     daily: DataFrame,
-    user_col: str | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    user_col: str | None = "user_id",
 ) -> DataFrame:
-    """Each workout with its intense minutes and the recovery of the day after."""
+    """Each workout with its intense minutes and its user's recovery of the day after.
+
+    Without ``user_col`` the join is on the date alone, and a date with the days of more users is an error.
+    """
     workout = workouts.select(
         "workout_id",
         "user_id",
@@ -140,6 +134,5 @@ def int_workout_recovery(
         labels.high_intensity_min("zone_3_min", "zone_4_min", "zone_5_min").alias("high_intensity_min"),
         "loaded_at",
     )
-    hot = hot_days(workout, "workout_date", user_col, rows_per_task)
-    joined = attach_day(workout, daily, NEXT_DAY, "workout_date", offset=1, user_col=user_col, hot=hot)
+    joined = attach_day(workout, daily, NEXT_DAY, "workout_date", offset=1, user_col=user_col)
     return joined.select(*[c for c in joined.columns if c != "loaded_at"], "loaded_at")

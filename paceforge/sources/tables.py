@@ -88,11 +88,14 @@ def watermark(df: DataFrame, column: str) -> datetime | None:
 
 
 def since(df: DataFrame, column: str, mark: datetime | None) -> DataFrame:
-    """Records from the watermark on; all of them without one. Overlap is removed in staging."""
+    """Records from the watermark on and those without a time, which are still running; all of them without a mark.
+
+    It goes by the records' own times: a record that is older than the newest one and was changed since is not in it.
+    """
     if mark is None:
         return df
     aware = mark if mark.tzinfo else mark.replace(tzinfo=timezone.utc)
-    return df.where(F.col(column) >= F.lit(aware.isoformat()).cast("timestamp"))
+    return df.where(F.col(column).isNull() | (F.col(column) >= F.lit(aware.isoformat()).cast("timestamp")))
 
 
 def _utc_now() -> datetime:
@@ -106,8 +109,12 @@ def audited_load(
     database: str = "default",
     dry_run: bool = False,
     now: Callable[[], datetime] = _utc_now,
+    from_mark: bool = False,
 ) -> Row:
-    """Load what has landed since the last load of a source, and record the outcome.
+    """Load what has landed of a source, and record the outcome.
+
+    All that ``landed`` gives is loaded: records that are still running have no time yet, and an older record may have
+    a new score. Staging keeps the latest version of each. ``from_mark`` takes only records from the watermark on.
 
     A failure inserts nothing and is recorded as ``failed`` instead of raised, so that the other
     sources still load. A dry run counts and writes neither rows nor record.
@@ -130,7 +137,8 @@ def audited_load(
             records = only_runs(records)
         if mark_column:
             record["watermark_start"] = watermark(spark.table(f"`{database}`.`{table}`"), mark_column)
-            records = since(records, mark_column, record["watermark_start"])
+            if from_mark:
+                records = since(records, mark_column, record["watermark_start"])
         loaded_at = now()
         rows = CONFORM[source](records, loaded_at)
         if dry_run:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from paceforge.functions import units as u
 from paceforge.operators import aggregates, periods, quality, routes
-from paceforge.operators.joins import attach_day, hot_days, missing_keys
+from paceforge.operators.joins import attach_day, missing_keys
 from paceforge.operators.load import ewma_load
 from paceforge.operators.nearest import nearest_match
 from paceforge.operators.upsert import rescan_window, upsert
@@ -121,7 +121,7 @@ def run_recovery(spark: SparkSession, sf: str) -> DataFrame:
 
 def workout_recovery(spark: SparkSession, sf: str) -> DataFrame:
     ev = derive.events(spark, sf)
-    return int_workout_recovery(_workouts(ev), _daily(ev), "user_id")
+    return int_workout_recovery(_workouts(ev), _daily(ev))
 
 
 def training_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,11 +170,10 @@ def next_day_join(spark: SparkSession, sf: str) -> DataFrame:
     days = orders.groupBy(F.col("o_date").alias("cycle_date")).agg(
         F.count(F.lit(1)).alias("n"), (cents.cast("double") / 100.0).alias("total")
     )
-    hot = hot_days(orders, "o_date")
     same_day = {"n": "same_day_n", "total": "same_day_total"}
     next_day = {"n": "next_day_n", "total": "next_day_total"}
-    same = attach_day(orders, days, same_day, "o_date", hot=hot)
-    both = attach_day(same, days, next_day, "o_date", offset=1, hot=hot)
+    same = attach_day(orders, days, same_day, "o_date")
+    both = attach_day(same, days, next_day, "o_date", offset=1)
     return both.withColumn("delta", F.col("next_day_n") - F.col("same_day_n"))
 
 
@@ -519,9 +518,8 @@ def user_tracks(spark: SparkSession, sf: str) -> DataFrame:
         ((F.col("cents") % 1000 + 4000000).cast("double") / 100000.0).alias("lat"),
         ((F.col("k") * 7 - 7000000).cast("double") / 100000.0).alias("lng"),
     )
-    measured = routes.cumulative_distance(
-        points, ["user_id"], ["ts", "event_id"], F.unix_micros(F.col("ts"))
-    )
+    hour = F.floor(F.unix_micros(F.col("ts")) / 3_600_000_000)
+    measured = routes.cumulative_distance(points, ["user_id"], ["ts", "event_id"], hour)
     return measured.select("user_id", "event_id", *[u.settled_round(F.col(c), 3).alias(c) for c in ("distance_m", "route_m")])
 
 

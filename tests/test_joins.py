@@ -6,9 +6,10 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from paceforge.operators.joins import attach_day, hot_days, missing_keys
+from pyspark.errors import PySparkException
+
+from paceforge.operators.joins import attach_day, missing_keys
 from paceforge.operators.nearest import nearest_match
-from paceforge.operators.skew import IS_CUT, PARTS, SLICE, hot_keys, salted_left_join, slice_groups
 from paceforge.plans.recovery import int_run_recovery, int_workout_recovery
 from tests.conftest import rows
 
@@ -23,72 +24,23 @@ def test_attach_day(spark):
     assert rows(both.select("id", "same", "next")) == [(1, 60.0, 70.0), (2, None, None), (3, None, None)]
 
 
-def test_two_users_fan_out_without_a_user_key(spark):
+def test_two_users_on_a_date_need_a_user_key(spark):
     acts = spark.createDataFrame([(1, 1, DAY)], "id int, u int, d date")
     daily = spark.createDataFrame([(DAY, 1, 60.0), (DAY, 2, 70.0)], "cycle_date date, u int, score double")
-    alone = attach_day(acts, daily, {"score": "s"}, "d")
-    assert rows(alone.select("id", "s")) == [(1, 60.0), (1, 70.0)]
+    with pytest.raises(PySparkException, match="more than one day on 2024-06-01"):
+        attach_day(acts, daily, {"score": "s"}, "d").collect()
     keyed = attach_day(acts, daily, {"score": "s"}, "d", user_col="u")
     assert rows(keyed.select("id", "s")) == [(1, 60.0)]
 
 
-def test_salted_join_equals_plain_join(spark):
-    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 != 1, F.col("id") % 100).alias("k"))
-    right = spark.createDataFrame([(k, f"v{k}-{i}") for k in range(60) for i in range(1 + (k == 7))], "k long, v string")
-    hot = hot_keys(left, ["k"], rows_per_task=100)
-    assert [(r["k"], r[PARTS]) for r in hot.collect()] == [(7, 11)]
-    salted = salted_left_join(left, right, ["k"], hot)
-    assert rows(salted.select("id", "k", "v")) == rows(left.join(right, "k", "left").select("id", "k", "v"))
-    assert hot_keys(left, ["k"], rows_per_task=5000) is None
-
-
-def test_hot_days_are_shared_by_offsets(spark):
-    acts = spark.range(500).select("id", F.when(F.col("id") % 2 == 0, F.lit(DAY)).otherwise(F.date_add(F.lit(DAY), F.col("id").cast("int") % 90)).alias("d"))
-    daily = spark.range(60).select(F.date_add(F.lit(DAY), F.col("id").cast("int")).alias("cycle_date"), F.col("id").alias("v"))
-    hot = hot_days(acts, "d", rows_per_task=20)
-    assert hot.count() == 1
-    for offset in (0, 1):
-        salted = attach_day(acts, daily, {"v": "v"}, "d", offset=offset, hot=hot)
-        plain = attach_day(acts, daily, {"v": "v"}, "d", offset=offset)
-        assert rows(salted) == rows(plain)
-
-
-def test_slices_are_in_order_and_small(spark):
-    df = spark.range(4000).select(
-        F.when(F.col("id") % 4 == 0, 1).when(F.col("id") > 3950, None).otherwise(F.col("id") % 50 + 2).alias("g"),
-        # Half of the hot group lies in a hundredth of its range.
-        F.when(F.col("id") % 8 == 0, F.col("id") / 100.0).otherwise(F.col("id").cast("double")).alias("x"),
-    )
-    sliced = slice_groups(df, ["g"], F.col("x"), rows_per_task=100)
-    hot = sliced.where(IS_CUT)
-    assert {r["g"] for r in hot.select("g").distinct().collect()} == {1}
-    ranges = hot.groupBy(SLICE).agg(F.min("x"), F.max("x"), F.count("x")).orderBy(SLICE).collect()
-    assert all(a[2] < b[1] for a, b in zip(ranges, ranges[1:]))
-    assert max(r[3] for r in ranges) <= 100 and sum(r[3] for r in ranges) == 1000
-    assert {r[SLICE] for r in sliced.where(f"not {IS_CUT}").select(SLICE).distinct().collect()} == {0}
-
-
-def test_unknown_positions_come_first(spark):
-    df = spark.range(100).select(F.lit(1).alias("g"), F.when(F.col("id") > 9, F.col("id")).alias("x"))
-    sliced = slice_groups(df, ["g"], F.col("x"), rows_per_task=10)
-    assert sliced.where("x is null").select(F.max(SLICE)).first()[0] == sliced.select(F.min(SLICE)).first()[0]
-
-
-def test_one_position_is_cut_by_the_tie(spark):
-    df = spark.range(1000).select(F.lit(1).alias("g"), F.lit(5).alias("x"), "id")
-    sizes = slice_groups(df, ["g"], F.col("x"), F.col("id"), rows_per_task=50).groupBy(SLICE).count()
-    assert max(r["count"] for r in sizes.collect()) <= 50
-    assert slice_groups(df, ["g"], F.col("x"), rows_per_task=2000) is df
-
-
 def moments(rng, n, spread):
     start = datetime(2024, 6, 1)
     return [start + timedelta(seconds=rng.randrange(spread), microseconds=rng.randrange(3)) for _ in range(n)]
 
 
-@pytest.mark.parametrize("rows_per_task", [3, 40, 10**6])
-def test_nearest_equals_brute_force(spark, rows_per_task):
-    rng = random.Random(rows_per_task)
+@pytest.mark.parametrize("slice_seconds", [1, 40, 3600])
+def test_nearest_equals_brute_force(spark, slice_seconds):
+    rng = random.Random(slice_seconds)
     left = [(i, rng.choice(["a", "a", "a", "b", "c", None]), t) for i, t in enumerate(moments(rng, 300, 9000))]
     right = [(i, rng.choice(["a", "a", "a", "b", None]), t, rng.random() < 0.7) for i, t in enumerate(moments(rng, 200, 9000))]
     right += [(1000 + i, g, left[i][2], True) for i, g in enumerate("aab")]
@@ -101,7 +53,7 @@ def test_nearest_equals_brute_force(spark, rows_per_task):
         right_key="rid",
         columns={"rid": "match", "rts": "match_ts"},
         pred=F.col("ok"),
-        rows_per_task=rows_per_task,
+        slice_seconds=slice_seconds,
     )
 
     def best(group, ts):
@@ -149,16 +101,15 @@ def recovery_input(spark):
 
 def test_run_recovery(spark):
     runs, daily, workouts = recovery_input(spark)
-    for rows_per_task in (1, 10**6):
-        got = {r.run_id: r for r in int_run_recovery(runs, daily, workouts, rows_per_task=rows_per_task).collect()}
-        assert sorted(got) == [1, 2, 3]
-        first = got[1]
-        assert (first.same_day_cycle_id, first.same_day_recovery, first.same_day_strain) == (11, 50.0, 12.0)
-        assert (first.next_day_cycle_id, first.next_day_recovery_bucket, first.recovery_delta) == (12, "peak", 21.5)
-        assert (first.matched_workout_id, first.matched_high_intensity_min) == ("after", 27.0)
-        for lonely in (got[2], got[3]):
-            assert lonely.same_day_cycle_id is None and lonely.recovery_delta is None
-            assert (lonely.matched_workout_id, lonely.matched_high_intensity_min) == (None, 0.0)
+    got = {r.run_id: r for r in int_run_recovery(runs, daily, workouts).collect()}
+    assert sorted(got) == [1, 2, 3]
+    first = got[1]
+    assert (first.same_day_cycle_id, first.same_day_recovery, first.same_day_strain) == (11, 50.0, 12.0)
+    assert (first.next_day_cycle_id, first.next_day_recovery_bucket, first.recovery_delta) == (12, "peak", 21.5)
+    assert (first.matched_workout_id, first.matched_high_intensity_min) == ("after", 27.0)
+    for lonely in (got[2], got[3]):
+        assert lonely.same_day_cycle_id is None and lonely.recovery_delta is None
+        assert (lonely.matched_workout_id, lonely.matched_high_intensity_min) == (None, 0.0)
 
 
 def test_run_recovery_names(spark):
@@ -169,6 +120,9 @@ def test_run_recovery_names(spark):
 
 def test_workout_recovery(spark):
     _, daily, workouts = recovery_input(spark)
-    got = {r.workout_id: r for r in int_workout_recovery(workouts, daily).collect()}
+    daily = daily.withColumn("user_id", F.lit("u"))
+    others = daily.withColumns({"user_id": F.lit("v"), "recovery_score": F.lit(1.0)})
+    workouts = workouts.withColumn("user_id", F.lit("u"))
+    got = {r.workout_id: r for r in int_workout_recovery(workouts, daily.unionByName(others)).collect()}
     assert len(got) == 4 and got["before"].high_intensity_min == 7.0 and got["after"].high_intensity_min == 27.0
     assert got["ride"].next_day_recovery == 71.5 and got["ride"].next_day_cycle_id == 12

@@ -84,14 +84,14 @@ def position(points, p):
     return tuple(x + t * (y - x) for x, y in zip(points[low], points[high]))
 
 
-@pytest.mark.parametrize("rows_per_task", [5, 10**6])
-def test_distances_and_positions(spark, rows_per_task):
+@pytest.mark.parametrize("cut", [2, 10**6])
+def test_distances_and_positions(spark, cut):
     made = made_routes()
     points = spark.createDataFrame(
         [(run, i, *point) for run, found in made.items() for i, point in enumerate(found)],
         "run_id long, point_idx int, lat double, lng double",
     ).repartition(4)
-    measured = routes.cumulative_distance(points, rows_per_task=rows_per_task).cache()
+    measured = routes.cumulative_distance(points, cut=F.floor(F.col("point_idx") / cut)).cache()
     for run, _, distance, total in rows(
         measured.where("point_idx = 0").select("run_id", "point_idx", "distance_m", "route_m")
     ):
@@ -180,14 +180,15 @@ def test_speed_scale(spark):
     assert {r.speed_position for r in periods.speed_scale(same).collect()} == {0.0}
 
 
-@pytest.mark.parametrize("rows_per_task", [7, 10**6])
-def test_period_slots(spark, rows_per_task):
+@pytest.mark.parametrize("keys", [3, 10**6])
+def test_period_slots(spark, monkeypatch, keys):
+    monkeypatch.setattr(periods, "SLICE_KEYS", keys)
     rng = random.Random(5)
     start = date(2024, 1, 1)
     # Two thirds of a year's runs fall on one day.
     runs = [(i, "hot" if i % 3 else "rest", start + timedelta(0 if i % 3 == 1 else rng.randrange(200)), rng.choice([None, 0.0, 5.0, 30.0])) for i in range(300)]
     df = spark.createDataFrame(runs, "run_id long, g string, run_date date, moving_time_min double").repartition(3)
-    got = {r.run_id: (r.slot_start, r.slot_end) for r in periods.period_slots(df, ["g"], rows_per_task=rows_per_task).collect()}
+    got = {r.run_id: (r.slot_start, r.slot_end) for r in periods.period_slots(df, ["g"]).collect()}
     for group in ("hot", "rest"):
         done, members = 0.0, sorted((d, i, m or 1.0) for i, g, d, m in runs if g == group)
         total = sum(m for _, _, m in members)
@@ -203,8 +204,58 @@ def test_tracks_by_time(spark):
     sums = [0.0]
     for a, b in zip(points, points[1:]):
         sums.append(sums[-1] + metres(a[3:], b[3:]))
-    for rows_per_task in (4, 1000):
-        measured = routes.cumulative_distance(
-            df, ["user_id"], ["ts", "event_id"], F.unix_micros("ts"), rows_per_task=rows_per_task
-        )
+    for seconds in (1, 7, 3600):
+        cut = F.floor(F.unix_micros("ts") / (seconds * 1_000_000))
+        measured = routes.cumulative_distance(df, ["user_id"], ["ts", "event_id"], cut)
         assert [r[1] for r in rows(measured.select("event_id", "distance_m"))] == pytest.approx(sums)
+
+
+def encoded(points):
+    """A line of points in whole 1e-5 degrees."""
+    text, before = "", (0, 0)
+    for point in points:
+        for now, last in zip(point, before):
+            step = now - last
+            number = ~(step << 1) if step < 0 else step << 1
+            while number >= 32:
+                text += chr((number & 31 | 32) + 63)
+                number >>= 5
+            text += chr(number + 63)
+        before = point
+    return text
+
+
+def test_a_line_does_not_depend_on_its_neighbours(spark):
+    good = [(4000000, -7000000), (4000100, -7000300), (4010000, -6990000)]
+    far = [(1234, 0), (-1234, 18000000)] * 200
+    lines = {1: good, 2: far, 3: good, 4: [(1234, 0), (-1234, 18000000)], 5: good}
+    runs = spark.createDataFrame([(k, encoded(v)) for k, v in lines.items()], "run_id long, summary_polyline string").coalesce(1)
+    together = {(r.run_id, r.point_idx): (r.segment_m, r.distance_m, r.route_m) for r in routes.measured_routes(runs).collect()}
+    for k in lines:
+        alone = routes.measured_routes(runs.where(F.col("run_id") == k)).collect()
+        assert [together[k, r.point_idx] for r in alone] == [(r.segment_m, r.distance_m, r.route_m) for r in alone]
+        assert len(alone) == len(lines[k]) and all(r.distance_m == r.distance_m for r in alone)
+
+
+def test_one_hot_key_is_bit_equal_at_any_cut_and_partitioning(spark, monkeypatch):
+    rng = random.Random(2)
+    start = date(2024, 1, 1)
+    runs = [(i, "hot" if i % 3 == 0 else f"g{i % 40}", start + timedelta(rng.randrange(30)), rng.random() * 90) for i in range(3000)]
+    df = spark.createDataFrame(runs, "run_id long, g string, run_date date, moving_time_min double")
+    found = set()
+    for keys, parts in ((65_536, 1), (10, 7), (1, 13)):
+        monkeypatch.setattr(periods, "SLICE_KEYS", keys)
+        found.add(tuple(rows(periods.period_slots(df.repartition(parts), ["g"]).select("run_id", "slot_start", "slot_end"))))
+    assert len(found) == 1
+
+
+def test_defining_starts_no_job(spark):
+    df = spark.range(100).selectExpr("id as run_id", "'g' as g", "date'2024-01-01' as run_date", "1.0 as moving_time_min", "timestamp'2024-01-01' as ts")
+    from paceforge.operators.nearest import nearest_match
+
+    spark.sparkContext.setJobGroup("defining", "")
+    periods.period_slots(df, ["g"])
+    routes.cumulative_distance(df.selectExpr("run_id", "run_id as point_idx", "1.0 as lat", "2.0 as lng"))
+    nearest_match(df, df.withColumnRenamed("ts", "rts"), ["g"], "ts", "rts", "run_id", {"run_id": "match"})
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("defining") in ([], ())
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

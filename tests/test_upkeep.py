@@ -136,8 +136,8 @@ def test_watermark_and_since(spark):
     mark = tables.watermark(df, "end")
     assert mark == datetime(2024, 6, 2, 1, 2, 3, 4, tzinfo=timezone.utc)
     assert tables.watermark(df.where("false"), "end") is None
-    assert rows(tables.since(df, "end", mark).select("id")) == [(2,)]
-    assert rows(tables.since(df, "end", datetime(2024, 6, 1)).select("id")) == [(1,), (2,)]
+    assert rows(tables.since(df, "end", mark).select("id")) == [(2,), (3,)]
+    assert rows(tables.since(df, "end", datetime(2024, 6, 1)).select("id")) == [(1,), (2,), (3,)]
     assert tables.since(df, "end", None).count() == 3
 
 
@@ -161,9 +161,16 @@ def test_audited_load(spark, database, tmp_path):
     assert row.watermark_end == NOW and row.error_msg is None
 
     later = landed(spark, tmp_path, "cycles", {"id": 1, "user_id": 9, "end": "2024-06-01T00:00:00Z"}, {"id": 2, "user_id": 9, "end": "2024-06-02T00:00:00Z"}, {"id": 3, "user_id": 9, "end": "2024-06-03T00:00:00Z"})
-    row = tables.audited_load(spark, "cycles", later, database, now=lambda: NOW)
+    row = tables.audited_load(spark, "cycles", later, database, now=lambda: NOW, from_mark=True)
     assert row.rows_inserted == 2 and row.watermark_start == datetime(2024, 6, 2, tzinfo=timezone.utc)
 
+    # A cycle that is still running, and an older one with a new score, are part of what lands.
+    more = landed(spark, tmp_path, "cycles", {"id": 4, "user_id": 9, "start": "2024-06-04T00:00:00Z"}, {"id": 1, "user_id": 9, "end": "2024-06-01T00:00:00Z", "score": {"strain": 7.5}})
+    row = tables.audited_load(spark, "cycles", more, database, now=lambda: NOW)
+    assert (row.rows_fetched, row.rows_inserted) == (2, 2)
+    assert rows(spark.table(f"{database}.raw_cycles").where("end is null").select("id")) == [(4,)]
+    assert rows(spark.table(f"{database}.raw_cycles").where("score.strain = 7.5").select("id")) == [(1,)]
+
     runs = landed(spark, tmp_path, "runs", {"id": 5, "sport_type": "Run"}, {"id": 6, "sport_type": "Ride"})
     assert tables.audited_load(spark, "runs", runs, database).endpoint == "strava_runs"
 
@@ -173,9 +180,9 @@ def test_audited_load(spark, database, tmp_path):
     row = tables.audited_load(spark, "cycles", broken, database, now=lambda: NOW)
     assert (row.status, row.rows_inserted, row.watermark_end, row.error_msg) == ("failed", 0, None, "no landing")
     audit = spark.table(f"{database}.{AUDIT_TABLE}")
-    assert audit.count() == 4 and spark.table(f"{database}.raw_cycles").count() == 4
-    assert rows(tables.audit_summary(audit)) == [("cycles", 3, 4, 4, 1), ("strava_runs", 1, 1, 1, 0)]
-    assert tuple(tables.audit_totals(audit).first()) == (5, ["cycles"])
+    assert audit.count() == 5 and spark.table(f"{database}.raw_cycles").count() == 6
+    assert rows(tables.audit_summary(audit)) == [("cycles", 4, 6, 6, 1), ("strava_runs", 1, 1, 1, 0)]
+    assert tuple(tables.audit_totals(audit).first()) == (7, ["cycles"])
 
 
 def test_nightly_load(spark, database, tmp_path):
