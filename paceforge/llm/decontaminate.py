@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from paceforge.llm.common import chunks, strings
 
@@ -208,17 +209,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     kinds = dict(docs.select(doc_id).dtypes)[doc_id], dict(benchmark.select(item_id).dtypes)[item_id]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, coverage double, n_tiles int"
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    found = [source.mapInArrow(_finder(spark.sparkContext.broadcast(block)), schema) for block in blocks(benchmark, item_id)]
+    own = to_arrow_type(benchmark.schema[item_id].dataType)
+    found = [source.mapInArrow(_finder(spark.sparkContext.broadcast(block), own), schema) for block in blocks(benchmark, item_id)]
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
 
-def _finder(held):
+def _finder(held, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = held.value
         for piece in chunks(batches):
             found = items.contained(strings(piece.column(1)))
             ids = piece.column(0).take(pa.array([f[0] for f in found], pa.int64()))
-            own = pa.array([items.ids[f[1]] for f in found])
+            own = pa.array([items.ids[f[1]] for f in found], kind)
             yield pa.RecordBatch.from_arrays([ids, own, pa.array([f[2] for f in found], pa.float64()), pa.array([f[3] for f in found], pa.int32())], ["doc_id", "item_id", "coverage", "n_tiles"])
 
     return run

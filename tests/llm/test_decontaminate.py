@@ -102,6 +102,14 @@ def test_blocks_change_nothing(spark, monkeypatch):
     assert d.clean(*frames).count() == 0
 
 
+def test_steps_with_and_without_matches(spark, monkeypatch):
+    monkeypatch.setattr("paceforge.llm.common.CHUNK_ROWS", 2)
+    docs = [(k, "this is the item with seven words" if k % 10 == 3 else f"text {k}") for k in range(40)]
+    items = spark.createDataFrame([(1, "this is the item with seven words")], ITEMS)
+    got = d.contaminated(spark.createDataFrame(docs, DOCS).coalesce(1), items).collect()
+    assert sorted(r.doc_id for r in got) == [3, 13, 23, 33]
+
+
 def test_empty(spark):
     docs, items = spark.createDataFrame([(1, "a b c d e f")], DOCS), spark.createDataFrame([(1, "a b c d e f")], ITEMS)
     assert d.contaminated(docs.limit(0), items).collect() == []
