@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from paceforge.functions.units import ColumnLike, column, settled_round
 
 
-def by_day(user: str = "user_id", day: str = "cycle_date") -> WindowSpec:
-    return Window.partitionBy(user).orderBy(day)
+def by_day(user: str = "user_id", day: str = "cycle_date", *ties: str) -> WindowSpec:
+    """Days of a user in order; ``ties`` put the rows of one day in order where it can have more than one."""
+    return Window.partitionBy(user).orderBy(day, *ties)
 
 
 def rolling_avg(c: ColumnLike, window: WindowSpec, rows: int, digits: int) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,10 +29,10 @@ def rescan_window(
 
 
 def sync_columns(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Target rows in the columns of the source: new ones are NULL, and others are dropped."""
+    """Target rows in the columns and types of the source: new ones are NULL, and others are dropped."""
     return target.select(
         *[
-            F.col(f.name) if f.name in target.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            (F.col(f.name) if f.name in target.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in source.schema
         ]
     )
@@ -51,60 +53,89 @@ def read_mart(spark: SparkSession, table: str) -> DataFrame:
 
 
 def merge_mart(
-    source: DataFrame, table: str, key: str, date_col: str, days: int = RESCAN_DAYS
+    source: DataFrame, table: str, key: str, date_col: str, days: int | None = RESCAN_DAYS, version: str | None = None
 ) -> None:
     """Merge the rescan window of ``source`` into a mart table that is partitioned by month.
 
     The first call builds the table. Later ones find the months that hold changed rows, merge those
     months only into a staging table, and put them in place from there; nothing reads and overwrites
-    the same files. The staging table is dropped last: if a merge stops half-way, the next call
-    finishes it before it looks at the newest date of the mart. A change of columns rewrites the
+    the same files. Staging tables have a name of their own for every attempt and are dropped last: if a merge stops
+    half-way, the next call finishes it before it looks at the newest date of the mart, and files that a stopped
+    attempt has left block nothing. A change of columns or of their types rewrites the
     whole table. The list of months that comes to the driver is bounded by the calendar.
+
+    A key that is twice in the window is an error. ``days=None`` takes all of ``source``. With ``version``, a row
+    stays if its version is newer than the one that comes.
     """
     spark = source.sparkSession
     _finish(spark, table, key)
+    attempt = uuid.uuid4().hex[:12]
     if not spark.catalog.tableExists(table):
-        with_month(source, date_col).write.partitionBy(MONTH).saveAsTable(table)
+        _refuse_repeats(source, key)
+        by_month = with_month(source, date_col).hint("rebalance", MONTH)
+        place = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '__')}__built_{attempt}"
+        by_month.write.partitionBy(MONTH).option("path", place).saveAsTable(table)
         return
 
     target = read_mart(spark, table)
-    window = with_month(rescan_window(source, target, date_col, days), date_col)
-    window.write.mode("overwrite").saveAsTable(_changes(table))
-    changed, current = spark.table(_changes(table)), spark.table(table)
-
-    if set(source.columns) == set(target.columns):
+    window = source if days is None else rescan_window(source, target, date_col, days)
+    changes, staged = f"{table}__changes_{attempt}", f"{table}__staged_{attempt}"
+    if version:
+        held = target.select(F.col(key).alias("__key"), F.col(version).alias("__version"))
+        older = F.col("__version").isNull() | (F.col(version) >= F.col("__version"))
+        window = window.join(held, F.col(key) == F.col("__key"), "left").where(older).select(*source.columns)
+    with_month(window, date_col).write.saveAsTable(changes)
+    changed, current = spark.table(changes), spark.table(table)
+    try:
+        _refuse_repeats(changed, key)
+    except ValueError:
+        spark.sql(f"DROP TABLE {changes}")
+        raise
+    if _columns(source) == _columns(target):
         touched = _months(changed).union(_months_of_keys(current, changed, key)).distinct()
         months = [row[0] for row in touched.collect()]
         if not months:
+            spark.sql(f"DROP TABLE {changes}")
             return
         current = current.where(F.col(MONTH).isin(*months))
-    upsert(current, changed, key).write.partitionBy(MONTH).saveAsTable(_staged(table))
+    upsert(current, changed, key).hint("rebalance", MONTH).write.partitionBy(MONTH).saveAsTable(staged)
     _finish(spark, table, key)
 
 
-def _changes(table: str) -> str:
-    return f"{table}__changes"
+def _columns(df: DataFrame) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in df.schema}
 
 
-def _staged(table: str) -> str:
-    return f"{table}__staged"
+def _refuse_repeats(source: DataFrame, key: str) -> None:
+    """An error if a key is there twice: which of the rows should stay?"""
+    found = source.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > 1).select(key).first()
+    if found:
+        raise ValueError(f"{key} {found[0]} is in the source more than once")
+
+
+def _attempts(spark: SparkSession, table: str, kind: str) -> list[str]:
+    """Tables of that kind that merges into ``table`` have left."""
+    database, _, name = table.rpartition(".")
+    of = [database] if database else []
+    found = [t.name for t in spark.catalog.listTables(*of, pattern=f"{name}__{kind}_*")]
+    return [f"{database}.{t}" if database else t for t in found]
 
 
 def _finish(spark: SparkSession, table: str, key: str) -> None:
     """Put a staged merge in place, if there is one. Doing it twice changes nothing."""
-    if not spark.catalog.tableExists(_staged(table)):
-        return
-    staged = spark.table(_staged(table))
-    same_columns = spark.catalog.tableExists(table) and set(spark.table(table).columns) == set(staged.columns)
-    if same_columns:
-        _overwrite_months(staged.select(*spark.table(table).columns), table)
-        # A month that still holds changed keys but is not staged has lost its last row.
-        holding = _months_of_keys(spark.table(table), spark.table(_changes(table)), key)
-        for row in holding.join(_months(staged).distinct(), MONTH, "left_anti").distinct().collect():
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{row[0]}')")
-    else:
-        staged.write.mode("overwrite").partitionBy(MONTH).saveAsTable(table)
-    spark.sql(f"DROP TABLE {_staged(table)}")
+    for name in _attempts(spark, table, "staged"):
+        staged, changes = spark.table(name), name.replace("__staged_", "__changes_")
+        if _columns(spark.table(table)) == _columns(staged):
+            _overwrite_months(staged.select(*spark.table(table).columns), table)
+            # A month that still holds changed keys but is not staged has lost its last row.
+            stale = _months_of_keys(spark.table(table), spark.table(changes).select(key), key)
+            for row in stale.join(_months(staged).distinct(), MONTH, "left_anti").distinct().collect():
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{row[0]}')")
+        else:
+            staged.write.mode("overwrite").partitionBy(MONTH).saveAsTable(table)
+        spark.sql(f"DROP TABLE {name}")
+    for name in _attempts(spark, table, "changes"):
+        spark.sql(f"DROP TABLE {name}")
 
 
 def _months(df: DataFrame) -> DataFrame:

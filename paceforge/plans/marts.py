@@ -50,6 +50,7 @@ def stamp(df: DataFrame, now: datetime | Column | None = None) -> DataFrame:
 def my_trends(daily: DataFrame) -> DataFrame:
     """Daily values with rolling averages and day-over-day differences."""
     days = daily.where(F.col("cycle_date").isNotNull()).select(
+        "cycle_id",
         "cycle_date",
         "user_id",
         "strain_score",
@@ -63,9 +64,9 @@ def my_trends(daily: DataFrame) -> DataFrame:
         "recovery_bucket",
         "sleep_quality_label",
     )
-    window = rolling.by_day()
+    window = rolling.by_day("user_id", "cycle_date", "cycle_id")
     return days.select(
-        "*",
+        *[c for c in days.columns if c != "cycle_id"],
         *[rolling.rolling_avg(c, window, rows, digits).alias(out) for c, out, rows, digits in TREND_AVERAGES],
         *[rolling.delta_prev(c, window).alias(out) for c, out in TREND_DELTAS],
     )

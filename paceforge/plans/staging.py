@@ -13,7 +13,7 @@ from paceforge.operators.versions import latest_version
 
 
 # Versions of a record that were loaded at one instant are told apart by these columns: those that
-# later models join and filter on, and the main value. A scored version goes before an unscored one.
+# later models join and filter on, and the main value, and then by a hash of the whole row.
 _TIES = {
     "cycles": ("strain_score", "score_state", "cycle_start", "cycle_end"),
     "recoveries": ("updated_at", "recovery_score", "score_state"),
@@ -24,8 +24,9 @@ _TIES = {
 
 
 def _latest(df: DataFrame, key: str, kind: str) -> DataFrame:
-    """Latest version; unlike a hash of the whole row, the ties leave other columns unread."""
-    return latest_version(df, [key], tiebreak=[F.col(c).desc_nulls_last() for c in _TIES[kind]])
+    """Latest version, the same whatever the order of the rows."""
+    named = [F.col(c).desc_nulls_last() for c in _TIES[kind]]
+    return latest_version(df, [key], tiebreak=[*named, F.xxhash64(*df.columns)])
 
 
 def unpack(df: DataFrame, columns: Mapping[str, str | Column]) -> DataFrame:

@@ -77,13 +77,16 @@ def json_document(
     lines = df.select(row.alias("__row"), *sort)
     sort_names = [f"__sort_{i}" for i in range(len(order))]
 
-    # Commas stand in front of all rows but the first, which is found by its place in the order.
-    facts = lines.agg(
-        F.min(F.struct(*sort_names, "__row")).alias("first"), F.count(F.lit(1)).alias("rows")
+    # Commas stand in front of all rows but the first, which is found by its place in the order; equal rows are
+    # told apart by a number.
+    once = lines.groupBy(*sort_names, "__row").agg(F.count(F.lit(1)).alias("__times"))
+    facts = once.agg(
+        F.min(F.struct(*sort_names, "__row")).alias("first"), F.coalesce(F.sum("__times"), F.lit(0)).alias("rows")
     )
     known = facts.select(F.struct("first", "rows")).scalar()
-    is_first = F.struct(*sort_names, "__row") == known["first"]
-    body = lines.select(
+    copies = once.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))))
+    is_first = (F.struct(*sort_names, "__row") == known["first"]) & (F.col("__copy") == 1)
+    body = copies.select(
         F.lit(1).alias("__part"),
         *sort_names,
         F.concat(F.when(is_first, " ").otherwise(","), "__row").alias("value"),
@@ -127,6 +130,19 @@ def weekly_document(weekly: DataFrame, now: datetime, description: str = WEEKLY_
     return json_document(weekly, WEEKLY_COLUMNS, order, now, "row_count", "rows", description)
 
 
+def parsed_document(document: DataFrame, rows: T.StructType, count_name: str) -> DataFrame:
+    """Rows of a document from its own lines, each with the head's time and count."""
+    line = F.col("value")
+    head = document.where(line.startswith('{"generated_at"')).select(
+        F.from_json(F.concat(line, F.lit("]}")), f"generated_at string, {count_name} bigint").alias("head")
+    )
+    known = head.scalar()
+    body = document.where(line.startswith(",") | line.startswith(" "))
+    return body.select(F.from_json(F.substring(line, F.lit(2), F.length(line)), rows).alias("row")).select(
+        "row.*", known["generated_at"].alias("generated_at"), known[count_name].alias(count_name)
+    )
+
+
 def write_document(document: DataFrame, path: str) -> None:
     document.write.mode("overwrite").text(path)
 

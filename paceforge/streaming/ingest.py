@@ -48,10 +48,14 @@ def stream_to_table(stream: DataFrame, table: str, checkpoint: str) -> Streaming
 def stream_to_mart(
     stream: DataFrame, table: str, key: str, date_col: str, checkpoint: str, order: str = "loaded_at"
 ) -> StreamingQuery:
-    """Merge each batch into a mart. A batch that is replayed merges to the same rows."""
+    """Merge each batch into a mart. A batch that is replayed merges to the same rows.
+
+    A stream shows a row once, so late rows are merged however old they are, and a version only takes the place of one
+    that isn't newer.
+    """
 
     def merge(batch: DataFrame, _: int) -> None:
-        merge_mart(latest_version(batch, [key], order), table, key, date_col)
+        merge_mart(latest_version(batch, [key], order), table, key, date_col, days=None, version=order)
 
     return (
         stream.writeStream.foreachBatch(merge)

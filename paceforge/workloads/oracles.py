@@ -684,3 +684,30 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["route_point_lengths"] = ORACLES["route_lengths"]
 ORACLES["route_point_summary"] = ORACLES["route_summary"]
+
+
+def _document(rows: str, count: str) -> str:
+    """Rows of an export with the head's time and count, as the document of NOW has them."""
+    return f"SELECT d.*, '2024-02-01T00:00:00+00:00' AS generated_at, count(*) OVER () AS {count} FROM ({rows}) d"
+
+
+ORACLES["export_document"] = _document(ORACLES["export_daily_load"], "row_count")
+# The flag comes back as a JSON truth value.
+ORACLES["export_weekly_document"] = _document(ORACLES["export_weekly"], "row_count")
+ORACLES["export_runs_document"] = _document(ORACLES["export_runs"], "run_count")
+ORACLES["late_and_running"] = _with(
+    EV, CYCLES,
+    """late AS (
+  SELECT *, event_type <> 'error' AND user_id % 2 = 0 AS again, event_type <> 'error' AND user_id % 2 = 0 AND user_id % 3 = 0 AS running
+  FROM cyc_versions),
+versions AS (
+  SELECT cycle, seen AS cycle_end, CASE WHEN event_type <> 'error' THEN cents % 2101 / 100.0 END AS strain,
+         seen AS loaded_at, CASE WHEN event_type = 'error' THEN 'PENDING_SCORE' ELSE 'SCORED' END AS state FROM late
+  UNION ALL
+  SELECT cycle, CASE WHEN NOT running THEN seen END, cents % 2101 / 100.0 + 1, TIMESTAMP '2024-02-01', 'SCORED' FROM late WHERE again),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY cycle ORDER BY loaded_at DESC, strain DESC NULLS LAST, state DESC, cycle_end DESC NULLS LAST) AS n FROM versions)""",
+    select="SELECT cycle AS cycle_id, epoch_us(cycle_end) AS cycle_end, strain AS strain_score, epoch_us(loaded_at) AS loaded_at,"
+    " (SELECT count(*) FROM late WHERE again AND (running OR seen >= (SELECT max(seen) FROM late))) AS rows_from_mark"
+    " FROM best WHERE n = 1",
+)

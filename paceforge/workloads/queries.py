@@ -567,9 +567,47 @@ def export_weekly(spark: SparkSession, sf: str) -> DataFrame:
     return export.export_rows(weekly_summary(spark, sf), export.WEEKLY_COLUMNS)
 
 
+def _parsed(document: DataFrame, rows: DataFrame, columns: list[str], count: str) -> DataFrame:
+    return export.parsed_document(document, export.export_rows(rows, columns).schema, count)
+
+
 def export_document(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines of the JSON document of the daily load."""
-    return export.daily_load_document(training_load(spark, sf), NOW)
+    """The JSON document of the daily load, parsed from its lines."""
+    load = training_load(spark, sf)
+    return _parsed(export.daily_load_document(load, NOW), load, export.DAILY_LOAD_COLUMNS, "row_count")
+
+
+def export_weekly_document(spark: SparkSession, sf: str) -> DataFrame:
+    """The JSON document of the weekly summary, parsed from its lines."""
+    weekly = weekly_summary(spark, sf)
+    return _parsed(export.weekly_document(weekly, NOW), weekly, export.WEEKLY_COLUMNS, "row_count")
+
+
+def export_runs_document(spark: SparkSession, sf: str) -> DataFrame:
+    """The JSON document of the runs, parsed from its lines."""
+    runs = run_recovery(spark, sf)
+    return _parsed(export.runs_document(runs, NOW), runs, export.RUN_COLUMNS, "run_count")
+
+
+def late_and_running(spark: SparkSession, sf: str) -> DataFrame:
+    """Cycles after a second load that brings running ones, without an end, and older ones with a new score."""
+    ev = derive.events(spark, sf)
+    first = derive.raw_cycles(ev)
+    running = F.col("user_id") % 3 == 0
+    later = first.where((F.col("user_id") % 2 == 0) & (F.col("score_state") == "SCORED")).select(
+        *[
+            {
+                "end": F.when(~running, F.col("end")).alias("end"),
+                "score": F.col("score").withField("strain", F.col("score.strain") + 1).alias("score"),
+                "loaded_at": F.lit(NOW).alias("loaded_at"),
+            }.get(c, F.col(c))
+            for c in first.columns
+        ]
+    )
+    mark = tables.watermark(first, "end")
+    since = tables.since(later, "end", mark).agg(F.count(F.lit(1))).scalar()
+    latest = staging.stg_raw_cycles(first.unionByName(later))
+    return latest.select("cycle_id", "cycle_end", "strain_score", "loaded_at", since.alias("rows_from_mark"))
 
 
 _ALL: tuple[Query, ...] = (
@@ -630,6 +668,9 @@ _ALL: tuple[Query, ...] = (
     export_daily_load,
     export_weekly,
     export_document,
+    export_weekly_document,
+    export_runs_document,
+    late_and_running,
 )
 
 

@@ -21,8 +21,3 @@ def test_query(spark, tables, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
-
-
-def test_document_query(spark):
-    lines = [r.value for r in entry.queries()["export_document"](spark, SF_DIR).collect()]
-    assert len(lines) == entry.entry(spark).count() + 2

@@ -2,6 +2,7 @@
 
 import json
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from paceforge.operators import quality
 from paceforge.operators import upsert as upsert_module
 from paceforge.operators.upsert import MONTH, merge_mart, read_mart, rescan_window, sync_columns, upsert
-from paceforge.plans import marts
+from paceforge.plans import marts, staging
 from paceforge.sources import export, tables
 from paceforge.sources.schemas import AUDIT_TABLE, RAW_TABLES, landing_schema
 from paceforge.streaming import ingest
@@ -114,6 +115,80 @@ def test_merge_into_an_empty_mart_takes_nothing(spark, database):
     assert read_mart(spark, table).count() == 0
 
 
+def test_files_of_a_stopped_merge_block_nothing(spark, database, monkeypatch):
+    table = f"{database}.fact"
+    merge_mart(mart(spark, (1, DAY, "a")), table, "id", "d")
+    plain = upsert_module.upsert
+
+    def stops(*args):
+        broken = plain(*args)
+        return broken.withColumn("v", F.when(F.col("id") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+
+    monkeypatch.setattr(upsert_module, "upsert", stops)
+    with pytest.raises(PySparkException):
+        merge_mart(mart(spark, (2, DAY, "b")), table, "id", "d")
+    monkeypatch.undo()
+    where = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").first()[1].removeprefix("file:")
+    for name in ("fact__staged", "fact__changes"):
+        (Path(where) / name).mkdir(parents=True, exist_ok=True)
+    merge_mart(mart(spark, (2, DAY, "b")), table, "id", "d")
+    assert rows(read_mart(spark, table)) == [(1, DAY, "a"), (2, DAY, "b")]
+    assert [t.name for t in spark.catalog.listTables(database)] == ["fact"]
+
+
+def test_repeated_keys_are_refused(spark, database):
+    table = f"{database}.fact"
+    twice = mart(spark, (1, DAY, "a"), (1, DAY, "b"), (None, DAY, "c"), (None, DAY, "d"))
+    with pytest.raises(ValueError, match="id 1 is in the source more than once"):
+        merge_mart(twice, table, "id", "d")
+    merge_mart(twice.where("v <> 'b'"), table, "id", "d")
+    with pytest.raises(ValueError):
+        merge_mart(twice, table, "id", "d")
+    merge_mart(mart(spark, (1, DAY, "e")), table, "id", "d")
+    assert rows(read_mart(spark, table).where("id = 1")) == [(1, DAY, "e")]
+
+
+def test_a_changed_type_is_followed(spark, database):
+    table = f"{database}.fact"
+    merge_mart(mart(spark, (1, DAY, "5"), (2, DAY - timedelta(40), "6")), table, "id", "d")
+    merge_mart(spark.createDataFrame([(1, DAY, 7.5)], "id long, d date, v double"), table, "id", "d")
+    assert dict(read_mart(spark, table).dtypes)["v"] == "double"
+    assert rows(read_mart(spark, table)) == [(1, DAY, 7.5), (2, DAY - timedelta(40), 6.0)]
+
+
+def test_late_rows_of_a_stream_are_merged(spark, database):
+    table = f"{database}.fact"
+    fact = lambda *r: spark.createDataFrame(r, "id long, d date, v string, loaded_at timestamp")
+    early, late = datetime(2024, 6, 1), datetime(2024, 6, 2)
+    merge_mart(fact((1, DAY, "a", late), (2, DAY, "newer", late)), table, "id", "d")
+    merge_mart(fact((2, DAY, "older", early), (3, DAY - timedelta(30), "late", early)), table, "id", "d", days=None, version="loaded_at")
+    assert rows(read_mart(spark, table).select("id", "v")) == [(1, "a"), (2, "newer"), (3, "late")]
+
+
+def test_a_repeated_first_row_keeps_the_document_valid(spark):
+    load = spark.createDataFrame([(DAY, 1, 2.5), (DAY, 1, 2.5), (DAY + timedelta(1), 1, 3.5)], "cycle_date date, user_id long, daily_tss double")
+    columns = ["cycle_date", "user_id", "daily_tss"]
+    lines = export.json_document(load, columns, [F.col("cycle_date"), F.col("user_id")], NOW, "row_count", "rows")
+    found = json.loads("\n".join(r.value for r in lines.collect()))
+    assert [r["daily_tss"] for r in found["rows"]] == [2.5, 2.5, 3.5] and found["row_count"] == 3
+    parsed = export.parsed_document(lines, export.export_rows(load, columns).schema, "row_count")
+    assert rows(parsed.select("daily_tss", "row_count")) == [(2.5, 3), (2.5, 3), (3.5, 3)]
+    empty = export.json_document(load.limit(0), columns, [F.col("cycle_date")], NOW, "row_count", "rows")
+    assert json.loads("\n".join(r.value for r in empty.collect()))["rows"] == []
+
+
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    ev = derive.events(spark, "/root/testdata/sf0.001")
+    raw = derive.raw_cycles(ev).where("score is not null").limit(200).cache()
+    twin = raw.withColumn("score", F.col("score").withField("kilojoule", F.col("score.kilojoule") + 1))
+    found = {tuple(rows(staging.stg_raw_cycles(a.unionByName(b).repartition(n)))) for a, b, n in ((raw, twin, 1), (twin, raw, 5), (twin, raw, 3))}
+    assert len(found) == 1
+    days = spark.createDataFrame([(c, 1, DAY, float(c % 7)) for c in range(40)], "cycle_id long, user_id long, cycle_date date, strain_score double")
+    rest = "recovery_score sleep_performance_pct total_sleep_hours hrv_rmssd_milli resting_heart_rate sws_hours rem_hours".split()
+    days = days.withColumns({c: F.col("strain_score") for c in rest} | {c: F.lit("x") for c in ("recovery_bucket", "sleep_quality_label")})
+    assert len({tuple(rows(marts.my_trends(days.repartition(n)))) for n in (1, 3, 7)}) == 1
+
+
 def test_raw_tables(spark, database):
     for name in RAW_TABLES:
         tables.ensure_table(spark, name, database)
