@@ -69,8 +69,21 @@ def check_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def check_model(df: DataFrame, model: str) -> DataFrame:
-    """All checks of one model."""
-    checks = [check_not_null(df, NOT_NULL[model])]
-    checks += [check_unique(df, keys[model]) for keys in (UNIQUE, GRAIN) if model in keys]
-    results = reduce(DataFrame.unionByName, checks)
-    return results.select(F.lit(model).alias("model"), "check", "columns", "failures")
+    """All checks of one model in one pass: rows and NULLs per key, then their totals."""
+    key, columns = UNIQUE.get(model) or GRAIN[model], NOT_NULL[model]
+    places = [f"__null_{i}" for i in range(len(columns))]
+    per_key = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.count_if(F.col(c).isNull()).alias(place) for c, place in zip(columns, places)],
+    )
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+    totals = per_key.agg(
+        F.count_if(present & (F.col("__rows") > 1)).alias("__repeated"),
+        *[F.coalesce(F.sum(place), F.lit(0)).alias(place) for place in places],
+    )
+    results = [("not_null", c, place) for c, place in zip(columns, places)] + [("unique", ", ".join(key), "__repeated")]
+    shown = [
+        F.struct(F.lit(check).alias("check"), F.lit(names).alias("columns"), F.col(place).alias("failures"))
+        for check, names, place in results
+    ]
+    return totals.select(F.inline(F.array(*shown))).select(F.lit(model).alias("model"), "check", "columns", "failures")

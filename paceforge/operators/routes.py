@@ -17,9 +17,11 @@ from paceforge.operators.running import SLICE, previous_row, running_sum
 SLICE_POINTS, DECODED_BYTES = 4_096, 1_000_000
 
 
-def decoded_routes(runs: DataFrame, key: str = "run_id", line: str = "summary_polyline") -> DataFrame:
-    """Every run that has a line, with its points as arrays and a flag for a bad line."""
-    return _decoded(runs, key, line, {"lats": "array<double>", "lngs": "array<double>"})
+def decoded_routes(
+    runs: DataFrame, key: str = "run_id", line: str = "summary_polyline", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Every run that has a line, with its points as arrays and a flag for a bad line; ``keep`` names other columns."""
+    return _decoded(runs, key, line, {"lats": "array<double>", "lngs": "array<double>"}, keep)
 
 
 def measured_routes(runs: DataFrame, key: str = "run_id", line: str = "summary_polyline") -> DataFrame:
@@ -50,9 +52,9 @@ def measured_routes(runs: DataFrame, key: str = "run_id", line: str = "summary_p
     )
 
 
-def _decoded(runs: DataFrame, key: str, line: str, arrays: Mapping[str, str]) -> DataFrame:
-    lined = runs.where(F.col(line).isNotNull() & (F.col(line) != "")).select(key, line)
-    names = [key, *arrays, "failed"]
+def _decoded(runs: DataFrame, key: str, line: str, arrays: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    lined = runs.where(F.col(line).isNotNull() & (F.col(line) != "")).select(key, line, *keep)
+    names = [key, *arrays, "failed", *keep]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in _bounded(whole)):
@@ -60,11 +62,12 @@ def _decoded(runs: DataFrame, key: str, line: str, arrays: Mapping[str, str]) ->
             columns = [lats, lngs]
             if "distances" in arrays:
                 columns += line_distances(lats, lngs)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, failed], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, failed, *batch.columns[2:]], names=names)
 
     fields = ", ".join(f"{name} {kind}" for name, kind in arrays.items())
     key_type = lined.schema[key].dataType.simpleString()
-    return lined.mapInArrow(decode, f"`{key}` {key_type}, {fields}, failed boolean")
+    kept = "".join(f", `{c}` {lined.schema[c].dataType.simpleString()}" for c in keep)
+    return lined.mapInArrow(decode, f"`{key}` {key_type}, {fields}, failed boolean{kept}")
 
 
 def _bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -224,6 +227,20 @@ def bounds(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return points.groupBy(*keys).agg(*_box())
 
 
+def bounds_of_routes(decoded: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The same from decoded routes: each route gives its own box, and no point becomes a row."""
+    boxes = decoded.where(F.size("lats") > 0).select(
+        *keys,
+        *[pick(f"{axis}s").alias(f"{name}_{axis}") for name, pick in {"min": F.array_min, "max": F.array_max}.items() for axis in ("lat", "lng")],
+    )
+    return boxes.groupBy(*keys).agg(
+        F.min("min_lat").alias("min_lat"),
+        F.min("min_lng").alias("min_lng"),
+        F.max("max_lat").alias("max_lat"),
+        F.max("max_lng").alias("max_lng"),
+    )
+
+
 def centroid(points: DataFrame) -> DataFrame:
     """Mean of all points, as one row."""
     return points.agg(F.avg("lat").alias("lat"), F.avg("lng").alias("lng"))

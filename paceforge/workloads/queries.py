@@ -542,9 +542,8 @@ def route_point_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 def route_bounds(spark: SparkSession, sf: str) -> DataFrame:
     """Bounding box of the routes of each day."""
-    points = _route_points(spark, sf)
-    ev = derive.events(spark, sf).select(F.col("event_id").alias("run_id"), "d")
-    return routes.bounds(points.join(ev, "run_id"), ["d"])
+    runs = _lined(spark, sf).withColumn("d", F.to_date("start_date"))
+    return routes.bounds_of_routes(routes.decoded_routes(runs, keep=["d"]), ["d"])
 
 
 def route_centroid(spark: SparkSession, sf: str) -> DataFrame:

@@ -141,6 +141,8 @@ def test_summary_bounds_and_centroid(spark):
             len(found), *found[0], *middle, *found[-1], min(lats), min(lngs), max(lats), max(lngs)
         )
     every = [p for found in made.values() for p in found]
+    decoded = points.groupBy("run_id").agg(F.collect_list("lat").alias("lats"), F.collect_list("lng").alias("lngs"))
+    assert tuple(routes.bounds_of_routes(decoded).first()) == tuple(routes.bounds(points).first())
     assert tuple(routes.bounds(points).first()) == (
         min(p[0] for p in every), min(p[1] for p in every), max(p[0] for p in every), max(p[1] for p in every)
     )
