@@ -31,7 +31,7 @@ DEPTH = 256
 
 # fixed values: HTML's own names
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea xmp iframe noembed noframes noscript template svg math select option button object".split())
+RAW = set("script style title textarea xmp iframe noembed noframes noscript template svg select option button object".split())
 BLOCK = set(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -46,6 +46,7 @@ NOISE_NAMES = set(
     "signup login share sharing social related recommended breadcrumb breadcrumbs pagination pager comment comments disqus reply replies "
     "respond popup modal overlay toolbar skip copyright disclaimer".split()
 )
+ABOUT = {"has", "with", "no", "without", "is", "not"}
 CLOSES = {"li": ("li", {"ul", "ol", "menu", "dir"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}), "tr": ("tr", {"table"})}
 
 TOKEN = re.compile(
@@ -75,7 +76,11 @@ def _furniture(tag: str, attributes: dict[str, str], inside: int) -> bool:
     """Whether the element names itself as something beside the main text."""
     if tag in ("html", "body", "main"):
         return False
-    names = set(WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+    names: set[str] = set()
+    for token in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        parts = WORD.findall(token)
+        if parts and parts[0] not in ABOUT:  # "has-sidebar" is no sidebar
+            names.update(parts)
     if tag == "article":
         return bool(names & {"comment", "comments", "reply"})
     if tag in NOISE_TAGS or names & NOISE_NAMES or attributes.get("role", "").lower() in NOISE_ROLES:

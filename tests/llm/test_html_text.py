@@ -30,6 +30,7 @@ def test_pages_that_are_broken_or_odd():
     assert main_text("<p>one<!-- <p>two") == "one"
     assert main_text('<body class="has-sidebar"><p>in</p><div hidden>no</div></body>') == "in"
     assert main_text("</p></div>x<i>y</i>z") == "xyz"
+    assert main_text('<div class="content with-sidebar no-ads"><p>kept</p><div class="side-bar sidebar-left">no</div></div>') == "kept"
 
 
 def site(n, shared="Same words on every page"):
