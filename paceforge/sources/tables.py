@@ -79,6 +79,31 @@ def append_raw(df: DataFrame, table: str, database: str = "default") -> int:
     return rows.get["rows"]
 
 
+def required_gaps(df: DataFrame, table: str) -> DataFrame:
+    """Rows without a value in each required column of a raw table, in one pass."""
+    names = [f.name for f in raw_schema(table).fields if not f.nullable]
+    counts = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in names])
+    pairs = [F.struct(F.lit(name).alias("column"), F.col(name).alias("missing")) for name in names]
+    return counts.select(F.lit(table).alias("table"), F.inline(F.array(*pairs)))
+
+
+def audit_record(rows: DataFrame, source: str, run_id: str, started_at: datetime, ended_at: datetime) -> DataFrame:
+    """The audit record of a load of ``rows``, as one row of the audit table's columns."""
+    mark = SOURCES[source][1]
+    counted = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.col(mark).cast("timestamp")).alias("mark"))
+    values = {
+        "run_id": F.lit(run_id),
+        "endpoint": F.lit(AUDIT_NAMES.get(source, source)),
+        "started_at": F.lit(started_at),
+        "ended_at": F.lit(ended_at),
+        "rows_fetched": F.col("n"),
+        "rows_inserted": F.col("n"),
+        "watermark_end": F.col("mark"),
+        "status": F.lit("success"),
+    }
+    return counted.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in raw_schema(AUDIT_TABLE)])
+
+
 def watermark(df: DataFrame, column: str) -> datetime | None:
     """Highest value of ``column`` as an aware UTC time, or None for an empty table."""
     micros = df.agg(F.unix_micros(F.max(F.col(column).cast("timestamp")))).first()[0]

@@ -711,3 +711,25 @@ best AS (
     " (SELECT count(*) FROM late WHERE again AND (running OR seen >= (SELECT max(seen) FROM late))) AS rows_from_mark"
     " FROM best WHERE n = 1",
 )
+
+_MARKS = """marks AS (
+  SELECT 'cycles' AS source, max(ts) AS w, (SELECT count(*) FROM (SELECT 1 FROM ev GROUP BY cycle, user_id, d, event_type)) AS n FROM ev
+  UNION ALL SELECT 'sleeps', max(ts), count(*) FROM ev
+  UNION ALL SELECT 'recoveries', max(ts), (SELECT count(*) FROM (SELECT 1 FROM ev WHERE event_type <> 'error' GROUP BY cycle, user_id, event_type))
+    FROM ev WHERE event_type <> 'error'
+  UNION ALL SELECT 'workouts', max(ts + to_minutes(k)), count(*) FROM ev
+  UNION ALL SELECT 'runs', max(ts), count(*) FROM ev)"""
+ORACLES["source_watermarks"] = _with(EV, _MARKS, select="SELECT source, epoch_us(w) AS watermark FROM marks")
+ORACLES["audit_records"] = _with(
+    EV, _MARKS,
+    select="SELECT concat('run-', source) AS run_id, CASE source WHEN 'runs' THEN 'strava_runs' ELSE source END AS endpoint,"
+    " epoch_us(TIMESTAMP '2024-02-01') AS started_at, epoch_us(TIMESTAMP '2024-02-01') AS ended_at, n AS rows_fetched, n AS rows_inserted,"
+    " CAST(NULL AS BIGINT) AS watermark_start, epoch_us(w) AS watermark_end, 'success' AS status, CAST(NULL AS VARCHAR) AS error_msg FROM marks",
+)
+ORACLES["required_gaps"] = _with(
+    EV,
+    "gaps AS (SELECT count(*) FILTER (event_type = 'error') AS n FROM ev)",
+    select="""SELECT 'raw_sleeps' AS "table", unnest(['id', 'user_id', 'loaded_at']) AS "column", unnest([0, n, n]) AS missing FROM gaps
+UNION ALL SELECT 'raw_workouts', unnest(['id', 'user_id', 'loaded_at']), unnest([0, n, n]) FROM gaps
+UNION ALL SELECT 'raw_strava_runs', unnest(['id', 'loaded_at']), unnest([0, n]) FROM gaps""",
+)

@@ -369,6 +369,42 @@ def high_water_marks(spark: SparkSession, sf: str) -> DataFrame:
     return ev.agg(F.max("ts").alias("watermark")).withColumn("late_rows", late.agg(F.count(F.lit(1))).scalar())
 
 
+def _raw_sources(ev: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "cycles": derive.raw_cycles(ev),
+        "sleeps": derive.raw_sleeps(ev),
+        "recoveries": derive.raw_recoveries(ev),
+        "workouts": derive.raw_workouts(ev),
+        "runs": derive.raw_runs(ev),
+    }
+
+
+def source_watermarks(spark: SparkSession, sf: str) -> DataFrame:
+    """Watermark of each of the five sources."""
+    ev = derive.events(spark, sf)
+    found = [(name, tables.watermark(df, tables.SOURCES[name][1])) for name, df in _raw_sources(ev).items()]
+    return spark.createDataFrame(found, "source string, watermark timestamp")
+
+
+def required_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Gaps in the required columns of the raw tables, with users and load times taken out of some rows."""
+    ev = derive.events(spark, sf)
+    gapped = ev.withColumn("user_id", F.when(F.col("event_type") != "error", F.col("user_id")))
+    reports = [
+        tables.required_gaps(df.withColumn("loaded_at", F.when(F.col("user_id").isNotNull(), F.col("loaded_at"))), tables.SOURCES[name][0])
+        for name, df in _raw_sources(gapped).items()
+        if name in ("sleeps", "workouts", "runs")
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
+def audit_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit record that a load of each of the five sources would leave."""
+    ev = derive.events(spark, sf)
+    records = [tables.audit_record(df, name, f"run-{name}", NOW, NOW) for name, df in _raw_sources(ev).items()]
+    return reduce(DataFrame.unionByName, records)
+
+
 def _audit(spark: SparkSession, sf: str) -> DataFrame:
     """Events as load records: one per event, errors as failed loads."""
     failed = F.col("event_type") == "error"
@@ -640,6 +676,9 @@ _ALL: tuple[Query, ...] = (
     conform_users,
     conform_photos,
     high_water_marks,
+    source_watermarks,
+    required_gaps,
+    audit_records,
     audit_summary,
     audit_totals,
     source_freshness,
