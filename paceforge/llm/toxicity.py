@@ -365,7 +365,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     n = {r.mark: r["count"] for r in marks.groupBy("mark").count().collect()}
     share = F.when(F.col("mark") == 1, min(1.0, TOXIC_TEXTS / max(1, n.get(1, 0)))).otherwise(min(1.0, CLEAN_TEXTS / max(1, n.get(0, 0))))
     drawn = marks.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 32)) < share * float(1 << 32))
-    # the draw bounds the ids, whatever the labels
+    # the draw bounds the ids, whatever the labels; so no text is shuffled to meet its label
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(drawn), "id").select("mark", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
