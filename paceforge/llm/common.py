@@ -18,17 +18,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders made for sessions that name none, by application.
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all machines see: ``spark.checkpoint.dir``, which a session without one gets here.
+    """The folder all machines see: ``spark.checkpoint.dir``, or one of our own for a session without it.
 
     On one machine that is a new temporary folder, on a cluster a folder of the warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        master = spark.sparkContext.master
-        alone = master == "local" or master.startswith("local[")
-        named = tempfile.mkdtemp(prefix="paceforge-llm-") if alone else f"{spark.conf.get('spark.sql.warehouse.dir')}/paceforge-llm"
-        spark.conf.set("spark.checkpoint.dir", named)
+        context = spark.sparkContext
+        alone = context.master == "local" or context.master.startswith("local[")
+        if context.applicationId not in _own_folders:
+            _own_folders[context.applicationId] = (
+                tempfile.mkdtemp(prefix="paceforge-llm-") if alone else f"{spark.conf.get('spark.sql.warehouse.dir')}/paceforge-llm"
+            )
+        named = _own_folders[context.applicationId]
     return named.rstrip("/")
 
 
