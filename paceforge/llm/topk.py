@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from paceforge.llm.common import chunks, stored, strings
 
 K1, B, TOP = 1.2, 0.75, 10
-#: Distinct words of all queries of a block, about; texts and bytes of a shard; neighbouring texts of a block.
-QUERY_WORDS, SHARD_TEXTS, SHARD_BYTES, NEIGHBOURS = 400_000, 4_096, 24_000_000, 16
+#: Words of all queries of a block, about (its vocabulary takes some 40 MB in a worker); texts and bytes of a shard; neighbouring texts of a block.
+QUERY_WORDS, SHARD_TEXTS, SHARD_BYTES, NEIGHBOURS = 1_000_000, 4_096, 24_000_000, 16
 WORDS = re.compile(r"\w+")
 #: Stands for the texts themselves among the words.
 TEXTS = " "
@@ -71,29 +71,43 @@ def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(out)
 
 
+def _counted(texts: list[str], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, word, times) in order of text and word, of the words in the vocabulary, and all words of each text."""
+    get = vocabulary.get
+    rows, lengths = [], np.zeros(len(texts))
+    for k, t in enumerate(texts):
+        own = words(t)
+        lengths[k] = len(own)
+        rows.append(np.array([n for w in own if (n := get(w)) is not None], np.int64))
+    flat = np.concatenate([np.empty(0, np.int64), *rows])
+    key = np.repeat(np.arange(len(texts)), [len(r) for r in rows]) * max(1, len(vocabulary)) + flat
+    key, times = np.unique(key, return_counts=True)
+    return key // max(1, len(vocabulary)), key % max(1, len(vocabulary)), times, lengths
+
+
 class Shard:
     """An index of some texts by the words of a block of queries."""
 
     def __init__(self, ids: list, texts: list[str], vocabulary: dict[str, int], idf: np.ndarray, mean_length: float):
-        get = vocabulary.get
-        rows, lengths = [], []
-        for t in texts:
-            own = words(t)
-            lengths.append(len(own))
-            rows.append(sorted((n, c) for w, c in Counter(own).items() if (n := get(w)) is not None))
+        owner, word, times, lengths = _counted(texts, vocabulary)
+        n_words = len(idf)
         # texts whose commonest word is the same lie side by side, which keeps the bounds of blocks low
-        order = sorted(range(len(texts)), key=lambda k: (max(rows[k], key=lambda x: x[1], default=(-1, 0))[0], lengths[k]))
-        self.ids = [ids[k] for k in order]
-        size = np.array([len(rows[k]) for k in order], np.int64)
+        commonest = np.full(len(texts), -1)
+        rising = np.argsort(times, kind="stable")
+        commonest[owner[rising]] = word[rising]
+        order = np.lexsort((lengths, commonest))
+        place = np.empty(len(texts), np.int64)
+        place[order] = np.arange(len(texts))
+        moved = np.argsort(place[owner], kind="stable")
+        owner, self.word, times = place[owner][moved], word[moved], times[moved].astype(np.float64)
+        lengths = lengths[order]
+        size = np.bincount(owner, minlength=len(texts))
+        self.ids = [ids[k] for k in order.tolist()]
         self.by_text = np.concatenate([[0], np.cumsum(size)])
-        pairs = np.array([x for k in order for x in rows[k]], np.int64).reshape(-1, 2)
-        self.word, times = pairs[:, 0], pairs[:, 1].astype(np.float64)
-        norm = K1 * (1 - B + B * np.array([lengths[k] for k in order], np.float64) / max(mean_length, 1e-9))
-        self.impact = idf[self.word] * times * (K1 + 1) / (times + np.repeat(norm, size))
-        owner = np.repeat(np.arange(len(order)), size)
+        norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
+        self.impact = idf[self.word] * times * (K1 + 1) / (times + norm[owner])
         by_word = np.argsort(self.word, kind="stable")
         self.text_of, self.impact_of = owner[by_word], self.impact[by_word]
-        n_words = len(idf)
         self.of_word = np.searchsorted(self.word[by_word], np.arange(n_words + 1))
         # the largest impact of each word in each block of neighbours
         block = self.text_of // NEIGHBOURS
