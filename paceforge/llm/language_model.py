@@ -1,20 +1,24 @@
 """Log-probabilities of texts: a log-bilinear model over a smoothed unigram base, trained in numpy by noise contrast.
 
 The base is the share of each word in all training tokens, 0.1 added to every count. Every word also belongs to a unit:
-the most frequent ones are units of their own, the others share one by how they begin and end. The model predicts the
-unit of a token from the units of the ``CONTEXT`` tokens before it: the vectors of these, each through the matrix of its
-distance, add up to a prediction; its product with the vectors of all units gives normalised probabilities. The
-probability of a word is that of its unit times its share of the unit in the base, so a text's score is its base score
-plus, for each token, what the context adds about the unit.
+the most frequent ones are units of their own, the others share one by how they begin and end. Within the shared units
+the more frequent words are members, with vectors of their own as context and as outcome; their number grows with the
+root of the training tokens, and that of the shared units with the root of the members. The model predicts a token from
+the ``CONTEXT`` tokens before it: the vectors of these, each through the matrix of its distance, add up to a prediction.
+Its product with the vectors of all units gives normalised probabilities of the unit, and that with the vectors of a
+unit's members, and one for all its other words, those within the unit. The probability of a word is the product of both;
+words that are no members share theirs as in the base. So a text's score is its base score plus, for each token, what the
+context adds about the unit and the member.
 
 Training starts on the driver from a bounded draw of texts; then every partition of all training texts trains a copy on
-all its tokens, and Spark averages the copies cell by cell, weighted by their tokens. Counts of words are exact and
+all its tokens, and Spark averages the copies row by row, weighted by how often each trained the row. Counts of words are exact and
 cover all training texts. Counts of the most frequent words are broadcast, as a bounded table; the others meet the
 counts in a shuffle join, a row for each word of a text.
 """
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
@@ -32,14 +36,16 @@ from paceforge.llm.common import chunks, stored, strings
 ADDED = 0.1
 #: The token after the last word; no word holds a space.
 END = b" "
-#: Words that are units of their own, units that the others share, context tokens and length of vectors.
+#: Words that are units of their own, units that the others share at least, context tokens and length of vectors.
 OWN_UNITS, SHARED_UNITS, CONTEXT, WIDTH = 128, 128, 3, 16
+#: Members for the root of the training tokens, and least count of one.
+MEMBERS, LEAST_COUNT = 8, 5
 #: Words whose counts are broadcast, at most.
 HOT_WORDS = 60_000
 #: Different texts drawn for the start, about, and how often they are gone through.
 START_TEXTS, START_ROUNDS = 800, 6
-#: Tokens of a step of training and of scoring, noise units of a step, and rates of learning.
-STEP, SCORED, NOISE, START_RATE, RATE = 1_024, 8_192, 32, 0.1, 0.05
+#: Tokens of a step of training and of scoring, noise units of a step, noise members of a token, and rates of learning.
+STEP, SCORED, NOISE, INNER_NOISE, START_RATE, RATE = 1_024, 8_192, 32, 4, 0.1, 0.05
 SEED = 7
 #: Words whose unit a worker remembers.
 REMEMBERED = 300_000
@@ -50,20 +56,24 @@ def words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def shared_unit(word: bytes) -> int:
+def shared_unit(word: bytes, shared: int = SHARED_UNITS) -> int:
     """Unit of a word that has none of its own, by its first letter and its last two."""
     if word == END:
         return 0
     bare = word.strip(b".,;:!?") or word
-    return OWN_UNITS + zlib.crc32(bare[:1] + bare[-2:]) % SHARED_UNITS
+    return OWN_UNITS + zlib.crc32(bare[:1] + bare[-2:]) % shared
 
 
 class Units(dict):
-    """Unit of every word; 0 is the end, the last number is what stands before a text."""
+    """Number of every word, of its own or of its unit; 0 is the end, the last number is what stands before a text."""
+
+    def __init__(self, own: dict[bytes, int], shared: int = SHARED_UNITS):
+        super().__init__(own)
+        self.shared, self.most = shared, len(own) + REMEMBERED
 
     def __missing__(self, word: bytes) -> int:
-        found = shared_unit(word)
-        if len(self) < REMEMBERED:
+        found = shared_unit(word, self.shared)
+        if len(self) < self.most:
             self[word] = found
         return found
 
@@ -82,9 +92,34 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class Inner:
+    """The items of the shared units: all other words of a unit as one, then its members, unit by unit."""
+
+    def __init__(self, units: int, shared: int, member_unit: np.ndarray, mass: np.ndarray):
+        """member_unit: unit of every member, in rising order; mass: counts of the numbers (units, then members)."""
+        first = units - shared
+        size = np.bincount(member_unit - first, minlength=shared) if shared else np.empty(0, np.int64)
+        self.starts = np.cumsum([0, *(size + 1)]).astype(np.int64)
+        #: Unit of every number, and its item; -1 where there is nothing to tell apart.
+        self.unit_of = np.concatenate([np.arange(units), member_unit]).astype(np.int64)
+        self.item_of = np.full(len(self.unit_of), -1, np.int64)
+        self.item_of[first:units] = np.where(size > 0, self.starts[:-1], -1)
+        self.item_of[units:] = np.arange(len(member_unit)) + member_unit - first + 1
+        self.unit_of_item = np.repeat(np.arange(shared), size + 1)
+        held = np.empty(self.starts[-1])
+        held[self.starts[:-1]] = mass[first:units]
+        held[self.item_of[units:]] = mass[units:]
+        whole = np.bincount(self.unit_of_item, held, shared)
+        #: log10 share of each item in its unit.
+        self.share = np.log10(held / whole[self.unit_of_item])
+
+
 @dataclass
 class Base:
-    """The unigram side: counts as a table, totals, the hot counts, and units with their log10 share."""
+    """The unigram side: counts as a table, totals, the hot counts, units with their log10 share, and members within the units.
+
+    ``own`` numbers the words with vectors of their own: units first, then (after all units) the members, unit by unit.
+    """
 
     counts: DataFrame
     tokens: int
@@ -93,6 +128,8 @@ class Base:
     least: int
     own: dict[bytes, int]
     share: np.ndarray
+    shared: int
+    inner: Inner
 
     @property
     def total(self) -> float:
@@ -104,62 +141,96 @@ def base(texts: DataFrame) -> Base:
     counts = stored(word_counts(texts))
     size = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = size.n or 0, size.v
-    # the smallest count from which on the words fit the bound, from a histogram of a few hundred rows
+    # counts from which on the words fit a bound, from a histogram of a few hundred rows
     bucket = F.floor(F.log2("n") * 8)
-    left, least = HOT_WORDS, None
-    for row in counts.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("w"), F.min("n").alias("low")).orderBy(F.desc("bucket")).collect():
-        left -= row.w
-        if left < 0:
-            break
-        least = row.low
-    if least is None:
+    steps = counts.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("w"), F.min("n").alias("low")).orderBy(F.desc("bucket")).collect()
+
+    def least_of(bound: int) -> int:
         least = tokens + 1
+        for row in steps:
+            bound -= row.w
+            if bound < 0:
+                break
+            least = row.low
+        return least
+
+    least = least_of(HOT_WORDS)
     hot = {bytes(r.word): r.n for r in counts.where(F.col("n") >= least).collect()}
     top = [w for w in sorted(hot, key=lambda w: (-hot[w], w)) if w != END][: OWN_UNITS - 1]
     own = {END: 0} | {w: k + 1 for k, w in enumerate(top)}
+    # the members: the words after these
+    often = max(LEAST_COUNT, least_of(OWN_UNITS + int(MEMBERS * tokens**0.5)))
+    if often >= least:
+        members = [w for w, n in hot.items() if n >= often and w not in own]
+    else:
+        members = [w for w in (bytes(r.word) for r in counts.where(F.col("n") >= often).select("word").collect()) if w not in own]
+    shared = max(SHARED_UNITS, int(len(members) ** 0.5))
+    size = OWN_UNITS + shared
+    members.sort(key=lambda w: (shared_unit(w, shared), w))
+    member_unit = np.array([shared_unit(w, shared) for w in members], np.int64)
+    own |= {w: size + k for k, w in enumerate(members)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(OWN_UNITS + SHARED_UNITS)
-        unit = Units(own)
+        total = np.zeros(size + len(members))
+        unit = Units(held.value, shared)
         for piece in chunks(batches):
             which = np.array([unit[w] for w in piece.column(0).to_pylist()], np.int64)
             total += np.bincount(which, piece.column(1).to_numpy() + ADDED, len(total))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["unit", "mass"])
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["unit", "mass"])
 
-    mass = np.full(OWN_UNITS + SHARED_UNITS, ADDED)  # what no training text has, in every unit
-    for r in counts.mapInArrow(run, "unit long, mass double").groupBy("unit").agg(F.sum("mass").alias("mass")).collect():
-        mass[r.unit] += r.mass
-    return Base(counts, tokens, distinct, hot, least, own, np.log10(mass / (tokens + ADDED * (distinct + 1))))
+    held = texts.sparkSession.sparkContext.broadcast(own)
+    mass = np.zeros(size + len(members))
+    mass[:size] = ADDED  # what no training text has, in every unit
+    found = counts.mapInArrow(run, "unit long, mass double").groupBy("unit").agg(F.sum("mass").alias("mass")).toArrow()
+    mass[found.column(0).to_numpy()] += found.column(1).to_numpy()
+    inner = Inner(size, shared, member_unit, mass)
+    whole = np.bincount(inner.unit_of, mass, size)
+    return Base(counts, tokens, distinct, hot, least, own, np.log10(whole / (tokens + ADDED * (distinct + 1))), shared, inner)
 
 
 class LogBilinear:
-    """Vectors of units as context and as outcome, a matrix for each distance, and a bias for each unit."""
+    """Vectors of units and members as context and as outcome, a matrix for each distance, and biases."""
 
-    def __init__(self, share: np.ndarray):
+    def __init__(self, share: np.ndarray, inner: Inner | None = None):
         rng = np.random.default_rng(SEED)
         self.units = len(share)
+        self.inner = inner or Inner(self.units, 0, np.empty(0, np.int64), np.zeros(self.units))
+        self.numbers = len(self.inner.unit_of)
         noise = 10.0**share
         self.noise = noise / noise.sum()
-        self.context = rng.normal(0, 0.1, (self.units + 1, WIDTH)).astype(np.float32)
+        #: Where each item of a unit ends, counted in units.
+        self.ends = self.inner.unit_of_item + _cumulated(10.0**self.inner.share, self.inner.starts)
+        units = rng.normal(0, 0.1, (self.units + 1, WIDTH)).astype(np.float32)
+        self.context = units[np.append(self.inner.unit_of, self.units)]  # a member starts as its unit
         self.matrix = np.stack([np.eye(WIDTH, dtype=np.float32) / (k + 1) for k in range(CONTEXT)])
         self.outcome = np.zeros((self.units, WIDTH), np.float32)
         self.bias = np.log(self.noise).astype(np.float32)
+        self.item = np.zeros((len(self.inner.share), WIDTH), np.float32)
+        self.item_bias = (self.inner.share * np.log(10)).astype(np.float32)
+        #: How often each row of context, outcome and item was trained.
+        self.trained = [np.zeros(len(p)) for p in (self.context, self.outcome, self.item)]
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.context, self.matrix, self.outcome, self.bias]
+        return [self.context, self.matrix, self.outcome, self.bias, self.item, self.item_bias]
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parameters()]).astype(np.float64)
+    def rows(self) -> np.ndarray:
+        """All parameters as rows of a vector and a bias: context, outcome, item, matrix."""
+        vectors = np.concatenate([self.context, self.outcome, self.item, self.matrix.reshape(-1, WIDTH)])
+        bias = np.concatenate([np.zeros(len(self.context)), self.bias, self.item_bias, np.zeros(CONTEXT * WIDTH)])
+        return np.column_stack([vectors, bias]).astype(np.float64)
 
-    def load(self, flat: np.ndarray) -> None:
+    def load(self, rows: np.ndarray) -> None:
         at = 0
-        for p in self.parameters():
-            p[...] = flat[at : at + p.size].reshape(p.shape)
-            at += p.size
+        for p, bias in ((self.context, None), (self.outcome, self.bias), (self.item, self.item_bias), (self.matrix.reshape(-1, WIDTH), None)):
+            p[...] = rows[at : at + len(p), :WIDTH]
+            if bias is not None:
+                bias[...] = rows[at : at + len(p), WIDTH]
+            at += len(p)
 
     def before(self, rows: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Contexts and outcomes of rows of units, each row a text of its own."""
-        pad = np.full(CONTEXT, self.units, np.int32)
+        pad = np.full(CONTEXT, self.numbers, np.int32)
         rows = list(rows)
         flat = np.concatenate([x for r in rows for x in (pad, r)]) if rows else pad
         own = np.ones(len(flat), bool)
@@ -171,8 +242,10 @@ class LogBilinear:
     def train(self, contexts: np.ndarray, outcomes: np.ndarray, rate: float, rng: np.random.Generator, sums: list[np.ndarray]) -> None:
         """One pass of noise-contrastive steps; ``sums`` holds the squares of past gradients."""
         odds = np.log(NOISE * self.noise).astype(np.float32)
+        item_odds = (self.inner.share * np.log(10) + np.log(INNER_NOISE)).astype(np.float32)
+        units, items = self.inner.unit_of[outcomes], self.inner.item_of[outcomes]
         for at in range(0, len(outcomes), STEP):
-            c, u = contexts[at : at + STEP], outcomes[at : at + STEP]
+            c, u, item = contexts[at : at + STEP], units[at : at + STEP], items[at : at + STEP]
             n = rng.choice(self.units, NOISE, p=self.noise)
             seen = [self.context[c[:, k]] for k in range(CONTEXT)]
             h = sum(seen[k] @ self.matrix[k] for k in range(CONTEXT))
@@ -182,34 +255,82 @@ class LogBilinear:
             g = 1 / (1 + np.exp(np.clip(own, -30, 30)))  # one minus the chance that the token is data
             gn = -1 / (1 + np.exp(-np.clip(other, -30, 30)))
             dh = g[:, None] * q + gn @ qn
-            grads = [
-                sum(_scattered(c[:, k], dh @ self.matrix[k].T, self.units + 1) for k in range(CONTEXT)),
-                np.stack([seen[k].T @ dh for k in range(CONTEXT)]),
-                _scattered(np.concatenate([u, n]), np.concatenate([g[:, None] * h, gn.T @ h]), self.units),
-                np.bincount(np.concatenate([u, n]), np.concatenate([g, gn.sum(axis=0)]), self.units).astype(np.float32),
-            ]
-            for p, grad, s in zip(self.parameters(), grads, sums):
-                grad /= len(u)
-                s += grad * grad
-                p += rate * grad / np.sqrt(s + 1e-8)
+            size, inside = len(u), np.flatnonzero(item >= 0)
+            if len(inside):
+                # the same within the unit: the item against items drawn by their share of the unit
+                unit, hi = self.inner.unit_of_item[item[inside]], h[inside]
+                drawn = np.searchsorted(self.ends, unit[:, None] + rng.random((len(inside), INNER_NOISE)), side="right")
+                drawn = np.clip(drawn, self.inner.starts[unit][:, None], self.inner.starts[unit + 1][:, None] - 1)
+                some = np.concatenate([item[inside][:, None], drawn], axis=1)
+                qi = self.item[some]
+                odd = np.einsum("bd,bkd->bk", hi, qi) + self.item_bias[some] - item_odds[some]
+                gi = -1 / (1 + np.exp(-np.clip(odd, -30, 30)))
+                gi[:, 0] += 1
+                dh[inside] += np.einsum("bk,bkd->bd", gi, qi)
+                self._learn(2, 4, sums, some.ravel(), (gi[:, :, None] * hi[:, None, :]).reshape(-1, WIDTH), gi.ravel(), rate, size)
+            turned = np.concatenate([dh @ self.matrix[k].T for k in range(CONTEXT)])
+            moved = np.stack([seen[k].T @ dh for k in range(CONTEXT)]) / size
+            self._learn(0, 0, sums, c.T.ravel(), turned, None, rate, size)
+            self._learn(1, 2, sums, np.concatenate([u, n]), np.concatenate([g[:, None] * h, gn.T @ h]), np.concatenate([g, gn.sum(axis=0)]), rate, size)
+            sums[1] += moved * moved
+            self.matrix += rate * moved / np.sqrt(sums[1] + 1e-8)
+
+    def _learn(self, table: int, at: int, sums: list[np.ndarray], rows: np.ndarray, values: np.ndarray, bias: np.ndarray | None, rate: float, size: int) -> None:
+        """A step of the parameter number ``at`` (and of the bias after it) in the rows that have a gradient."""
+        used, where, times = np.unique(rows, return_inverse=True, return_counts=True)
+        self.trained[table][used] += times
+        grads = [_scattered(where, values, len(used))]
+        if bias is not None:
+            grads.append(np.bincount(where, bias, len(used)).astype(np.float32))
+        for k, grad in enumerate(grads):
+            grad /= size
+            past = sums[at + k][used] + grad * grad
+            sums[at + k][used] = past
+            self.parameters()[at + k][used] += rate * grad / np.sqrt(past + 1e-8)
 
     def log10(self, contexts: np.ndarray, outcomes: np.ndarray) -> np.ndarray:
-        """Normalised log10 probability of every outcome, in batches of matrix products."""
+        """Normalised log10 probability of every outcome, in batches of matrix products; for a word that is no member,
+        that of all such words of its unit."""
         moved = [self.context @ self.matrix[k] for k in range(CONTEXT)]
+        units, items = self.inner.unit_of[outcomes], self.inner.item_of[outcomes]
         out = np.empty(len(outcomes), np.float64)
+        h = np.empty((len(outcomes), WIDTH), np.float32)
         for at in range(0, len(outcomes), SCORED):
-            c, u = contexts[at : at + SCORED], outcomes[at : at + SCORED]
-            h = moved[0][c[:, 0]]
+            c = contexts[at : at + SCORED]
+            part = moved[0][c[:, 0]]
             for k in range(1, CONTEXT):
-                h = h + moved[k][c[:, k]]
-            s = h @ self.outcome.T
-            s += self.bias
-            s -= s.max(axis=1, keepdims=True)
-            own = s[np.arange(len(u)), u].astype(np.float64)
-            out[at : at + SCORED] = own - np.log(np.exp(s, out=s).sum(axis=1, dtype=np.float64))
+                part = part + moved[k][c[:, k]]
+            h[at : at + SCORED] = part
+            out[at : at + SCORED] = _own_log(part, self.outcome, self.bias, units[at : at + SCORED])
+        # unit by unit, what its members add
+        inside = np.flatnonzero(items >= 0)
+        inside = inside[np.argsort(units[inside], kind="stable")]
+        cuts = np.flatnonzero(np.diff(units[inside])) + 1
+        for rows in np.split(inside, cuts) if len(inside) else ():
+            unit = self.inner.unit_of_item[items[rows[0]]]
+            low, high = self.inner.starts[unit], self.inner.starts[unit + 1]
+            step = max(1, SCORED * 256 // (high - low))
+            for at in range(0, len(rows), step):
+                some = rows[at : at + step]
+                out[some] += _own_log(h[some], self.item[low:high], self.item_bias[low:high], items[some] - low)
         return out / np.log(10)
 
 
+def _own_log(h: np.ndarray, vectors: np.ndarray, bias: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Normalised log probability of its own row for every prediction."""
+    s = h @ vectors.T
+    s += bias
+    s -= s.max(axis=1, keepdims=True)
+    mine = s[np.arange(len(own)), own].astype(np.float64)
+    return mine - np.log(np.exp(s, out=s).sum(axis=1, dtype=np.float64))
+
+
+def _cumulated(share: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Running sum of the shares, from the start of each unit."""
+    total = np.concatenate([[0.0], np.cumsum(share)])
+    return total[1:] - np.repeat(total[starts[:-1]], np.diff(starts))
+
+
 def _scattered(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sum of the value rows by row number."""
     cells = (rows.astype(np.int64)[:, None] * WIDTH + np.arange(WIDTH)).ravel()
@@ -226,15 +347,17 @@ def _sums(model: LogBilinear, start: float) -> list[np.ndarray]:
 
 def train(texts: DataFrame, known: Base) -> LogBilinear:
     """A model from a column of training texts and their base."""
-    model = LogBilinear(known.share)
+    model = LogBilinear(known.share, known.inner)
     if not known.tokens:
         return model
     rows = max(1, known.hot.get(END, 1))
     column = F.coalesce(F.col(texts.columns[0]), F.lit(""))
     drawn = texts.where(F.pmod(F.xxhash64(column), F.lit(1 << 32)) < min(1.0, START_TEXTS / rows) * float(1 << 32))
-    unit = Units(known.own)
+    words_held = texts.sparkSession.sparkContext.broadcast(known.own)
+    shared = known.shared
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit = Units(words_held.value, shared)
         for piece in chunks(batches):
             yield pa.RecordBatch.from_arrays([pa.array([r.tolist() for r in _unit_rows(strings(piece.column(0)), unit)], pa.list_(pa.int32()))], ["units"])
 
@@ -246,27 +369,27 @@ def train(texts: DataFrame, known: Base) -> LogBilinear:
         order = rng.permutation(len(start))
         model.train(*model.before(np.array(start[k], np.int32) for k in order), START_RATE, rng, sums)
 
-    held = texts.sparkSession.sparkContext.broadcast((model, known.own, [s.mean() for s in sums]))
+    model.trained = [np.zeros(len(x)) for x in model.trained]
+    held = texts.sparkSession.sparkContext.broadcast((model, sums))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begun, own, past = held.value
-        copy = LogBilinear(known_share.value)
-        copy.load(begun.flat())
-        unit, rng, tokens = Units(own), np.random.default_rng(SEED + 1), 0
-        sums = [np.full(p.shape, s, np.float32) for p, s in zip(copy.parameters(), past)]
+        copy, past = pickle.loads(pickle.dumps(held.value))  # a worker's broadcast value serves its next task as well
+        unit, rng, tokens = Units(words_held.value, shared), np.random.default_rng(SEED + 1), 0
         for piece in chunks(batches):
             contexts, outcomes = copy.before(_unit_rows(strings(piece.column(0)), unit))
-            copy.train(contexts, outcomes, RATE, rng, sums)
+            copy.train(contexts, outcomes, RATE, rng, past)
             tokens += len(outcomes)
-        flat = np.append(copy.flat() * tokens, float(tokens))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["cell", "value"])
-
-    known_share = texts.sparkSession.sparkContext.broadcast(known.share)
-    summed = texts.mapInArrow(run, "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
-    flat = np.zeros(len(model.flat()) + 1)
-    flat[summed.column(0).to_numpy()] = summed.column(1).to_numpy()
-    if flat[-1]:
-        model.load(flat[:-1] / flat[-1])
+        weight = np.concatenate([*copy.trained, np.full(CONTEXT * WIDTH, float(tokens))])
+        some = np.flatnonzero(weight)
+        rows = copy.rows()[some] * weight[some, None]
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(weight[some]), *map(pa.array, np.ascontiguousarray(rows.T))], ["row", "weight", *names])
+
+    names = [f"v{k}" for k in range(WIDTH + 1)]
+    copies = texts.mapInArrow(run, ", ".join(["row long", "weight double", *(f"{x} double" for x in names)]))
+    summed = copies.groupBy("row").agg(*(F.sum(x).alias(x) for x in ("weight", *names))).toArrow()
+    flat, at = model.rows(), summed.column(0).to_numpy()
+    flat[at] = np.column_stack([summed.column(k + 2).to_numpy() for k in range(WIDTH + 1)]) / summed.column(1).to_numpy()[:, None]
+    model.load(flat)
     return model
 
 
@@ -280,12 +403,12 @@ def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str =
     known = base(texts)
     model = train(texts, known)
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast((model, known.own, {w: log10((n + ADDED) / known.total) for w, n in known.hot.items()}, known.share))
+    held = spark.sparkContext.broadcast((model, known.own, known.shared, {w: log10((n + ADDED) / known.total) for w, n in known.hot.items()}, known.share))
     kind = dict(docs.select(doc_id).dtypes)[doc_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, own, hot, share = held.value
-        unit, rows, part = Units(own), 0, TaskContext.get().partitionId() << 40
+        model, own, shared, hot, share = held.value
+        unit, rows, part = Units(own, shared), 0, TaskContext.get().partitionId() << 40
         for piece in chunks(batches):
             yield _scored(piece, model, unit, hot, share, part + rows)
             rows += piece.num_rows
@@ -329,7 +452,9 @@ def _scored(piece: pa.RecordBatch, model: LogBilinear, unit: Units, hot: dict[by
         based.append(total)
         tails.append(tail)
     contexts, outcomes = model.before(units)
-    added = model.log10(contexts, outcomes) - share[outcomes]
+    items = model.inner.item_of[outcomes]
+    added = model.log10(contexts, outcomes) - share[model.inner.unit_of[outcomes]]
+    added[items >= 0] -= model.inner.share[items[items >= 0]]
     size = np.array([len(u) for u in units], np.int64)
     gain = np.add.reduceat(added, np.cumsum(size) - size) if len(size) else np.empty(0)
     flat = [x for tail in tails for x in tail]

@@ -90,3 +90,33 @@ def test_edge_rows(spark):
             assert (r.n_tokens, r.n_known, r.train_tokens) == (size, known, n)
             assert abs(r.base_score - score) < 1e-6 * max(1, abs(score))
     assert m.score(docs.limit(0), F.lit(True)).collect() == []
+
+
+def test_members_grow_and_probabilities_add_up(spark):
+    """Words after the units of their own are members; their number grows with the counts, and all is normalised."""
+    top = " ".join(f"w{k}" for k in range(m.OWN_UNITS) for _ in range(30))
+    less = m.base(spark.createDataFrame([(f"{top} {'anna ' * 9}",)], "text string"))
+    rare = " ".join(f"qa{k:03d}xx qb{k:03d}yy" for k in range(300))
+    more = m.base(spark.createDataFrame([(f"{top} {'anna ' * 9} {' '.join([rare] * 6)}",)], "text string"))
+    assert len(more.own) > len(less.own) + 500 and less.own[b"anna"] >= m.OWN_UNITS + m.SHARED_UNITS
+    n = {bytes(r.word): r.n for r in more.counts.collect()}
+    for w in (b"anna", b"qa007xx"):
+        k = more.own[w]
+        found = more.share[more.inner.unit_of[k]] + more.inner.share[more.inner.item_of[k]]
+        assert abs(found - log10((n[w] + m.ADDED) / more.total)) < 1e-9
+    model, rng = m.LogBilinear(more.share, more.inner), np.random.default_rng(6)
+    model.outcome[:], model.item[:] = rng.normal(size=model.outcome.shape), rng.normal(size=model.item.shape)
+    contexts = rng.integers(0, model.numbers, (7, m.CONTEXT))
+    assert np.allclose(sum(10 ** model.log10(contexts, np.full(7, u)) for u in range(model.numbers)), 1, atol=1e-4)
+
+
+def test_words_of_one_unit_get_different_gains(spark):
+    """Two words of a shared unit, each after one word only: the model learns which."""
+    assert m.shared_unit(b"anna") == m.shared_unit(b"abcdna")
+    rng = np.random.default_rng(5)
+    common = " ".join(f"w{j}" for j in range(m.OWN_UNITS) for _ in range(12))
+    rows = [(k, " ".join("w1 anna w5" if x else "w2 abcdna w6" for x in rng.integers(0, 2, 20)) + " " + common) for k in range(200)]
+    rows += [(1_000, "w1 anna " * 50), (1_001, "w1 abcdna " * 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score - r.base_score for r in m.score(docs, F.col("doc_id") < 1_000).collect() if r.doc_id >= 1_000}
+    assert got[1_000] > got[1_001] + 5
