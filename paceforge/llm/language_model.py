@@ -10,9 +10,9 @@ unit's members, and one for all its other words, those within the unit. The prob
 words that are no members share theirs as in the base. So a text's score is its base score plus, for each token, what the
 context adds about the unit and the member.
 
-Training starts on the driver from a bounded draw of texts; then every partition of all training texts trains a copy on
-all its tokens, and Spark averages the copies row by row, weighted by how often each trained the row. Counts of words are exact and
-cover all training texts. Counts of the most frequent words are broadcast, as a bounded table; the others meet the
+Training starts on the driver from a draw of spans of the texts, bounded in tokens; then every partition of all training
+texts trains a copy on all its tokens, and Spark averages the copies row by row, weighted by how often each trained the
+row. Counts of words are exact and cover all training texts. Counts of the most frequent words are broadcast, as a bounded table; the others meet the
 counts in a shuffle join, a row for each word of a text.
 """
 
@@ -27,6 +27,7 @@ from math import log10
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +43,8 @@ OWN_UNITS, SHARED_UNITS, CONTEXT, WIDTH = 128, 128, 3, 16
 MEMBERS, LEAST_COUNT = 8, 5
 #: Words whose counts are broadcast, at most.
 HOT_WORDS = 60_000
-#: Different texts drawn for the start, about, and how often they are gone through.
-START_TEXTS, START_ROUNDS = 800, 6
+#: Tokens drawn for the start, about, in spans of so many characters at most, and how often they are gone through.
+START_TOKENS, SPAN, START_ROUNDS = 320_000, 4_000, 6
 #: Tokens of a step of training and of scoring, noise units of a step, noise members of a token, and rates of learning.
 STEP, SCORED, NOISE, INNER_NOISE, START_RATE, RATE = 1_024, 8_192, 32, 4, 0.1, 0.05
 SEED = 7
@@ -337,6 +338,17 @@ def _scattered(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(cells, values.ravel(), n * WIDTH).reshape(n, WIDTH).astype(np.float32)
 
 
+def drawn_spans(text: str, part: float) -> Iterator[list[bytes]]:
+    """Words of about this part of a text's spans, drawn by a hash of the text, so that copies draw the same; the end is
+    with the last span, and words that a cut goes through are left out."""
+    key = xxhash.xxh64_intdigest(text)
+    for at in range(0, max(1, len(text)), SPAN):
+        if xxhash.xxh32_intdigest(at.to_bytes(8), key % (1 << 32)) < part * (1 << 32):
+            span, last = text[at : at + SPAN], at + SPAN >= len(text)
+            found = words(span)
+            yield found[bool(at) and not span[0].isspace() : None if last or span[-1].isspace() else -1] + [END] * last
+
+
 def _unit_rows(texts: list[str], unit: Units) -> list[np.ndarray]:
     return [np.array([unit[w] for w in words(t)] + [0], np.int32) for t in texts]
 
@@ -350,19 +362,19 @@ def train(texts: DataFrame, known: Base) -> LogBilinear:
     model = LogBilinear(known.share, known.inner)
     if not known.tokens:
         return model
-    rows = max(1, known.hot.get(END, 1))
-    column = F.coalesce(F.col(texts.columns[0]), F.lit(""))
-    drawn = texts.where(F.pmod(F.xxhash64(column), F.lit(1 << 32)) < min(1.0, START_TEXTS / rows) * float(1 << 32))
     words_held = texts.sparkSession.sparkContext.broadcast(known.own)
     shared = known.shared
 
+    part = min(1.0, START_TOKENS / known.tokens)
+
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = Units(words_held.value, shared)
         for piece in chunks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([r.tolist() for r in _unit_rows(strings(piece.column(0)), unit)], pa.list_(pa.int32()))], ["units"])
+            drawn = [[unit[w] for w in span] for t in strings(piece.column(0)) for span in drawn_spans(t, part)]
+            yield pa.RecordBatch.from_arrays([pa.array(drawn, pa.list_(pa.int32()))], ["units"])
 
-    # copies are drawn together and count once, so the draw is bounded whatever is repeated
-    start = sorted(r.units for r in drawn.distinct().mapInArrow(numbers, "units array<int>").collect())
+    # copies count once, so the draw is bounded whatever is repeated, and by spans however long a text is
+    start = sorted(r.units for r in texts.mapInArrow(numbers, "units array<int>").distinct().collect())
     rng = np.random.default_rng(SEED)
     sums = _sums(model, 0.0)
     for _ in range(START_ROUNDS):

@@ -120,3 +120,12 @@ def test_words_of_one_unit_get_different_gains(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.score - r.base_score for r in m.score(docs, F.col("doc_id") < 1_000).collect() if r.doc_id >= 1_000}
     assert got[1_000] > got[1_001] + 5
+
+
+def test_start_is_bounded_in_tokens():
+    """A long text gives a part of its spans to the start, not all of itself; a text drawn whole gives every word."""
+    text = "".join(f"w{k} " for k in range(400_000))
+    some = [w for span in m.drawn_spans(text, 0.1) for w in span]
+    assert 0.05 * 400_000 < len(some) < 0.15 * 400_000 and set(some) <= {*m.words(text), m.END}
+    assert [w for span in m.drawn_spans("A b", 1.0) for w in span] == [b"a", b"b", m.END]
+    assert list(m.drawn_spans("", 1.0)) == [[m.END]] and list(m.drawn_spans(text, 0.0)) == []
