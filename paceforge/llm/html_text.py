@@ -7,7 +7,8 @@ own blocks of text are filled. A branch in which neither reaches ``THRESHOLD`` a
 every page repeats, and is taken out of each page. What HTML itself names as furniture (``nav``, ``aside``,
 ``form``, a class of ``sidebar`` or ``comments``) goes whatever its importance, as menus and comments
 often differ from page to page. The paragraphs of an article are one place of the tree, so a sentence
-that many articles share stays.
+that many articles share stays. Outside ``article`` and ``main``, text stays at the places the tree has found important;
+where it knows too few pages, text outside goes unless it is a title or more than the articles hold.
 """
 
 from __future__ import annotations
@@ -189,11 +190,19 @@ def walk(page: str, weak: frozenset | set = frozenset(), layouts: dict | None =
     return found, best
 
 
-def main_text(page: str, weak: frozenset | set = frozenset()) -> str:
-    """Blocks of the main text, one to a line. If a page is all furniture to its site, that counts for nothing."""
+def main_text(page: str, weak: frozenset | set = frozenset(), rich: frozenset | set = frozenset()) -> str:
+    """Blocks of the main text, one to a line. If a page is all furniture to its site, that counts for nothing.
+
+    rich: places of the style tree with enough pages to judge by, that are important.
+    """
     blocks, best = walk(page, weak)
-    inside = [(e, t) for e, t in blocks if e.level >= best and not e.noise]
-    return "\n".join([t for e, t in inside if not e.weak] or [t for _, t in inside])
+    own = [(e, t) for e, t in blocks if not e.noise]
+    if best:
+        within = sum(len(t) for e, t in own if e.level)
+        outside = sum(len(t) for e, t in own if not e.level and not e.weak)
+        if best < 2 or not 0 < within < outside:
+            own = [(e, t) for e, t in own if e.level or e.path in rich or e.tag == "h1"]
+    return "\n".join([t for e, t in own if not e.weak] or [t for _, t in own])
 
 
 def places(host: str, page: str) -> Iterator[tuple]:
@@ -218,8 +227,8 @@ def _host(url: str) -> Column:
     return F.when(found != "", found)
 
 
-def repeated_places(pages: DataFrame, url: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, weak array<long>): the places of low importance of every host that has some.
+def importances(pages: DataFrame, url: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, at, most, judged): the importance of every place of a host, and whether it has enough pages itself.
 
     A page counts once for a host, however many copies of it there are. Counts are aggregated before
     and after the shuffle by host, place and feature, so that a host with most pages is spread over
@@ -252,21 +261,29 @@ def repeated_places(pages: DataFrame, url: str = "url", html_col: str = "html")
     by_layout = (1 - F.pow(F.lit(GAMMA), F.col("children"))) * (1 - F.col("same_layout") / (F.col("m") * span))
     by_content = F.when(F.col("features") > 0, 1 - F.col("same_content") / (F.col("features") * span)).otherwise(0.0)
     own = F.when(F.col("m") >= LEAST_PAGES, F.greatest(by_layout, by_content)).otherwise(1.0)
-    weighed = node.where("m is not null").select("host", "place", F.explode(F.concat(F.array("place"), "up")).alias("at"), own.alias("own"))
-    weak = weighed.groupBy("host", "at").agg(F.max("own").alias("most")).where(F.col("most") < THRESHOLD)
+    enough = F.col("m") >= LEAST_PAGES
+    weighed = node.where("m is not null").select("host", "place", enough.alias("enough"), F.explode(F.concat(F.array("place"), "up")).alias("at"), own.alias("own"))
+    return weighed.groupBy("host", "at").agg(F.max("own").alias("most"), F.max(F.col("enough") & (F.col("at") == F.col("place"))).alias("judged"))
+
+
+def repeated_places(pages: DataFrame, url: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, weak array<long>): the places of low importance of every host that has some."""
+    weak = importances(pages, url, html_col).where(F.col("most") < THRESHOLD)
     return weak.groupBy("host").agg(F.sort_array(F.collect_list("at")).alias("weak"))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every row. A null or empty page has an empty text; a page without
     a readable host is taken on its own. Repeated rows are all returned."""
-    weak = stored(repeated_places(pages, url, html_col))
+    low = F.col("most") < THRESHOLD
+    judged = importances(pages, url, html_col).where(low | F.col("judged"))
+    weak = stored(judged.groupBy("host").agg(F.collect_list(F.when(low, F.col("at"))).alias("weak"), F.collect_list(F.when(~low, F.col("at"))).alias("rich")))
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html_col).alias("html"), _host(url).alias("host"))
-    with_site = rows.join(weak, "host", "left").select("page_id", "url", "html", "weak")
+    with_site = rows.join(weak, "host", "left").select("page_id", "url", "html", "weak", "rich")
     kind = dict(rows.dtypes)["page_id"]
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [main_text(p, frozenset(w or ())) for p, w in zip(strings(piece.column(2)), piece.column(3).to_pylist())]
+        texts = [main_text(p, frozenset(w or ()), frozenset(r or ())) for p, w, r in zip(strings(piece.column(2)), piece.column(3).to_pylist(), piece.column(4).to_pylist())]
         return pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return map_chunks(with_site, work, f"page_id {kind}, url string, text string, n_chars long")

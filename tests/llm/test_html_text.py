@@ -89,3 +89,13 @@ def test_importance_by_brute_force(spark):
     want = {key for key, most in best.items() if most < 0.3}
     got = {(r.host, at) for r in repeated_places(spark.createDataFrame(rows, SCHEMA)).collect() for at in r.weak}
     assert want and got == want
+
+
+def test_text_outside_articles(spark):
+    """Title and lead beside an article stay, and a teaser doesn't stand for the page."""
+    assert main_text("<main><h1>Title</h1><p>lead</p><article><p>long text</p></article></main><p>out</p>") == "Title\nlead\nlong text"
+    assert main_text("<h1>Title</h1><article><p>long text</p></article>") == "Title\nlong text"
+    assert main_text('<div><p>The text of the page itself</p></div><article class="card">Teaser</article>') == "The text of the page itself\nTeaser"
+    rows = [(k, f"http://c.example/{k}", page(f'<p class="lead">Lead {k}</p><article><p>A longer text {k}</p></article><div class="x">Same on all</div>')) for k in range(8)]
+    found = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {k: f"Lead {k}\nA longer text {k}" for k in range(8)}
