@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paceforge.llm import decontaminate, html_text, language, language_model, quality, sentencepieces, simhash, token_counts, topk, toxicity
+from paceforge.llm import decontaminate, html_text, language, language_model, quality, sentencepieces, simhash, token_counts, topk, toxicity, whitening
 from paceforge.llm.common import fold, table
 
 #: Vocabulary files, as the installed collection of public tokenizers names them.
@@ -65,6 +65,11 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 10) == 0).alias("held_out"), *found.columns[1:])
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepieces": op8_sentencepieces,
     "op9_toxicity": op9_toxicity,
     "op10_language_model": op10_language_model,
+    "op11_whitening": op11_whitening,
 }
 
 #: SQL for the queries that SQL can express.
