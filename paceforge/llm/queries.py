@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paceforge.llm import decontaminate, html_text, language, language_model, quality, sentencepieces, simhash, token_counts, topk, toxicity, whitening
+from paceforge.llm import decontaminate, html_text, language, language_model, quality, sentencepieces, simhash, spelling, token_counts, topk, toxicity, whitening
 from paceforge.llm.common import fold, table
 
 #: Vocabulary files, as the installed collection of public tokenizers names them.
@@ -70,6 +70,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(vectors, whitening.fit(vectors))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_language_model": op10_language_model,
     "op11_whitening": op11_whitening,
+    "op12_spelling": op12_spelling,
 }
 
 #: SQL for the queries that SQL can express.
