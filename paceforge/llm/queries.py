@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paceforge.llm import decontaminate, html_text, language, language_model, quality, sentencepieces, simhash, spelling, token_counts, topk, toxicity, whitening
+from paceforge.llm import decontaminate, html_text, language, language_model, quality, sentencepieces, simhash, spelling, token_counts, topk, toxicity, url_filters, whitening
 from paceforge.llm.common import fold, table
 
 #: Vocabulary files, as the installed collection of public tokenizers names them.
 COUNT_VOCABULARY, PIECE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
 
+#: What is known about the hosts of the pages.
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -74,6 +77,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
 
 
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
@@ -87,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op10_language_model": op10_language_model,
     "op11_whitening": op11_whitening,
     "op12_spelling": op12_spelling,
+    "op13_url_filters": op13_url_filters,
 }
 
 #: SQL for the queries that SQL can express.
