@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_AT, _RIGHT, _SLICE = "__at", "__right", "__slice"
-#: Seconds of a slice of the time line.
-SLICE_SECONDS = 3600
+from paceforge.operators.running import FIRST, by_slice, carried, carry_window, crossing, sliced, within
+
+_AT, _RIGHT = "__at", "__right"
 
 
 def nearest_match(
@@ -21,7 +21,7 @@ def nearest_match(
     right_key: str,
     columns: Mapping[str, str],
     pred: Column | None = None,
-    slice_seconds: int = SLICE_SECONDS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Give every left row the right row of the same ``on`` group that is nearest in time.
 
@@ -32,7 +32,7 @@ def nearest_match(
 
     With that order, only two right rows can win: the last one at or before the left row and the
     first one after it. So no pair is ever joined. Both sides are reduced to one row per instant before
-    the shuffle and put on one time line per group, which is cut into slices of fixed length; two
+    the shuffle and put on one time line per group, which is cut into ``slices`` of its rows (see ``running.sliced``); two
     window passes carry the neighbours along in a slice, and those beyond it come from a row per slice. The winner of each
     instant is then joined back to the left rows, which take no part in the windows.
     """
@@ -50,25 +50,31 @@ def nearest_match(
         .select(*keys, _AT, F.struct(F.col(_AT).alias("__time"), "__payload").alias(_RIGHT))
     )
     asked = left.select(*keys, F.col(left_ts).alias(_AT)).where(F.col(_AT).isNotNull()).distinct()
-    slice_of = F.floor(F.unix_micros(F.col(_AT)) / (slice_seconds * 1_000_000))
-    line = asked.unionByName(instants, allowMissingColumns=True).withColumn(_SLICE, slice_of)
+    there = F.col(_RIGHT).isNull()
+    line = sliced(asked.unionByName(instants, allowMissingColumns=True), keys, [F.asc(_AT), there.asc()], slices)
 
     # At one instant the right row comes first in both directions. Both passes use a growing frame: one that
     # shrinks towards the end of the partition is evaluated anew for every row.
-    group = Window.partitionBy(*keys, _SLICE)
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    there = F.col(_RIGHT).isNull()
-    forward = group.orderBy(F.asc(_AT), there.asc()).rowsBetween(*so_far)
-    backward = group.orderBy(F.desc(_AT), there.asc()).rowsBetween(*so_far)
-    local = line.select(
+    forward = within(keys, [F.asc(_AT), there.asc()]).rowsBetween(FIRST, 0)
+    backward = within(keys, [F.desc(_AT), there.asc()]).rowsBetween(FIRST, 0)
+    local = by_slice(line).select(
+        "*",
+        F.last(_RIGHT, ignorenulls=True).over(forward).alias("__here_before"),
+        F.last(_RIGHT, ignorenulls=True).over(backward).alias("__here_after"),
+    )
+    time = F.when(~there, F.col(_AT))
+    ends = crossing(line, keys, F.max_by(_RIGHT, time).alias("__last"), F.min_by(_RIGHT, time).alias("__first"))
+    edges = ends.select(
+        *[c for c in ends.columns if c not in ("__last", "__first")],
+        F.last("__last", ignorenulls=True).over(carry_window(keys).rowsBetween(FIRST, -1)).alias("__edge_before"),
+        F.last("__first", ignorenulls=True).over(carry_window(keys, descending=True).rowsBetween(FIRST, -1)).alias("__edge_after"),
+    )
+    matched = carried(local.where(there), edges, keys).select(
         *keys,
         _AT,
-        _SLICE,
-        there.alias("__asked"),
-        F.last(_RIGHT, ignorenulls=True).over(forward).alias("__before"),
-        F.last(_RIGHT, ignorenulls=True).over(backward).alias("__after"),
-    ).where("__asked")
-    matched = _with_edges(local, line, keys)
+        F.coalesce("__here_before", "__edge_before").alias("__before"),
+        F.coalesce("__here_after", "__edge_after").alias("__after"),
+    )
 
     gap_before = F.unix_micros(F.col(_AT)) - F.unix_micros(F.col("__before.__time"))
     gap_after = F.unix_micros(F.col("__after.__time")) - F.unix_micros(F.col(_AT))
@@ -85,28 +91,3 @@ def nearest_match(
         same = same & (F.col(key) == F.col(f"__on_{key}"))
     return left.join(picked, same, "left").select(*left.columns, *[F.col(f"__payload.{out}") for out in columns.values()])
 
-
-def _with_edges(local: DataFrame, line: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fill in neighbours that lie beyond the slice of a row, from the other slices of its group."""
-    time = F.when(F.col(_RIGHT).isNotNull(), F.col(_AT))
-    ends = line.groupBy(*keys, _SLICE).agg(
-        F.max_by(_RIGHT, time).alias("__last"), F.min_by(_RIGHT, time).alias("__first")
-    )
-    group = Window.partitionBy(*keys)
-    earlier = group.orderBy(F.asc(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
-    later = group.orderBy(F.desc(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
-    edges = ends.select(
-        *[F.col(key).alias(f"__edge_{key}") for key in keys],
-        F.col(_SLICE).alias("__edge_slice"),
-        F.last("__last", ignorenulls=True).over(earlier).alias("__edge_before"),
-        F.last("__first", ignorenulls=True).over(later).alias("__edge_after"),
-    )
-    same = F.col(_SLICE) == F.col("__edge_slice")
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"__edge_{key}"))
-    return local.join(edges, same, "left").select(
-        *keys,
-        _AT,
-        F.coalesce("__before", "__edge_before").alias("__before"),
-        F.coalesce("__after", "__edge_after").alias("__after"),
-    )

@@ -9,15 +9,14 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from paceforge.operators.running import SLICE, running_sum
+from paceforge.operators.running import running_sum, sliced
 
 # The range shown when no run has a speed.
 NO_SPEEDS = (5.0, 10.0)
 SMALLEST_SPAN = 0.1
-#: Numeric keys of one slice of a day, and parts of a minute that are added up.
-SLICE_KEYS, MINUTE_PARTS = 65_536, 1_000_000
+#: Parts of a minute that are added up.
+MINUTE_PARTS = 1_000_000
 SORT_COLUMNS = {"time": "run_date", "dist": "distance_km", "speed": "speed_mph"}
 
 
@@ -122,18 +121,17 @@ def period_slots(
     minutes: str = "moving_time_min",
     date: str = "run_date",
     key: str = "run_id",
+    slices: int | None = None,
 ) -> DataFrame:
     """Add the share of the period's minutes that lies before and up to the end of each run.
 
     Runs follow one another by date, then by their key. Unknown or zero minutes count as one; minutes are
-    added up in millionths. A slice is a day, and of numeric keys a range of ``SLICE_KEYS`` of them.
+    added up in millionths. ``slices``: see ``running.sliced``.
     """
     known = F.coalesce(F.nullif(F.col(minutes), F.lit(0.0)), F.lit(1.0))
-    place = [F.col(date)]
-    if isinstance(runs.schema[key].dataType, T.IntegralType):
-        place.append(F.floor(F.col(key) / SLICE_KEYS).alias("part"))
-    sliced = runs.withColumns({"__parts": F.round(known * MINUTE_PARTS).cast("bigint"), SLICE: F.struct(*place)})
-    summed = running_sum(sliced, keys, [date, key], "__parts", "__start", "__end", "__total", "__is_last")
+    parts = runs.withColumn("__parts", F.round(known * MINUTE_PARTS).cast("bigint"))
+    order = [date, key]
+    summed = running_sum(sliced(parts, keys, order, slices), keys, order, "__parts", "__start", "__end", "__total", "__is_last")
     return summed.select(
         *runs.columns,
         (F.col("__start") / F.col("__total")).alias("slot_start"),

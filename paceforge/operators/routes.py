@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paceforge.functions.geo import NANOMETRES, decode_lines, haversine_m, line_distances
-from paceforge.operators.running import SLICE, previous_row, running_sum
+from paceforge.operators.running import previous_row, running_sum, sliced
 
-#: Points of one slice of a route, and bytes of lines that are decoded together.
-SLICE_POINTS, DECODED_BYTES = 4_096, 1_000_000
+#: Bytes of lines that are decoded together.
+DECODED_BYTES = 1_000_000
 
 
 def decoded_routes(
@@ -105,22 +105,20 @@ def cumulative_distance(
     points: DataFrame,
     keys: Sequence[str] = ("run_id",),
     order: Sequence[str] = ("point_idx",),
-    cut: Column | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add, to every point, its distance from the point before and from the start of the route.
 
-    For points that come as rows; ``measured_routes`` does the same for encoded lines. ``cut`` is the slice that a
-    point lies in and rises with the order; by default ``SLICE_POINTS`` of a numeric first order column.
+    For points that come as rows; ``measured_routes`` does the same for encoded lines. ``slices``: see ``running.sliced``.
     Distances are added up in whole nanometres. The result also has the previous point, the length of the whole route and a
     mark on its last point.
     """
-    sliced = points.withColumn(SLICE, cut if cut is not None else F.floor(F.col(order[0]) / SLICE_POINTS))
-    paired = previous_row(sliced, keys, order, ["lat", "lng"], "previous")
+    paired = previous_row(sliced(points, keys, order, slices), keys, order, ["lat", "lng"], "previous")
     step = haversine_m("previous.lat", "previous.lng", "lat", "lng")
     measured = paired.withColumn("segment_m", F.coalesce(step, F.lit(0.0)))
     measured = measured.withColumn("__nm", F.round(F.col("segment_m") * NANOMETRES).cast("bigint"))
     sums = ("begun_m", "distance_m", "route_m")
-    summed = running_sum(measured, keys, order, "__nm", *sums, "is_last")
+    summed = running_sum(measured, keys, order, "__nm", *sums, "is_last", placed=True)
     metres = {name: F.col(name) / NANOMETRES for name in sums}
     return summed.withColumns(metres).select(*points.columns, "previous", "segment_m", *sums, "is_last")
 

@@ -554,8 +554,7 @@ def user_tracks(spark: SparkSession, sf: str) -> DataFrame:
         ((F.col("cents") % 1000 + 4000000).cast("double") / 100000.0).alias("lat"),
         ((F.col("k") * 7 - 7000000).cast("double") / 100000.0).alias("lng"),
     )
-    hour = F.floor(F.unix_micros(F.col("ts")) / 3_600_000_000)
-    measured = routes.cumulative_distance(points, ["user_id"], ["ts", "event_id"], hour)
+    measured = routes.cumulative_distance(points, ["user_id"], ["ts", "event_id"])
     return measured.select("user_id", "event_id", *[u.settled_round(F.col(c), 3).alias(c) for c in ("distance_m", "route_m")])
 
 

@@ -38,9 +38,9 @@ def moments(rng, n, spread):
     return [start + timedelta(seconds=rng.randrange(spread), microseconds=rng.randrange(3)) for _ in range(n)]
 
 
-@pytest.mark.parametrize("slice_seconds", [1, 40, 3600])
-def test_nearest_equals_brute_force(spark, slice_seconds):
-    rng = random.Random(slice_seconds)
+@pytest.mark.parametrize("slices", [1, 7, 90])
+def test_nearest_equals_brute_force(spark, slices):
+    rng = random.Random(slices)
     left = [(i, rng.choice(["a", "a", "a", "b", "c", None]), t) for i, t in enumerate(moments(rng, 300, 9000))]
     right = [(i, rng.choice(["a", "a", "a", "b", None]), t, rng.random() < 0.7) for i, t in enumerate(moments(rng, 200, 9000))]
     right += [(1000 + i, g, left[i][2], True) for i, g in enumerate("aab")]
@@ -53,7 +53,7 @@ def test_nearest_equals_brute_force(spark, slice_seconds):
         right_key="rid",
         columns={"rid": "match", "rts": "match_ts"},
         pred=F.col("ok"),
-        slice_seconds=slice_seconds,
+        slices=slices,
     )
 
     def best(group, ts):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paceforge.functions.geo import haversine_m
-from paceforge.operators import periods, routes
+from paceforge.operators import periods, routes, running
 from tests.conftest import rows
 
 SAMPLE = "_p~iF~ps|U_ulLnnqC_mqNvxq`@"
@@ -84,14 +84,14 @@ def position(points, p):
     return tuple(x + t * (y - x) for x, y in zip(points[low], points[high]))
 
 
-@pytest.mark.parametrize("cut", [2, 10**6])
-def test_distances_and_positions(spark, cut):
+@pytest.mark.parametrize("slices", [1, 9])
+def test_distances_and_positions(spark, slices):
     made = made_routes()
     points = spark.createDataFrame(
         [(run, i, *point) for run, found in made.items() for i, point in enumerate(found)],
         "run_id long, point_idx int, lat double, lng double",
     ).repartition(4)
-    measured = routes.cumulative_distance(points, cut=F.floor(F.col("point_idx") / cut)).cache()
+    measured = routes.cumulative_distance(points, slices=slices).cache()
     for run, _, distance, total in rows(
         measured.where("point_idx = 0").select("run_id", "point_idx", "distance_m", "route_m")
     ):
@@ -182,15 +182,14 @@ def test_speed_scale(spark):
     assert {r.speed_position for r in periods.speed_scale(same).collect()} == {0.0}
 
 
-@pytest.mark.parametrize("keys", [3, 10**6])
-def test_period_slots(spark, monkeypatch, keys):
-    monkeypatch.setattr(periods, "SLICE_KEYS", keys)
+@pytest.mark.parametrize("slices", [1, 30])
+def test_period_slots(spark, slices):
     rng = random.Random(5)
     start = date(2024, 1, 1)
     # Two thirds of a year's runs fall on one day.
     runs = [(i, "hot" if i % 3 else "rest", start + timedelta(0 if i % 3 == 1 else rng.randrange(200)), rng.choice([None, 0.0, 5.0, 30.0])) for i in range(300)]
     df = spark.createDataFrame(runs, "run_id long, g string, run_date date, moving_time_min double").repartition(3)
-    got = {r.run_id: (r.slot_start, r.slot_end) for r in periods.period_slots(df, ["g"]).collect()}
+    got = {r.run_id: (r.slot_start, r.slot_end) for r in periods.period_slots(df, ["g"], slices=slices).collect()}
     for group in ("hot", "rest"):
         done, members = 0.0, sorted((d, i, m or 1.0) for i, g, d, m in runs if g == group)
         total = sum(m for _, _, m in members)
@@ -206,9 +205,8 @@ def test_tracks_by_time(spark):
     sums = [0.0]
     for a, b in zip(points, points[1:]):
         sums.append(sums[-1] + metres(a[3:], b[3:]))
-    for seconds in (1, 7, 3600):
-        cut = F.floor(F.unix_micros("ts") / (seconds * 1_000_000))
-        measured = routes.cumulative_distance(df, ["user_id"], ["ts", "event_id"], cut)
+    for slices in (1, 4, 40):
+        measured = routes.cumulative_distance(df, ["user_id"], ["ts", "event_id"], slices)
         assert [r[1] for r in rows(measured.select("event_id", "distance_m"))] == pytest.approx(sums)
 
 
@@ -239,25 +237,42 @@ def test_a_line_does_not_depend_on_its_neighbours(spark):
         assert len(alone) == len(lines[k]) and all(r.distance_m == r.distance_m for r in alone)
 
 
-def test_one_hot_key_is_bit_equal_at_any_cut_and_partitioning(spark, monkeypatch):
+def test_one_hot_key_is_bit_equal_at_any_cut_and_partitioning(spark):
     rng = random.Random(2)
     start = date(2024, 1, 1)
-    runs = [(i, "hot" if i % 3 == 0 else f"g{i % 40}", start + timedelta(rng.randrange(30)), rng.random() * 90) for i in range(3000)]
+    # sparse ids, a third of all rows in one group, most of them on one day
+    runs = [(i * 100_003, "hot" if i % 3 == 0 else f"g{i % 40}", start + timedelta(rng.choice([3, 3, 3, rng.randrange(30)])), rng.random() * 90) for i in range(3000)]
     df = spark.createDataFrame(runs, "run_id long, g string, run_date date, moving_time_min double")
     found = set()
-    for keys, parts in ((65_536, 1), (10, 7), (1, 13)):
-        monkeypatch.setattr(periods, "SLICE_KEYS", keys)
-        found.add(tuple(rows(periods.period_slots(df.repartition(parts), ["g"]).select("run_id", "slot_start", "slot_end"))))
+    for slices, parts in ((1, 1), (10, 7), (200, 13)):
+        found.add(tuple(rows(periods.period_slots(df.repartition(parts), ["g"], slices=slices).select("run_id", "slot_start", "slot_end"))))
     assert len(found) == 1
 
 
-def test_defining_starts_no_job(spark):
-    df = spark.range(100).selectExpr("id as run_id", "'g' as g", "date'2024-01-01' as run_date", "1.0 as moving_time_min", "timestamp'2024-01-01' as ts")
-    from paceforge.operators.nearest import nearest_match
-
-    spark.sparkContext.setJobGroup("defining", "")
-    periods.period_slots(df, ["g"])
-    routes.cumulative_distance(df.selectExpr("run_id", "run_id as point_idx", "1.0 as lat", "2.0 as lng"))
-    nearest_match(df, df.withColumnRenamed("ts", "rts"), ["g"], "ts", "rts", "run_id", {"run_id": "match"})
-    assert spark.sparkContext.statusTracker().getJobIdsForGroup("defining") in ([], ())
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+def test_slices_follow_the_rows(spark):
+    """A group with a third of the rows, sparse ids, all in one hour: no slice holds twice the mean."""
+    df = spark.range(30_000).selectExpr("id * 100003 as event_id", "if(id % 3 = 0, 'hot', concat('g', id % 500)) as g", "timestamp'2024-06-01' + make_dt_interval(0, 0, 0, id % 3600) as ts", "1 as v")
+    cut = running.sliced(df, ["g"], ["ts", "event_id"], 16)
+    sizes = [r["count"] for r in cut.groupBy(running.SLICE).count().collect()]
+    assert len(sizes) == 16 and sum(sizes) == 30_000 and max(sizes) <= 2 * 30_000 / 16
+    summed = running.running_sum(cut, ["g"], ["ts", "event_id"], "v", "before", "after", "total", "is_last")
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    # rows are shuffled once, by slice; all other exchanges have partial sums below them
+    lines = plan.split("\n")
+    exchanges = [(line, lines[i + 1]) for i, line in enumerate(lines) if "Exchange" in line and "Broadcast" not in line]
+    assert sum("shufflepartitionidpassthrough" in line for line, _ in exchanges) == 1
+    assert all("Aggregate" in below for line, below in exchanges if "hashpartitioning(__slice" in line)
+    got = summed.groupBy("g").agg(F.max("after").alias("most"), F.min("before").alias("least"), F.max("total").alias("total"), F.count("v").alias("n"), F.count_if("is_last").alias("ends"), F.countDistinct("after").alias("steps")).collect()
+    assert all((r.most, r.least, r.total, r.ends, r.steps) == (r.n, 0, r.n, 1, r.n) for r in got)
+
+
+@pytest.mark.parametrize("slices", [1, 13])
+def test_positions(spark, slices):
+    rng = random.Random(3)
+    values = [(i, rng.choice([None, 1.0, 2.0, 2.0, 7.5])) for i in range(500)]
+    df = spark.createDataFrame(values, "k long, x double").repartition(6)
+    got = running.positions(df, [F.desc_nulls_last("x"), F.asc("k")], slices=slices)
+    want = sorted(values, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert [r[0] for r in sorted(got.collect(), key=lambda r: r.position)] == [r[0] for r in want]
+    assert sorted(r.position for r in got.collect()) == list(range(1, 501))
+    assert running.positions(df.limit(0), [F.asc("k")]).collect() == []
