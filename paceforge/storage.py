@@ -43,8 +43,24 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    files, where = _file_system(spark, path)
+    if not files.exists(where):
+        return []
+    return sorted(found.getPath().getName() for found in files.listStatus(where) if found.isDirectory())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def clear_stored(spark: SparkSession) -> None:
     """Delete all tables that ``stored`` made for this application; DataFrames that read them are of no more use."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(_place(spark))
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    remove(spark, _place(spark))

@@ -388,6 +388,13 @@ SELECT o_orderkey, CAST(d AS VARCHAR) AS o_date,
        CASE WHEN d >= b THEN s END AS o_note
 FROM o, bound"""
 
+_MERGED = """WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_totalprice, lower(o_orderstatus) AS s FROM orders),
+bound AS (SELECT max(d) FILTER (d < DATE '2001-06-01') - 7 AS b, max(d) - 7 AS c FROM o)
+SELECT o_orderkey, CAST(d AS VARCHAR) AS o_date,
+       CASE WHEN d >= c THEN o_totalprice * 4 WHEN d >= b THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN d >= b THEN s END AS o_note
+FROM o, bound"""
+
 _CONFORM = {
     "conform_cycles": """SELECT event_id AS id, user_id, epoch_us(ts) AS start,
        CAST(event_type NOT IN ('click', 'view') AS VARCHAR) AS scored,
@@ -589,6 +596,7 @@ ORACLES: dict[str, str] = {
     "customers_without_orders": "SELECT c_custkey AS o_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders"
     " WHERE o_custkey = c_custkey AND year(o_orderdate) = 1997)",
     "incremental_merge": _MERGE,
+    "merged_mart": _MERGED,
     **{name: _with(EV, select=select) for name, select in _CONFORM.items()},
     "conform_users": "SELECT c_custkey AS user_id, CAST(NULL AS VARCHAR) AS email, c_name AS first_name,"
     " c_mktsegment AS last_name, epoch_us(TIMESTAMP '2024-02-01') AS loaded_at FROM customer",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
@@ -15,7 +16,7 @@ from paceforge.operators import aggregates, periods, quality, routes
 from paceforge.operators.joins import attach_day, missing_keys
 from paceforge.operators.load import ewma_load
 from paceforge.operators.nearest import nearest_match
-from paceforge.operators.upsert import rescan_window, upsert
+from paceforge.operators.upsert import drop_mart, merge_mart, read_mart, rescan_window, upsert
 from paceforge.operators.versions import latest_version
 from paceforge.plans import marts, staging
 from paceforge.plans.daily import int_daily_metrics
@@ -23,6 +24,7 @@ from paceforge.plans.load import fct_weekly_training_summary, int_training_load
 from paceforge.plans.recovery import int_run_recovery, int_workout_recovery
 from paceforge.sources import export, landing, tables
 from paceforge.sources.schemas import landing_schema
+from paceforge.storage import stored
 from paceforge.workloads import derive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,6 +239,19 @@ def incremental_merge(spark: SparkSession, sf: str) -> DataFrame:
     return upsert(mart, rescan_window(source, mart, "o_date"), "o_orderkey")
 
 
+def merged_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """A mart of the orders up to mid-2001 after two merges: all orders repriced, with other columns, and then repriced again."""
+    orders = derive.table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("o_date"), "o_totalprice", "o_orderstatus")
+    noted = orders.select("o_orderkey", "o_date", (F.col("o_totalprice") * 2).alias("o_totalprice"), F.lower("o_orderstatus").alias("o_note"))
+    again = noted.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    mart = f"merged_mart_{uuid.uuid4().hex[:8]}"
+    for source in (orders.where(F.col("o_date") < F.lit("2001-06-01").cast("date")), noted, again):
+        merge_mart(source, mart, "o_orderkey", "o_date")
+    merged = stored(read_mart(spark, mart))
+    drop_mart(spark, mart)
+    return merged
+
+
 def _landed(ev: DataFrame, kind: str, record: Column) -> DataFrame:
     """Landed records of one kind, parsed from JSON text made of each event."""
     parsed = ev.select(F.from_json(record, landing_schema(kind)).alias("r"), "ts")
@@ -667,6 +682,7 @@ _ALL: tuple[Query, ...] = (
     missing_photos,
     customers_without_orders,
     incremental_merge,
+    merged_mart,
     conform_cycles,
     conform_sleeps,
     conform_recoveries,

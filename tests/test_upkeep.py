@@ -2,7 +2,6 @@
 
 import json
 from datetime import date, datetime, timedelta, timezone
-from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -14,6 +13,7 @@ from paceforge.operators.upsert import MONTH, merge_mart, read_mart, rescan_wind
 from paceforge.plans import marts, staging
 from paceforge.sources import export, tables
 from paceforge.sources.schemas import AUDIT_TABLE, RAW_TABLES, landing_schema
+from paceforge.storage import folders
 from paceforge.streaming import ingest
 from paceforge.workloads import derive
 from tests.conftest import rows
@@ -77,27 +77,81 @@ def test_merge_empties_a_month(spark, database):
     assert rows(spark.table(table).select(MONTH).distinct()) == [("2024-06",)]
 
 
-def test_a_merge_that_stops_is_finished(spark, database, monkeypatch):
+STEPS = ("stored", "_written", "_publish", "_registered", "_show")
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("columns", ["v", "w"])
+def test_a_stop_at_any_step_leaves_a_readable_mart(spark, database, monkeypatch, step, after, columns):
     table = f"{database}.fact"
     old = [(1, date(2024, 6, 25), "old"), (2, date(2024, 6, 30), "old"), (3, date(2024, 1, 1), "old")]
     merge_mart(mart(spark, *old), table, "id", "d")
     new = [(1, date(2024, 6, 25), "new"), (2, date(2024, 7, 1), "new"), (3, date(2024, 6, 28), "new"), (4, date(2024, 7, 20), "new")]
+    source = mart(spark, *new).withColumnRenamed("v", columns)
+    whole = getattr(upsert_module, step)
 
-    whole = upsert_module._overwrite_months
-
-    def stops(df, name):
-        whole(df.where(F.col(MONTH) == "2024-07"), name)
+    def stops(*args):
+        if after:
+            whole(*args)
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(upsert_module, "_overwrite_months", stops)
+    monkeypatch.setattr(upsert_module, step, stops)
     with pytest.raises(RuntimeError):
-        merge_mart(mart(spark, *new), table, "id", "d")
+        merge_mart(source, table, "id", "d")
     monkeypatch.undo()
-    # The newest date is now in July already, a week past the rows of June that are still to come.
-    merge_mart(mart(spark, *new), table, "id", "d")
-    assert rows(read_mart(spark, table)) == new
+    done = after and step in ("_show", "_publish")
+    assert rows(read_mart(spark, table)) == (new if done else old)
+    if not done:
+        merge_mart(source, table, "id", "d")
+    assert rows(read_mart(spark, table)) == new and read_mart(spark, table).columns == ["id", "d", columns]
     assert rows(spark.table(table).select(MONTH).distinct()) == [("2024-06",), ("2024-07",)]
-    assert not spark.catalog.tableExists(f"{table}__staged")
+    # what the stopped merge has written is gone after the next one
+    merge_mart(source, table, "id", "d")
+    versions = [t.name for t in spark.catalog.listTables(database, pattern="fact__v_*")]
+    assert len(versions) <= 2 and rows(read_mart(spark, table)) == new
+
+
+def test_a_stopped_first_build_blocks_nothing(spark, database, monkeypatch):
+    table = f"{database}.fact"
+    for step in ("_registered", "_show"):
+        monkeypatch.setattr(upsert_module, step, lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            merge_mart(mart(spark, (1, DAY, "a")), table, "id", "d")
+        monkeypatch.undo()
+        assert not spark.catalog.tableExists(table)
+    merge_mart(mart(spark, (1, DAY, "a")), table, "id", "d")
+    assert rows(read_mart(spark, table)) == [(1, DAY, "a")]
+
+
+def test_a_merge_reads_and_writes_touched_months_and_index_parts(spark, database, monkeypatch):
+    table = f"{database}.fact"
+    first = mart(spark, *[(i, date(2024, 1 + i % 6, 20), "old") for i in range(60)])
+    merge_mart(first, table, "id", "d")
+    held = upsert_module._held(spark, table)
+    months = upsert_module._places(spark, f"{table}__v_{held}", MONTH)
+    parts = upsert_module._places(spark, f"{table}__k_{held}", upsert_module.BUCKET)
+    read = []
+    plain = upsert_module.upsert
+
+    def watched(target, source, key):
+        read.append(target.inputFiles())
+        return plain(target, source, key)
+
+    monkeypatch.setattr(upsert_module, "upsert", watched)
+    merge_mart(mart(spark, (1, date(2024, 6, 20), "moved"), (7, date(2024, 2, 20), "new"), (None, DAY, "none")), table, "id", "d", days=None)
+    monkeypatch.undo()
+    held = upsert_module._held(spark, table)
+    after = upsert_module._places(spark, f"{table}__v_{held}", MONTH)
+    assert {m for m in after if after[m] != months[m]} == {"2024-02", "2024-06"}
+    assert {f.split(f"{MONTH}=")[1][:7] for f in read[0]} == {"2024-02", "2024-06"}
+    moved = upsert_module._places(spark, f"{table}__k_{held}", upsert_module.BUCKET)
+    changed = {b for b in moved if moved[b] != parts.get(b)}
+    assert len(changed) <= 2 and {f.split(f"{upsert_module.BUCKET}=")[1].split("/")[0] for f in read[1]} <= changed
+    got = {r[0]: r[1:] for r in rows(read_mart(spark, table)) if r[0] is not None}
+    assert len(got) == 60 and got[1] == (date(2024, 6, 20), "moved") and got[7][1] == "new"
+    index = spark.table(f"{table}__k_{held}")
+    assert rows(index.select("id", MONTH)) == rows(spark.table(table).where("id is not null").select("id", MONTH))
 
 
 def test_merge_of_changed_columns(spark, database):
@@ -128,12 +182,10 @@ def test_files_of_a_stopped_merge_block_nothing(spark, database, monkeypatch):
     with pytest.raises(PySparkException):
         merge_mart(mart(spark, (2, DAY, "b")), table, "id", "d")
     monkeypatch.undo()
-    where = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").first()[1].removeprefix("file:")
-    for name in ("fact__staged", "fact__changes"):
-        (Path(where) / name).mkdir(parents=True, exist_ok=True)
     merge_mart(mart(spark, (2, DAY, "b")), table, "id", "d")
     assert rows(read_mart(spark, table)) == [(1, DAY, "a"), (2, DAY, "b")]
-    assert [t.name for t in spark.catalog.listTables(database)] == ["fact"]
+    upsert_module.drop_mart(spark, table)
+    assert spark.catalog.listTables(database) == [] and folders(spark, upsert_module._home(spark, table)) == []
 
 
 def test_repeated_keys_are_refused(spark, database):
