@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,36 +38,30 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def last_in_group(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
-    """Values of ``columns`` in the last row of every group, NULLs among them kept."""
-    return df.groupBy(*keys).agg(*[F.max_by(name, order).alias(name) for name in columns])
+def weekly_figures(order: str | Column = "cycle_date") -> list[Column]:
+    """Sums, snapshot at the last row by ``order``, and wellness averages of a user's week."""
+    return [
+        F.count(F.lit(1)).alias("tracked_days"),
+        rounded_sum("daily_tss", 1).alias("total_weekly_tss"),
+        rounded_avg("daily_tss", 1).alias("avg_daily_tss"),
+        F.round(F.max_by("ctl", order), 1).alias("week_end_ctl"),
+        F.round(F.max_by("atl", order), 1).alias("week_end_atl"),
+        F.round(F.max_by("tsb", order), 1).alias("week_end_tsb"),
+        F.max_by("form_label", order).alias("week_end_form"),
+        F.max_by("fitness_phase", order).alias("fitness_phase"),
+        rounded_avg("recovery_score", 1).alias("avg_recovery"),
+        rounded_avg("hrv_rmssd_milli", 1).alias("avg_hrv_rmssd"),
+        rounded_avg("resting_heart_rate", 1).alias("avg_rhr"),
+        rounded_avg("training_monotony_7d", 2).alias("avg_monotony"),
+        count_where(F.col("strain_score") >= 10).alias("hard_days"),
+        count_where((F.col("strain_score") < 5) | F.col("strain_score").isNull()).alias("easy_or_rest_days"),
+    ]
 
 
 def weekly_load(load: DataFrame, user: str = "user_id") -> DataFrame:
     """Load, snapshot of the last day and wellness averages, per user and Monday week."""
-    weeks = load.withColumn("week_start", week_start("cycle_date"))
-    return (
-        weeks.groupBy("week_start", user)
-        .agg(
-            F.count(F.lit(1)).alias("tracked_days"),
-            rounded_sum("daily_tss", 1).alias("total_weekly_tss"),
-            rounded_avg("daily_tss", 1).alias("avg_daily_tss"),
-            F.round(F.max_by("ctl", "cycle_date"), 1).alias("week_end_ctl"),
-            F.round(F.max_by("atl", "cycle_date"), 1).alias("week_end_atl"),
-            F.round(F.max_by("tsb", "cycle_date"), 1).alias("week_end_tsb"),
-            F.max_by("form_label", "cycle_date").alias("week_end_form"),
-            F.max_by("fitness_phase", "cycle_date").alias("fitness_phase"),
-            rounded_avg("recovery_score", 1).alias("avg_recovery"),
-            rounded_avg("hrv_rmssd_milli", 1).alias("avg_hrv_rmssd"),
-            rounded_avg("resting_heart_rate", 1).alias("avg_rhr"),
-            rounded_avg("training_monotony_7d", 2).alias("avg_monotony"),
-            count_where(F.col("strain_score") >= 10).alias("hard_days"),
-            count_where((F.col("strain_score") < 5) | F.col("strain_score").isNull()).alias(
-                "easy_or_rest_days"
-            ),
-        )
-        .withColumn("week_end", F.date_add("week_start", 6))
-    )
+    weeks = load.withColumn("week_start", week_start("cycle_date")).groupBy("week_start", user).agg(*weekly_figures())
+    return weeks.withColumn("week_end", F.date_add("week_start", 6))
 
 
 def weekly_runs(runs: DataFrame, user_col: str | None = None) -> DataFrame:

@@ -13,19 +13,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paceforge.functions.labels import daily_load
 from paceforge.session import utc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return instants(utc(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def instants(df: DataFrame) -> DataFrame:
+    """Times without a zone as instants."""
     times = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({name: F.col(name).cast("timestamp") for name in times})
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their day, whole cents, the count in ``props`` and a cycle id per user and day."""
+    return read_events(table(spark, sf_dir, "events"))
+
+
+def read_events(df: DataFrame) -> DataFrame:
     day = F.to_date("ts")
-    return table(spark, sf_dir, "events").select(
+    return df.select(
         "event_id",
         "ts",
         day.alias("d"),
@@ -68,6 +77,25 @@ def raw_cycles(ev: DataFrame) -> DataFrame:
     )
 
 
+def load_rows(ev: DataFrame) -> DataFrame:
+    """Every event as a row of the training load, with its instant; errors have no strain, signups no recovery."""
+    strain = F.when(~_is("error"), _over(F.col("cents") % 2101, 100.0))
+    labels = {"form_label": F.concat(F.lit("form"), (F.col("k") % 5).cast("string")), "fitness_phase": F.when(F.col("k") >= 10, F.col("event_type"))}
+    return ev.withColumn("strain_score", strain).select(
+        "event_id",
+        "ts",
+        "user_id",
+        daily_load("strain_score").alias("daily_tss"),
+        "strain_score",
+        F.when(~_is("signup"), _over(F.col("k") % 101, 1.0)).alias("recovery_score"),
+        _over(F.col("cents") % 12000, 100.0).alias("hrv_rmssd_milli"),
+        _over(F.col("k") % 25 + 40, 1.0).alias("resting_heart_rate"),
+        *[_over(F.col("cents") % n, 10.0).alias(name) for name, n in (("ctl", 700), ("atl", 1100), ("tsb", 300))],
+        *[c.alias(name) for name, c in labels.items()],
+        _over(F.col("k") % 30, 10.0).alias("training_monotony_7d"),
+    )
+
+
 def raw_recoveries(ev: DataFrame) -> DataFrame:
     """One version per user, day and event type; error events make none, signups have no score."""
     sums = ev.where(~_is("error")).groupBy("cycle", "user_id", "event_type").agg(

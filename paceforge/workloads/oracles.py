@@ -328,6 +328,23 @@ WINDOW w AS (PARTITION BY user_id ORDER BY cycle_date),
        w7 AS (PARTITION BY user_id ORDER BY cycle_date ROWS 6 PRECEDING),
        w28 AS (PARTITION BY user_id ORDER BY cycle_date ROWS 27 PRECEDING)"""
 
+_STREAMED = f"""scored AS (
+  SELECT *, CAST(date_trunc('week', ts) AS DATE) AS week_start,
+         CASE WHEN event_type <> 'error' THEN (cents % 2101) / 100.0 END AS strain FROM ev),
+loads AS (SELECT *, {_round("coalesce(strain, 0.0) * (100.0 / 21.0)", 2)} AS tss FROM scored)
+SELECT CAST(week_start AS VARCHAR) AS week_start, CAST(week_start + 6 AS VARCHAR) AS week_end, user_id, count(*) AS tracked_days,
+       {_round("sum(tss)", 1)} AS total_weekly_tss, {_round("avg(tss)", 1)} AS avg_daily_tss,
+       arg_max_null((cents % 700) / 10.0, (ts, event_id)) AS week_end_ctl,
+       arg_max_null((cents % 1100) / 10.0, (ts, event_id)) AS week_end_atl,
+       arg_max_null((cents % 300) / 10.0, (ts, event_id)) AS week_end_tsb,
+       arg_max_null(concat('form', k % 5), (ts, event_id)) AS week_end_form,
+       arg_max_null(CASE WHEN k >= 10 THEN event_type END, (ts, event_id)) AS fitness_phase,
+       {_round("avg(CASE WHEN event_type <> 'signup' THEN (k % 101) / 1.0 END)", 1)} AS avg_recovery,
+       {_round("avg((cents % 12000) / 100.0)", 1)} AS avg_hrv_rmssd, {_round("avg((k % 25 + 40) / 1.0)", 1)} AS avg_rhr,
+       {_round("avg((k % 30) / 10.0)", 2)} AS avg_monotony, count(*) FILTER (strain >= 10) AS hard_days,
+       count(*) FILTER (coalesce(strain, 0) < 5) AS easy_or_rest_days
+FROM loads GROUP BY week_start, user_id"""
+
 _LIFETIME = f"""SELECT d.user_id, count(DISTINCT cycle_date) AS total_tracked_days,
        CAST(min(cycle_date) AS VARCHAR) AS first_tracked_date,
        CAST(max(cycle_date) AS VARCHAR) AS latest_tracked_date,
@@ -597,6 +614,7 @@ ORACLES: dict[str, str] = {
     " WHERE o_custkey = c_custkey AND year(o_orderdate) = 1997)",
     "incremental_merge": _MERGE,
     "merged_mart": _MERGED,
+    "streamed_weeks": _with(EV, select="").rstrip() + ",\n" + _STREAMED,
     **{name: _with(EV, select=select) for name, select in _CONFORM.items()},
     "conform_users": "SELECT c_custkey AS user_id, CAST(NULL AS VARCHAR) AS email, c_name AS first_name,"
     " c_mktsegment AS last_name, epoch_us(TIMESTAMP '2024-02-01') AS loaded_at FROM customer",

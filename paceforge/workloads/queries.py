@@ -24,7 +24,8 @@ from paceforge.plans.load import fct_weekly_training_summary, int_training_load
 from paceforge.plans.recovery import int_run_recovery, int_workout_recovery
 from paceforge.sources import export, landing, tables
 from paceforge.sources.schemas import landing_schema
-from paceforge.storage import stored
+from paceforge.storage import shared_folder, stored
+from paceforge.streaming import weeks
 from paceforge.workloads import derive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +140,18 @@ def weekly_summary_all_users(spark: SparkSession, sf: str) -> DataFrame:
     return _weekly(derive.events(spark, sf), None)
 
 
+def streamed_weeks(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekly load of every user over the events as a stream that takes all that is there."""
+    schema = derive.utc(spark).read.parquet(f"{sf}/events.parquet").schema
+    # A pattern: a stream takes no path of a single file.
+    landed = derive.instants(spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]"))
+    load = derive.load_rows(derive.read_events(landed))
+    place = f"{shared_folder(spark)}/streamed-weeks-{uuid.uuid4().hex}"
+    found = weeks.weekly_load_stream(load, order=F.struct("ts", "event_id"))
+    weeks.write_weeks(found, f"{place}/weeks", f"{place}/state").awaitTermination()
+    return weeks.read_weeks(spark, f"{place}/weeks")
+
+
 def rolling_trends(spark: SparkSession, sf: str) -> DataFrame:
     return marts.my_trends(_daily(derive.events(spark, sf)))
 
@@ -673,6 +686,7 @@ _ALL: tuple[Query, ...] = (
     training_load,
     weekly_summary,
     weekly_summary_all_users,
+    streamed_weeks,
     rolling_trends,
     user_lifetime,
     capped_load,

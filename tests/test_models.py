@@ -268,9 +268,13 @@ def test_trends_and_users(spark):
     ]
 
 
-def test_last_in_group_keeps_null(spark):
-    df = spark.createDataFrame([(1, 1, "a"), (1, 2, None), (2, 1, "b")], "k int, o int, v string")
-    assert rows(aggregates.last_in_group(df, ["k"], "o", ["v"])) == [(1, None), (2, "b")]
+def test_the_last_day_of_a_week_keeps_its_null(spark):
+    columns = "user_id int, cycle_date date, fitness_phase string, form_label string, " + ", ".join(
+        f"{c} double" for c in "daily_tss strain_score ctl atl tsb recovery_score hrv_rmssd_milli resting_heart_rate training_monotony_7d".split()
+    )
+    days = [(u, date(2027, 1, 4 + i), phase, "f", *[1.0] * 9) for u, i, phase in [(1, 0, "a"), (1, 1, None), (2, 0, "b")]]
+    weeks = aggregates.weekly_load(spark.createDataFrame(days, columns))
+    assert rows(weeks.select("user_id", "fitness_phase", "tracked_days")) == [(1, None, 2), (2, "b", 1)]
 
 
 def test_period_counts(spark):

@@ -14,7 +14,7 @@ from paceforge.plans import marts, staging
 from paceforge.sources import export, tables
 from paceforge.sources.schemas import AUDIT_TABLE, RAW_TABLES, landing_schema
 from paceforge.storage import folders
-from paceforge.streaming import ingest
+from paceforge.streaming import ingest, weeks
 from paceforge.workloads import derive
 from tests.conftest import rows
 
@@ -433,3 +433,22 @@ def test_build(spark, database):
     plan = marts.my_trends(spark.table(f"{built}.int_daily_metrics"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     spark.sql(f"DROP DATABASE {built} CASCADE")
+
+
+def test_late_rows_of_open_and_closed_weeks(spark, tmp_path):
+    """A late row changes a week that is still open and is dropped for a closed one; a second run goes on from the state."""
+    folder, place = tmp_path / "landed", f"{tmp_path}/out"
+    folder.mkdir()
+    ev = "event_id long, ts timestamp, user_id long, event_type string, cents long, k long"
+
+    def run(*events):
+        records = [{"event_id": i, "ts": f"2024-{day}T12:00:00Z", "user_id": 1, "event_type": "view", "cents": 2100, "k": i} for i, day in events]
+        (folder / f"{len(list(folder.iterdir()))}.json").write_text("\n".join(map(json.dumps, records)))
+        stream = weeks.weekly_load_stream(derive.load_rows(spark.readStream.schema(ev).json(str(folder))), delay="10 days")
+        weeks.write_weeks(stream, f"{place}/weeks", f"{place}/state").awaitTermination()
+        return rows(weeks.read_weeks(spark, f"{place}/weeks").select("week_start", "tracked_days", "total_weekly_tss"))
+
+    first, second, third = date(2024, 1, 1), date(2024, 1, 8), date(2024, 2, 5)
+    assert run((1, "01-01"), (2, "01-07"), (3, "01-08")) == [(first, 2, 200.0), (second, 1, 100.0)]
+    assert run((4, "01-03"), (5, "02-06")) == [(first, 3, 300.0), (second, 1, 100.0), (third, 1, 100.0)]
+    assert run((6, "01-09"), (7, "02-07")) == [(first, 3, 300.0), (second, 1, 100.0), (third, 2, 200.0)]
