@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paceforge.functions import labels
-from paceforge.operators.joins import attach_day
+from paceforge.operators.joins import attach_day, attach_days
 from paceforge.operators.nearest import nearest_match
 
 # Daily columns and their names next to an activity.
@@ -88,10 +88,9 @@ def int_run_recovery(
         columns=workout,
         pred=labels.is_running_sport("sport_name"),
     )
-    with_day = attach_day(matched, daily, SAME_DAY, "run_date", user_col=user_col)
-    with_next = attach_day(with_day, daily, NEXT_DAY, "run_date", offset=1, user_col=user_col)
+    with_days = attach_days(matched, daily, {0: SAME_DAY, 1: NEXT_DAY}, "run_date", user_col=user_col)
     minutes = f"{match_prefix}high_intensity_min"
-    return with_next.select(
+    return with_days.select(
         *[c for c in run.columns if c not in ("loaded_at", *users)],
         *SAME_DAY.values(),
         *NEXT_DAY.values(),

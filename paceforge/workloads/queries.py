@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from paceforge.functions import units as u
 from paceforge.operators import aggregates, periods, quality, routes
-from paceforge.operators.joins import attach_day, missing_keys
+from paceforge.operators.joins import attach_days, missing_keys
 from paceforge.operators.load import ewma_load
 from paceforge.operators.nearest import nearest_match
 from paceforge.operators.upsert import drop_mart, merge_mart, read_mart, rescan_window, upsert
@@ -187,8 +187,7 @@ def next_day_join(spark: SparkSession, sf: str) -> DataFrame:
     )
     same_day = {"n": "same_day_n", "total": "same_day_total"}
     next_day = {"n": "next_day_n", "total": "next_day_total"}
-    same = attach_day(orders, days, same_day, "o_date")
-    both = attach_day(same, days, next_day, "o_date", offset=1)
+    both = attach_days(orders, days, {0: same_day, 1: next_day}, "o_date")
     return both.withColumn("delta", F.col("next_day_n") - F.col("same_day_n"))
 
 

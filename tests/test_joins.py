@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pyspark.errors import PySparkException
 
-from paceforge.operators.joins import attach_day, missing_keys
+from paceforge.operators.joins import attach_day, attach_days, missing_keys
 from paceforge.operators.nearest import nearest_match
 from paceforge.plans.recovery import int_run_recovery, int_workout_recovery
 from tests.conftest import rows
@@ -24,11 +24,30 @@ def test_attach_day(spark):
     assert rows(both.select("id", "same", "next")) == [(1, 60.0, 70.0), (2, None, None), (3, None, None)]
 
 
+@pytest.mark.parametrize("user_col", ["u", None])
+def test_one_look_up_equals_one_join_for_each_day(spark, user_col):
+    rng = random.Random(6)
+    days = [(DAY + timedelta(i), u, rng.choice([None, float(i)]), i) for i in range(20) for u in (range(3) if user_col else [0]) for _ in range(rng.choice([0, 1, 2] if user_col else [0, 1]))]
+    days += [(None, 1, 5.0, 99)]
+    acts = [(i, rng.choice([0, 1, 2, 7, None]), rng.choice([None, DAY + timedelta(rng.randrange(-2, 24))])) for i in range(200)]
+    acts = spark.createDataFrame(acts, "id int, u int, d date")
+    daily = spark.createDataFrame(days, "cycle_date date, u int, score double, c int")
+    columns = {0: {"score": "same", "c": "same_c"}, 1: {"score": "next", "c": "next_c"}, -2: {"c": "before"}}
+    both = acts
+    for offset, names in columns.items():
+        both = attach_day(both, daily, names, "d", offset=offset, user_col=user_col)
+    once = attach_days(acts, daily, columns, "d", user_col=user_col)
+    assert once.columns == both.columns and rows(once) == rows(both)
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
 def test_two_users_on_a_date_need_a_user_key(spark):
     acts = spark.createDataFrame([(1, 1, DAY)], "id int, u int, d date")
     daily = spark.createDataFrame([(DAY, 1, 60.0), (DAY, 2, 70.0)], "cycle_date date, u int, score double")
     with pytest.raises(PySparkException, match="more than one day on 2024-06-01"):
         attach_day(acts, daily, {"score": "s"}, "d").collect()
+    with pytest.raises(PySparkException, match="more than one day on 2024-06-01"):
+        attach_days(acts, daily, {0: {"score": "s"}, 1: {"score": "n"}}, "d").collect()
     keyed = attach_day(acts, daily, {"score": "s"}, "d", user_col="u")
     assert rows(keyed.select("id", "s")) == [(1, 60.0)]
 
