@@ -134,3 +134,8 @@ def positions(df: DataFrame, order: Sequence[Column], out: str = "position", sta
     ahead = F.coalesce(F.sum("__rows").over(carry_window([]).rowsBetween(FIRST, -1)), F.lit(0))
     numbered = carried(own, counts.select("__carry_slice", ahead.alias("__ahead")), [])
     return numbered.select(*df.columns, (F.col("__ahead") + F.col("__own") + (start - 1)).cast("bigint").alias(out))
+
+
+def as_ordered(df: DataFrame, out: str = "position") -> DataFrame:
+    """Add the place of each row in the order that ``df`` gives its rows in, such as an ``orderBy`` leaves."""
+    return positions(df.withColumn("__at", F.monotonically_increasing_id()), [F.asc("__at")], out).drop("__at")

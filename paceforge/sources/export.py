@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paceforge.operators.running import positions
+
 # Columns of each export in order; "text" columns are written as strings.
 RUN_COLUMNS = """
     run_id run_name sport_type run_date run_start distance_km moving_time_min pace_min_per_km
@@ -69,45 +71,30 @@ def json_document(
     rows_name: str,
     description: str | None = None,
 ) -> DataFrame:
-    """Lines of one JSON document with all rows in order, in the column ``value``."""
+    """Lines of one JSON document, (position, value), with all rows in order; the head is at 0 and the foot comes last.
+
+    Rows are numbered by their place in the order, equal ones in the order of their texts. Commas stand in front of all but the first.
+    """
     stamp = now if now.tzinfo else now.replace(tzinfo=timezone.utc)
     texts = [as_text(df, c).alias(c) if c in TEXT_COLUMNS else F.col(c) for c in columns]
     row = F.to_json(F.struct(*texts), {"ignoreNullFields": "false"})
-    sort = [c.alias(f"__sort_{i}") for i, c in enumerate(order)]
-    lines = df.select(row.alias("__row"), *sort)
-    sort_names = [f"__sort_{i}" for i in range(len(order))]
-
-    # Commas stand in front of all rows but the first, which is found by its place in the order; equal rows are
-    # told apart by a number.
-    once = lines.groupBy(*sort_names, "__row").agg(F.count(F.lit(1)).alias("__times"))
-    facts = once.agg(
-        F.min(F.struct(*sort_names, "__row")).alias("first"), F.coalesce(F.sum("__times"), F.lit(0)).alias("rows")
-    )
-    known = facts.select(F.struct("first", "rows")).scalar()
-    copies = once.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))))
-    is_first = (F.struct(*sort_names, "__row") == known["first"]) & (F.col("__copy") == 1)
-    body = copies.select(
-        F.lit(1).alias("__part"),
-        *sort_names,
-        F.concat(F.when(is_first, " ").otherwise(","), "__row").alias("value"),
-    )
-    head = {"generated_at": F.lit(stamp.isoformat()), count_name: known["rows"]}
+    names = [f"__sort_{i}" for i in range(len(order))]
+    lines = df.select(row.alias("__row"), *[c.alias(name) for c, name in zip(order, names)])
+    placed = positions(lines, [F.asc(name) for name in (*names, "__row")])
+    rows = placed.agg(F.count(F.lit(1))).scalar()
+    comma = F.when(F.col("position") == 1, " ").otherwise(",")
+    head = {"generated_at": F.lit(stamp.isoformat()), count_name: rows}
     if description is not None:
         head["description"] = F.lit(description)
     opened = F.to_json(F.struct(*[c.alias(name) for name, c in head.items()]))
-    ends = df.sparkSession.range(1).select(
-        F.regexp_replace(opened, r"\}$", f',"{rows_name}":[').alias("open"), F.lit("]}").alias("close")
-    )
-    ends = ends.select(F.inline(F.array(_line(0, "open"), _line(2, "close"))))
-    return (
-        body.unionByName(ends, allowMissingColumns=True)
-        .orderBy("__part", *sort_names, "value")
-        .select("value")
-    )
+    first = F.regexp_replace(opened, r"\}$", f',"{rows_name}":[')
+    ends = F.array(_line(F.lit(0).cast("bigint"), first), _line(rows + 1, F.lit("]}")))
+    body = placed.select("position", F.concat(comma, "__row").alias("value"))
+    return body.unionByName(df.sparkSession.range(1).select(F.inline(ends))).orderBy("position")
 
 
-def _line(part: int, name: str) -> Column:
-    return F.struct(F.lit(part).alias("__part"), F.col(name).alias("value"))
+def _line(position: Column, value: Column) -> Column:
+    return F.struct(position.alias("position"), value.alias("value"))
 
 
 def _newest_first(c: str) -> Column:
@@ -131,20 +118,20 @@ def weekly_document(weekly: DataFrame, now: datetime, description: str = WEEKLY_
 
 
 def parsed_document(document: DataFrame, rows: T.StructType, count_name: str) -> DataFrame:
-    """Rows of a document from its own lines, each with the head's time and count."""
+    """Rows of a document from its own lines, each with its position and the head's time and count."""
     line = F.col("value")
     head = document.where(line.startswith('{"generated_at"')).select(
         F.from_json(F.concat(line, F.lit("]}")), f"generated_at string, {count_name} bigint").alias("head")
     )
     known = head.scalar()
     body = document.where(line.startswith(",") | line.startswith(" "))
-    return body.select(F.from_json(F.substring(line, F.lit(2), F.length(line)), rows).alias("row")).select(
-        "row.*", known["generated_at"].alias("generated_at"), known[count_name].alias(count_name)
+    return body.select("position", F.from_json(F.substring(line, F.lit(2), F.length(line)), rows).alias("row")).select(
+        "row.*", "position", known["generated_at"].alias("generated_at"), known[count_name].alias(count_name)
     )
 
 
 def write_document(document: DataFrame, path: str) -> None:
-    document.write.mode("overwrite").text(path)
+    document.select("value").write.mode("overwrite").text(path)
 
 
 def export_runs(runs: DataFrame, path: str, now: datetime) -> None:

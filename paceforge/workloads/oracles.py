@@ -609,7 +609,7 @@ ORACLES: dict[str, str] = {
     "next_day_join": _NEXT_DAY_JOIN,
     "nearest_click": _with(EV, select=_NEAREST_CLICK),
     "nearest_any_user": _with(EV, select=_NEAREST_ANY),
-    "missing_photos": _with(EV, select="SELECT event_id AS id FROM ev WHERE event_type = 'error'"),
+    "missing_photos": _with(EV, select="SELECT event_id AS id, row_number() OVER (ORDER BY event_id) AS position FROM ev WHERE event_type = 'error'"),
     "customers_without_orders": "SELECT c_custkey AS o_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders"
     " WHERE o_custkey = c_custkey AND year(o_orderdate) = 1997)",
     "incremental_merge": _MERGE,
@@ -654,15 +654,16 @@ ORACLES: dict[str, str] = {
     ),
     "newest_runs": _with(
         EV, RUNS,
-        select="SELECT run_id, CAST(run_date AS VARCHAR) AS run_date, distance_km FROM runs"
+        select="SELECT run_id, CAST(run_date AS VARCHAR) AS run_date, distance_km, row_number() OVER (ORDER BY runs.run_date DESC, run_id DESC) AS position FROM runs"
         " ORDER BY runs.run_date DESC, run_id DESC LIMIT 25",
     ),
     "mapped_runs": _with(
-        EV, RUNS, select="SELECT run_id, CAST(run_date AS VARCHAR) AS run_date, distance_km FROM runs WHERE summary_polyline <> ''"
+        EV, RUNS,
+        select="SELECT run_id, CAST(run_date AS VARCHAR) AS run_date, distance_km, row_number() OVER (ORDER BY runs.run_date DESC, run_id DESC) AS position FROM runs WHERE summary_polyline <> ''",
     ),
     "runs_of_a_week": _with(
         EV, RUNS, SPEEDED,
-        select="SELECT run_id, CAST(run_date AS VARCHAR) AS run_date, speed_mph FROM speeded"
+        select="SELECT run_id, CAST(run_date AS VARCHAR) AS run_date, speed_mph, row_number() OVER (ORDER BY coalesce(speed_mph, 0) DESC, run_id) AS rank FROM speeded"
         " WHERE run_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'",
     ),
     "polyline_decode": _with(EV, POINTS, select="SELECT run_id, point_idx, lat, lng FROM points"),
@@ -712,15 +713,16 @@ ORACLES["route_point_lengths"] = ORACLES["route_lengths"]
 ORACLES["route_point_summary"] = ORACLES["route_summary"]
 
 
-def _document(rows: str, count: str) -> str:
-    """Rows of an export with the head's time and count, as the document of NOW has them."""
-    return f"SELECT d.*, '2024-02-01T00:00:00+00:00' AS generated_at, count(*) OVER () AS {count} FROM ({rows}) d"
+def _document(rows: str, count: str, order: str) -> str:
+    """Rows of an export with their place and the head's time and count, as the document of NOW has them."""
+    place = f"row_number() OVER (ORDER BY {order}) AS position"
+    return f"SELECT d.*, {place}, '2024-02-01T00:00:00+00:00' AS generated_at, count(*) OVER () AS {count} FROM ({rows}) d"
 
 
-ORACLES["export_document"] = _document(ORACLES["export_daily_load"], "row_count")
+ORACLES["export_document"] = _document(ORACLES["export_daily_load"], "row_count", "cycle_date, CAST(user_id AS BIGINT)")
 # The flag comes back as a JSON truth value.
-ORACLES["export_weekly_document"] = _document(ORACLES["export_weekly"], "row_count")
-ORACLES["export_runs_document"] = _document(ORACLES["export_runs"], "run_count")
+ORACLES["export_weekly_document"] = _document(ORACLES["export_weekly"], "row_count", "week_start, CAST(user_id AS BIGINT)")
+ORACLES["export_runs_document"] = _document(ORACLES["export_runs"], "run_count", "run_date DESC, CAST(run_id AS BIGINT)")
 ORACLES["late_and_running"] = _with(
     EV, CYCLES,
     """late AS (

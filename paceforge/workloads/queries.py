@@ -16,6 +16,7 @@ from paceforge.operators import aggregates, periods, quality, routes
 from paceforge.operators.joins import attach_days, missing_keys
 from paceforge.operators.load import ewma_load
 from paceforge.operators.nearest import nearest_match
+from paceforge.operators.running import as_ordered
 from paceforge.operators.upsert import drop_mart, merge_mart, read_mart, rescan_window, upsert
 from paceforge.operators.versions import latest_version
 from paceforge.plans import marts, staging
@@ -223,7 +224,7 @@ def nearest_any_user(spark: SparkSession, sf: str) -> DataFrame:
 
 def missing_photos(spark: SparkSession, sf: str) -> DataFrame:
     ev = derive.events(spark, sf)
-    return missing_keys(derive.raw_runs(ev), derive.raw_photos(ev), "id")
+    return as_ordered(missing_keys(derive.raw_runs(ev), derive.raw_photos(ev), "id"))
 
 
 def customers_without_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -520,17 +521,17 @@ def period_slots_all_users(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def newest_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return periods.newest(stg_runs(spark, sf), 25).select("run_id", "run_date", "distance_km")
+    return as_ordered(periods.newest(stg_runs(spark, sf), 25)).select("position", "run_id", "run_date", "distance_km")
 
 
 def mapped_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return periods.mapped_runs(stg_runs(spark, sf)).select("run_id", "run_date", "distance_km")
+    return as_ordered(periods.mapped_runs(stg_runs(spark, sf))).select("position", "run_id", "run_date", "distance_km")
 
 
 def runs_of_a_week(spark: SparkSession, sf: str) -> DataFrame:
     """Runs of one ISO week by speed, fastest first, with their rank."""
     week = periods.runs_in_period(_speeded(spark, sf), "week", "2024-W02")
-    return periods.sorted_runs(week, "speed").select("run_id", "run_date", "speed_mph")
+    return as_ordered(periods.sorted_runs(week, "speed"), "rank").select("rank", "run_id", "run_date", "speed_mph")
 
 
 # --- routes -------------------------------------------------------------------------------------

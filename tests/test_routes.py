@@ -276,3 +276,5 @@ def test_positions(spark, slices):
     assert [r[0] for r in sorted(got.collect(), key=lambda r: r.position)] == [r[0] for r in want]
     assert sorted(r.position for r in got.collect()) == list(range(1, 501))
     assert running.positions(df.limit(0), [F.asc("k")]).collect() == []
+    ordered = running.as_ordered(df.orderBy(F.desc("k")))
+    assert ordered.columns == ["k", "x", "position"] and all(r.k + r.position == 500 for r in ordered.collect())
