@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Columns that must not be NULL, and keys that must be unique, per model.
@@ -87,3 +87,9 @@ def check_model(df: DataFrame, model: str) -> DataFrame:
         for check, names, place in results
     ]
     return totals.select(F.inline(F.array(*shown))).select(F.lit(model).alias("model"), "check", "columns", "failures")
+
+
+def check_models(spark: SparkSession, database: str) -> DataFrame:
+    """All declared checks on what a build has left: the staging views and the tables in ``database``."""
+    reports = [check_model(spark.table(name if name.startswith("stg_") else f"{database}.{name}"), name) for name in NOT_NULL]
+    return reduce(DataFrame.unionByName, reports)

@@ -87,21 +87,40 @@ def required_gaps(df: DataFrame, table: str) -> DataFrame:
     return counts.select(F.lit(table).alias("table"), F.inline(F.array(*pairs)))
 
 
-def audit_record(rows: DataFrame, source: str, run_id: str, started_at: datetime, ended_at: datetime) -> DataFrame:
-    """The audit record of a load of ``rows``, as one row of the audit table's columns."""
-    mark = SOURCES[source][1]
-    counted = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.col(mark).cast("timestamp")).alias("mark"))
+def audit_record(
+    source: str,
+    run_id: str,
+    started_at: datetime,
+    ended_at: datetime,
+    fetched: int = 0,
+    inserted: int = 0,
+    watermark_start: datetime | None = None,
+    watermark_end: datetime | None = None,
+    error: str | None = None,
+) -> Row:
+    """What a load leaves in the audit table. A load that failed has an error, no rows and no new watermark."""
     values = {
-        "run_id": F.lit(run_id),
-        "endpoint": F.lit(AUDIT_NAMES.get(source, source)),
-        "started_at": F.lit(started_at),
-        "ended_at": F.lit(ended_at),
-        "rows_fetched": F.col("n"),
-        "rows_inserted": F.col("n"),
-        "watermark_end": F.col("mark"),
-        "status": F.lit("success"),
+        "run_id": run_id,
+        "endpoint": AUDIT_NAMES.get(source, source),
+        "started_at": started_at,
+        "ended_at": ended_at,
+        "rows_fetched": fetched if error is None else 0,
+        "rows_inserted": inserted if error is None else 0,
+        "watermark_start": watermark_start,
+        "watermark_end": watermark_end if error is None else None,
+        "status": "success" if error is None else "failed",
+        "error_msg": error,
     }
-    return counted.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in raw_schema(AUDIT_TABLE)])
+    return Row(**{field.name: values[field.name] for field in raw_schema(AUDIT_TABLE)})
+
+
+def _why(error: Exception, rows: DataFrame | None, table: str) -> str:
+    """Reason of a failed load: required columns without a value, with the number of rows, or else the error itself."""
+    try:
+        gaps = [] if rows is None else required_gaps(rows, table).where("missing > 0").collect()
+    except Exception:
+        gaps = []
+    return "; ".join(f"{table}.{gap.column} is missing in {gap.missing} rows" for gap in gaps) or str(error)
 
 
 def watermark(df: DataFrame, column: str) -> datetime | None:
@@ -145,41 +164,27 @@ def audited_load(
     sources still load. A dry run counts and writes neither rows nor record.
     """
     table, mark_column = SOURCES[source]
-    record = {
-        "run_id": str(uuid.uuid4()),
-        "endpoint": AUDIT_NAMES.get(source, source),
-        "started_at": now(),
-        "rows_fetched": 0,
-        "rows_inserted": 0,
-        "watermark_start": None,
-        "watermark_end": None,
-        "status": "success",
-        "error_msg": None,
-    }
+    run_id, started_at = str(uuid.uuid4()), now()
+    rows, fetched, inserted, start, loaded_at, failure = None, 0, 0, None, None, None
     try:
         records = landed()
         if source == "runs":
             records = only_runs(records)
         if mark_column:
-            record["watermark_start"] = watermark(spark.table(f"`{database}`.`{table}`"), mark_column)
+            start = watermark(spark.table(f"`{database}`.`{table}`"), mark_column)
             if from_mark:
-                records = since(records, mark_column, record["watermark_start"])
+                records = since(records, mark_column, start)
         loaded_at = now()
         rows = CONFORM[source](records, loaded_at)
         if dry_run:
-            record["rows_fetched"] = rows.count()
+            fetched = rows.count()
         else:
-            record["rows_inserted"] = append_raw(rows, table, database)
-            record["rows_fetched"] = record["rows_inserted"]
-        record["watermark_end"] = loaded_at
+            fetched = inserted = append_raw(rows, table, database)
     except Exception as error:
-        record.update(rows_fetched=0, rows_inserted=0, status="failed", error_msg=str(error))
-    record["ended_at"] = now()
-
-    schema = raw_schema(AUDIT_TABLE)
-    row = Row(**{field.name: record[field.name] for field in schema})
+        failure = _why(error, rows, table)
+    row = audit_record(source, run_id, started_at, now(), fetched, inserted, start, loaded_at, failure)
     if not dry_run:
-        append_raw(spark.createDataFrame([row], schema), AUDIT_TABLE, database)
+        append_raw(spark.createDataFrame([row], raw_schema(AUDIT_TABLE)), AUDIT_TABLE, database)
     return row
 
 

@@ -7,6 +7,8 @@ rounds half up on the written digits.
 
 from __future__ import annotations
 
+from paceforge.operators.quality import GRAIN, NOT_NULL, UNIQUE
+
 
 def _round(value: str, digits: int) -> str:
     return f"CAST(round(CAST({value} AS DECIMAL(30,9)), {digits}) AS DOUBLE)"
@@ -464,10 +466,12 @@ summary AS (
 
 _FRESHNESS = """newest AS (
   SELECT 'raw_cycles' AS name, max(ts) AS seen, 25 AS warn, 49 AS err FROM ev
-  UNION ALL SELECT 'raw_recoveries', max(ts), 25, 49 FROM ev WHERE event_type <> 'error'
+  UNION ALL SELECT 'raw_sleeps', max(ts), 25, 49 FROM ev WHERE ts < DATE '2024-01-30'
+  UNION ALL SELECT 'raw_recoveries', max(ts), 25, 49 FROM ev WHERE event_type <> 'error' AND ts < DATE '2024-01-29'
+  UNION ALL SELECT 'raw_workouts', NULL, 25, 49
   UNION ALL SELECT 'raw_users', max(ts), 25, 49 FROM ev
-  UNION ALL SELECT 'raw_strava_runs', max(ts), 49, 97 FROM ev),
-aged AS (SELECT *, date_sub('second', seen, TIMESTAMP '2024-01-31 23:30:00') AS age FROM newest)"""
+  UNION ALL SELECT 'raw_strava_runs', max(ts), 49, 97 FROM ev WHERE ts < DATE '2024-01-28'),
+aged AS (SELECT *, date_sub('second', seen, TIMESTAMP '2024-01-30 23:30:00') AS age FROM newest)"""
 
 _QUALITY = """checks AS (
   SELECT 'int_daily_metrics' AS model, 'not_null' AS "check", unnest(['cycle_id', 'user_id', 'cycle_date']) AS "columns", 0 AS failures
@@ -630,7 +634,7 @@ ORACLES: dict[str, str] = {
     "source_freshness": _with(
         EV, _FRESHNESS,
         select="SELECT epoch_us(seen) AS max_loaded_at, age AS age_seconds,"
-        " CASE WHEN age > err * 3600 THEN 'error' WHEN age > warn * 3600 THEN 'warn' ELSE 'pass' END AS status,"
+        " CASE WHEN age IS NULL OR age > err * 3600 THEN 'error' WHEN age > warn * 3600 THEN 'warn' ELSE 'pass' END AS status,"
         " name FROM aged",
     ),
     "quality_checks": _with(*_STG_DAILY, _QUALITY, select="SELECT * FROM checks"),
@@ -748,16 +752,74 @@ _MARKS = """marks AS (
   UNION ALL SELECT 'workouts', max(ts + to_minutes(k)), count(*) FROM ev
   UNION ALL SELECT 'runs', max(ts), count(*) FROM ev)"""
 ORACLES["source_watermarks"] = _with(EV, _MARKS, select="SELECT source, epoch_us(w) AS watermark FROM marks")
+_NIGHTS = """n AS (
+  SELECT count(*) AS total, count(*) FILTER (early) AS early, count(*) FILTER (event_type = 'click') AS clicks,
+         count(*) FILTER (event_type <> 'view') AS runs, count(*) FILTER (event_type <> 'view' AND early) AS early_runs,
+         max(ts) FILTER (event_type <> 'error') AS ended, max(ts) FILTER (event_type <> 'error' AND early) AS early_ended,
+         max(ts) AS seen, max(ts) FILTER (early) AS early_seen,
+         max(ts) FILTER (event_type <> 'view') AS ran, max(ts) FILTER (event_type <> 'view' AND early) AS early_ran
+  FROM (SELECT *, ts < TIMESTAMP '2024-01-16' AS early FROM ev)),
+sources AS (
+  SELECT unnest([
+    {'endpoint': 'cycles', 'a': early, 'b': total, 'x': early_ended, 'y': ended},
+    {'endpoint': 'sleeps', 'a': early, 'b': total, 'x': early_ended, 'y': ended},
+    {'endpoint': 'recoveries', 'a': early, 'b': total, 'x': early_seen, 'y': seen},
+    {'endpoint': 'workouts', 'a': early, 'b': total, 'x': early_ended, 'y': early_ended},
+    {'endpoint': 'strava_runs', 'a': early_runs, 'b': runs, 'x': early_ran, 'y': ran}], recursive := true), clicks FROM n),
+nights AS (
+  SELECT *, TIMESTAMP '2024-02-01' + to_days(night) AS t, night = 1 AND endpoint = 'workouts' AS failed
+  FROM sources, (SELECT unnest([0, 1, 2]) AS night))"""
 ORACLES["audit_records"] = _with(
-    EV, _MARKS,
-    select="SELECT concat('run-', source) AS run_id, CASE source WHEN 'runs' THEN 'strava_runs' ELSE source END AS endpoint,"
-    " epoch_us(TIMESTAMP '2024-02-01') AS started_at, epoch_us(TIMESTAMP '2024-02-01') AS ended_at, n AS rows_fetched, n AS rows_inserted,"
-    " CAST(NULL AS BIGINT) AS watermark_start, epoch_us(w) AS watermark_end, 'success' AS status, CAST(NULL AS VARCHAR) AS error_msg FROM marks",
+    EV, _NIGHTS,
+    select="""SELECT endpoint, epoch_us(t) AS started_at, epoch_us(t) AS ended_at,
+       CASE WHEN failed THEN 0 WHEN night = 0 THEN a ELSE b END AS rows_fetched,
+       CASE WHEN failed OR night = 2 THEN 0 WHEN night = 0 THEN a ELSE b END AS rows_inserted,
+       epoch_us(CASE night WHEN 1 THEN x WHEN 2 THEN y END) AS watermark_start,
+       CASE WHEN NOT failed THEN epoch_us(t) END AS watermark_end,
+       CASE WHEN failed THEN 'failed' ELSE 'success' END AS status,
+       CASE WHEN failed THEN concat('raw_workouts.user_id is missing in ', clicks, ' rows') END AS error_msg,
+       CAST(night < 2 AS VARCHAR) AS kept
+FROM nights""",
+)
+ORACLES["loaded_rows"] = _with(
+    EV,
+    """e AS (SELECT *, ts < TIMESTAMP '2024-01-16' AS early, event_type = 'error' AS open FROM ev),
+times AS (SELECT epoch_us(TIMESTAMP '2024-02-01') AS one, epoch_us(TIMESTAMP '2024-02-02') AS two)""",
+    select="""SELECT unnest(['raw_cycles', 'raw_sleeps']) AS name, count(*) + count(*) FILTER (early) AS n, count(*) AS keys,
+       count(*) FILTER (open) + count(*) FILTER (open AND early) AS running, any_value(two) AS newest FROM e, times
+UNION ALL SELECT 'raw_recoveries', count(*) + count(*) FILTER (early), count(*), 0, any_value(two) FROM e, times
+UNION ALL SELECT 'raw_workouts', count(*), count(*), count(*) FILTER (open), any_value(one) FROM e, times WHERE early
+UNION ALL SELECT 'raw_strava_runs', count(*) + count(*) FILTER (early), count(*), 0, any_value(two) FROM e, times WHERE event_type <> 'view'
+UNION ALL SELECT 'raw_users', count(*) + count(*) FILTER (early), count(DISTINCT user_id), 0, any_value(two) FROM e, times
+UNION ALL SELECT 'raw_strava_photos', 0, 0, 0, NULL""",
+)
+
+
+def _checks() -> str:
+    """Every declared check, on the models as written in SQL."""
+    held = {
+        "stg_raw_cycles": "cycles", "stg_raw_sleeps": "sleeps", "stg_raw_recoveries": "recoveries", "stg_raw_workouts": "workouts",
+        "stg_strava_runs": "runs", "stg_raw_users": "users", "int_daily_metrics": "daily", "int_run_recovery": "run_recovery",
+        "int_workout_recovery": "workout_recovery", "int_training_load": "load", "fct_daily": "daily", "dim_user": "lifetime",
+        "fct_runs": "run_recovery", "fct_workouts": "workout_recovery", "my_trends": "trends", "fct_weekly_training_summary": "weekly",
+    }
+    parts = []
+    for model, columns in NOT_NULL.items():
+        key = UNIQUE.get(model) or GRAIN[model]
+        parts += [f"""SELECT '{model}' AS model, 'not_null' AS "check", '{c}' AS "columns", count(*) - count({c}) AS failures FROM {held[model]}""" for c in columns]
+        parts.append(f"SELECT '{model}', 'unique', '{', '.join(key)}', count(*) - count(DISTINCT ({', '.join(key)})) FROM {held[model]}")
+    return "\nUNION ALL ".join(parts)
+
+
+ORACLES["build_checks"] = _with(
+    *_RUN_RECOVERY_ALL, USERS, _WORKOUT_RECOVERY, LOAD, WEEKLY, f"lifetime AS ({_LIFETIME})", f"trends AS ({_TRENDS})",
+    select=_checks(),
 )
 ORACLES["required_gaps"] = _with(
     EV,
     "gaps AS (SELECT count(*) FILTER (event_type = 'error') AS n FROM ev)",
     select="""SELECT 'raw_sleeps' AS "table", unnest(['id', 'user_id', 'loaded_at']) AS "column", unnest([0, n, n]) AS missing FROM gaps
 UNION ALL SELECT 'raw_workouts', unnest(['id', 'user_id', 'loaded_at']), unnest([0, n, n]) FROM gaps
+UNION ALL SELECT 'raw_users', unnest(['user_id', 'loaded_at']), unnest([n, n]) FROM gaps
 UNION ALL SELECT 'raw_strava_runs', unnest(['id', 'loaded_at']), unnest([0, n]) FROM gaps""",
 )

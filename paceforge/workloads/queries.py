@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -418,19 +418,97 @@ def required_gaps(spark: SparkSession, sf: str) -> DataFrame:
     """Gaps in the required columns of the raw tables, with users and load times taken out of some rows."""
     ev = derive.events(spark, sf)
     gapped = ev.withColumn("user_id", F.when(F.col("event_type") != "error", F.col("user_id")))
+    sources = {**_raw_sources(gapped), "users": derive.raw_users(gapped)}
     reports = [
         tables.required_gaps(df.withColumn("loaded_at", F.when(F.col("user_id").isNotNull(), F.col("loaded_at"))), tables.SOURCES[name][0])
-        for name, df in _raw_sources(gapped).items()
-        if name in ("sleeps", "workouts", "runs")
+        for name, df in sources.items()
+        if name in ("sleeps", "workouts", "runs", "users")
     ]
     return reduce(DataFrame.unionByName, reports)
 
 
-def audit_records(spark: SparkSession, sf: str) -> DataFrame:
-    """The audit record that a load of each of the five sources would leave."""
+def _landings(ev: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    """Landed records of every source, one of each for every event; records of errors have no end."""
+    score = _json(("strain", _n("k")))
+    end = F.when(F.col("event_type") == "error", "null").otherwise(_iso())
+    common = (("user_id", _n("user_id")), ("start", _iso()), ("end", end), ("score", score))
+    records = {
+        "cycles": _json(("id", _n("event_id")), *common),
+        "sleeps": _json(("id", _s(_n("event_id"))), *common),
+        "recoveries": _json(("cycle_id", _n("event_id")), ("user_id", _n("user_id")), ("updated_at", _iso())),
+        "workouts": _json(("id", _s(_n("event_id"))), *common),
+        "runs": _json(("id", _n("event_id")), ("sport_type", F.when(F.col("event_type") == "view", '"Ride"').otherwise('"Run"')), ("start_date", _iso())),
+        "users": _json(("user_id", _n("user_id"))),
+        "photos": _json(("id", _n("event_id")), ("photos", F.lit("[]"))),
+    }
+    return {kind: lambda kind=kind, record=record: _landed(ev, kind, record) for kind, record in records.items()}
+
+
+def _nights(spark: SparkSession, sf: str, database: str) -> list[Row]:
+    """Three nightly loads: half of the events, all of them with workouts that lack a user, and a dry run. Gives the last one's records."""
     ev = derive.events(spark, sf)
-    records = [tables.audit_record(df, name, f"run-{name}", NOW, NOW) for name, df in _raw_sources(ev).items()]
-    return reduce(DataFrame.unionByName, records)
+    early = ev.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp"))
+    broken = ev.withColumn("user_id", F.when(F.col("event_type") != "click", F.col("user_id")))
+    spark.sql(f"CREATE DATABASE {database}")
+    night = [NOW + timedelta(days=n) for n in range(3)]
+    tables.nightly_load(spark, _landings(early), database, now=lambda: night[0])
+    tables.nightly_load(spark, {**_landings(ev), "workouts": _landings(broken)["workouts"]}, database, now=lambda: night[1])
+    return tables.nightly_load(spark, _landings(ev), database, dry_run=True, now=lambda: night[2])
+
+
+def _in_database(spark: SparkSession, work: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``work`` makes with a database of its own, which is dropped again."""
+    database = f"paceforge_{uuid.uuid4().hex[:8]}"
+    try:
+        return stored(work(database))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def audit_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit records that three nightly loads leave or, the last one being dry, return."""
+
+    def work(database: str) -> DataFrame:
+        dry = _nights(spark, sf, database)
+        kept = spark.table(f"{database}.pipeline_runs").withColumn("kept", F.lit(True))
+        shown = spark.createDataFrame(dry, kept.drop("kept").schema).withColumn("kept", F.lit(False))
+        return kept.unionByName(shown).drop("run_id")
+
+    return _in_database(spark, work)
+
+
+def loaded_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, keys, running records and newest load of every raw table after the same loads, with photos emptied by a reset."""
+
+    def work(database: str) -> DataFrame:
+        _nights(spark, sf, database)
+        tables.reset_tables(spark, ["raw_strava_photos"], database)
+        key = {"raw_recoveries": "cycle_id", "raw_users": "user_id"}
+        shown = []
+        for name, mark in tables.SOURCES.values():
+            df = spark.table(f"{database}.{name}")
+            running = F.count_if(F.col(mark).isNull()) if mark else F.lit(0).cast("bigint")
+            figures = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key.get(name, "id")).alias("keys"), running.alias("running"), F.max("loaded_at").alias("newest"))
+            shown.append(figures.select(F.lit(name).alias("name"), "*"))
+        return reduce(DataFrame.unionByName, shown)
+
+    return _in_database(spark, work)
+
+
+def build_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """All declared checks of all models, on the tables and views that a build leaves."""
+
+    def work(database: str) -> DataFrame:
+        ev = derive.events(spark, sf)
+        spark.sql(f"CREATE DATABASE {database}")
+        raw = {tables.SOURCES[name][0]: df for name, df in _raw_sources(ev).items()}
+        raw |= {"raw_users": derive.raw_users(ev), "raw_strava_photos": derive.raw_photos(ev)}
+        for name, df in raw.items():
+            df.write.saveAsTable(f"{database}.{name}")
+        marts.build(spark, database, database, NOW, user_col="user_id")
+        return quality.check_models(spark, database)
+
+    return _in_database(spark, work)
 
 
 def _audit(spark: SparkSession, sf: str) -> DataFrame:
@@ -454,10 +532,21 @@ def audit_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_freshness(spark: SparkSession, sf: str) -> DataFrame:
-    """Freshness of four raw tables at a fixed time."""
+    """Freshness of the six raw tables that have limits at a fixed time, with sources that stopped a day, two and four ago."""
     ev = derive.events(spark, sf)
-    sources = {"raw_cycles": derive.raw_cycles(ev), "raw_recoveries": derive.raw_recoveries(ev), "raw_users": derive.raw_users(ev), "raw_strava_runs": derive.raw_runs(ev)}
-    at = datetime(2024, 1, 31, 23, 30, tzinfo=timezone.utc)
+
+    def until(day: str) -> DataFrame:
+        return ev.where(F.col("ts") < F.lit(day).cast("timestamp"))
+
+    sources = {
+        "raw_cycles": derive.raw_cycles(ev),
+        "raw_sleeps": derive.raw_sleeps(until("2024-01-30")),
+        "raw_recoveries": derive.raw_recoveries(until("2024-01-29")),
+        "raw_workouts": derive.raw_workouts(until("2024-01-01")),
+        "raw_users": derive.raw_users(ev),
+        "raw_strava_runs": derive.raw_runs(until("2024-01-28")),
+    }
+    at = datetime(2024, 1, 30, 23, 30, tzinfo=timezone.utc)
     reports = [
         tables.freshness(df, at, *tables.FRESHNESS_HOURS[name]).withColumn("name", F.lit(name))
         for name, df in sources.items()
@@ -708,6 +797,8 @@ _ALL: tuple[Query, ...] = (
     source_watermarks,
     required_gaps,
     audit_records,
+    loaded_rows,
+    build_checks,
     audit_summary,
     audit_totals,
     source_freshness,
