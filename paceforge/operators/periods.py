@@ -73,14 +73,14 @@ def highlights(runs: DataFrame, key: str = "run_id") -> DataFrame:
         & (F.col("speed_mph") != 0)
     )
     row = F.struct(key, "run_date", "distance_km", "speed_mph")
-    lowest_key = (-F.col(key)).alias("tie")
+    # Sorted downwards by a negated value, so that the smallest key, of any type, wins a tie.
     best = candidates.agg(
         *[
-            F.max_by(row, F.struct(sort.alias("sort"), lowest_key)).alias(name)
+            F.min_by(row, F.struct(sort.alias("sort"), F.col(key).alias("tie"))).alias(name)
             for name, sort in {
-                "longest": F.coalesce("distance_km", F.lit(0.0)),
-                "fastest": F.col("speed_mph"),
-                "latest": F.col("run_date"),
+                "longest": -F.coalesce("distance_km", F.lit(0.0)),
+                "fastest": -F.col("speed_mph"),
+                "latest": F.coalesce(-F.unix_date("run_date"), F.lit(2**31 - 1)),
             }.items()
         ]
     )

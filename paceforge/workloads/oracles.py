@@ -414,40 +414,42 @@ SELECT o_orderkey, CAST(d AS VARCHAR) AS o_date,
        CASE WHEN d >= b THEN s END AS o_note
 FROM o, bound"""
 
+def _counted(names: str, start: int = 0, kind: str = "BIGINT", when: str = "full_score") -> str:
+    """Each name as the count of the event plus its own number, in rows that have it."""
+    return ", ".join(f"CASE WHEN {when} THEN CAST(k + {start + i} AS {kind}) END AS {name}" for i, name in enumerate(names.split()))
+
+
+_LAND = """land AS (
+  SELECT *, epoch_us(ts) AS t, event_type IN ('signup', 'purchase') AS full_score,
+         CAST(event_type NOT IN ('click', 'view') AS VARCHAR) AS has_score FROM ev)"""
+_SHARED = """user_id, t AS start, t AS "end", '+01:00' AS timezone_offset, 'SCORED' AS score_state, t AS loaded_at, has_score"""
 _CONFORM = {
-    "conform_cycles": """SELECT event_id AS id, user_id, epoch_us(ts) AS start,
-       CAST(event_type NOT IN ('click', 'view') AS VARCHAR) AS scored,
-       CASE WHEN event_type IN ('signup', 'purchase') THEN k / 1.0 END AS strain,
-       CASE WHEN event_type IN ('signup', 'purchase') THEN cents / 1.0 END AS kilojoule,
-       CASE WHEN event_type IN ('signup', 'purchase') THEN k END AS average_heart_rate,
-       CAST(NULL AS BIGINT) AS max_heart_rate, epoch_us(ts) AS loaded_at
-FROM ev""",
-    "conform_sleeps": """SELECT CAST(event_id AS VARCHAR) AS id, user_id, CAST(k > 50 AS VARCHAR) AS nap,
-       CAST(event_type NOT IN ('click', 'view') AS VARCHAR) AS scored,
-       CAST(event_type NOT IN ('click', 'view') AS VARCHAR) AS has_stages,
-       CAST(event_type NOT IN ('click', 'view') AS VARCHAR) AS has_need,
-       CASE WHEN event_type IN ('signup', 'purchase') THEN cents END AS total_in_bed_time_milli,
-       CASE WHEN event_type IN ('signup', 'purchase') THEN k END AS sleep_cycle_count,
-       CAST(NULL AS BIGINT) AS baseline_milli,
-       CASE WHEN event_type IN ('signup', 'purchase') THEN k / 1.0 END AS respiratory_rate
-FROM ev""",
-    "conform_recoveries": """SELECT event_id AS cycle_id, user_id, epoch_us(ts) AS updated_at,
-       CAST(event_type NOT IN ('click', 'view') AS VARCHAR) AS scored,
-       CASE WHEN event_type IN ('signup', 'purchase') THEN CAST(k > 50 AS VARCHAR) END AS user_calibrating,
-       CASE WHEN event_type IN ('signup', 'purchase') THEN k / 1.0 END AS recovery_score
-FROM ev""",
-    "conform_workouts": """SELECT CAST(event_id AS VARCHAR) AS id, user_id,
-       CAST(event_type NOT IN ('click', 'view') AS VARCHAR) AS scored,
-       CASE WHEN event_type IN ('signup', 'purchase') THEN k / 1.0 END AS strain,
-       CAST(event_type IN ('signup', 'purchase') AS VARCHAR) AS zoned,
-       CASE WHEN event_type IN ('signup', 'purchase') THEN cents END AS zone_three_milli
-FROM ev""",
-    "conform_runs": """SELECT event_id AS id,
+    "conform_cycles": f"""SELECT event_id AS id, {_SHARED}, {_counted("strain kilojoule", kind="DOUBLE")},
+       {_counted("average_heart_rate max_heart_rate", 2)} FROM land""",
+    "conform_sleeps": f"""SELECT CAST(event_id AS VARCHAR) AS id, k AS cycle_id, cents AS v1_id, CAST(k > 50 AS VARCHAR) AS nap, {_SHARED},
+       has_score AS has_stage_summary, has_score AS has_sleep_needed,
+       {_counted("total_in_bed_time_milli total_awake_time_milli total_no_data_time_milli total_light_sleep_time_milli "
+                 "total_slow_wave_sleep_time_milli total_rem_sleep_time_milli sleep_cycle_count disturbance_count")},
+       {_counted("baseline_milli need_from_sleep_debt_milli need_from_recent_strain_milli need_from_recent_nap_milli", 10)},
+       {_counted("respiratory_rate sleep_performance_percentage sleep_consistency_percentage sleep_efficiency_percentage", 20, "DOUBLE")}
+FROM land""",
+    "conform_recoveries": f"""SELECT event_id AS cycle_id, CAST(k AS VARCHAR) AS sleep_id, t AS created_at, t AS updated_at,
+       {_SHARED.replace('t AS start, t AS "end", ', "").replace("'+01:00' AS timezone_offset, ", "")},
+       CASE WHEN full_score THEN CAST(k > 50 AS VARCHAR) END AS user_calibrating,
+       {_counted("recovery_score resting_heart_rate hrv_rmssd_milli spo2_percentage skin_temp_celsius", kind="DOUBLE")} FROM land""",
+    "conform_workouts": f"""SELECT CAST(event_id AS VARCHAR) AS id, cents AS v1_id, k AS sport_id, event_type AS sport_name, {_SHARED},
+       {_counted("strain", kind="DOUBLE")}, {_counted("average_heart_rate max_heart_rate", 1)},
+       {_counted("kilojoule percent_recorded distance_meter altitude_gain_meter altitude_change_meter", 3, "DOUBLE")},
+       CAST(full_score AND k < 80 AS VARCHAR) AS has_zone_duration,
+       {_counted("zone_zero_milli zone_one_milli zone_two_milli zone_three_milli zone_four_milli zone_five_milli", 10, when="full_score AND k < 80")}
+FROM land""",
+    "conform_runs": f"""SELECT event_id AS id, concat('Run ', k) AS name, t AS start_date, t AS loaded_at,
        CASE event_type WHEN 'click' THEN 'Run' WHEN 'view' THEN 'TrailRun' ELSE 'VirtualRun' END AS sport_type,
-       epoch_us(ts) AS start_date, cents / 1.0 AS distance_meter, k AS moving_time_sec,
-       CAST(NULL AS DOUBLE) AS suffer_score,
+       {_counted("distance_meter", kind="DOUBLE", when="true")}, {_counted("moving_time_sec elapsed_time_sec", 1, when="true")},
+       {_counted("total_elevation_gain_meter average_speed_ms max_speed_ms average_heartrate max_heartrate average_cadence suffer_score",
+                 3, "DOUBLE", "true")},
        CASE WHEN event_type <> 'click' THEN concat('p', k) END AS summary_polyline
-FROM ev WHERE event_type IN ('click', 'view', 'signup')""",
+FROM land WHERE event_type IN ('click', 'view', 'signup')""",
     "conform_photos": """SELECT event_id AS id,
        CASE WHEN event_type = 'view' THEN concat('u', event_id)
             WHEN event_type IN ('error', 'purchase') THEN concat('Lu', event_id) END AS primary_photo_url,
@@ -619,7 +621,7 @@ ORACLES: dict[str, str] = {
     "incremental_merge": _MERGE,
     "merged_mart": _MERGED,
     "streamed_weeks": _with(EV, select="").rstrip() + ",\n" + _STREAMED,
-    **{name: _with(EV, select=select) for name, select in _CONFORM.items()},
+    **{name: _with(EV, _LAND, select=select) for name, select in _CONFORM.items()},
     "conform_users": "SELECT c_custkey AS user_id, CAST(NULL AS VARCHAR) AS email, c_name AS first_name,"
     " c_mktsegment AS last_name, epoch_us(TIMESTAMP '2024-02-01') AS loaded_at FROM customer",
     "high_water_marks": "SELECT epoch_us(max(ts)) AS watermark,"

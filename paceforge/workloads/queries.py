@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 
@@ -297,57 +297,59 @@ def _score(full: Column) -> Column:
     )
 
 
+def _counted(names: Sequence[str], start: int = 0) -> list[tuple[str, Column]]:
+    """Each name with the count of the event plus its own number."""
+    return [(name, _n(F.col("k") + (start + i))) for i, name in enumerate(names)]
+
+
+def _record(*pairs: tuple[str, Column]) -> Column:
+    """A landed record with what all of them share."""
+    zone, state = ("timezone_offset", F.lit('"+01:00"')), ("score_state", F.lit('"SCORED"'))
+    return _json(("user_id", _n("user_id")), ("start", _iso()), ("end", _iso()), zone, state, *pairs)
+
+
+def _flat(rows: DataFrame, *structs: str) -> DataFrame:
+    """All columns, with the fields of the named structs in place of them and a flag for whether each is there."""
+    there = [F.col(s).isNotNull().alias(f"has_{s.split('.')[-1]}") for s in structs]
+    inner = {s.split(".")[-1] for s in structs}
+    fields = [F.col(f"{s}.{f}") for s in structs for f in rows.select(f"{s}.*").columns if f not in inner]
+    return rows.select(*[c for c in rows.columns if c not in inner], *there, *fields)
+
+
 def conform_cycles(spark: SparkSession, sf: str) -> DataFrame:
     ev = derive.events(spark, sf)
-    score = _json(("strain", _n("k")), ("kilojoule", _n("cents")), ("average_heart_rate", _n("k")))
-    record = _json(("id", _n("event_id")), ("user_id", _n("user_id")), ("start", _iso()), ("score", _score(score)))
-    rows = landing.conform_cycles(_landed(ev, "cycles", record), F.col("ts"))
-    return rows.select("id", "user_id", "start", F.col("score").isNotNull().alias("scored"), "score.*", "loaded_at")
+    score = _json(*_counted(landing.raw_field("raw_cycles", "score").names))
+    record = _record(("id", _n("event_id")), ("score", _score(score)))
+    return _flat(landing.conform_cycles(_landed(ev, "cycles", record), F.col("ts")), "score")
 
 
 def conform_sleeps(spark: SparkSession, sf: str) -> DataFrame:
     ev = derive.events(spark, sf)
-    stage = _json(("total_in_bed_time_milli", _n("cents")), ("sleep_cycle_count", _n("k")))
-    score = _json(("stage_summary", stage), ("respiratory_rate", _n("k")))
-    record = _json(("id", _n("event_id")), ("user_id", _n("user_id")), ("nap", _n(F.col("k") > 50)), ("score", _score(score)))
-    rows = landing.conform_sleeps(_landed(ev, "sleeps", record), F.col("ts"))
-    return rows.select(
-        "id",
-        "user_id",
-        "nap",
-        F.col("score").isNotNull().alias("scored"),
-        F.col("score.stage_summary").isNotNull().alias("has_stages"),
-        F.col("score.sleep_needed").isNotNull().alias("has_need"),
-        "score.stage_summary.total_in_bed_time_milli",
-        "score.stage_summary.sleep_cycle_count",
-        "score.sleep_needed.baseline_milli",
-        "score.respiratory_rate",
-    )
+    stages = _counted(landing.raw_field("raw_sleeps", "score.stage_summary").names)
+    needs = _counted(landing.raw_field("raw_sleeps", "score.sleep_needed").names, 10)
+    plain = _counted(landing.raw_field("raw_sleeps", "score").names[2:], 20)
+    score = _json(("stage_summary", _json(*stages)), ("sleep_needed", _json(*needs)), *plain)
+    ids = (("id", _s(_n("event_id"))), ("cycle_id", _n("k")), ("v1_id", _n("cents")), ("nap", _n(F.col("k") > 50)))
+    rows = landing.conform_sleeps(_landed(ev, "sleeps", _record(*ids, ("score", _score(score)))), F.col("ts"))
+    return _flat(rows, "score", "score.stage_summary", "score.sleep_needed")
 
 
 def conform_recoveries(spark: SparkSession, sf: str) -> DataFrame:
     ev = derive.events(spark, sf)
-    score = _json(("user_calibrating", _n(F.col("k") > 50)), ("recovery_score", _n("k")))
-    record = _json(("cycle_id", _n("event_id")), ("user_id", _n("user_id")), ("updated_at", _iso()), ("score", _score(score)))
-    rows = landing.conform_recoveries(_landed(ev, "recoveries", record), F.col("ts"))
-    return rows.select("cycle_id", "user_id", "updated_at", F.col("score").isNotNull().alias("scored"), "score.user_calibrating", "score.recovery_score")
+    score = _json(("user_calibrating", _n(F.col("k") > 50)), *_counted(landing.raw_field("raw_recoveries", "score").names[1:]))
+    ids = (("cycle_id", _n("event_id")), ("sleep_id", _s(_n("k"))), ("created_at", _iso()), ("updated_at", _iso()))
+    return _flat(landing.conform_recoveries(_landed(ev, "recoveries", _record(*ids, ("score", _score(score)))), F.col("ts")), "score")
 
 
 def conform_workouts(spark: SparkSession, sf: str) -> DataFrame:
     ev = derive.events(spark, sf)
-    zones = _json(("zone_three_milli", _n("cents")))
-    name = F.when(F.col("k") < 50, "zone_durations").otherwise("zone_duration")
-    full = F.concat(F.lit('{"strain":'), _n("k"), F.lit(',"'), name, F.lit('":'), zones, F.lit("}"))
-    record = _json(("id", _n("event_id")), ("user_id", _n("user_id")), ("score", _score(full)))
-    rows = landing.conform_workouts(_landed(ev, "workouts", record), F.col("ts"))
-    return rows.select(
-        "id",
-        "user_id",
-        F.col("score").isNotNull().alias("scored"),
-        "score.strain",
-        F.col("score.zone_duration").isNotNull().alias("zoned"),
-        "score.zone_duration.zone_three_milli",
-    )
+    zones = _json(*_counted(landing.raw_field("raw_workouts", "score.zone_duration").names, 10))
+    name = F.when(F.col("k") < 40, '"zone_durations"').when(F.col("k") < 80, '"zone_duration"').otherwise('"zones"')
+    plain = _json(*_counted(landing.raw_field("raw_workouts", "score").names[:-1]))
+    full = F.concat(F.regexp_replace(plain, r"\}$", ","), name, F.lit(":"), zones, F.lit("}"))
+    ids = (("id", _s(_n("event_id"))), ("v1_id", _n("cents")), ("sport_id", _n("k")), ("sport_name", _s(F.col("event_type"))))
+    rows = landing.conform_workouts(_landed(ev, "workouts", _record(*ids, ("score", _score(full)))), F.col("ts"))
+    return _flat(rows, "score", "score.zone_duration")
 
 
 def conform_runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -355,16 +357,9 @@ def conform_runs(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_type")
     sport = F.when(kind == "click", "Run").when(kind == "view", "TrailRun").when(kind == "signup", "VirtualRun").otherwise("Ride")
     route = F.when(kind == "click", "null").otherwise(_json(("summary_polyline", _s(F.concat(F.lit("p"), _n("k"))))))
-    record = _json(
-        ("id", _n("event_id")),
-        ("sport_type", _s(sport)),
-        ("start_date", _iso()),
-        ("distance", _n("cents")),
-        ("moving_time", _n("k")),
-        ("map", route),
-    )
-    rows = landing.conform_runs(landing.only_runs(_landed(ev, "runs", record)), F.col("ts"))
-    return rows.select("id", "sport_type", "start_date", "distance_meter", "moving_time_sec", "suffer_score", "summary_polyline")
+    measures = _counted([f.name for f in landing_schema("runs")][4:-1])
+    ids = (("id", _n("event_id")), ("name", _s(F.concat(F.lit("Run "), _n("k")))), ("sport_type", _s(sport)), ("start_date", _iso()))
+    return landing.conform_runs(landing.only_runs(_landed(ev, "runs", _json(*ids, *measures, ("map", route)))), F.col("ts"))
 
 
 def conform_users(spark: SparkSession, sf: str) -> DataFrame:

@@ -162,6 +162,8 @@ def test_highlights_and_sorts(spark):
     runs = made_runs(spark)
     assert {r.highlight: r.run_id for r in periods.highlights(runs).collect()} == {"longest": 1, "fastest": 3, "latest": 3}
     assert periods.highlights(runs.where("false")).collect() == []
+    named = periods.highlights(runs.withColumn("run_id", F.concat(F.lit("r"), F.col("run_id").cast("string"))))
+    assert [r.run_id for r in named.collect()] == [f"r{r.run_id}" for r in periods.highlights(runs).collect()]
     assert [r.run_id for r in periods.newest(runs, 2).collect()] == [4, 5]
     assert [r.run_id for r in periods.mapped_runs(runs).collect()] == [5, 3, 2, 1]
     assert [r.run_id for r in periods.mapped_runs(runs, 1).collect()] == [5]
