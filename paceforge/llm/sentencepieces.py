@@ -28,8 +28,8 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: What the library takes off the lowest score for an unknown character.
 UNKNOWN_COST = 10.0
-#: Words whose pieces a worker remembers.
-REMEMBERED = 300_000
+#: Words whose pieces a worker remembers, and code points they have at most: a text without spaces is one word.
+REMEMBERED, SHORT = 300_000, 64
 
 
 class Pieces:
@@ -59,7 +59,7 @@ class Pieces:
         self.merges = Merges(ids, self._rank(ids), list) if self.kind == BPE else None
         self.ids = self.merges.number if self.merges else ids
         self.singles = {p for p in ids if len(p) == 1}
-        self.longest = max(map(len, self.ids), default=1)
+        self.tails = self._reversed_trie()
         # characters that stand in no longer piece are words of their own
         inside = {c for p in ids if len(p) > 1 for c in p}
         alone = "".join(re.escape(c) for c in "\n\r\t\0" if c not in inside)
@@ -68,6 +68,20 @@ class Pieces:
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
+    def _reversed_trie(self) -> dict:
+        """The vocabulary by last characters first: character -> (further characters, number of the piece that starts here or -1).
+
+        A walk back from the end of a prefix meets all pieces that end there, and stops where no piece goes on.
+        """
+        found: dict = {}
+        for piece, number in sorted(self.ids.items(), key=lambda p: len(p[0])):
+            node = found
+            for c in piece[:0:-1]:
+                node = node.setdefault(c, ({}, -1))[0]
+            held = node.get(piece[0])
+            node[piece[0]] = (held[0] if held else {}, number)
+        return found
+
     def _rank(self, ids: dict[str, int]):
         # scores as ranks: a higher score goes first, equal scores from the left
         order = {s: k for k, s in enumerate(sorted({self.scores[i] for i in ids.values()}, reverse=True))}
@@ -100,27 +114,41 @@ class Pieces:
             yield word, self._path(word, back, ends)
 
     def _forward_merges(self, word: str, best: list, back: list, ends: list) -> None:
-        ids, longest, apart = self.ids, self.longest, self.merges.apart
+        tails, scores, merges, known = self.tails, self.scores, self.merges, self.merges.known
         for i in range(len(best), len(word) + 1):
-            for j in range(i - longest if i > longest else 0, i):
-                t = ids.get(word[j:i])
-                if t is not None and (ends[j] < 0 or apart(ends[j], t)):
-                    best.append(best[j] + self.scores[t])
-                    back.append(j)
-                    ends.append(t)
+            node, j, found = tails, i, -1
+            while j:
+                step = node.get(word[j - 1])
+                if step is None:
                     break
-            else:
+                j -= 1
+                node, t = step
+                if t >= 0:
+                    before = ends[j]
+                    apart = True if before < 0 else known.get(before << 20 | t)
+                    if merges.apart(before, t) if apart is None else apart:
+                        found = t
+                        break
+            if found < 0:
                 best.append(best[i - 1] + self.unknown_score)
                 back.append(i - 1)
-                ends.append(-1)
+            else:
+                best.append(best[j] + scores[found])
+                back.append(j)
+            ends.append(found)
 
     def _forward_scores(self, word: str, best: list, back: list, ends: list) -> None:
-        ids, longest, scores = self.ids, self.longest, self.scores
+        tails, scores = self.tails, self.scores
         for i in range(len(best), len(word) + 1):
             top, start, piece = -np.inf, i - 1, -1
-            for j in range(i - longest if i > longest else 0, i):
-                t = ids.get(word[j:i])
-                if t is not None and best[j] + scores[t] > top:
+            node = tails
+            for j in range(i - 1, -1, -1):
+                step = node.get(word[j])
+                if step is None:
+                    break
+                node, t = step
+                # of equal sums the longer piece
+                if t >= 0 and best[j] + scores[t] >= top:
                     top, start, piece = best[j] + scores[t], j, t
             if word[i - 1] not in self.singles and best[i - 1] + self.unknown_score > top:
                 top, start, piece = best[i - 1] + self.unknown_score, i - 1, -1
@@ -169,6 +197,9 @@ class Pieces:
                         new.add(w)
         known.update((w, np.array(path, "<i4").tobytes()) for w, path in self.paths(sorted(new)))
         found = [np.frombuffer(b"".join(map(known.__getitem__, words)), "<i4") for words in each]
+        for w in new:
+            if len(w) > SHORT:
+                del known[w]
         return found if self.octets else [self._joined(f) for f in found]
 
     def _joined(self, ids: np.ndarray) -> np.ndarray:
