@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paceforge.operators import rolling
 from paceforge.operators.aggregates import lifetime_stats
 from paceforge.operators.joins import attach_one
+from paceforge.operators.quality import NOT_NULL
 from paceforge.operators.upsert import merge_mart, read_mart
 from paceforge.plans import staging
 from paceforge.plans.daily import int_daily_metrics
@@ -86,12 +88,21 @@ FACTS = {
 }
 
 
-def write_model(df: DataFrame, table: str, buckets: int | None = None, bucket_by: str = "user_id") -> None:
-    """Write a full table; with ``buckets``, later work per user needs no shuffle."""
+def write_model(
+    df: DataFrame, table: str, buckets: int | None = None, bucket_by: str = "user_id", required: Sequence[str] = ()
+) -> dict[str, int]:
+    """Write a full table and return the number of NULLs in each required column, counted while writing.
+
+    With ``buckets``, later work per user needs no shuffle.
+    """
+    nulls = Observation()
+    if required:
+        df = df.observe(nulls, *[F.count_if(F.col(c).isNull()).alias(c) for c in required])
     writer = df.write.mode("overwrite")
     if buckets:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(table)
+    return nulls.get if required else {}
 
 
 def build(
@@ -102,11 +113,13 @@ def build(
     user_col: str | None = None,
     buckets: int | None = None,
     unique_days: bool = True,
-) -> None:
+) -> dict[str, dict[str, int]]:
     """Build all models from the raw tables: staging as views, the rest as tables.
 
-    ``int_daily_metrics`` has five readers and is written before any of them.
+    ``int_daily_metrics`` has five readers and is written before any of them. Returns, for each model that is written in full,
+    the NULLs in its required columns, for ``quality.check_models``.
     """
+    nulls: dict[str, dict[str, int]] = {}
 
     def source(name: str) -> DataFrame:
         return spark.table(f"{raw}.{name}")
@@ -114,6 +127,9 @@ def build(
     def name_of(model: str) -> str:
         return f"{models}.{model}"
 
+    def write(df: DataFrame, model: str, buckets: int | None = None) -> None:
+        nulls[model] = write_model(df, name_of(model), buckets, required=NOT_NULL[model])
+
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {models}")
     for model in ("raw_cycles", "raw_recoveries", "raw_sleeps", "raw_workouts", "raw_users"):
         view = getattr(staging, f"stg_{model}")(source(model))
@@ -123,25 +139,20 @@ def build(
 
     stg = spark.table
     daily = int_daily_metrics(stg("stg_raw_cycles"), stg("stg_raw_recoveries"), stg("stg_raw_sleeps"))
-    write_model(daily, name_of("int_daily_metrics"), buckets)
+    write(daily, "int_daily_metrics", buckets)
     daily = spark.table(name_of("int_daily_metrics"))
 
     workouts = stg("stg_raw_workouts")
-    write_model(
-        int_run_recovery(stg("stg_strava_runs"), daily, workouts, user_col), name_of("int_run_recovery")
-    )
-    write_model(
-        int_workout_recovery(workouts, daily),
-        name_of("int_workout_recovery"),
-        buckets,
-    )
+    write(int_run_recovery(stg("stg_strava_runs"), daily, workouts, user_col), "int_run_recovery")
+    write(int_workout_recovery(workouts, daily), "int_workout_recovery", buckets)
     for fact, (model, key, date) in FACTS.items():
         merge_mart(stamp(spark.table(name_of(model)), now), name_of(fact), key, date)
 
     facts = read_mart(spark, name_of("fct_daily"))
-    write_model(int_training_load(facts, unique_days), name_of("int_training_load"), buckets)
+    write(int_training_load(facts, unique_days), "int_training_load", buckets)
     load = spark.table(name_of("int_training_load"))
     weekly = fct_weekly_training_summary(load, read_mart(spark, name_of("fct_runs")), user_col)
-    write_model(weekly, name_of("fct_weekly_training_summary"))
-    write_model(dim_user(daily, stg("stg_raw_users"), now), name_of("dim_user"))
-    write_model(my_trends(daily), name_of("my_trends"))
+    write(weekly, "fct_weekly_training_summary")
+    write(dim_user(daily, stg("stg_raw_users"), now), "dim_user")
+    write(my_trends(daily), "my_trends")
+    return nulls

@@ -500,8 +500,8 @@ def build_checks(spark: SparkSession, sf: str) -> DataFrame:
         raw |= {"raw_users": derive.raw_users(ev), "raw_strava_photos": derive.raw_photos(ev)}
         for name, df in raw.items():
             df.write.saveAsTable(f"{database}.{name}")
-        marts.build(spark, database, database, NOW, user_col="user_id")
-        return quality.check_models(spark, database)
+        nulls = marts.build(spark, database, database, NOW, user_col="user_id")
+        return quality.check_models(spark, database, nulls)
 
     return _in_database(spark, work)
 

@@ -408,6 +408,12 @@ def test_streams(spark, database, tmp_path):
     assert rows(read_mart(spark, f"{database}.fact").select("id", "sport_type")) == [(0, "Run"), (2, "Run")]
 
 
+def test_nulls_are_counted_while_writing(spark, database):
+    df = spark.createDataFrame([(1, None), (None, None), (2, "a")], "user_id long, v string").repartition(3)
+    assert marts.write_model(df, f"{database}.m", required=["user_id", "v"]) == {"user_id": 1, "v": 2}
+    assert marts.write_model(df.limit(0), f"{database}.m", required=["v"]) == {"v": 0} and marts.write_model(df, f"{database}.m") == {}
+
+
 def test_build(spark, database):
     events = derive.events(spark, "/root/testdata/sf0.001")
     raw = {
@@ -424,7 +430,9 @@ def test_build(spark, database):
     built = f"{database}_models"
     spark.sql(f"DROP DATABASE IF EXISTS {built} CASCADE")
     for _ in range(2):
-        marts.build(spark, database, built, NOW, user_col="user_id", buckets=4)
+        nulls = marts.build(spark, database, built, NOW, user_col="user_id", buckets=4)
+    counted = quality.check_models(spark, built, nulls)
+    assert len(nulls) == 7 and rows(counted) == rows(quality.check_models(spark, built).select(*counted.columns))
     for model in quality.NOT_NULL:
         df = spark.table(model if model.startswith("stg_") else f"{built}.{model}")
         assert df.count() > 0
