@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 Every query writes all rows and columns to Spark's ``noop`` sink. The time of a query includes
-making its plan and any probe for hot keys. One small query runs first, so that the start of the
+making its plan and the intermediate tables that it stores. One small query runs first, so that the start of the
 session is not charged to the first figure.
 """
 
