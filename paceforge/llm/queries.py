@@ -48,7 +48,9 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = language.identify(docs, language.learn(language.learned_part(docs)))
+    part = language.learned_part(docs)
+    learned = language.learn(part)
+    found = language.identify(docs, learned, margins=language.fit_margins(part, learned))
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
