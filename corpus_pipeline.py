@@ -15,8 +15,10 @@ from paceforge.llm.queries import PIECE_MODEL
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language isn't rejected, by dictionaries learned from the documents' own marks."""
-    return language.of_known_language(docs, language.learn(language.learned_part(docs)))
+    """Documents whose language isn't rejected, by dictionaries and margins learned from the documents' own marks."""
+    part = language.learned_part(docs)
+    learned = language.learn(part)
+    return language.of_known_language(docs, learned, margins=language.fit_margins(part, learned))
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
