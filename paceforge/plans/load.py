@@ -12,7 +12,7 @@ from paceforge.operators.load import ewma_load
 
 
 _DAY = "__day"
-_LOAD_COLUMNS = (
+LOAD_COLUMNS = (
     "cycle_date",
     "user_id",
     "daily_tss",
@@ -34,7 +34,7 @@ def int_training_load(daily: DataFrame, unique_days: bool = True) -> DataFrame:
         "daily_tss", labels.daily_load("strain_score")
     )
     # All windows go by the number of the day, which the look-back needs, and so share one sort.
-    loads = loads.select(*_LOAD_COLUMNS, F.unix_date("cycle_date").alias(_DAY))
+    loads = loads.select(*LOAD_COLUMNS, F.unix_date("cycle_date").alias(_DAY))
     if unique_days:
         window = rolling.by_day(day=_DAY)
         repeated = F.lag(_DAY).over(window) == F.col(_DAY)
@@ -42,17 +42,17 @@ def int_training_load(daily: DataFrame, unique_days: bool = True) -> DataFrame:
         day = F.when(repeated, failure.cast("date")).otherwise(F.col("cycle_date"))
         weighted = ewma_load(loads, "daily_tss", day=_DAY)
     else:
-        rest = [c for c in _LOAD_COLUMNS if c not in ("user_id", "cycle_date")]
+        rest = [c for c in LOAD_COLUMNS if c not in ("user_id", "cycle_date")]
         window = Window.partitionBy("user_id").orderBy(_DAY, *rest)
         day = F.col("cycle_date")
-        counted = loads.groupBy(*_LOAD_COLUMNS, _DAY).agg(F.count(F.lit(1)).alias("__times"))
+        counted = loads.groupBy(*LOAD_COLUMNS, _DAY).agg(F.count(F.lit(1)).alias("__times"))
         counted = counted.withColumn("__load", F.col("daily_tss") * F.col("__times"))
         weighted = ewma_load(counted, "__load", day=_DAY, digits=None)
         for name in ("ctl", "atl"):
             weighted = weighted.withColumn(name, F.round(F.col(name) * F.col("__times"), 1))
     return weighted.select(
         day.alias("cycle_date"),
-        *_LOAD_COLUMNS[1:],
+        *LOAD_COLUMNS[1:],
         "ctl",
         "atl",
         F.round(F.col("ctl") - F.col("atl"), 1).alias("tsb"),

@@ -605,6 +605,7 @@ ORACLES: dict[str, str] = {
         select=_show("workout_recovery", "workout_date", "workout_start workout_end loaded_at"),
     ),
     "training_load": _with(*_STG_DAILY, LOAD, select=_show("load", "cycle_date")),
+    "carried_load": _with(*_STG_DAILY, LOAD, select=_show("load", "cycle_date")),
     "weekly_summary": _with(*_STG_DAILY, LOAD, RUNS, WEEKLY, select=_show("weekly", "week_start week_end load_spike_flag")),
     "weekly_summary_all_users": _with(
         *_STG_DAILY, LOAD, RUNS, WEEKLY_ALL, select=_show("weekly", "week_start week_end load_spike_flag")

@@ -21,6 +21,7 @@ from paceforge.operators.upsert import drop_mart, merge_mart, read_mart, rescan_
 from paceforge.operators.versions import latest_version
 from paceforge.plans import marts, staging
 from paceforge.plans.daily import int_daily_metrics
+from paceforge.plans.carried import read_load, refresh_load
 from paceforge.plans.load import fct_weekly_training_summary, int_training_load
 from paceforge.plans.recovery import int_run_recovery, int_workout_recovery
 from paceforge.sources import export, landing, tables
@@ -265,6 +266,20 @@ def merged_mart(spark: SparkSession, sf: str) -> DataFrame:
     return merged
 
 
+def carried_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Training load kept from build to build: built while some users lacked their last days and others had other strains, then refreshed."""
+    daily = stored(_daily(derive.events(spark, sf)))
+    newest = daily.agg(F.max("cycle_date")).scalar()
+    strain = F.when(F.col("user_id") % 5 == 1, F.col("strain_score") + F.dayofmonth("cycle_date")).otherwise(F.col("strain_score"))
+    before = daily.where((F.col("user_id") % 7 != 0) | (F.col("cycle_date") < F.date_sub(newest, 30))).withColumn("strain_score", strain)
+    mart = f"carried_load_{uuid.uuid4().hex[:8]}"
+    for source in (before, daily, daily):
+        refresh_load(source, mart)
+    refreshed = stored(read_load(spark, mart))
+    drop_mart(spark, mart)
+    return refreshed
+
+
 def _landed(ev: DataFrame, kind: str, record: Column) -> DataFrame:
     """Landed records of one kind, parsed from JSON text made of each event."""
     parsed = ev.select(F.from_json(record, landing_schema(kind)).alias("r"), "ts")
@@ -781,6 +796,7 @@ _ALL: tuple[Query, ...] = (
     customers_without_orders,
     incremental_merge,
     merged_mart,
+    carried_load,
     conform_cycles,
     conform_sleeps,
     conform_recoveries,
