@@ -2,8 +2,8 @@
 
 Strings are compared by the subsequences of ``ORDER`` characters that they share, each weighed down by the
 stretch it takes up in both, so an insult with gaps or inserted characters stays near the plain one. Landmarks
-are character runs of words that many toxic training texts share and clean ones hardly have, and the clean
-words that come nearest to them. A word's features are its normalised kernel values with the landmarks above ``FLOOR``;
+are character runs of words that toxic training texts share and clean ones hardly have, until every toxic text that shares any has
+one, and the clean words that come nearest to them. A word's features are its normalised kernel values with the landmarks above ``FLOOR``;
 the machine's ridge is that of the kernel's space, by the landmarks' own kernel matrix (Nystroem).
 A sentence is as toxic as its worst word, and a text as its worst sentence: of each toxic training text the worst
 word is the example (with copies that are gapped), of clean ones every word is. The largest value of a text, through
@@ -28,16 +28,19 @@ from pyspark.sql import functions as F
 from paceforge.llm.common import chunks, strings
 
 ORDER, DECAY, FLOOR = 3, 0.7, 0.4
-#: Landmarks at most of toxic runs and of clean words, and the length of runs.
+#: Toxic runs that are landmarks by their number of texts alone, if it is a hundredth of all (more follow until no text is
+#: without one), clean words that are landmarks for sure, and the length of runs.
 TOXIC_LANDMARKS, CLEAN_LANDMARKS, RUNS = 64, 24, (4, 10)
+#: Part of the runs of a support that may be there by chance, as clean texts show.
+CHANCE = 0.1
 #: Labelled texts drawn of each class.
 TOXIC_TEXTS, CLEAN_TEXTS = 1_500, 3_000
-#: Weight of clean texts against toxic ones.
-CLEAN_WEIGHT = 4.0
+#: Weight of clean texts against toxic ones in the machine, and of a clean text that is flagged against a toxic one that is missed.
+CLEAN_WEIGHT, FALSE_ALARM = 4.0, 3.0
 #: Longest string compared at once; longer ones are cut into windows that overlap by half.
 WINDOW = 24
-#: Words whose value a worker remembers.
-REMEMBERED = 400_000
+#: Words whose value a worker remembers, and the longest of them.
+REMEMBERED, REMEMBERED_LENGTH = 400_000, 64
 SPELLED = re.compile(r"(?<!\S)\S(?:\s\S){3,}(?!\S)")
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…¿¡"
 
@@ -212,33 +215,63 @@ def runs(word: str) -> set[str]:
     return {w[i : i + n] for w in windows(word) for n in range(low, high + 1) for i in range(len(w) - n + 1)}
 
 
-def _run_counts(toxic: list[list[str]], clean: list[list[str]], least: int) -> tuple[Counter, Counter]:
-    """In how many toxic texts a run is, of those in ``least`` or more, and in how many clean ones.
+def _hashes(texts: list[list[str]]) -> list[np.ndarray]:
+    """Hashes of the runs of each text, each once."""
+    return [np.fromiter({hash(r) for w in t for r in runs(w)}, np.int64) for t in texts]
 
-    Runs are counted by their hash first, as most are in one text only.
-    """
-    each = (np.fromiter({hash(r) for w in t for r in runs(w)}, np.int64) for t in toxic)
-    numbers, counts = np.unique(np.concatenate([np.empty(0, np.int64), *each]), return_counts=True)
-    often = set(numbers[counts >= least].tolist())
 
-    def count(texts: list[list[str]]) -> Counter:
-        found: Counter = Counter()
-        for t in texts:
-            found.update({r for w in t for r in runs(w) if hash(r) in often})
-        return found
+def _supports(texts: list[np.ndarray], others: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs that are in two or more texts and hardly in others, and in how many texts each is."""
+    of, count = np.unique(np.concatenate([np.empty(0, np.int64), *texts]), return_counts=True)
+    of, count = of[count >= 2], count[count >= 2]
+    if not len(of) or not others:
+        return of, count
+    elsewhere = np.zeros(len(of), np.int64)
+    for other in others:
+        at = np.searchsorted(of, other)
+        at[at == len(of)] = 0
+        elsewhere[at[of[at] == other]] += 1
+    rare = elsewhere * len(texts) <= 0.005 * count * len(others)
+    return of[rare], count[rare]
 
-    return count(toxic), count(clean)
 
+def toxic_runs(toxic: list[list[str]], clean: list[list[str]]) -> tuple[dict[str, list[int]], int]:
+    """Runs that toxic texts share and clean ones hardly have, with the numbers of their texts; and the support that isn't chance.
 
-def pick_landmarks(shared: Counter, clean: Counter, n_toxic: int, n_clean: int, least: int) -> list[str]:
-    """Runs of the most toxic texts that hardly any clean text has; none holds another."""
-    ranked = sorted((-c, -len(r), r) for r, c in shared.items() if c >= least and clean[r] * n_toxic <= 0.005 * c * n_clean)
+    Two texts are enough for that, unless clean texts share runs of their own: then it is the least support at which
+    a part of the clean texts, against the rest of them, shows at most ``CHANCE`` of the runs that the toxic ones show.
+    """
+    own, away = _hashes(toxic), _hashes(clean)
+    step = max(2, -(-len(away) // max(1, len(own))))
+    rest = [h for k, h in enumerate(away) if k % step]
+    by_chance = _supports(away[::step], rest)[1]
+    shown = _supports(own, rest)[1]
+    least = 2
+    top = int(max(shown, default=2))
+    while least < top and (by_chance >= least).sum() > CHANCE * (shown >= least).sum():
+        least += 1
+    of, count = _supports(own, away)
+    wanted = set(of[count >= min(least, max(2, len(toxic) // 100))].tolist())
+    found: dict[str, list[int]] = defaultdict(list)
+    for k, t in enumerate(toxic):
+        for r in {r for w in t for r in runs(w) if hash(r) in wanted}:
+            found[r].append(k)
+    return found, least
+
+
+def pick_landmarks(shared: dict[str, list[int]], n_toxic: int, least: int) -> list[str]:
+    """Runs of the most toxic texts, none holding another: ``TOXIC_LANDMARKS`` that a hundredth of the texts have, and then
+    those of ``least`` texts or more that any text without one has."""
+    ranked = sorted(shared, key=lambda r: (-len(shared[r]), -len(r), r))
     picked: list[str] = []
-    for _, _, run in ranked:
-        if len(picked) == TOXIC_LANDMARKS:
-            break
-        if not any(run in p or p in run for p in picked):
+    covered: set[int] = set()
+    for run in ranked:
+        n = len(shared[run])
+        common = n >= max(2, n_toxic // 100) and len(picked) < TOXIC_LANDMARKS
+        alone = n >= least and not covered.issuperset(shared[run])
+        if (common or alone) and not any(run in p or p in run for p in picked):
             picked.append(run)
+            covered.update(shared[run])
     return picked
 
 
@@ -288,8 +321,8 @@ def _rows(landmarks: Landmarks, words: list[str]) -> dict[str, np.ndarray]:
 def fit(toxic: list[set[str]], clean: list[set[str]]) -> Model:
     """A model from the words of toxic and of clean texts; the same for every order of the texts."""
     toxic, clean = sorted(map(sorted, toxic)), sorted(map(sorted, clean))
-    least = max(2, len(toxic) // 100)
-    picked = pick_landmarks(*_run_counts(toxic, clean, least), len(toxic), len(clean), least)
+    shared, least = toxic_runs(toxic, clean)
+    picked = pick_landmarks(shared, len(toxic), least)
     if not picked or not clean:
         return Model([], np.empty(0), 0.0, 0.0, 4.0 if toxic and not clean else -4.0)
     rng = np.random.default_rng(11)
@@ -304,7 +337,7 @@ def fit(toxic: list[set[str]], clean: list[set[str]]) -> Model:
             return model
         if not close:  # the clean words that come nearest to the landmarks become landmarks themselves
             value = {w: float(x @ model.weights) for w, x in _rows(landmarks, away).items()}
-            close = [w for w in sorted(value, key=lambda w: (-value[w], w))[:CLEAN_LANDMARKS] if w not in picked]
+            close = [w for w in sorted(value, key=lambda w: (-value[w], w))[: max(CLEAN_LANDMARKS, len(picked) // 4)] if w not in picked]
     value = {w: float(x @ model.weights) + model.bias for x_of in (_rows(landmarks, near), _rows(landmarks, away)) for w, x in x_of.items()}
     high = np.array([max((value.get(w, model.bias) for w in t), default=model.bias) for t in of])
     low = np.array([max((value.get(w, model.bias) for x in t for w in windows(x)), default=model.bias) for t in clean])
@@ -347,7 +380,7 @@ def _curve(high: np.ndarray, low: np.ndarray) -> tuple[float, float]:
     """Slope and shift of a logistic curve that is one half where the balanced error is least."""
     cuts = np.unique(np.concatenate([high, low]))
     h, lo = np.sort(high), np.sort(low)
-    errors = np.searchsorted(h, cuts, side="left") / len(h) + 3 * (1 - np.searchsorted(lo, cuts, side="left") / len(lo))
+    errors = np.searchsorted(h, cuts, side="left") / len(h) + FALSE_ALARM * (1 - np.searchsorted(lo, cuts, side="left") / len(lo))
     best = np.flatnonzero(errors == errors.min())
     at = cuts[best[0]]
     below = lo[lo < at]
@@ -399,6 +432,9 @@ class Scorer:
         self.now.update(zip(new, self.model.values(new).tolist()))
         known, least = self.now, self.model.bias
         value = np.array([max((known[w] for w in words), default=least) for words in each])
+        for w in new:
+            if len(w) > REMEMBERED_LENGTH:
+                del known[w]
         if len(self.now) > REMEMBERED:
             self.before, self.now = self.now, {}
         return self.model.score(value) if len(value) else value

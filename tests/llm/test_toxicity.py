@@ -73,6 +73,36 @@ def test_learns_gapped_insults():
     assert found[1] >= 0.5 > max(found[0], found[2])
 
 
+def test_learns_every_insult_of_a_wide_lexicon():
+    rng = np.random.default_rng(2)
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnoprstuvw"), n))
+    plain, insults = [word(rng.integers(3, 9)) for _ in range(2_000)], [word(8) for _ in range(200)]
+    text = lambda *more: {*rng.choice(plain, 40), *more}
+    model = t.fit([text(insults[k % 200]) for k in range(1_200)], [text() for _ in range(2_400)])
+    assert len(model.landmarks.strings) >= 200
+    assert (model.score(model.values(insults)) >= 0.5).sum() >= 198
+    assert (model.score(model.values(plain)) >= 0.5).sum() <= 2
+
+
+def test_runs_by_brute_force():
+    toxic = [["numpty", "there"], ["numpties"], ["there", "wazzock"], ["wazzock"]]
+    clean = [["there"], ["thereon"], ["other"]]
+    shared, least = t.toxic_runs(toxic, clean)
+    of = [{r for w in x for r in t.runs(w)} for x in toxic]
+    away = {r for x in clean for w in x for r in t.runs(w)}
+    want = {r: [k for k, x in enumerate(of) if r in x] for r in set().union(*of)}
+    assert shared == {r: k for r, k in want.items() if len(k) >= 2 and r not in away} and least == 2
+    assert t.pick_landmarks(shared, 4, least) == ["wazzock", "numpt"]
+    assert t.toxic_runs([], []) == ({}, 2) and t.pick_landmarks({}, 0, 2) == []
+
+
+def test_long_words_are_not_remembered():
+    model = t.fit([{"numpty", f"a{k}bc"} for k in range(9)], [{"nice", f"b{k}cd"} for k in range(9)])
+    scorer = t.Scorer(model)
+    assert scorer(["x" * 10_000 + "numpty", "numpty"]).tolist() == scorer(["x" * 10_000 + "numpty", "numpty"]).tolist()
+    assert max(map(len, scorer.now)) <= t.REMEMBERED_LENGTH
+
+
 def test_held_out_accuracy(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     got = op9_toxicity(spark, SF).collect()
