@@ -14,6 +14,7 @@ from paceforge.operators.joins import attach_one
 from paceforge.operators.quality import NOT_NULL
 from paceforge.operators.upsert import merge_mart, read_mart
 from paceforge.plans import staging
+from paceforge.plans.carried import read_load, refresh_load
 from paceforge.plans.daily import int_daily_metrics
 from paceforge.plans.load import fct_weekly_training_summary, int_training_load
 from paceforge.plans.recovery import int_run_recovery, int_workout_recovery
@@ -113,9 +114,12 @@ def build(
     user_col: str | None = None,
     buckets: int | None = None,
     unique_days: bool = True,
+    carry_load: bool = False,
 ) -> dict[str, dict[str, int]]:
     """Build all models from the raw tables: staging as views, the rest as tables.
 
+    With ``carry_load`` the training load is kept from build to build, and only what follows a changed day is worked out again.
+
     ``int_daily_metrics`` has five readers and is written before any of them. Returns, for each model that is written in full,
     the NULLs in its required columns, for ``quality.check_models``.
     """
@@ -149,8 +153,14 @@ def build(
         merge_mart(stamp(spark.table(name_of(model)), now), name_of(fact), key, date)
 
     facts = read_mart(spark, name_of("fct_daily"))
-    write(int_training_load(facts, unique_days), "int_training_load", buckets)
-    load = spark.table(name_of("int_training_load"))
+    if carry_load:
+        refresh_load(facts, name_of("int_training_load"), unique_days)
+        load = read_load(spark, name_of("int_training_load"))
+        missing = load.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL["int_training_load"]])
+        nulls["int_training_load"] = missing.first().asDict()
+    else:
+        write(int_training_load(facts, unique_days), "int_training_load", buckets)
+        load = spark.table(name_of("int_training_load"))
     weekly = fct_weekly_training_summary(load, read_mart(spark, name_of("fct_runs")), user_col)
     write(weekly, "fct_weekly_training_summary")
     write(dim_user(daily, stg("stg_raw_users"), now), "dim_user")

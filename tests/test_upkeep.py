@@ -438,6 +438,16 @@ def test_build(spark, database):
         assert df.count() > 0
         # A run without its own date key or user would be a defect of the derived data.
         assert [r for r in quality.check_model(df, model).collect() if r.failures] == []
+    kept = f"{database}_kept"
+    spark.sql(f"DROP DATABASE IF EXISTS {kept} CASCADE")
+    for _ in range(2):
+        nulls = marts.build(spark, database, kept, NOW, user_col="user_id", carry_load=True)
+    assert nulls["int_training_load"] == {"cycle_date": 0, "user_id": 0}
+    for model in ("int_training_load", "fct_weekly_training_summary"):
+        plain = spark.table(f"{built}.{model}")
+        assert rows(spark.table(f"{kept}.{model}").select(*plain.columns)) == rows(plain)
+    upsert_module.drop_mart(spark, f"{kept}.int_training_load")
+    spark.sql(f"DROP DATABASE {kept} CASCADE")
     plan = marts.my_trends(spark.table(f"{built}.int_daily_metrics"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     spark.sql(f"DROP DATABASE {built} CASCADE")
