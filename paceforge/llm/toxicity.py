@@ -16,8 +16,10 @@ value by the floor, so nothing is lost by it.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain
 from sys import intern
 
 import numpy as np
@@ -215,24 +217,50 @@ def runs(word: str) -> set[str]:
     return {w[i : i + n] for w in windows(word) for n in range(low, high + 1) for i in range(len(w) - n + 1)}
 
 
-def _hashes(texts: list[list[str]]) -> list[np.ndarray]:
-    """Hashes of the runs of each text, each once."""
-    return [np.fromiter({hash(r) for w in t for r in runs(w)}, np.int64) for t in texts]
+class Runs:
+    """Character runs of the distinct words of some texts, each by a number; a text's runs are looked up, never kept."""
+
+    def __init__(self, texts: Iterable[Iterable[str]]):
+        self.place: dict[str, int] = {}
+        sizes, parts = array("q", [0]), array("q")
+        for t in texts:
+            for w in t:
+                if w not in self.place:
+                    self.place[w] = len(self.place)
+                    before = len(parts)
+                    parts.extend(map(hash, runs(w)))
+                    sizes.append(len(parts) - before)
+        self.starts = np.cumsum(np.frombuffer(sizes, np.int64))
+        #: The numbers of the words' runs, word after word, and the hash of each number. They are dealt out by a few bits of the
+        #: hash at a time, so that no sort holds all of them.
+        hashes = np.frombuffer(parts, np.int64)
+        deal = (hashes % 16).astype(np.uint8)
+        self.numbers, found = np.empty(len(hashes), np.int32), [hashes[:0]]
+        total = 0
+        for k in range(16):
+            at = np.flatnonzero(deal == k)
+            some, number = np.unique(hashes[at], return_inverse=True)
+            self.numbers[at] = number + total
+            found.append(some)
+            total += len(some)
+        self.hashes = np.concatenate(found)
+
+    def of(self, text: Iterable[str]) -> np.ndarray:
+        """Numbers of the runs of a text, each once."""
+        at = [self.place[w] for w in text]
+        return np.unique(np.concatenate([self.numbers[:0], *(self.numbers[self.starts[k] : self.starts[k + 1]] for k in at)]))
+
+    def count(self, texts: Iterable[Iterable[str]]) -> np.ndarray:
+        """In how many of the texts each run is."""
+        out = np.zeros(len(self.hashes), np.int64)
+        for t in texts:
+            out[self.of(t)] += 1
+        return out
 
 
-def _supports(texts: list[np.ndarray], others: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Runs that are in two or more texts and hardly in others, and in how many texts each is."""
-    of, count = np.unique(np.concatenate([np.empty(0, np.int64), *texts]), return_counts=True)
-    of, count = of[count >= 2], count[count >= 2]
-    if not len(of) or not others:
-        return of, count
-    elsewhere = np.zeros(len(of), np.int64)
-    for other in others:
-        at = np.searchsorted(of, other)
-        at[at == len(of)] = 0
-        elsewhere[at[of[at] == other]] += 1
-    rare = elsewhere * len(texts) <= 0.005 * count * len(others)
-    return of[rare], count[rare]
+def _supports(inside: np.ndarray, n_inside: int, elsewhere: np.ndarray, n_elsewhere: int) -> np.ndarray:
+    """Numbers of the runs that are in two or more texts and hardly in others, by how many of each they are in."""
+    return np.flatnonzero((inside >= 2) & (elsewhere * n_inside <= 0.005 * inside * n_elsewhere))
 
 
 def toxic_runs(toxic: list[list[str]], clean: list[list[str]]) -> tuple[dict[str, list[int]], int]:
@@ -241,20 +269,25 @@ def toxic_runs(toxic: list[list[str]], clean: list[list[str]]) -> tuple[dict[str
     Two texts are enough for that, unless clean texts share runs of their own: then it is the least support at which
     a part of the clean texts, against the rest of them, shows at most ``CHANCE`` of the runs that the toxic ones show.
     """
-    own, away = _hashes(toxic), _hashes(clean)
-    step = max(2, -(-len(away) // max(1, len(own))))
-    rest = [h for k, h in enumerate(away) if k % step]
-    by_chance = _supports(away[::step], rest)[1]
-    shown = _supports(own, rest)[1]
+    known = Runs(chain(toxic, clean))
+    step = max(2, -(-len(clean) // max(1, len(toxic))))
+    part, rest = clean[::step], [t for k, t in enumerate(clean) if k % step]
+    own, in_part, in_rest = (known.count(x) for x in (toxic, part, rest))
+    by_chance = in_part[_supports(in_part, len(part), in_rest, len(rest))]
+    shown = own[_supports(own, len(toxic), in_rest, len(rest))]
     least = 2
     top = int(max(shown, default=2))
     while least < top and (by_chance >= least).sum() > CHANCE * (shown >= least).sum():
         least += 1
-    of, count = _supports(own, away)
-    wanted = set(of[count >= min(least, max(2, len(toxic) // 100))].tolist())
+    of = _supports(own, len(toxic), in_part + in_rest, len(clean))
+    picked = of[own[of] >= min(least, max(2, len(toxic) // 100))]
+    wanted = set(known.hashes[picked].tolist())
+    numbers = np.zeros(len(known.hashes), bool)
+    numbers[picked] = True
+    having = {w for w, k in known.place.items() if numbers[known.numbers[known.starts[k] : known.starts[k + 1]]].any()}
     found: dict[str, list[int]] = defaultdict(list)
     for k, t in enumerate(toxic):
-        for r in {r for w in t for r in runs(w) if hash(r) in wanted}:
+        for r in {r for w in t if w in having for r in runs(w) if hash(r) in wanted}:
             found[r].append(k)
     return found, least
 
@@ -318,27 +351,28 @@ def _rows(landmarks: Landmarks, words: list[str]) -> dict[str, np.ndarray]:
     return found
 
 
-def fit(toxic: list[set[str]], clean: list[set[str]]) -> Model:
-    """A model from the words of toxic and of clean texts; the same for every order of the texts."""
+def fit(toxic: Iterable[Iterable[str]], clean: Iterable[Iterable[str]]) -> Model:
+    """A model from the distinct words of toxic and of clean texts; the same for every order of the texts."""
     toxic, clean = sorted(map(sorted, toxic)), sorted(map(sorted, clean))
     shared, least = toxic_runs(toxic, clean)
     picked = pick_landmarks(shared, len(toxic), least)
     if not picked or not clean:
         return Model([], np.empty(0), 0.0, 0.0, 4.0 if toxic and not clean else -4.0)
     rng = np.random.default_rng(11)
-    of = [[w for x in t for w in windows(x)] for t in toxic]
+    of = [[intern(w) for x in t for w in windows(x)] for t in toxic]
     away_in = Counter(w for t in clean for w in {w for x in t for w in windows(x)})
     near, away = sorted({w for t in of for w in t}), sorted(away_in)
     close: list[str] = []
     for _ in range(2):
         landmarks = Landmarks(picked + close)
-        model = _machine(landmarks, len(picked), of, _rows(landmarks, near), _rows(landmarks, away), away_in, len(clean), rng)
+        plus, minus = _rows(landmarks, near), _rows(landmarks, away)
+        model = _machine(landmarks, len(picked), of, plus, minus, away_in, len(clean), rng)
         if not len(model.weights):
             return model
         if not close:  # the clean words that come nearest to the landmarks become landmarks themselves
-            value = {w: float(x @ model.weights) for w, x in _rows(landmarks, away).items()}
+            value = {w: float(x @ model.weights) for w, x in minus.items()}
             close = [w for w in sorted(value, key=lambda w: (-value[w], w))[: max(CLEAN_LANDMARKS, len(picked) // 4)] if w not in picked]
-    value = {w: float(x @ model.weights) + model.bias for x_of in (_rows(landmarks, near), _rows(landmarks, away)) for w, x in x_of.items()}
+    value = {w: float(x @ model.weights) + model.bias for x_of in (plus, minus) for w, x in x_of.items()}
     high = np.array([max((value.get(w, model.bias) for w in t), default=model.bias) for t in of])
     low = np.array([max((value.get(w, model.bias) for x in t for w in windows(x)), default=model.bias) for t in clean])
     model.slope, model.shift = _curve(high, low)
@@ -407,9 +441,8 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(words, pa.string())], ["mark", "words"])
 
     got = rows.mapInArrow(run, "mark int, words string").toArrow()
-    marks_of, words_of = got.column(0).to_pylist(), got.column(1).to_pylist()
-    of = [[set(map(intern, w.split())) for m, w in zip(marks_of, words_of) if m == k] for k in (1, 0)]
-    return fit(*of)
+    # the words of a text are distinct already; a list of them takes a fraction of a set
+    return fit(*([list(map(intern, w.as_py().split())) for m, w in zip(*got.columns) if m.as_py() == k] for k in (1, 0)))
 
 
 class Scorer:

@@ -1,3 +1,4 @@
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
@@ -96,6 +97,20 @@ def test_runs_by_brute_force():
     assert t.toxic_runs([], []) == ({}, 2) and t.pick_landmarks({}, 0, 2) == []
 
 
+def test_runs_of_many_texts_take_the_memory_of_their_words():
+    """Ten times the texts over the same words: what is held follows the words, not the texts."""
+    rng = np.random.default_rng(3)
+    plain = ["".join(rng.choice(list("abcdefghijklmnoprstuvw"), 8)) for _ in range(600)]
+    peaks = []
+    for n in (40, 400):
+        texts = [sorted({plain[k] for k in rng.choice(600, 400, replace=False)}) for _ in range(3 * n)]
+        tracemalloc.start()
+        t.toxic_runs(texts[:n], texts[n:])
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 2 * peaks[0]
+
+
 def test_long_words_are_not_remembered():
     model = t.fit([{"numpty", f"a{k}bc"} for k in range(9)], [{"nice", f"b{k}cd"} for k in range(9)])
     scorer = t.Scorer(model)
