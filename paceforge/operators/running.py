@@ -123,17 +123,22 @@ def running_sum(
     )
 
 
-def positions(df: DataFrame, order: Sequence[Column], out: str = "position", start: int = 1, slices: int | None = None) -> DataFrame:
+def positions(
+    df: DataFrame, order: Sequence[Column], out: str = "position", start: int = 1, slices: int | None = None, last: tuple[str, Column] | None = None
+) -> DataFrame:
     """Add the place of each row in the order of the whole table, as ``orderBy`` and a row number would give it.
 
-    The rows of each slice are numbered by themselves, and the numbers of rows of the slices, added up, come on top.
+    The rows of each slice are numbered by themselves, and the numbers of rows of the slices, added up, come on top. ``last`` is the name and
+    the expression of a column that ends the order and is added too; it is worked out behind the shuffles, which don't carry it.
     """
-    cut = sliced(df, [], order, slices)
-    own = by_slice(cut).withColumn("__own", F.row_number().over(Window.partitionBy(SLICE).orderBy(*order)))
+    name, made = last or (None, None)
+    cut = sliced(df, [], [*order, *([F.asc(made)] if name else [])], slices)
+    rows, down = (by_slice(cut).withColumn(name, made), [*order, F.asc(name)]) if name else (by_slice(cut), order)
+    own = rows.withColumn("__own", F.row_number().over(Window.partitionBy(SLICE).orderBy(*down)))
     counts = cut.groupBy(F.col(SLICE).alias("__carry_slice")).agg(F.count(F.lit(1)).alias("__rows"))
     ahead = F.coalesce(F.sum("__rows").over(carry_window([]).rowsBetween(FIRST, -1)), F.lit(0))
     numbered = carried(own, counts.select("__carry_slice", ahead.alias("__ahead")), [])
-    return numbered.select(*df.columns, (F.col("__ahead") + F.col("__own") + (start - 1)).cast("bigint").alias(out))
+    return numbered.select(*df.columns, *([name] if name else []), (F.col("__ahead") + F.col("__own") + (start - 1)).cast("bigint").alias(out))
 
 
 def as_ordered(df: DataFrame, out: str = "position") -> DataFrame:

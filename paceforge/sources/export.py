@@ -77,10 +77,11 @@ def json_document(
     """
     stamp = now if now.tzinfo else now.replace(tzinfo=timezone.utc)
     texts = [as_text(df, c).alias(c) if c in TEXT_COLUMNS else F.col(c) for c in columns]
-    row = F.to_json(F.struct(*texts), {"ignoreNullFields": "false"})
     names = [f"__sort_{i}" for i in range(len(order))]
-    lines = df.select(row.alias("__row"), *[c.alias(name) for c, name in zip(order, names)])
-    placed = positions(lines, [F.asc(name) for name in (*names, "__row")])
+    lines = df.select(*texts, *[c.alias(name) for c, name in zip(order, names)])
+    # rows move and are stored as columns, without a name in front of each value
+    row = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    placed = positions(lines, [F.asc(name) for name in names], last=("__row", row))
     rows = placed.agg(F.count(F.lit(1))).scalar()
     comma = F.when(F.col("position") == 1, " ").otherwise(",")
     head = {"generated_at": F.lit(stamp.isoformat()), count_name: rows}

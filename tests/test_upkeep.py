@@ -375,6 +375,19 @@ def test_export_is_one_document(spark, tmp_path):
     assert empty["rows"] == [] and empty["row_count"] == 0
 
 
+def test_export_rows_move_as_columns(spark, monkeypatch):
+    """Rows are put in order as columns, with equal ones in the order of their JSON, which no shuffle before it carries."""
+    moved = []
+    monkeypatch.setattr(export, "positions", lambda df, *a, positions=export.positions, **k: positions(moved.append(df) or df, *a, **k))
+    df = spark.createDataFrame([(2, "b", None), (1, "z", 9), (1, "z", 10), (1, "a", 9), (1, None, 9)], "n long, name string, m long")
+    lines = export.json_document(df, ["n", "name", "m"], [F.col("n")], NOW, "row_count", "rows")
+    got = [json.loads(r.value[1:]) for r in lines.collect()[1:-1]]
+    want = [{"n": 1, "name": None, "m": 9}, {"n": 1, "name": "a", "m": 9}, {"n": 1, "name": "z", "m": 10}, {"n": 1, "name": "z", "m": 9}]
+    ordered = sorted(want, key=lambda r: json.dumps(r, separators=(",", ":")))
+    assert got == [*ordered, {"n": 2, "name": "b", "m": None}]
+    assert moved[0].columns[:3] == ["n", "name", "m"] and not any(str(v).startswith("{") for r in moved[0].collect() for v in r)
+
+
 def test_export_runs(spark, tmp_path):
     stamps = [datetime(2024, 6, 1, 7), datetime(2024, 6, 1, 7, 0, 0, 120000), datetime(2024, 6, 1, 7, 0, 0, 1)]
     runs = spark.createDataFrame(
