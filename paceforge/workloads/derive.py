@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from paceforge.functions.labels import daily_load
 from paceforge.session import utc
+from paceforge.storage import stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(table(spark, sf_dir, "events"))
 
 
+def dealt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events dealt evenly over all tasks and stored, for work that reads them many times.
+
+    One task reads a whole row group, so a file of few row groups would leave each of those passes to few tasks.
+    """
+    return stored(events(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def read_events(df: DataFrame) -> DataFrame:
     day = F.to_date("ts")
     return df.select(

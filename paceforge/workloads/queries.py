@@ -456,7 +456,7 @@ def _landings(ev: DataFrame) -> dict[str, Callable[[], DataFrame]]:
 
 def _nights(spark: SparkSession, sf: str, database: str) -> list[Row]:
     """Three nightly loads: half of the events, all of them with workouts that lack a user, and a dry run. Gives the last one's records."""
-    ev = derive.events(spark, sf)
+    ev = derive.dealt_events(spark, sf)
     early = ev.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp"))
     broken = ev.withColumn("user_id", F.when(F.col("event_type") != "click", F.col("user_id")))
     spark.sql(f"CREATE DATABASE {database}")

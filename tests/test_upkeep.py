@@ -15,7 +15,7 @@ from paceforge.sources import export, tables
 from paceforge.sources.schemas import AUDIT_TABLE, RAW_TABLES, landing_schema
 from paceforge.storage import folders
 from paceforge.streaming import ingest, weeks
-from paceforge.workloads import derive
+from paceforge.workloads import derive, queries
 from tests.conftest import rows
 
 DAY = date(2024, 6, 20)
@@ -335,6 +335,23 @@ def test_nightly_load(spark, database, tmp_path):
     assert [r.status for r in records] == ["failed"]
 
 
+def test_loads_of_one_row_group_use_many_tasks(spark, tmp_path, monkeypatch):
+    """All passes of the nightly loads over the events are spread, though the file of events has one row group."""
+    spread = []
+
+    def load(_, landed, *args, **kwargs):
+        spread.extend(df().groupBy(F.spark_partition_id()).count().count() for df in landed.values())
+
+    ids = spark.range(0, 40, 1, 1)
+    stamp, kind = F.timestamp_seconds(1_705_000_000 + F.col("id") * 30_000), F.element_at(F.array(F.lit("click"), F.lit("view")), (F.col("id") % 2 + 1).cast("int"))
+    columns = {"event_id": F.col("id"), "ts": stamp, "user_id": F.col("id") % 3, "event_type": kind, "value": F.lit(1.0), "props": F.lit('{"k": 1}')}
+    ids.select(*[c.alias(name) for name, c in columns.items()]).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(tables, "nightly_load", load)
+    monkeypatch.setattr(spark, "sql", lambda text: None)
+    queries._nights(spark, str(tmp_path), "unused")
+    assert len(spread) == 21 and min(spread) > 1
+
+
 def test_freshness(spark):
     df = spark.createDataFrame([(NOW - timedelta(hours=30),), (NOW - timedelta(hours=99),)], "loaded_at timestamp")
     assert tables.freshness(df, NOW).first().status == "warn"
