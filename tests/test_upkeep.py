@@ -335,6 +335,14 @@ def test_nightly_load(spark, database, tmp_path):
     assert [r.status for r in records] == ["failed"]
 
 
+def one_row_group(spark, folder):
+    """A table of 40 events in a file of one row group."""
+    ids = spark.range(0, 40, 1, 1)
+    stamp, kind = F.timestamp_seconds(1_705_000_000 + F.col("id") * 30_000), F.element_at(F.array(F.lit("click"), F.lit("view")), (F.col("id") % 2 + 1).cast("int"))
+    columns = {"event_id": F.col("id"), "ts": stamp, "user_id": F.col("id") % 3, "event_type": kind, "value": F.lit(1.0), "props": F.lit('{"k": 1}')}
+    ids.select(*[c.alias(name) for name, c in columns.items()]).write.parquet(f"{folder}/events.parquet")
+
+
 def test_loads_of_one_row_group_use_many_tasks(spark, tmp_path, monkeypatch):
     """All passes of the nightly loads over the events are spread, though the file of events has one row group."""
     spread = []
@@ -342,16 +350,29 @@ def test_loads_of_one_row_group_use_many_tasks(spark, tmp_path, monkeypatch):
     def load(_, landed, *args, **kwargs):
         spread.extend(df().groupBy(F.spark_partition_id()).count().count() for df in landed.values())
 
-    ids = spark.range(0, 40, 1, 1)
-    stamp, kind = F.timestamp_seconds(1_705_000_000 + F.col("id") * 30_000), F.element_at(F.array(F.lit("click"), F.lit("view")), (F.col("id") % 2 + 1).cast("int"))
-    columns = {"event_id": F.col("id"), "ts": stamp, "user_id": F.col("id") % 3, "event_type": kind, "value": F.lit(1.0), "props": F.lit('{"k": 1}')}
-    ids.select(*[c.alias(name) for name, c in columns.items()]).write.parquet(f"{tmp_path}/events.parquet")
+    one_row_group(spark, tmp_path)
     monkeypatch.setattr(tables, "nightly_load", load)
     monkeypatch.setattr(spark, "sql", lambda text: None)
     queries._nights(spark, str(tmp_path), "unused")
     assert len(spread) == 21 and min(spread) > 1
 
 
+def test_build_of_one_row_group_uses_many_tasks(spark, tmp_path, monkeypatch):
+    """All raw tables of the build are made of spread events, though the file of events has one row group."""
+    spread = []
+
+    def sources(ev):
+        spread.append(ev.groupBy(F.spark_partition_id()).count().count())
+        return {}
+
+    one_row_group(spark, tmp_path)
+    monkeypatch.setattr(queries, "_raw_sources", sources)
+    monkeypatch.setattr(marts, "build", lambda *args, **kwargs: {})
+    monkeypatch.setattr(quality, "check_models", lambda *args: spark.range(1))
+    queries.build_checks(spark, str(tmp_path))
+    assert spread and min(spread) > 1
+
+
 def test_freshness(spark):
     df = spark.createDataFrame([(NOW - timedelta(hours=30),), (NOW - timedelta(hours=99),)], "loaded_at timestamp")
     assert tables.freshness(df, NOW).first().status == "warn"
