@@ -6,8 +6,11 @@ weights and its queries are broadcast. Every task makes shards of the texts it r
 each by the block's words, and answers all the block's queries on it. In a shard, blocks of neighbouring texts have the
 largest impact of each word, which bounds the score of every text in them. The most promising blocks are scored first; what they
 give sets the bar for the others. Of the texts in blocks that can reach it, the words that matter are added up
-first, and only texts that could still reach the bar with all the others are scored in full. The k best of each shard
-meet in one window per query.
+first, and only texts that could still reach the bar with all the others are scored in full.
+
+Samples of the texts are searched first, each ``SAMPLE`` times the one before. The k-th best score of a query in a sample is
+never above its k-th best of all, so it is the bar for the texts after it, and a shard gives only texts that reach it. Every text is searched behind the
+samples. What a query gets from a pass is so about k times ``SAMPLE`` texts, however many shards there are; they meet in one window per query.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +35,8 @@ QUERY_WORDS, SHARD_TEXTS, SHARD_BYTES, NEIGHBOURS = 1_000_000, 4_096, 24_000_000
 WORDS = re.compile(r"\w+")
 #: Stands for the texts themselves among the words.
 TEXTS = " "
+#: How many times a sample is the one before it, and parts of a sample at least.
+SAMPLE, SAMPLE_PARTS = 16, 4
 #: What rounding can move a bound by.
 SLACK = 1e-9
 
@@ -103,6 +109,8 @@ class Shard:
         lengths = lengths[order]
         size = np.bincount(owner, minlength=len(texts))
         self.ids = [ids[k] for k in order.tolist()]
+        self.missing = np.array([k is None for k in self.ids], bool)
+        self.number = np.array([0 if k is None else k for k in self.ids], np.int64)
         self.by_text = np.concatenate([[0], np.cumsum(size)])
         norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
         self.impact = idf[self.word] * times * (K1 + 1) / (times + norm[owner])
@@ -129,30 +137,33 @@ class Shard:
         hit = self.asked[self.word[at]]
         return np.bincount(owner[hit], self.impact[at[hit]], len(texts))
 
-    def search(self, query: np.ndarray, top: int) -> tuple[list, list[float]]:
-        """The texts with the ``top`` best scores above 0 (more if the last tie)."""
+    def search(self, query: np.ndarray, top: int, floor: float = 0.0) -> tuple[list, list[float]]:
+        """The texts with the ``top`` best scores above 0 that reach ``floor``; of a tie those with the smallest ids."""
         query = query[self.of_word[query + 1] > self.of_word[query]]
-        if not len(query):
+        if not len(query) or self.most[query].sum() * (1 + SLACK) < floor:
             return [], []
         self.asked[query] = True
         at = ranges(self.blocks_of[query], self.blocks_of[query + 1])
         bound = np.bincount(self.block[at], self.block_most[at], self.n_blocks)
         order = np.argsort(-bound, kind="stable")
         first = order[: -(-2 * top // NEIGHBOURS)]
+        first = first[bound[first] * (1 + SLACK) >= floor]
         texts = self._texts(first)
         scores = self.exact(texts)
-        bar = np.partition(scores, len(scores) - top)[len(scores) - top] if len(scores) >= top else 0.0
+        bar = max(floor, np.partition(scores, len(scores) - top)[len(scores) - top] if len(scores) >= top else 0.0)
         alive = bound * (1 + SLACK) >= max(bar, SLACK)
         alive[first] = False
         if alive.any():
             more = self._candidates(query, alive, bar, top)
             texts, scores = np.concatenate([texts, more]), np.concatenate([scores, self.exact(more)])
         self.asked[query] = False
-        some = scores > 0
+        some = (scores > 0) & (scores * (1 + SLACK) >= floor)
         texts, scores = texts[some], scores[some]
         if len(scores) > top:
             last = np.partition(scores, len(scores) - top)[len(scores) - top]
             texts, scores = texts[scores >= last], scores[scores >= last]
+            best = np.lexsort((self.number[texts], self.missing[texts], -scores))[:top]
+            texts, scores = texts[best], scores[best]
         return [self.ids[k] for k in texts.tolist()], scores.tolist()
 
     def _texts(self, blocks: np.ndarray) -> np.ndarray:
@@ -179,19 +190,18 @@ class Shard:
         return texts[(part[texts] + rest) * (1 + SLACK) >= max(bar, SLACK)]
 
 
-def _answers(docs: DataFrame, asked: list[tuple[int, list[str]]], found: dict[str, int], n: int, mean_length: float, top: int, kind: str) -> DataFrame:
-    """(query, doc_id, score): the best texts of every shard for the queries of one block."""
-    vocabulary = {w: k for k, w in enumerate(sorted(found))}
-    idf = np.array([log(1 + (n - found[w] + 0.5) / (found[w] + 0.5)) for w in vocabulary])
-    queries = [(q, np.array(sorted(vocabulary[w] for w in own), np.int64)) for q, own in asked]
-    held = docs.sparkSession.sparkContext.broadcast((vocabulary, idf, queries))
+def _answers(docs: DataFrame, held: Broadcast, bars: dict[int, float], mean_length: float, top: int, kind: str) -> DataFrame:
+    """(query, doc_id, score): the best texts of every shard for the queries of one block, without those below the query's bar."""
+    above = docs.sparkSession.sparkContext.broadcast(bars)
 
-    def answer(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
+    def answer(ids: list, texts: list[str], floors: dict[int, float]) -> Iterator[pa.RecordBatch]:
         vocabulary, idf, queries = held.value
         shard = Shard(ids, texts, vocabulary, idf, mean_length)
         rows: tuple[list, list, list] = ([], [], [])
         for q, own in queries:
-            best, scores = shard.search(own, top)
+            best, scores = shard.search(own, top, floors.get(q, 0.0))
+            if len(scores) == top:
+                floors[q] = max(floors.get(q, 0.0), min(scores))
             rows[0].extend([q] * len(best))
             rows[1].extend(best)
             rows[2].extend(scores)
@@ -201,19 +211,47 @@ def _answers(docs: DataFrame, asked: list[tuple[int, list[str]]], found: dict[st
         ids: list = []
         texts: list[str] = []
         size = 0
+        floors = dict(above.value)
         for piece in chunks(batches):
             ids += piece.column(0).to_pylist()
             texts += strings(piece.column(1))
             size += piece.nbytes
             if len(ids) >= SHARD_TEXTS or size >= SHARD_BYTES:
-                yield from answer(ids, texts)
+                yield from answer(ids, texts, floors)
                 ids, texts, size = [], [], 0
         if ids:
-            yield from answer(ids, texts)
+            yield from answer(ids, texts, floors)
 
     return docs.mapInArrow(run, f"query long, doc_id {kind}, score double")
 
 
+def _shares(n: int) -> list[int]:
+    """Of how many texts one is in each sample, the smallest sample, which fills a shard at most, first."""
+    shares: list[int] = []
+    while n > SHARD_TEXTS * (shares[-1] if shares else 1):
+        shares.append(SAMPLE * (shares[-1] if shares else 1))
+    return shares[::-1]
+
+
+def _ranked(answers: DataFrame) -> DataFrame:
+    return answers.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))))
+
+
+def _block(docs: DataFrame, asked: list[tuple[int, list[str]]], found: dict[str, int], n: int, mean_length: float, top: int, kind: str) -> DataFrame:
+    """The answers of all texts to the queries of one block, with bars from the samples."""
+    vocabulary = {w: k for k, w in enumerate(sorted(found))}
+    idf = np.array([log(1 + (n - found[w] + 0.5) / (found[w] + 0.5)) for w in vocabulary])
+    queries = [(q, np.array(sorted(vocabulary[w] for w in own), np.int64)) for q, own in asked]
+    held = docs.sparkSession.sparkContext.broadcast((vocabulary, idf, queries))
+    bars: dict[int, float] = {}
+    for share in _shares(n):
+        sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
+        sample = sample.repartition(max(SAMPLE_PARTS, -(-n // (share * SHARD_TEXTS))))
+        last = _ranked(_answers(sample, held, bars, mean_length, top, kind)).where(F.col("rank") == top).select("query", "score").toArrow()
+        bars.update(zip(last.column(0).to_pylist(), last.column(1).to_pylist()))
+    return _answers(docs, held, bars, mean_length, top, kind)
+
+
 def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(query_id, rank, doc_id, score): for every row of ``queries`` the ``top`` rows of ``docs`` with the best BM25 scores.
 
@@ -242,7 +280,6 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "d
         rows = mine.toArrow()
         for q, w in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
             own.setdefault(q, set()).update(x for x in w if x in found)
-        parts.append(_answers(texts, sorted(own.items()), found, n, mean_length, top, "long"))
+        parts.append(_block(texts, sorted(own.items()), found, n, mean_length, top, "long"))
     best = reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], schema)
-    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
-    return best.withColumn("rank", place).where(F.col("rank") <= top).select(F.col("query").alias("query_id"), "rank", "doc_id", "score")
+    return _ranked(best).where(F.col("rank") <= top).select(F.col("query").alias("query_id"), "rank", "doc_id", "score")

@@ -71,6 +71,27 @@ def test_pruning_leaves_texts_out():
     assert sum(scored) < 0.2 * 2_000 * 40
 
 
+def test_answers_do_not_grow_with_shards_or_ties(spark, monkeypatch):
+    """What all passes give for a query is about the same for 16 and 80 shards, and for texts that tie."""
+    monkeypatch.setattr(topk, "SHARD_TEXTS", 40)
+    r = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(300)]
+    passes = []
+    plain = topk._answers
+    monkeypatch.setattr(topk, "_answers", lambda *args: (passes.append(plain(*args)), passes[-1])[1])
+    for texts in ([" ".join(r.choices(vocabulary, k=12)) for _ in range(3_200)], ["a b"] * 3_200):
+        found = []
+        for n in (640, 3_200):
+            passes.clear()
+            frame = spark.createDataFrame(list(enumerate(texts[:n])), SCHEMA).repartition(4)
+            result = shown(topk.search(frame, frame.where("doc_id < 5")))
+            assert len(result) == 50
+            if texts[0] == "a b":
+                assert {d for _, _, d, _ in result} == set(range(10))
+            found.append(sum(p.count() for p in passes) / 5)
+        assert found[1] < 2.5 * found[0] and found[1] < 500
+
+
 def test_query_of_the_driver(spark):
     sf = "/root/testdata/sf0.001"
     docs = [tuple(x) for x in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
