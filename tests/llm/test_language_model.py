@@ -129,3 +129,41 @@ def test_start_is_bounded_in_tokens():
     assert 0.05 * 400_000 < len(some) < 0.15 * 400_000 and set(some) <= {*m.words(text), m.END}
     assert [w for span in m.drawn_spans("A b", 1.0) for w in span] == [b"a", b"b", m.END]
     assert list(m.drawn_spans("", 1.0)) == [[m.END]] and list(m.drawn_spans(text, 0.0)) == []
+
+
+def test_a_token_meets_few_scores():
+    """A unit of 2,000 members: no step down to a member is over more than some times the root of these; all adds up to one."""
+    rng = np.random.default_rng(8)
+    mass = rng.pareto(1.0, 5 + 2_003) + 0.1
+    inner = m.Inner(5, 2, np.concatenate([np.full(2_000, 3), np.full(3, 4)]), mass)
+    model = m.LogBilinear(np.log10(np.bincount(inner.unit_of, mass) / mass.sum()), inner)
+    steps = np.diff(model.nodes.starts)
+    assert steps.max() < 4 * 2_000**0.5 and sum(steps) == len(inner.group_share) + len(inner.share)
+    items = inner.item_of[3:]
+    assert sorted(items) == list(range(len(inner.share))) and (inner.item_of[:3] == -1).all()
+    assert np.allclose(10 ** inner.share[items], mass[3:] / np.bincount(inner.unit_of, mass)[inner.unit_of[3:]])
+    assert np.allclose(inner.share, inner.group_share[inner.group_of_item] + inner.item_share)
+    # untrained, and then with any vectors; also with scores too large for a plain exponential
+    contexts = rng.integers(0, model.numbers, (3, m.CONTEXT))
+    every = np.arange(model.numbers)
+    assert np.allclose(10 ** model.log10(np.tile(contexts[0], (len(every), 1)), every), mass / mass.sum(), rtol=1e-3)
+    for scale in (1, 100):
+        model.outcome[:], model.node[:] = rng.normal(size=model.outcome.shape) * scale, rng.normal(size=model.node.shape) * scale
+        total = sum(10 ** model.log10(contexts, np.full(3, k)) for k in every)
+        assert np.allclose(total, 1, atol=1e-4)
+    # noise is drawn from the run of the token, each of its nodes at times
+    drawn = model.nodes.draw(np.zeros(30_000, np.int64), rng)
+    assert set(drawn.ravel()) == set(range(model.nodes.starts[1]))
+    often = np.bincount(drawn.ravel()) / 30_000
+    assert np.allclose(often, np.exp(model.nodes.odds[: len(often)]), atol=0.05)
+
+
+def test_columns_of_words_are_numbered_as_words():
+    texts = [None, "", " A  b\tÄ\n", "\x0b", "a b.", "x\x1cy\x85 \xa0z ... é .é! ?!x 日本語 the,"]
+    found, codes, size = m.word_codes(m.pa.array(texts))
+    got = [w for w in (found.to_pylist()[k] for k in codes)]
+    want = [w for t in texts for w in [*m.words(t or ""), m.END]]
+    assert got == want and size.tolist() == [len(m.words(t or "")) + 1 for t in texts]
+    own = {m.END: 0, b"a": 1, "é".encode(): 300}
+    unit = m.Units(own)
+    assert m.Numbers(own, m.SHARED_UNITS).of(m.pa.array(want, m.pa.binary())).tolist() == [unit[w] for w in want]
