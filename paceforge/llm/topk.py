@@ -1,25 +1,23 @@
 """Exact BM25 search: an inverted index per shard, block-max pruning, and an exact merge.
 
-Document frequencies, the number of texts and their mean length are counted over all texts first, so a
-score doesn't depend on where a text lies. Queries go through in blocks of bounded words; a block's words, their
-weights and its queries are broadcast. Every task makes shards of the texts it reads, indexes
-each by the block's words, and answers all the block's queries on it. In a shard, blocks of neighbouring texts have the
-largest impact of each word, which bounds the score of every text in them. The most promising blocks are scored first; what they
-give sets the bar for the others. Of the texts in blocks that can reach it, the words that matter are added up
-first, and only texts that could still reach the bar with all the others are scored in full.
-
-Samples of the texts are searched first, each ``SAMPLE`` times the one before. The k-th best score of a query in a sample is
-never above its k-th best of all, so it is the bar for the texts after it, and a shard gives only texts that reach it. Every text is searched behind the
-samples. What a query gets from a pass is so about k times ``SAMPLE`` texts, however many shards there are; they meet in one window per query.
+Queries go through in blocks of bounded words. The texts are split into words once for a block: of every text the numbers and counts of the words that
+the block asks for are stored, with its length. Document frequencies, the number of texts and their mean length are counted over all of them, so a
+score doesn't depend on where a text lies. The words of the queries and their weights are broadcast. The stored rows are dealt over tasks, every task
+makes shards of what it reads, and answers all the block's queries on each. In a shard, blocks of neighbouring texts have the
+largest impact of each common word. Common words that couldn't reach a part of the bar together wait while the postings of the others are added up; only texts
+that can reach the bar with the bounds of the waiting words in their block get those words too, and what still reaches it is scored in full.
+
+Samples of the texts are searched first, each ``SAMPLE`` times the one before. The k-th best text of a query in a sample is
+never better than its k-th best of all, so it is the bar for the texts after it, and a shard gives only texts that reach it. Every text is searched behind the
+samples. What a query gets from a pass is so about k times ``SAMPLE`` texts, however many shards there are and however many texts tie; they meet in one window per query.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from math import log
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -30,39 +28,25 @@ from pyspark.sql import functions as F
 from paceforge.llm.common import chunks, stored, strings
 
 K1, B, TOP = 1.2, 0.75, 10
-#: Words of all queries of a block, about (its vocabulary takes some 40 MB in a worker); texts and bytes of a shard; neighbouring texts of a block.
-QUERY_WORDS, SHARD_TEXTS, SHARD_BYTES, NEIGHBOURS = 1_000_000, 4_096, 24_000_000, 16
+#: Words of all queries of a block, about (a vocabulary of some 100 MB in a worker); texts and postings of a shard; neighbouring texts of a block.
+QUERY_WORDS, SHARD_TEXTS, SHARD_POSTINGS, NEIGHBOURS = 12_000_000, 20_000, 6_000_000, 16
 WORDS = re.compile(r"\w+")
-#: Stands for the texts themselves among the words.
-TEXTS = " "
-#: How many times a sample is the one before it, and parts of a sample at least.
-SAMPLE, SAMPLE_PARTS = 16, 4
-#: What rounding can move a bound by.
-SLACK = 1e-9
+#: A word that one of so many texts of a shard has is common there; common words at most, the most frequent; the part of the bar that waiting words may reach.
+COMMON, COMMON_WORDS, WAITING = 16, 1_024, 0.8
+#: How many times a sample is the one before it, and parts of a pass at least; how much fuller a shard may be than it is on average.
+SAMPLE, SAMPLE_PARTS, ROOM = 16, 4, 1.2
+#: Postings weighed at a time.
+STEP = 1_000_000
+#: What rounding can move a bound by; postings are in single precision.
+SLACK = 1e-6
+#: Stands for a missing id, which comes last.
+LAST = np.iinfo(np.int64).max
 
 
 def words(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
 
-def document_frequencies(texts: DataFrame) -> DataFrame:
-    """(word, df, length): texts that have each word; in the row of ``TEXTS`` their number and words in all."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in chunks(batches):
-            found: Counter = Counter()
-            total = 0
-            for t in strings(piece.column(0)):
-                own = words(t)
-                found.update(set(own))
-                total += len(own)
-            found[TEXTS] = piece.num_rows
-            length = [0] * (len(found) - 1) + [total]
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64()), pa.array(length, pa.int64())], ["word", "df", "length"])
-
-    return texts.mapInArrow(run, "word string, df long, length long").groupBy("word").agg(F.sum("df").alias("df"), F.sum("length").alias("length"))
-
-
 def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The numbers from each start up to its end, one range after the other."""
     size = ends - starts
@@ -78,9 +62,9 @@ def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def _counted(texts: list[str], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, word, times) in order of text and word, of the words in the vocabulary, and all words of each text."""
+    """(word, times) in order of text and word, of the words in the vocabulary; how many these are and how many words there are in all, of each text."""
     get = vocabulary.get
-    rows, lengths = [], np.zeros(len(texts))
+    rows, lengths = [], np.zeros(len(texts), np.int64)
     for k, t in enumerate(texts):
         own = words(t)
         lengths[k] = len(own)
@@ -88,141 +72,217 @@ def _counted(texts: list[str], vocabulary: dict[str, int]) -> tuple[np.ndarray,
     flat = np.concatenate([np.empty(0, np.int64), *rows])
     key = np.repeat(np.arange(len(texts)), [len(r) for r in rows]) * max(1, len(vocabulary)) + flat
     key, times = np.unique(key, return_counts=True)
-    return key // max(1, len(vocabulary)), key % max(1, len(vocabulary)), times, lengths
+    sizes = np.bincount(key // max(1, len(vocabulary)), minlength=len(texts))
+    return (key % max(1, len(vocabulary))).astype(np.int32), times.astype(np.int32), sizes, lengths
+
+
+def _packed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The bytes of the first so many values, the next so many, and so on."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a packed column, and how many each row has; the values are a view."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) // 4
+    values = np.frombuffer(data, np.int32, int(at[-1])) if data is not None and at[-1] else np.empty(0, np.int32)
+    return values[at[0] :], np.diff(at)
+
+
+def indexed(texts: DataFrame, vocabulary: Broadcast, kind: str = "long") -> DataFrame:
+    """(doc_id, length, words, times): of every text the number of its words, and the numbers and counts of those in the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in chunks(batches):
+            word, times, sizes, lengths = _counted(strings(piece.column(1)), vocabulary.value)
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(lengths), _packed(word, sizes), _packed(times, sizes)], ["doc_id", "length", "words", "times"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, length long, words binary, times binary")
+
+
+def document_frequencies(index: DataFrame, n_words: int) -> np.ndarray:
+    """How many texts have each word of the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(n_words, np.int64)
+        for batch in batches:
+            found += np.bincount(_unpacked(batch.column(0))[0], minlength=n_words)
+        word = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(found[word])], ["word", "df"])
+
+    rows = index.select("words").mapInArrow(run, "word long, df long").groupBy("word").agg(F.sum("df").alias("df")).toArrow()
+    df = np.zeros(n_words, np.int64)
+    df[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    return df
 
 
 class Shard:
     """An index of some texts by the words of a block of queries."""
 
     def __init__(self, ids: list, texts: list[str], vocabulary: dict[str, int], idf: np.ndarray, mean_length: float):
-        owner, word, times, lengths = _counted(texts, vocabulary)
-        n_words = len(idf)
+        self._fill(ids, *_counted(texts, vocabulary), idf, mean_length)
+
+    @classmethod
+    def of(cls, ids: list, word: np.ndarray, times: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, idf: np.ndarray, mean_length: float) -> Shard:
+        """A shard of texts that are counted."""
+        shard = cls.__new__(cls)
+        shard._fill(ids, word, times, sizes, lengths, idf, mean_length)
+        return shard
+
+    def _fill(self, ids: list, word: np.ndarray, times: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, idf: np.ndarray, mean_length: float) -> None:
+        n, n_words = len(ids), len(idf)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
         # texts whose commonest word is the same lie side by side, which keeps the bounds of blocks low
-        commonest = np.full(len(texts), -1)
-        rising = np.argsort(times, kind="stable")
-        commonest[owner[rising]] = word[rising]
+        commonest = np.full(n, -1)
+        full = np.flatnonzero(sizes)
+        if len(full):
+            commonest[full] = np.maximum.reduceat(times * np.int64(n_words) + word, starts[full]) % n_words
         order = np.lexsort((lengths, commonest))
-        place = np.empty(len(texts), np.int64)
-        place[order] = np.arange(len(texts))
-        moved = np.argsort(place[owner], kind="stable")
-        owner, self.word, times = place[owner][moved], word[moved], times[moved].astype(np.float64)
-        lengths = lengths[order]
-        size = np.bincount(owner, minlength=len(texts))
+        place = np.empty(n, np.int32)
+        place[order] = np.arange(n)
         self.ids = [ids[k] for k in order.tolist()]
+        self.number = np.array([LAST if k is None else k for k in self.ids], np.int64)
         self.missing = np.array([k is None for k in self.ids], bool)
-        self.number = np.array([0 if k is None else k for k in self.ids], np.int64)
-        self.by_text = np.concatenate([[0], np.cumsum(size)])
+        self.word, self.times, self.idf = word, times, idf
+        self.starts, self.ends = starts[order], starts[order] + sizes[order]
         norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
-        self.impact = idf[self.word] * times * (K1 + 1) / (times + norm[owner])
-        by_word = np.argsort(self.word, kind="stable")
-        self.text_of, self.impact_of = owner[by_word], self.impact[by_word]
-        self.of_word = np.searchsorted(self.word[by_word], np.arange(n_words + 1))
-        # the largest impact of each word in each block of neighbours
-        block = self.text_of // NEIGHBOURS
-        self.n_blocks = -(-len(order) // NEIGHBOURS)
-        key = self.word[by_word] * max(1, self.n_blocks) + block
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-        self.block, self.block_most = block[first], np.maximum.reduceat(self.impact_of, first) if len(first) else np.empty(0)
-        self.blocks_of = np.searchsorted(key[first] // max(1, self.n_blocks), np.arange(n_words + 1))
-        present = np.flatnonzero(np.diff(self.of_word))
+        self.norm = norm[order]
+        by_word = np.argsort(word)
+        owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        impact = np.empty(len(word), np.float32)
+        for k in range(0, len(word), STEP):
+            some = slice(k, k + STEP)
+            impact[some] = _impact(idf[word[some]], times[some], norm[owner[some]])
+        self.text_of, self.impact_of = place[owner[by_word]], impact[by_word]
+        self.df = np.bincount(word, minlength=n_words)
+        self.of_word = np.concatenate([[0], np.cumsum(self.df)])
+        present = np.flatnonzero(self.df)
         self.most = np.zeros(n_words)
         if len(present):
             self.most[present] = np.maximum.reduceat(self.impact_of, self.of_word[present])
+        # impacts of the common words on every text, and the largest of each block of neighbours
+        self.n_blocks = -(-n // NEIGHBOURS)
+        common = present[self.df[present] * COMMON >= n]
+        common = common[np.argsort(-self.df[common], kind="stable")[:COMMON_WORDS]]
+        self.row = np.full(n_words, -1)
+        self.row[common] = np.arange(len(common))
+        self.common = np.zeros((len(common), self.n_blocks * NEIGHBOURS), np.float32)
+        for row, a, b in zip(self.common, self.of_word[common].tolist(), self.of_word[common + 1].tolist()):
+            row[self.text_of[a:b]] = self.impact_of[a:b]
+        self.block_most = self.common.reshape(len(common), self.n_blocks, NEIGHBOURS).max(2)
         self.asked = np.zeros(n_words, bool)
 
     def exact(self, texts: np.ndarray) -> np.ndarray:
         """Full scores of texts for the words asked for, each added up in the order of its words."""
-        at = ranges(self.by_text[texts], self.by_text[texts + 1])
-        owner = np.repeat(np.arange(len(texts)), self.by_text[texts + 1] - self.by_text[texts])
+        at = ranges(self.starts[texts], self.ends[texts])
+        owner = np.repeat(np.arange(len(texts)), self.ends[texts] - self.starts[texts])
         hit = self.asked[self.word[at]]
-        return np.bincount(owner[hit], self.impact[at[hit]], len(texts))
+        at, owner = at[hit], owner[hit]
+        return np.bincount(owner, _impact(self.idf[self.word[at]], self.times[at], self.norm[texts[owner]]), len(texts))
 
-    def search(self, query: np.ndarray, top: int, floor: float = 0.0) -> tuple[list, list[float]]:
-        """The texts with the ``top`` best scores above 0 that reach ``floor``; of a tie those with the smallest ids."""
-        query = query[self.of_word[query + 1] > self.of_word[query]]
+    def search(self, query: np.ndarray, top: int, floor: float = 0.0, last: int = LAST) -> tuple[list, list[float]]:
+        """The texts with the ``top`` best scores above 0, best first; none below ``floor``, and of those with just that score none with an id above ``last``.
+
+        Of a tie those with the smallest ids come first.
+        """
+        query = query[self.df[query] > 0]
         if not len(query) or self.most[query].sum() * (1 + SLACK) < floor:
             return [], []
+        texts = self._candidates(query, floor, top)
         self.asked[query] = True
-        at = ranges(self.blocks_of[query], self.blocks_of[query + 1])
-        bound = np.bincount(self.block[at], self.block_most[at], self.n_blocks)
-        order = np.argsort(-bound, kind="stable")
-        first = order[: -(-2 * top // NEIGHBOURS)]
-        first = first[bound[first] * (1 + SLACK) >= floor]
-        texts = self._texts(first)
         scores = self.exact(texts)
-        bar = max(floor, np.partition(scores, len(scores) - top)[len(scores) - top] if len(scores) >= top else 0.0)
-        alive = bound * (1 + SLACK) >= max(bar, SLACK)
-        alive[first] = False
-        if alive.any():
-            more = self._candidates(query, alive, bar, top)
-            texts, scores = np.concatenate([texts, more]), np.concatenate([scores, self.exact(more)])
         self.asked[query] = False
-        some = (scores > 0) & (scores * (1 + SLACK) >= floor)
+        some = (scores > floor) | (scores == floor) & (scores > 0) & (self.number[texts] <= last)
         texts, scores = texts[some], scores[some]
-        if len(scores) > top:
-            last = np.partition(scores, len(scores) - top)[len(scores) - top]
-            texts, scores = texts[scores >= last], scores[scores >= last]
-            best = np.lexsort((self.number[texts], self.missing[texts], -scores))[:top]
-            texts, scores = texts[best], scores[best]
-        return [self.ids[k] for k in texts.tolist()], scores.tolist()
-
-    def _texts(self, blocks: np.ndarray) -> np.ndarray:
-        return ranges(blocks * NEIGHBOURS, np.minimum((blocks + 1) * NEIGHBOURS, len(self.ids)))
-
-    def _candidates(self, query: np.ndarray, alive: np.ndarray, bar: float, top: int) -> np.ndarray:
-        """Texts of the blocks alive that can reach the bar, which the most promising of them raise first."""
-        blocks = np.flatnonzero(alive)
-        if len(blocks) * 16 <= self.n_blocks:
-            return self._texts(blocks)
-        # the words with the lowest bounds wait, as long as they couldn't reach a part of the bar together
-        rising = query[np.argsort(self.most[query], kind="stable")]
-        total = np.cumsum(self.most[rising])
-        waiting = int(np.searchsorted(total, bar / 4))
-        rest = float(total[waiting - 1]) if waiting else 0.0
-        essential = rising[waiting:]
-        at = ranges(self.of_word[essential], self.of_word[essential + 1])
-        part = np.bincount(self.text_of[at], self.impact_of[at], len(self.ids))
-        texts = self._texts(blocks)
-        if len(texts) > 2 * top:
-            best = texts[np.argpartition(-part[texts], 2 * top)[: 2 * top]]
-            scores = self.exact(best)
-            bar = max(bar, np.partition(scores, len(scores) - top)[len(scores) - top])
-        return texts[(part[texts] + rest) * (1 + SLACK) >= max(bar, SLACK)]
-
-
-def _answers(docs: DataFrame, held: Broadcast, bars: dict[int, float], mean_length: float, top: int, kind: str) -> DataFrame:
+        best = np.lexsort((self.missing[texts], self.number[texts], -scores))[:top]
+        return [self.ids[k] for k in texts[best].tolist()], scores[best].tolist()
+
+    def _candidates(self, query: np.ndarray, floor: float, top: int) -> np.ndarray:
+        """Texts whose scores can reach the floor or, without one, the ``top`` best."""
+        # of the common words, those that bound little and have many postings wait, as long as they couldn't reach a part of the floor together
+        most, row = self.most[query], self.row[query]
+        common = np.flatnonzero(row >= 0)
+        common = common[np.argsort(most[common] / self.df[query[common]], kind="stable")]
+        waiting = common[: np.searchsorted(np.cumsum(most[common]), floor * WAITING)]
+        rows = row[waiting]
+        stays = np.ones(len(query), bool)
+        stays[waiting] = False
+        essential = query[stays]
+        part = np.zeros(self.n_blocks * NEIGHBOURS)
+        if len(essential):
+            lists = list(zip(self.of_word[essential].tolist(), self.of_word[essential + 1].tolist()))
+            part = np.bincount(np.concatenate([self.text_of[a:b] for a, b in lists]), np.concatenate([self.impact_of[a:b] for a, b in lists]), len(part))
+        if floor:
+            least = floor * (1 - SLACK)
+            rest = self.block_most[rows].sum(0, dtype=np.float64)
+            texts = np.flatnonzero(part.reshape(-1, NEIGHBOURS) >= (least - rest)[:, None])
+            texts = texts[texts < len(self.ids)]
+            return texts[part[texts] + self.common[rows[:, None], texts].sum(0, dtype=np.float64) >= least]
+        part = part[: len(self.ids)]
+        least = np.partition(part, len(part) - top)[len(part) - top] if len(part) > top else 0.0
+        return np.flatnonzero((part > 0) & (part >= least * (1 - SLACK)))
+
+
+def _impact(idf: np.ndarray, times: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    times = times.astype(np.float64)
+    return idf * times * (K1 + 1) / (times + norm)
+
+
+class Asked:
+    """The queries of a block in order of their ids, and the weights of its words."""
+
+    def __init__(self, ids: np.ndarray, starts: np.ndarray, word: np.ndarray, idf: np.ndarray):
+        self.ids, self.starts, self.word, self.idf = ids, starts, word, idf
+
+    def __iter__(self) -> Iterator[tuple[int, np.ndarray]]:
+        for k, q in enumerate(self.ids.tolist()):
+            yield q, self.word[self.starts[k] : self.starts[k + 1]]
+
+
+def _answers(index: DataFrame, held: Broadcast, bars: tuple[np.ndarray, np.ndarray], mean_length: float, top: int, kind: str) -> DataFrame:
     """(query, doc_id, score): the best texts of every shard for the queries of one block, without those below the query's bar."""
-    above = docs.sparkSession.sparkContext.broadcast(bars)
-
-    def answer(ids: list, texts: list[str], floors: dict[int, float]) -> Iterator[pa.RecordBatch]:
-        vocabulary, idf, queries = held.value
-        shard = Shard(ids, texts, vocabulary, idf, mean_length)
+    above = index.sparkSession.sparkContext.broadcast(bars)
+
+    def counted(pieces: list[pa.RecordBatch]) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        ids = [x for p in pieces for x in p.column(0).to_pylist()]
+        word, times, sizes, lengths = ([] for _ in range(4))
+        while pieces:
+            piece = pieces.pop(0)
+            values, size = _unpacked(piece.column(2))
+            word.append(values)
+            sizes.append(size)
+            times.append(_unpacked(piece.column(3))[0])
+            lengths.append(piece.column(1).to_numpy())
+        return ids, np.concatenate(word), np.concatenate(times), np.concatenate(sizes), np.concatenate(lengths)
+
+    def answer(pieces: list[pa.RecordBatch], floor: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
+        shard = Shard.of(*counted(pieces), held.value.idf, mean_length)
         rows: tuple[list, list, list] = ([], [], [])
-        for q, own in queries:
-            best, scores = shard.search(own, top, floors.get(q, 0.0))
+        for k, (q, own) in enumerate(held.value):
+            best, scores = shard.search(own, top, float(floor[k]), int(last[k]))
             if len(scores) == top:
-                floors[q] = max(floors.get(q, 0.0), min(scores))
+                floor[k], last[k] = scores[-1], LAST if best[-1] is None else best[-1]
             rows[0].extend([q] * len(best))
             rows[1].extend(best)
             rows[2].extend(scores)
-        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.float64())], ["query", "doc_id", "score"])
+        return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.float64())], ["query", "doc_id", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list = []
-        texts: list[str] = []
-        size = 0
-        floors = dict(above.value)
+        floor, last = (x.copy() for x in above.value)
+        pieces: list[pa.RecordBatch] = []
+        texts = size = 0
         for piece in chunks(batches):
-            ids += piece.column(0).to_pylist()
-            texts += strings(piece.column(1))
-            size += piece.nbytes
-            if len(ids) >= SHARD_TEXTS or size >= SHARD_BYTES:
-                yield from answer(ids, texts, floors)
-                ids, texts, size = [], [], 0
-        if ids:
-            yield from answer(ids, texts, floors)
+            pieces.append(piece)
+            texts += piece.num_rows
+            size += piece.column(2).nbytes // 4
+            if texts >= SHARD_TEXTS or size >= SHARD_POSTINGS:
+                yield answer(pieces, floor, last)
+                texts = size = 0
+        if pieces:
+            yield answer(pieces, floor, last)
 
-    return docs.mapInArrow(run, f"query long, doc_id {kind}, score double")
+    return index.mapInArrow(run, f"query long, doc_id {kind}, score double")
 
 
 def _shares(n: int) -> list[int]:
@@ -237,19 +297,43 @@ def _ranked(answers: DataFrame) -> DataFrame:
     return answers.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))))
 
 
-def _block(docs: DataFrame, asked: list[tuple[int, list[str]]], found: dict[str, int], n: int, mean_length: float, top: int, kind: str) -> DataFrame:
+def _dealt(index: DataFrame, shards: float) -> DataFrame:
+    """The rows of so many shards, a shard in a task."""
+    return index.repartition(max(SAMPLE_PARTS, ceil(shards * ROOM)))
+
+
+def _block(texts: DataFrame, asked: DataFrame, top: int, kind: str) -> DataFrame:
     """The answers of all texts to the queries of one block, with bars from the samples."""
-    vocabulary = {w: k for k, w in enumerate(sorted(found))}
-    idf = np.array([log(1 + (n - found[w] + 0.5) / (found[w] + 0.5)) for w in vocabulary])
-    queries = [(q, np.array(sorted(vocabulary[w] for w in own), np.int64)) for q, own in asked]
-    held = docs.sparkSession.sparkContext.broadcast((vocabulary, idf, queries))
-    bars: dict[int, float] = {}
+    context = texts.sparkSession.sparkContext
+    found = sorted(asked.select(F.explode("words").alias("word")).distinct().toArrow().column(0).to_pylist())
+    vocabulary = context.broadcast({w: k for k, w in enumerate(found)})
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in chunks(batches):
+            own = [[vocabulary.value[w] for w in x] for x in piece.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(own, pa.list_(pa.int32()))], ["query", "words"])
+
+    rows = asked.mapInArrow(number, "query long, words array<int>").toArrow()
+    ids, owner = np.unique(rows.column(0).to_numpy(), return_inverse=True)
+    own = rows.column(1).combine_chunks()
+    key = np.unique(np.repeat(owner, own.value_lengths().to_numpy()) * max(1, len(found)) + own.flatten().to_numpy())
+    owner, word = key // max(1, len(found)), (key % max(1, len(found))).astype(np.int32)
+
+    index = stored(indexed(texts, vocabulary, kind))
+    size = index.agg(F.count("*").alias("n"), F.sum("length").alias("length"), F.sum(F.octet_length("words")).alias("bytes")).first()
+    n, mean_length = size.n, size.length / size.n if size.n else 0.0
+    idf = np.array([log(1 + (n - k + 0.5) / (k + 0.5)) for k in document_frequencies(index, len(found)).tolist()])
+    held = context.broadcast(Asked(ids, np.searchsorted(owner, np.arange(len(ids) + 1)), word, idf))
+
+    met = index.where(F.octet_length("words") > 0)
+    shards = max(n / SHARD_TEXTS, (size.bytes or 0) / 4 / SHARD_POSTINGS)
+    floor, last = np.zeros(len(ids)), np.full(len(ids), LAST)
     for share in _shares(n):
-        sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
-        sample = sample.repartition(max(SAMPLE_PARTS, -(-n // (share * SHARD_TEXTS))))
-        last = _ranked(_answers(sample, held, bars, mean_length, top, kind)).where(F.col("rank") == top).select("query", "score").toArrow()
-        bars.update(zip(last.column(0).to_pylist(), last.column(1).to_pylist()))
-    return _answers(docs, held, bars, mean_length, top, kind)
+        sample = _dealt(met.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0), shards / share)
+        bars = _ranked(_answers(sample, held, (floor, last), mean_length, top, kind)).where(F.col("rank") == top).toArrow()
+        at = np.searchsorted(ids, bars.column("query").to_numpy())
+        floor[at], last[at] = bars.column("score").to_numpy(), bars.column("doc_id").fill_null(int(LAST)).to_numpy()
+    return _answers(_dealt(met, shards), held, (floor, last), mean_length, top, kind)
 
 
 def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -259,10 +343,6 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "d
     ranked each; queries with the same id are one, with the words of all. Null and empty texts are found by nothing and find nothing.
     """
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    counts = stored(document_frequencies(texts.select("text")))
-    size = counts.where(F.col("word") == TEXTS).first()
-    schema = "query long, doc_id long, score double"
-    n, mean_length = (size.df, size.length / size.df) if size and size.df else (0, 0.0)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in chunks(batches):
@@ -271,15 +351,6 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "d
 
     asked = stored(queries.select(F.col(doc_id).cast("long").alias("query"), F.col(text).alias("text")).where("query is not null").mapInArrow(split, "query long, words array<string>"))
     blocks = -(-(asked.agg(F.sum(F.size("words")).alias("n")).first().n or 0) // QUERY_WORDS)
-    parts = []
-    for k in range(blocks if n else 0):
-        mine = asked.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == k)
-        known = counts.join(mine.select(F.explode("words").alias("word")).distinct(), "word").select("word", "df").toArrow()
-        found = dict(zip(known.column(0).to_pylist(), known.column(1).to_pylist()))
-        own: dict[int, set[str]] = {}
-        rows = mine.toArrow()
-        for q, w in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-            own.setdefault(q, set()).update(x for x in w if x in found)
-        parts.append(_block(texts, sorted(own.items()), found, n, mean_length, top, "long"))
-    best = reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], schema)
+    parts = [_block(texts, asked.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == k), top, "long") for k in range(blocks)]
+    best = reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], "query long, doc_id long, score double")
     return _ranked(best).where(F.col("rank") <= top).select(F.col("query").alias("query_id"), "rank", "doc_id", "score")

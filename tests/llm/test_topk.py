@@ -104,3 +104,55 @@ def test_awkward_rows(spark):
     got = shown(topk.search(frame, frame.where("doc_id % 100 = 0")))
     assert [(q, d) for q, _, d, _ in got] == [(100, 100), (100, 100), (100, None), (100, 3)]
     assert topk.search(frame.limit(0), frame).collect() == topk.search(frame, frame.limit(0)).collect() == []
+
+
+def test_texts_are_split_once(spark, tmp_path, monkeypatch):
+    """The passes read the stored numbers of words; the texts themselves are read before, once."""
+    monkeypatch.setattr(topk, "SHARD_TEXTS", 40)
+    r = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(200)]
+    path = f"{tmp_path}/docs.parquet"
+    spark.createDataFrame([(k, " ".join(r.choices(vocabulary, k=20))) for k in range(500)], SCHEMA).write.parquet(path)
+    docs = spark.read.parquet(path)
+    result = topk.search(docs, docs.where("doc_id < 5"))
+    assert result.count() == 50
+    assert result.inputFiles() and not [f for f in result.inputFiles() if "docs.parquet" in f]
+
+
+def test_ties_do_not_grow_with_parts(spark, monkeypatch):
+    """Texts that tie with the bar are left out by their ids, so more parts give no more of them."""
+    passes = []
+    plain = topk._answers
+    monkeypatch.setattr(topk, "_answers", lambda *args: (passes.append(plain(*args)), passes[-1])[1])
+    monkeypatch.setattr(topk, "SHARD_TEXTS", 40)
+    frame = spark.createDataFrame([(k, "a b") for k in range(3_200)], SCHEMA).repartition(80)
+    result = shown(topk.search(frame, frame.where("doc_id < 2")))
+    assert {d for _, _, d, _ in result} == set(range(10))
+    assert sum(p.count() for p in passes) / 2 < 500
+
+
+@pytest.mark.parametrize("sizes", [(5, 60), (1, 4), (100, 400)])
+def test_shard_with_a_floor(monkeypatch, sizes):
+    """A floor leaves out what is below it, and of what ties with it the ids above the last, and nothing else."""
+    r = random.Random(9)
+    vocabulary = [f"w{k}" for k in range(500)]
+    weights = [1 / (k + 1) for k in range(500)]
+    texts = [" ".join(r.choices(vocabulary, weights, k=r.randint(*sizes))) for _ in range(600)]
+    texts += texts[:60] + ["", "other words"]
+    ids = [None if k % 97 == 5 else (k * 389) % 1_009 for k in range(len(texts))]
+    numbers = {w: k for k, w in enumerate(vocabulary)}
+    df = Counter(w for t in texts for w in set(t.split()))
+    idf = np.array([log(1 + (len(texts) - df[w] + 0.5) / (df[w] + 0.5)) for w in vocabulary])
+    for common in (topk.COMMON_WORDS, 3):
+        monkeypatch.setattr(topk, "COMMON_WORDS", common)
+        shard = topk.Shard(ids, texts, numbers, idf, 30.0)
+        for k in range(0, 600, 29):
+            query = np.array(sorted({numbers[w] for w in texts[k].split()}))
+            every = list(zip(*shard.search(query, len(texts))))
+            assert every == sorted(every, key=lambda x: (-x[1], x[0] is None, x[0] or 0))
+            for at in (0, 3, 9, 40):
+                if at < len(every):
+                    last, floor = every[at]
+                    last = topk.LAST if last is None else last
+                    want = [x for x in every if x[1] > floor or x[1] == floor and (topk.LAST if x[0] is None else x[0]) <= last]
+                    assert list(zip(*shard.search(query, 10, floor, last))) == want[:10]
