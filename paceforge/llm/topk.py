@@ -3,9 +3,9 @@
 Queries go through in blocks of bounded words. The texts are split into words once for a block: of every text the numbers and counts of the words that
 the block asks for are stored, with its length. Document frequencies, the number of texts and their mean length are counted over all of them, so a
 score doesn't depend on where a text lies. The words of the queries and their weights are broadcast. The stored rows are dealt over tasks, every task
-makes shards of what it reads, and answers all the block's queries on each. In a shard, blocks of neighbouring texts have the
-largest impact of each common word. Common words that couldn't reach a part of the bar together wait while the postings of the others are added up; only texts
-that can reach the bar with the bounds of the waiting words in their block get those words too, and what still reaches it is scored in full.
+makes shards of what it reads, and answers all the block's queries on each, some together. Postings of the words that are rare in the shard are added up. Blocks
+of neighbouring texts have the largest impact of each common word, which bounds what common words can add; only texts that can reach the bar of a query with that
+get their common words, for all queries together in one matrix product, and what still reaches a query's bar is scored in full.
 
 Samples of the texts are searched first, each ``SAMPLE`` times the one before. The k-th best text of a query in a sample is
 never better than its k-th best of all, so it is the bar for the texts after it, and a shard gives only texts that reach it. Every text is searched behind the
@@ -15,7 +15,7 @@ samples. What a query gets from a pass is so about k times ``SAMPLE`` texts, how
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from math import ceil, log
 
@@ -29,18 +29,19 @@ from paceforge.llm.common import chunks, stored, strings
 
 K1, B, TOP = 1.2, 0.75, 10
 #: Words of all queries of a block, about (a vocabulary of some 100 MB in a worker); texts and postings of a shard; neighbouring texts of a block.
-QUERY_WORDS, SHARD_TEXTS, SHARD_POSTINGS, NEIGHBOURS = 12_000_000, 20_000, 6_000_000, 16
+QUERY_WORDS, SHARD_TEXTS, SHARD_POSTINGS, NEIGHBOURS = 12_000_000, 16_000, 5_000_000, 16
 WORDS = re.compile(r"\w+")
-#: A word that one of so many texts of a shard has is common there; common words at most, the most frequent; the part of the bar that waiting words may reach.
-COMMON, COMMON_WORDS, WAITING = 16, 1_024, 0.8
+#: A word that one of so many texts of a shard has is common there; common words at most, the most frequent; queries that are searched together.
+COMMON, COMMON_WORDS, TOGETHER = 16, 1_024, 128
 #: How many times a sample is the one before it, and parts of a pass at least; how much fuller a shard may be than it is on average.
 SAMPLE, SAMPLE_PARTS, ROOM = 16, 4, 1.2
 #: Postings weighed at a time.
-STEP = 1_000_000
-#: What rounding can move a bound by; postings are in single precision.
-SLACK = 1e-6
+STEP = 500_000
+#: What rounding can move a bound by: sums of up to COMMON_WORDS impacts are in single precision.
+SLACK = 1e-4
 #: Stands for a missing id, which comes last.
 LAST = np.iinfo(np.int64).max
+ANSWERS = "query long, doc_id long, score double"
 
 
 def words(text: str) -> list[str]:
@@ -90,7 +91,7 @@ def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values[at[0] :], np.diff(at)
 
 
-def indexed(texts: DataFrame, vocabulary: Broadcast, kind: str = "long") -> DataFrame:
+def indexed(texts: DataFrame, vocabulary: Broadcast) -> DataFrame:
     """(doc_id, length, words, times): of every text the number of its words, and the numbers and counts of those in the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +99,7 @@ def indexed(texts: DataFrame, vocabulary: Broadcast, kind: str = "long") -> Data
             word, times, sizes, lengths = _counted(strings(piece.column(1)), vocabulary.value)
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(lengths), _packed(word, sizes), _packed(times, sizes)], ["doc_id", "length", "words", "times"])
 
-    return texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, length long, words binary, times binary")
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, length long, words binary, times binary")
 
 
 def document_frequencies(index: DataFrame, n_words: int) -> np.ndarray:
@@ -137,7 +138,11 @@ class Shard:
         commonest = np.full(n, -1)
         full = np.flatnonzero(sizes)
         if len(full):
-            commonest[full] = np.maximum.reduceat(times * np.int64(n_words) + word, starts[full]) % n_words
+            most = times.astype(np.int64)
+            most *= n_words
+            most += word
+            commonest[full] = np.maximum.reduceat(most, starts[full]) % n_words
+            del most
         order = np.lexsort((lengths, commonest))
         place = np.empty(n, np.int32)
         place[order] = np.arange(n)
@@ -148,29 +153,42 @@ class Shard:
         self.starts, self.ends = starts[order], starts[order] + sizes[order]
         norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
         self.norm = norm[order]
-        by_word = np.argsort(word)
+        # places of the postings by word, sorted behind the words; in place, as these are the largest arrays
+        bits = len(word).bit_length()
+        by_word = word.astype(np.int64)
+        by_word <<= bits
+        for k in range(0, len(word), STEP):
+            by_word[k : k + STEP] |= np.arange(k, min(k + STEP, len(word)))
+        by_word.sort()
+        by_word &= (1 << bits) - 1
         owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
         impact = np.empty(len(word), np.float32)
         for k in range(0, len(word), STEP):
             some = slice(k, k + STEP)
             impact[some] = _impact(idf[word[some]], times[some], norm[owner[some]])
-        self.text_of, self.impact_of = place[owner[by_word]], impact[by_word]
+        # (text, impact) by word, the bits of an impact as a whole number
+        self.postings = np.empty((len(word), 2), np.int32)
+        for k in range(0, len(word), STEP):
+            some = slice(k, k + STEP)
+            self.postings[some, 0] = place[owner[by_word[some]]]
+            self.postings[some, 1] = impact.view(np.int32)[by_word[some]]
+        del by_word, owner, impact
         self.df = np.bincount(word, minlength=n_words)
         self.of_word = np.concatenate([[0], np.cumsum(self.df)])
         present = np.flatnonzero(self.df)
         self.most = np.zeros(n_words)
         if len(present):
-            self.most[present] = np.maximum.reduceat(self.impact_of, self.of_word[present])
+            self.most[present] = np.maximum.reduceat(self.postings[:, 1].view(np.float32), self.of_word[present])
         # impacts of the common words on every text, and the largest of each block of neighbours
         self.n_blocks = -(-n // NEIGHBOURS)
         common = present[self.df[present] * COMMON >= n]
         common = common[np.argsort(-self.df[common], kind="stable")[:COMMON_WORDS]]
         self.row = np.full(n_words, -1)
         self.row[common] = np.arange(len(common))
-        self.common = np.zeros((len(common), self.n_blocks * NEIGHBOURS), np.float32)
-        for row, a, b in zip(self.common, self.of_word[common].tolist(), self.of_word[common + 1].tolist()):
-            row[self.text_of[a:b]] = self.impact_of[a:b]
-        self.block_most = self.common.reshape(len(common), self.n_blocks, NEIGHBOURS).max(2)
+        self.common = np.zeros((self.n_blocks * NEIGHBOURS, len(common)), np.float32)
+        for k, (a, b) in enumerate(zip(self.of_word[common].tolist(), self.of_word[common + 1].tolist())):
+            self.common[self.postings[a:b, 0], k] = self.postings[a:b, 1].view(np.float32)
+        self.block_most = np.ascontiguousarray(self.common.reshape(self.n_blocks, NEIGHBOURS, len(common)).max(1).T)
         self.asked = np.zeros(n_words, bool)
 
     def exact(self, texts: np.ndarray) -> np.ndarray:
@@ -186,42 +204,50 @@ class Shard:
 
         Of a tie those with the smallest ids come first.
         """
-        query = query[self.df[query] > 0]
-        if not len(query) or self.most[query].sum() * (1 + SLACK) < floor:
-            return [], []
-        texts = self._candidates(query, floor, top)
-        self.asked[query] = True
-        scores = self.exact(texts)
-        self.asked[query] = False
-        some = (scores > floor) | (scores == floor) & (scores > 0) & (self.number[texts] <= last)
-        texts, scores = texts[some], scores[some]
-        best = np.lexsort((self.missing[texts], self.number[texts], -scores))[:top]
-        return [self.ids[k] for k in texts[best].tolist()], scores[best].tolist()
-
-    def _candidates(self, query: np.ndarray, floor: float, top: int) -> np.ndarray:
-        """Texts whose scores can reach the floor or, without one, the ``top`` best."""
-        # of the common words, those that bound little and have many postings wait, as long as they couldn't reach a part of the floor together
-        most, row = self.most[query], self.row[query]
-        common = np.flatnonzero(row >= 0)
-        common = common[np.argsort(most[common] / self.df[query[common]], kind="stable")]
-        waiting = common[: np.searchsorted(np.cumsum(most[common]), floor * WAITING)]
-        rows = row[waiting]
-        stays = np.ones(len(query), bool)
-        stays[waiting] = False
-        essential = query[stays]
-        part = np.zeros(self.n_blocks * NEIGHBOURS)
-        if len(essential):
-            lists = list(zip(self.of_word[essential].tolist(), self.of_word[essential + 1].tolist()))
-            part = np.bincount(np.concatenate([self.text_of[a:b] for a, b in lists]), np.concatenate([self.impact_of[a:b] for a, b in lists]), len(part))
-        if floor:
-            least = floor * (1 - SLACK)
-            rest = self.block_most[rows].sum(0, dtype=np.float64)
-            texts = np.flatnonzero(part.reshape(-1, NEIGHBOURS) >= (least - rest)[:, None])
-            texts = texts[texts < len(self.ids)]
-            return texts[part[texts] + self.common[rows[:, None], texts].sum(0, dtype=np.float64) >= least]
-        part = part[: len(self.ids)]
-        least = np.partition(part, len(part) - top)[len(part) - top] if len(part) > top else 0.0
-        return np.flatnonzero((part > 0) & (part >= least * (1 - SLACK)))
+        return self.search_all([query], top, [floor], [last])[0]
+
+    def search_all(self, queries: list[np.ndarray], top: int, floors: Sequence[float], lasts: Sequence[int]) -> list[tuple[list, list[float]]]:
+        """What ``search`` finds for each query."""
+        queries = [q[self.df[q] > 0] for q in queries]
+        reach = [k for k, q in enumerate(queries) if len(q) and self.most[q].sum() * (1 + SLACK) >= floors[k]]
+        found: list[tuple[list, list[float]]] = [([], [])] * len(queries)
+        for k, texts in zip(reach, self._candidates([queries[k] for k in reach], [floors[k] for k in reach], top)):
+            if not len(texts):
+                continue
+            self.asked[queries[k]] = True
+            scores = self.exact(texts)
+            self.asked[queries[k]] = False
+            some = (scores > floors[k]) | (scores == floors[k]) & (scores > 0) & (self.number[texts] <= lasts[k])
+            texts, scores = texts[some], scores[some]
+            best = np.lexsort((self.missing[texts], self.number[texts], -scores))[:top]
+            found[k] = [self.ids[x] for x in texts[best].tolist()], scores[best].tolist()
+        return found
+
+    def _candidates(self, queries: list[np.ndarray], floors: list[float], top: int) -> Iterator[np.ndarray]:
+        """Of each query the texts whose scores can reach the floor or, without one, the ``top`` best."""
+        asks = np.zeros((len(queries), len(self.block_most)), np.float32)
+        part = np.zeros((len(queries), self.n_blocks * NEIGHBOURS), np.float32)
+        for k, query in enumerate(queries):
+            row = self.row[query]
+            asks[k, row[row >= 0]] = 1
+            rare = query[row < 0]
+            if len(rare):
+                met = np.concatenate([self.postings[a:b] for a, b in zip(self.of_word[rare].tolist(), self.of_word[rare + 1].tolist())])
+                part[k] = np.bincount(met[:, 0], met[:, 1].view(np.float32), part.shape[1])
+        # the texts that some query can reach with the bounds of their block
+        least = np.array(floors, np.float32) * np.float32(1 - SLACK)
+        missing = least[:, None] - asks @ self.block_most
+        alive = np.zeros((self.n_blocks, NEIGHBOURS), bool)
+        for own, rest in zip(part, missing):
+            alive |= own.reshape(alive.shape) >= rest[:, None]
+        texts = np.flatnonzero(alive.ravel()[: len(self.ids)])
+        common = asks @ self.common[texts].T
+        for k, own in enumerate(common):
+            own += part[k, texts]
+            bar = least[k]
+            if not floors[k] and len(own) > top:
+                bar = np.partition(own, len(own) - top)[len(own) - top] * np.float32(1 - SLACK)
+            yield texts[(own >= bar) & (own > 0) if bar <= 0 else own >= bar]
 
 
 def _impact(idf: np.ndarray, times: np.ndarray, norm: np.ndarray) -> np.ndarray:
@@ -230,17 +256,25 @@ def _impact(idf: np.ndarray, times: np.ndarray, norm: np.ndarray) -> np.ndarray:
 
 
 class Asked:
-    """The queries of a block in order of their ids, and the weights of its words."""
+    """The queries of a block, those with the same commonest word side by side, and the weights of the block's words."""
 
-    def __init__(self, ids: np.ndarray, starts: np.ndarray, word: np.ndarray, idf: np.ndarray):
-        self.ids, self.starts, self.word, self.idf = ids, starts, word, idf
+    def __init__(self, ids: np.ndarray, words: list[np.ndarray], df: np.ndarray, idf: np.ndarray):
+        commonest = np.array([w[np.argmax(df[w])] for w in words], np.int64)
+        order = np.argsort(commonest, kind="stable")
+        self.ids, self.idf = ids[order], idf
+        self.word = np.concatenate([np.empty(0, np.int32), *(words[k] for k in order.tolist())])
+        self.ends = np.cumsum([len(words[k]) for k in order.tolist()], dtype=np.int64)
+        self._sorted = np.argsort(self.ids)
 
-    def __iter__(self) -> Iterator[tuple[int, np.ndarray]]:
-        for k, q in enumerate(self.ids.tolist()):
-            yield q, self.word[self.starts[k] : self.starts[k + 1]]
+    def at(self, ids: np.ndarray) -> np.ndarray:
+        """The places of some ids."""
+        return self._sorted[np.searchsorted(self.ids, ids, sorter=self._sorted)]
 
+    def words(self, k: int) -> np.ndarray:
+        return self.word[self.ends[k - 1] if k else 0 : self.ends[k]]
 
-def _answers(index: DataFrame, held: Broadcast, bars: tuple[np.ndarray, np.ndarray], mean_length: float, top: int, kind: str) -> DataFrame:
+
+def _answers(index: DataFrame, held: Broadcast, bars: tuple[np.ndarray, np.ndarray], mean_length: float, top: int) -> DataFrame:
     """(query, doc_id, score): the best texts of every shard for the queries of one block, without those below the query's bar."""
     above = index.sparkSession.sparkContext.broadcast(bars)
 
@@ -257,15 +291,18 @@ def _answers(index: DataFrame, held: Broadcast, bars: tuple[np.ndarray, np.ndarr
         return ids, np.concatenate(word), np.concatenate(times), np.concatenate(sizes), np.concatenate(lengths)
 
     def answer(pieces: list[pa.RecordBatch], floor: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
-        shard = Shard.of(*counted(pieces), held.value.idf, mean_length)
+        asked = held.value
+        shard = Shard.of(*counted(pieces), asked.idf, mean_length)
         rows: tuple[list, list, list] = ([], [], [])
-        for k, (q, own) in enumerate(held.value):
-            best, scores = shard.search(own, top, float(floor[k]), int(last[k]))
-            if len(scores) == top:
-                floor[k], last[k] = scores[-1], LAST if best[-1] is None else best[-1]
-            rows[0].extend([q] * len(best))
-            rows[1].extend(best)
-            rows[2].extend(scores)
+        for start in range(0, len(asked.ids), TOGETHER):
+            some = range(start, min(start + TOGETHER, len(asked.ids)))
+            found = shard.search_all([asked.words(k) for k in some], top, floor[some.start : some.stop].tolist(), last[some.start : some.stop].tolist())
+            for k, (best, scores) in zip(some, found):
+                if len(scores) == top:
+                    floor[k], last[k] = scores[-1], LAST if best[-1] is None else best[-1]
+                rows[0].extend([int(asked.ids[k])] * len(best))
+                rows[1].extend(best)
+                rows[2].extend(scores)
         return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.float64())], ["query", "doc_id", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +319,7 @@ def _answers(index: DataFrame, held: Broadcast, bars: tuple[np.ndarray, np.ndarr
         if pieces:
             yield answer(pieces, floor, last)
 
-    return index.mapInArrow(run, f"query long, doc_id {kind}, score double")
+    return index.mapInArrow(run, ANSWERS)
 
 
 def _shares(n: int) -> list[int]:
@@ -302,10 +339,13 @@ def _dealt(index: DataFrame, shards: float) -> DataFrame:
     return index.repartition(max(SAMPLE_PARTS, ceil(shards * ROOM)))
 
 
-def _block(texts: DataFrame, asked: DataFrame, top: int, kind: str) -> DataFrame:
+def _block(texts: DataFrame, asked: DataFrame, top: int) -> DataFrame:
     """The answers of all texts to the queries of one block, with bars from the samples."""
     context = texts.sparkSession.sparkContext
+    asked = asked.where(F.size("words") > 0)
     found = sorted(asked.select(F.explode("words").alias("word")).distinct().toArrow().column(0).to_pylist())
+    if not found:
+        return texts.sparkSession.createDataFrame([], ANSWERS)
     vocabulary = context.broadcast({w: k for k, w in enumerate(found)})
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,26 +354,29 @@ def _block(texts: DataFrame, asked: DataFrame, top: int, kind: str) -> DataFrame
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(own, pa.list_(pa.int32()))], ["query", "words"])
 
     rows = asked.mapInArrow(number, "query long, words array<int>").toArrow()
-    ids, owner = np.unique(rows.column(0).to_numpy(), return_inverse=True)
     own = rows.column(1).combine_chunks()
-    key = np.unique(np.repeat(owner, own.value_lengths().to_numpy()) * max(1, len(found)) + own.flatten().to_numpy())
-    owner, word = key // max(1, len(found)), (key % max(1, len(found))).astype(np.int32)
+    ends, flat = np.cumsum(own.value_lengths().to_numpy()), own.flatten().to_numpy()
+    ids, owner = np.unique(rows.column(0).to_numpy(), return_inverse=True)
+    same = np.split(np.argsort(owner, kind="stable"), np.cumsum(np.bincount(owner))[:-1])
+    merged = [np.unique(np.concatenate([flat[ends[k - 1] if k else 0 : ends[k]] for k in some])) for some in same]
 
-    index = stored(indexed(texts, vocabulary, kind))
+    index = stored(indexed(texts, vocabulary))
     size = index.agg(F.count("*").alias("n"), F.sum("length").alias("length"), F.sum(F.octet_length("words")).alias("bytes")).first()
     n, mean_length = size.n, size.length / size.n if size.n else 0.0
-    idf = np.array([log(1 + (n - k + 0.5) / (k + 0.5)) for k in document_frequencies(index, len(found)).tolist()])
-    held = context.broadcast(Asked(ids, np.searchsorted(owner, np.arange(len(ids) + 1)), word, idf))
+    df = document_frequencies(index, len(found))
+    idf = np.array([log(1 + (n - k + 0.5) / (k + 0.5)) for k in df.tolist()])
+    block = Asked(ids, merged, df, idf)
+    held = context.broadcast(block)
 
     met = index.where(F.octet_length("words") > 0)
     shards = max(n / SHARD_TEXTS, (size.bytes or 0) / 4 / SHARD_POSTINGS)
     floor, last = np.zeros(len(ids)), np.full(len(ids), LAST)
     for share in _shares(n):
         sample = _dealt(met.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0), shards / share)
-        bars = _ranked(_answers(sample, held, (floor, last), mean_length, top, kind)).where(F.col("rank") == top).toArrow()
-        at = np.searchsorted(ids, bars.column("query").to_numpy())
+        bars = _ranked(_answers(sample, held, (floor, last), mean_length, top)).where(F.col("rank") == top).toArrow()
+        at = block.at(bars.column("query").to_numpy())
         floor[at], last[at] = bars.column("score").to_numpy(), bars.column("doc_id").fill_null(int(LAST)).to_numpy()
-    return _answers(_dealt(met, shards), held, (floor, last), mean_length, top, kind)
+    return _answers(_dealt(met, shards), held, (floor, last), mean_length, top)
 
 
 def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -351,6 +394,6 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "d
 
     asked = stored(queries.select(F.col(doc_id).cast("long").alias("query"), F.col(text).alias("text")).where("query is not null").mapInArrow(split, "query long, words array<string>"))
     blocks = -(-(asked.agg(F.sum(F.size("words")).alias("n")).first().n or 0) // QUERY_WORDS)
-    parts = [_block(texts, asked.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == k), top, "long") for k in range(blocks)]
-    best = reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], "query long, doc_id long, score double")
+    parts = [_block(texts, asked.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == k), top) for k in range(blocks)]
+    best = reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], ANSWERS)
     return _ranked(best).where(F.col("rank") <= top).select(F.col("query").alias("query_id"), "rank", "doc_id", "score")

@@ -156,3 +156,11 @@ def test_shard_with_a_floor(monkeypatch, sizes):
                     last = topk.LAST if last is None else last
                     want = [x for x in every if x[1] > floor or x[1] == floor and (topk.LAST if x[0] is None else x[0]) <= last]
                     assert list(zip(*shard.search(query, 10, floor, last))) == want[:10]
+
+
+def test_blocks_without_queries(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_WORDS", 1)
+    docs = [(1, "a b c"), (1, "b d"), (2, "a b"), (2, ""), (None, "c d")]
+    frame = spark.createDataFrame(docs, SCHEMA)
+    want = brute(docs, [(1, "a b c d"), (2, "a b")])
+    assert shown(topk.search(frame, frame)) == sorted(want, key=lambda x: x[:2])
